@@ -34,7 +34,7 @@ def from_epoch_micros(c) -> Column:
 
 def add_minutes(ts, minutes) -> Column:
     """ts + minutes (double minutes allowed); NULL minutes -> NULL."""
-    return F.timestamp_micros(F.unix_micros(col(ts)) + (col(minutes) * F.lit(60_000_000)).cast("long"))
+    return F.timestamp_micros(F.unix_micros(col(ts)) + F.round(col(minutes) * F.lit(60_000_000)).cast("long"))
 
 
 def hours_before(ts, n: float) -> Column:

@@ -324,6 +324,21 @@ def row_index(df: DataFrame, order: list[str], out: str = "row_idx") -> DataFram
             .drop("__pid", "__local", "__off"))
 
 
+def prefix_sum(df: DataFrame, order: str, weight: str, out: str) -> DataFrame:
+    """Sum of ``weight`` over all rows strictly before each row in ``order``
+    (``order`` unique), without a single-partition window: range-partition,
+    local running sums, plus the totals of earlier partitions (one row per
+    partition)."""
+    parts = df.repartitionByRange(F.col(order)).withColumn("__pid", F.spark_partition_id())
+    w = Window.partitionBy("__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
+    tot = parts.groupBy("__pid").agg(F.sum(weight).alias("__t"))
+    offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (parts.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
+            .withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off"))
+
+
 def index_ids(ids: DataFrame, id_col: str, out: str = "idx") -> DataFrame:
     """Dense 0-based index of distinct ids in sorted order."""
     return row_index(ids.select(id_col).distinct(), [id_col], out).withColumn(out, F.col(out) - 1)
