@@ -92,17 +92,25 @@ def collect_sets(df: DataFrame, key: str, col: str, struct_cols: list[str] | Non
 
 
 def pair_counts(df: DataFrame, key: str, item: str) -> DataFrame:
-    """How many keys each unordered pair of items co-occurs in.
+    """For each unordered pair of items, the number of keys holding both.
 
-    Distinct (key, item) first, then a self-join on key with a < b.  This
-    emits every pair within a key, so it is meant for small per-key item
-    sets (sources per station name); the distinct keeps duplicates out.
+    Each key's distinct items are reduced to one sorted item set; identical
+    sets are counted once (``groupBy(set)``), and pairs are expanded per
+    *distinct set* with its weight -- never per key -- then summed.  The
+    expansion is quadratic only in the size of one item set, which is
+    bounded by the item vocabulary (sources, carriers), not by the data.
     """
-    d = df.select(key, item).distinct()
-    a = d.select(F.col(key).alias("__k"), F.col(item).alias("item_a"))
-    b = d.select(F.col(key).alias("__k2"), F.col(item).alias("item_b"))
-    j = a.join(b, (F.col("__k") == F.col("__k2")) & (F.col("item_a") < F.col("item_b")))
-    return j.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_keys"))
+    sets = (df.select(key, item).filter(F.col(item).isNotNull()).distinct()
+            .groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__set")))
+    w = sets.groupBy("__set").agg(F.count(F.lit(1)).alias("__w")).filter(F.size("__set") >= 2)
+    n = F.size("__set")
+    idx = F.sequence(F.lit(0), n - 2)
+    pairs = F.flatten(F.transform(idx, lambda i: F.transform(
+        F.sequence(i + 1, n - 1),
+        lambda j: F.struct(F.element_at("__set", i + 1).alias("item_a"), F.element_at("__set", j + 1).alias("item_b")))))
+    ex = w.select("__w", F.explode(pairs).alias("p")).filter(F.col("p.item_a") < F.col("p.item_b"))
+    return ex.groupBy(F.col("p.item_a").alias("item_a"), F.col("p.item_b").alias("item_b")).agg(
+        F.sum("__w").alias("n_keys"))
 
 
 def bounds(df: DataFrame, t: str) -> DataFrame:

@@ -313,7 +313,7 @@ def overlap(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
 # Nearest site (J6/J7/F23): exact grid search, no cross join.
 
 def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lon: str,
-            site_id: str, s_lat: str, s_lon: str, cell_deg: float = 1.0, unit: str = "km",
+            site_id: str, s_lat: str, s_lon: str, cell_deg: float | None = None, unit: str = "km",
             max_rounds: int = 12) -> DataFrame:
     """Nearest site per point by haversine distance, exact.
 
@@ -326,6 +326,15 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
     """
     from leadtime.functions.geo import EARTH_RADIUS
     R = EARTH_RADIUS[unit]
+    if cell_deg is None:
+        # About two sites per cell on average over the sites' bounding box
+        # (one small aggregate over the site dimension).
+        b = sites.agg(F.min(s_lat), F.max(s_lat), F.min(s_lon), F.max(s_lon), F.count(s_lat)).first()
+        if b[4]:
+            area = max(b[1] - b[0], 0.01) * max(b[3] - b[2], 0.01)
+            cell_deg = float(min(max(math.sqrt(2.0 * area / b[4]), 0.05), 30.0))
+        else:
+            cell_deg = 1.0
     ncell_lon = int(math.ceil(360.0 / cell_deg))
     S = sites.select(F.col(site_id).alias("__sid"), F.col(s_lat).alias("__slat"), F.col(s_lon).alias("__slon"))
     S = S.filter(F.col("__slat").isNotNull() & F.col("__slon").isNotNull())
@@ -335,7 +344,7 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
     P = P.withColumns({"__ci": F.floor(F.col("__plat") / cell_deg).cast("long"),
                        "__cj": F.floor(F.col("__plon") / cell_deg).cast("long")})
     pending = P.filter(F.col("__plat").isNotNull() & F.col("__plon").isNotNull())
-    results = []
+    results, cached = [], []
     ring = 1
     for rnd in range(max_rounds):
         full = (2 * ring + 1) * cell_deg >= 360.0 or rnd == max_rounds - 1
@@ -384,7 +393,10 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
                                                   * F.sin(F.radians(dlon) / 2)))
         bound = F.least(bound_lat, bound_lon)
         ok = F.col("__b").isNotNull() & F.col("__b")["__sid"].isNotNull() & (F.col("__b")["__d"] <= bound)
-        best = best.withColumn("__ok", ok)
+        # Persist the round so later rounds and the final union do not
+        # recompute the whole chain (lineage-safe: lost blocks recompute).
+        best = best.withColumn("__ok", ok).persist()
+        cached.append(best)
         results.append(best.filter("__ok").select("__pid", best["__b"]["__sid"].alias("__sid"),
                                                   best["__b"]["__d"].alias("__d")))
         pending = best.filter(~F.col("__ok")).select("__pid", "__plat", "__plon", "__ci", "__cj")
