@@ -112,12 +112,12 @@ def fit_seasonality_year(df: DataFrame, site: str, ts: str, y: str, holidays: li
     cal = pd.date_range("2024-01-01", "2024-12-31", freq="D")  # leap-year calendar: 366 slots
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = pd.Series(pdf["y"].to_numpy(dtype=float), index=list(zip(pdf["month"], pdf["dom"])))
-        if (2, 29) not in s.index and (2, 28) in s.index and (3, 1) in s.index:
+        s = {(int(m), int(dd)): float(v) for m, dd, v in zip(pdf["month"], pdf["dom"], pdf["y"])}
+        if (2, 29) not in s and (2, 28) in s and (3, 1) in s:
             s[(2, 29)] = (s[(2, 28)] + s[(3, 1)]) / 2
         slots = [(d.month, d.day) for d in cal]
-        doy = np.array([i for i, md in enumerate(slots) if md in s.index], dtype=float)
-        yy = np.array([s[md] for md in slots if md in s.index], dtype=float)
+        doy = np.array([i for i, md in enumerate(slots) if md in s], dtype=float)
+        yy = np.array([s[md] for md in slots if md in s], dtype=float)
         grid = np.arange(366, dtype=float)
         H = np.array([[1.0 if slots[int(i)] == h else 0.0 for h in hol] for i in grid]) if hol else np.zeros((366, 0))
         if len(yy) < 2:
