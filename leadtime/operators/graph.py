@@ -5,8 +5,8 @@ ranks are keyed by a *group* column (period, fold, or personalised
 source), so many independent graphs run in one plan; the per-group
 scalars (vertex count, dangling mass) live in a table with one row per
 group that is joined back (broadcast after a size check).  Lineage is cut
-with reliable checkpoints in the session's shared checkpoint folder every
-few iterations.
+every few iterations by writing the ranks as Parquet into the session's
+shared checkpoint folder (``spark.checkpoint.dir``) and reading them back.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadtime.operators._plan import sized_broadcast
-from leadtime.session import checkpoint_dir
 
 _G = "__g"
 
@@ -56,44 +55,52 @@ def transition_weights(edges: DataFrame, group: str | None = None, weight: str |
 
 
 def _ckpt(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the frame as Parquet under the shared checkpoint
+    folder and read it back.  (``Dataset.checkpoint`` was measured to slow
+    down geometrically over a long iteration chain on this Spark version;
+    a written table keeps every round at constant cost.)"""
+    from leadtime.sources.io import stage_to
+    return stage_to(df)
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters: int = 10,
              group: str | None = None, weight: str | None = None, normalized: bool = True,
-             checkpoint_every: int = 3) -> DataFrame:
+             checkpoint_every: int = 2) -> DataFrame:
     """PageRank with dangling mass spread evenly; scores sum to 1 per
     group (``normalized=False`` scales by the vertex count, like the
     un-normalised library result).
 
         r'(v) = reset/N + (1-reset) * (sum_{u->v} r(u) p(u,v) + m/N)
 
-    where m is the rank held by vertices without out-edges.  Output:
+    where m is the rank held by vertices without out-edges.  Dangling
+    vertices get one edge to a NULL destination, so one grouped sum per
+    iteration yields both the contributions and m (its NULL row); the
+    per-group (N, m) table has one row per group.  Output:
     (group?, id, pagerank).
     """
     V = _with_group(vertices, group).select(_G, F.col("id").cast("string").alias("id")).distinct()
     E = _with_group(edges, group)
     P = transition_weights(E, _G, weight)
     outs = P.select(_G, F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
-    V = V.join(outs, [_G, "id"], "left").withColumn("__dang", F.col("__has_out").isNull()).drop("__has_out")
-    V = _ckpt(V)
+    V = _ckpt(V.join(outs, [_G, "id"], "left").withColumn("__dang", F.col("__has_out").isNull()).drop("__has_out"))
+    P = P.unionByName(V.filter("__dang").select(_G, F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"),
+                                                F.lit(1.0).alias("p")))
     P = _ckpt(P)
-    n = V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n"))
-    n = _ckpt(n)
-    R = V.join(sized_broadcast(n), _G).select(_G, "id", "__dang", (F.lit(1.0) / F.col("__n")).alias("r"))
+    n = _ckpt(V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n")))
+    n_b = sized_broadcast(n)  # one row per group; size checked once
+    R = _ckpt(V.join(n_b, _G).select(_G, "id", (F.lit(1.0) / F.col("__n")).alias("r")))
     for it in range(iters):
-        contrib = (P.join(R.select(_G, F.col("id").alias("src"), "r"), [_G, "src"])
-                   .groupBy(_G, F.col("dst").alias("id")).agg(F.sum(F.col("r") * F.col("p")).alias("__c")))
-        mass = R.filter("__dang").groupBy(_G).agg(F.sum("r").alias("__m"))
-        stats = n.join(mass, _G, "left").fillna(0.0, subset=["__m"])
-        R = (R.select(_G, "id", "__dang").join(contrib, [_G, "id"], "left").join(sized_broadcast(stats), _G)
-             .select(_G, "id", "__dang",
-                     (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
-                      (F.coalesce(F.col("__c"), F.lit(0.0)) + F.col("__m") / F.col("__n"))).alias("r")))
+        C = (P.join(R.select(_G, F.col("id").alias("src"), "r"), [_G, "src"])
+             .groupBy(_G, "dst").agg(F.sum(F.col("r") * F.col("p")).alias("__c")))
+        M = C.filter(F.col("dst").isNull()).select(_G, F.col("__c").alias("__m"))
+        stats = F.broadcast(n.join(M, _G, "left").fillna(0.0, subset=["__m"]))
+        R = (V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"), [_G, "id"], "left")
+             .join(stats, _G)
+             .select(_G, "id", (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
+                                (F.coalesce(F.col("__c"), F.lit(0.0)) + F.col("__m") / F.col("__n"))).alias("r")))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
             R = _ckpt(R)
-    out = R.join(sized_broadcast(n), _G)
+    out = R.join(n_b, _G)
     score = F.col("r") if normalized else F.col("r") * F.col("__n")
     cols = ([F.col(_G).alias(group)] if group else []) + [F.col("id"), score.alias("pagerank")]
     return out.select(*cols)

@@ -106,35 +106,116 @@ def _range_pick(left: DataFrame, right: DataFrame, left_keys: list[str], right_k
     return out.drop("__rn", "__lb", "__rb", *rk)
 
 
+def _asof_sorted(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
+                 left_t: str, right_t: str, back_us: int | None, fwd_us: int | None, probe_shift_us: int,
+                 tie: str | None, width_us: int) -> DataFrame:
+    """Sort-based as-of lookup (no candidate explosion).
+
+    Left and right rows are unioned, partitioned by (key, time bucket) and
+    scanned in time order: ``last(right, ignorenulls)`` gives, for each left
+    probe at ``left_t - probe_shift``, the newest right row at or before it;
+    ``first(right, ignorenulls)`` on the opposite scan the oldest at or
+    after it.  Right rows are also copied (halo) into the neighbouring
+    bucket when they lie within the look-back/forward distance of it, so a
+    match never depends on bucket borders and a hot key is still spread over
+    its time buckets.  Each left row comes out exactly once.
+    """
+    rk = [f"__rk{i}" for i in range(len(right_keys))]
+    rcols = right.columns
+    r_us = F.unix_micros(F.col(right_t))
+    w = F.lit(width_us)
+    Rt = right.select(*[F.col(k).alias(a) for k, a in zip(right_keys, rk)], r_us.alias("__ts"),
+                      (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("__tie"),
+                      F.struct(*[F.col(c) for c in rcols]).alias("__r"))
+    lo_b = F.floor((F.col("__ts") - F.lit(fwd_us or 0)) / w).cast("long")
+    hi_b = F.floor((F.col("__ts") + F.lit(back_us or 0)) / w).cast("long")
+    Rt = Rt.withColumn("__bk", F.explode(F.sequence(lo_b, hi_b))).withColumn("__kind", F.lit(0))
+    Lt = left.select(*[F.col(c) for c in left.columns],
+                     *[F.col(k).alias(a) for k, a in zip(left_keys, rk)],
+                     (F.unix_micros(F.col(left_t)) - F.lit(probe_shift_us)).alias("__ts"),
+                     F.lit(None).cast("long").alias("__tie"), F.lit(1).alias("__kind"))
+    Lt = Lt.withColumn("__bk", F.floor(F.col("__ts") / w).cast("long"))
+    u = Lt.unionByName(Rt, allowMissingColumns=True)
+    part = [*rk, "__bk"]
+    res = {}
+    if back_us is not None:
+        wb = (Window.partitionBy(*part).orderBy("__ts", "__kind", "__tie")
+              .rowsBetween(Window.unboundedPreceding, 0))
+        res["__b"] = F.last(F.when(F.col("__kind") == 0, F.struct("__ts", "__r")), ignorenulls=True).over(wb)
+    if fwd_us is not None:
+        wf = (Window.partitionBy(*part).orderBy(F.col("__ts").asc(), F.col("__kind").desc(), F.col("__tie").desc())
+              .rowsBetween(0, Window.unboundedFollowing))
+        res["__f"] = F.first(F.when(F.col("__kind") == 0, F.struct("__ts", "__r")), ignorenulls=True).over(wf)
+    u = u.withColumns(res).filter(F.col("__kind") == 1)
+    pick = None
+    if back_us is not None:
+        okb = F.col("__b").isNotNull() & (F.col("__b.__ts") >= F.col("__ts") - F.lit(back_us))
+        b = F.when(okb, F.col("__b"))
+        pick = b
+    if fwd_us is not None:
+        okf = F.col("__f").isNotNull() & (F.col("__f.__ts") <= F.col("__ts") + F.lit(fwd_us))
+        f = F.when(okf, F.col("__f"))
+        if pick is None:
+            pick = f
+        else:
+            db = F.col("__ts") - F.col("__b.__ts")
+            df_ = F.col("__f.__ts") - F.col("__ts")
+            # nearest; equal distance -> the later reading
+            pick = (F.when(b.isNull(), f).when(f.isNull(), b)
+                    .when(df_ <= db, f).otherwise(b))
+    out = u.withColumn("__p", pick)
+    return out.select(*[F.col(c) for c in left.columns], *[F.col("__p.__r")[c].alias(c) for c in rcols])
+
+
 def asof_join(left: DataFrame, right: DataFrame, left_on, right_on, left_t: str, right_t: str,
-              min_age_s: float, max_age_s: float, row_id: str, tie: str | None = None,
-              bucket_s: float | None = None, how: str = "left") -> DataFrame:
+              min_age_s: float, max_age_s: float, row_id: str | None = None, tie: str | None = None,
+              bucket_s: float | None = None, how: str = "left", method: str = "sort") -> DataFrame:
     """Interval as-of join.
 
     For every left row keep the right row with the same key whose time lies
     in [left_t - max_age, left_t - min_age], newest first, ties broken by
     ``tie`` descending.  ``how='left'`` keeps unmatched left rows with NULL
-    right columns.  Right columns must not clash with left ones (prefix them
-    first, see ``prefix``).  ``row_id`` must be unique on the left.
+    right columns (``'inner'`` drops them).  Right columns must not clash
+    with left ones (prefix them first, see ``prefix``).
+
+    ``method='sort'`` (default): newest right row at or before
+    left_t - min_age by one ordered scan, accepted if not older than
+    max_age -- cost O(n log n), independent of how many readings fall in
+    the window.  ``method='join'``: bucketed equi join + per-row pick
+    (needs a unique ``row_id``); kept as an independent formulation.
     """
-    order = [F.col(right_t).desc_nulls_last()]
-    if tie:
-        order.append(F.col(tie).desc_nulls_last())
-    width = int(bucket_s * _US) if bucket_s else None
-    return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
-                       -int(round(max_age_s * _US)), -int(round(min_age_s * _US)), order, row_id, width, how)
+    if method == "join":
+        order = [F.col(right_t).desc_nulls_last()]
+        if tie:
+            order.append(F.col(tie).desc_nulls_last())
+        width = int(bucket_s * _US) if bucket_s else None
+        return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
+                           -int(round(max_age_s * _US)), -int(round(min_age_s * _US)), order, row_id, width, how)
+    span = int(round((max_age_s - min_age_s) * _US))
+    width = int(bucket_s * _US) if bucket_s else max(span, int(3600 * _US))
+    out = _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, span, None,
+                       int(round(min_age_s * _US)), tie, width)
+    if how == "inner":
+        first = right.columns[0]
+        out = out.filter(F.col(first).isNotNull())
+    return out
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, left_on, right_on, left_t: str, right_t: str,
-                    tolerance_s: float, row_id: str, tie: str | None = None, how: str = "left") -> DataFrame:
-    """J12 core: right row with the same key nearest in time within +-tolerance."""
-    dist = F.abs(F.unix_micros(F.col(right_t)) - F.unix_micros(F.col(left_t)))
-    order = [dist.asc_nulls_last(), F.col(right_t).desc_nulls_last()]
-    if tie:
-        order.append(F.col(tie).desc_nulls_last())
+                    tolerance_s: float, row_id: str | None = None, tie: str | None = None, how: str = "left",
+                    method: str = "sort") -> DataFrame:
+    """J12 core: right row with the same key nearest in time within
+    +-tolerance (equal distance: the later one; then ``tie`` descending)."""
     tol = int(round(tolerance_s * _US))
-    return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
-                       -tol, tol, order, row_id, None, how)
+    if method == "join":
+        dist = F.abs(F.unix_micros(F.col(right_t)) - F.unix_micros(F.col(left_t)))
+        order = [dist.asc_nulls_last(), F.col(right_t).desc_nulls_last()]
+        if tie:
+            order.append(F.col(tie).desc_nulls_last())
+        return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
+                           -tol, tol, order, row_id, None, how)
+    return _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, tol, tol, 0, tie,
+                        max(tol, int(3600 * _US)))
 
 
 def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: list[str], row_id: str,
@@ -155,8 +236,11 @@ def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: l
         src = (df.filter(F.col(c).isNotNull())
                  .select(F.col(key).alias("__nk"), F.col(t).alias("__nt"), F.col(row_id).alias("__nid"),
                          F.col(c).alias("__nv")))
-        need = out.join(nbrs.select(F.col(key).alias("__k"), F.col(nbr_key).alias("__nbr")),
-                        out[key] == F.col("__k"), "left").drop("__k")
+        # Only rows missing the measure are looked up; the rest pass through.
+        have = out.filter(F.col(c).isNotNull())
+        need = out.filter(F.col(c).isNull()).join(
+            nbrs.select(F.col(key).alias("__k"), F.col(nbr_key).alias("__nbr")), F.col(key) == F.col("__k"),
+            "left").drop("__k")
         if tolerance_s is None and min_age_s is None:
             picked = need.join(src, (F.col("__nbr") == F.col("__nk")) & (F.col(t) == F.col("__nt")), "left")
             w = Window.partitionBy(row_id).orderBy(F.col("__nid").desc_nulls_last())
@@ -165,8 +249,9 @@ def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: l
             picked = asof_join(need, src, "__nbr", "__nk", t, "__nt", min_age_s, max_age_s, row_id, tie="__nid")
         else:
             picked = nearest_in_time(need, src, "__nbr", "__nk", t, "__nt", tolerance_s, row_id, tie="__nid")
-        out = (picked.withColumn(c, F.coalesce(F.col(c), F.col("__nv")))
-               .drop("__nbr", "__nk", "__nt", "__nid", "__nv"))
+        filled = (picked.withColumn(c, F.coalesce(F.col(c), F.col("__nv")))
+                  .drop("__nbr", "__nk", "__nt", "__nid", "__nv"))
+        out = have.unionByName(filled)
     return out
 
 
