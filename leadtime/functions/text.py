@@ -116,3 +116,10 @@ def path_label(cols, sep: str = "-") -> Column:
 def residual(y, p) -> Column:
     """F32: y - p."""
     return col(y).cast("double") - col(p).cast("double")
+
+
+def map_series(fn, return_type: str = "double"):
+    """Wrap a pandas Series -> Series function as a vectorised (Arrow)
+    pandas UDF -- the hook for per-row logic that has no native form."""
+    from pyspark.sql.functions import pandas_udf
+    return pandas_udf(fn, return_type)

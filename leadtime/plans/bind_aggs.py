@@ -14,7 +14,7 @@ def r6(c):
     return F.round(c, 6)
 
 
-_LABEL = "CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0 ELSE 0.0 END"
+_LABEL = "CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 
 
 def _trips_l(fx):
@@ -82,7 +82,7 @@ def q_null_cooc(spark, d):
 
 
 @query("null_rate", with_views(["readings"], """
-SELECT site, round(avg(CASE WHEN wind IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_null FROM readings GROUP BY site"""))
+SELECT site, round(avg(CASE WHEN wind IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100, 6) AS pct_null FROM readings GROUP BY site"""))
 def q_null_rate(spark, d):
     g = ag.null_rate(Fixtures(spark, d).readings(), "site", "wind")
     return g.select("site", r6(F.col("pct_null")).alias("pct_null"))
@@ -162,8 +162,8 @@ def q_confusion_by(spark, d):
 
 
 @query("error_rates", with_views(["scored"], """
-SELECT user_id % 10 AS grp, count(*) AS n, round(avg(CASE WHEN outcome = 0 AND pred2 = 1 THEN 1.0 ELSE 0.0 END), 6) AS fp_rate,
-  round(avg(CASE WHEN outcome = 1 AND pred2 = 0 THEN 1.0 ELSE 0.0 END), 6) AS fn_rate, round(avg(outcome), 6) AS true_rate
+SELECT user_id % 10 AS grp, count(*) AS n, round(avg(CASE WHEN outcome = 0 AND pred2 = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS fp_rate,
+  round(avg(CASE WHEN outcome = 1 AND pred2 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS fn_rate, round(avg(outcome), 6) AS true_rate
 FROM scored GROUP BY 1 HAVING count(*) >= 900"""))
 def q_error_rates(spark, d):
     s = Fixtures(spark, d).scored().withColumn("grp", F.col("user_id") % 10)
@@ -174,7 +174,7 @@ def q_error_rates(spark, d):
 @query("class_balance", with_views(["trips", "causes"], f"""
 SELECT 'label' AS kind, label AS cls, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
 FROM (SELECT {_LABEL} AS label FROM trips) GROUP BY label
-UNION ALL SELECT 'cause', NULL, NULL, round(avg(CASE WHEN cause_b > 5 THEN 1.0 ELSE 0.0 END), 6) FROM causes WHERE l_returnflag = 'R'"""))
+UNION ALL SELECT 'cause', NULL, NULL, round(avg(CASE WHEN cause_b > 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) FROM causes WHERE l_returnflag = 'R'"""))
 def q_class_balance(spark, d):
     fx = Fixtures(spark, d)
     b = ag.class_balance(_trips_l(fx), "label")

@@ -37,7 +37,7 @@ def _trips_asof(fx: Fixtures):
 
 @query("flagship_asof_disruption", with_views(["trips", "readings"], "," + _ASOF_PICK + """
 SELECT t.origin, count(*) AS n_trips,
-       round(avg(CASE WHEN t.delay_min >= 15 OR t.cancelled = 1 THEN 1.0 ELSE 0.0 END), 6) AS disrupted_share,
+       round(avg(CASE WHEN t.delay_min >= 15 OR t.cancelled = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS disrupted_share,
        count(p.reading_id) AS n_matched, round(avg(p.wind), 6) AS mean_wind
 FROM trips t LEFT JOIN pick p ON p.trip_id = t.trip_id GROUP BY t.origin"""))
 def flagship(spark, d):
@@ -204,8 +204,8 @@ def q_complete(spark, d):
 
 
 @query("label", with_views(["trips"], """
-SELECT trip_id, CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0 ELSE 0.0 END AS label,
-       CASE WHEN delay_min IS NULL THEN NULL WHEN delay_min >= 15 THEN 1.0 ELSE 0.0 END AS label_nullable
+SELECT trip_id, CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+       CASE WHEN delay_min IS NULL THEN NULL WHEN delay_min >= 15 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label_nullable
 FROM trips"""))
 def q_label(spark, d):
     t = Fixtures(spark, d).trips()
@@ -300,3 +300,14 @@ def q_between(spark, d):
 SELECT event_id FROM scored WHERE pred1 = outcome AND pred2 <> outcome AND pred3 <> outcome"""))
 def q_only_correct(spark, d):
     return clean.only_correct(Fixtures(spark, d).scored(), "outcome", "pred1", ["pred2", "pred3"]).select("event_id")
+
+
+@query("select_features", """
+SELECT l.doc_id, l.quality AS label, d.lang, d.source, d.n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id""")
+def q_select_features(spark, d):
+    """Numeric and categorical feature families picked from the schema."""
+    fx = Fixtures(spark, d)
+    x = fx.table("labels").select("doc_id", F.col("quality").alias("label")).join(
+        fx.table("documents").select("doc_id", "lang", "source", "n_chars", F.col("text").alias("body_text")), "doc_id")
+    num, cat = clean.select_features(x, "label", exclude=["doc_id", "body_text"])
+    return x.select("doc_id", "label", *cat, *num)

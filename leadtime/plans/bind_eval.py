@@ -14,7 +14,7 @@ def r6(c):
     return F.round(c, 6)
 
 
-_LABEL = "CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0 ELSE 0.0 END"
+_LABEL = "CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
 _HASH = "((({k} % 1000003) * 2654435761 + {s}) % 1000)"
 
 
@@ -161,10 +161,10 @@ def q_classify(spark, d):
 
 @query("ensembles", with_views(["scored"], """
 SELECT event_id, round(p1 * 0.25 / 1.75 + p2 * 0.5 / 1.75 + p3 * 1.0 / 1.75, 6) AS ens_prob,
-  CASE WHEN p1 * 0.25 / 1.75 + p2 * 0.5 / 1.75 + p3 * 1.0 / 1.75 >= 0.5 THEN 1.0 ELSE 0.0 END AS ens_pred,
+  CASE WHEN p1 * 0.25 / 1.75 + p2 * 0.5 / 1.75 + p3 * 1.0 / 1.75 >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ens_pred,
   round((pred1 + pred2 + pred3) / 3, 0) AS vote,
-  CASE WHEN (p1 + p2 + p3) / 3 >= 0.5 THEN 1.0 ELSE 0.0 END AS mean_prob_pred,
-  CASE WHEN round((p1 + p2 + p3) / 3, 0) >= 0.5 THEN 1.0 ELSE 0.0 END AS mean_prob_rounded
+  CASE WHEN (p1 + p2 + p3) / 3 >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS mean_prob_pred,
+  CASE WHEN round((p1 + p2 + p3) / 3, 0) >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS mean_prob_rounded
 FROM scored"""))
 def q_ensembles(spark, d):
     s = Fixtures(spark, d).scored()
@@ -190,7 +190,7 @@ def q_agreement(spark, d):
 
 @query("errors_over", with_views(["scored"], """
 SELECT hour(ts) AS dim, count(*) AS n, count(*) FILTER (WHERE outcome = 0 AND pred3 = 1) AS fp,
-  count(*) FILTER (WHERE outcome = 1 AND pred3 = 0) AS fn, round(avg(CASE WHEN outcome <> pred3 THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+  count(*) FILTER (WHERE outcome = 1 AND pred3 = 0) AS fn, round(avg(CASE WHEN outcome <> pred3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS error_rate
 FROM scored GROUP BY 1"""))
 def q_errors_over(spark, d):
     e = ev.errors_over(Fixtures(spark, d).scored(), F.hour("ts"), "outcome", "pred3")
@@ -202,8 +202,8 @@ def _avg_rank(c):
 
 
 @query("error_correlation", with_views(["scored"], f""",
-x AS (SELECT CASE WHEN outcome = 0 AND pred1 = 1 THEN 1.0 ELSE 0.0 END AS is_fp,
-             CASE WHEN outcome = 1 AND pred1 = 0 THEN 1.0 ELSE 0.0 END AS is_fn, p2, p3 FROM scored),
+x AS (SELECT CASE WHEN outcome = 0 AND pred1 = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_fp,
+             CASE WHEN outcome = 1 AND pred1 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_fn, p2, p3 FROM scored),
 r AS (SELECT {_avg_rank('is_fp')} AS a, {_avg_rank('is_fn')} AS b, {_avg_rank('p2')} AS c2, {_avg_rank('p3')} AS c3 FROM x)
 SELECT 'is_fp' AS a, 'p2' AS b, round(corr(a, c2), 6) AS rho FROM r UNION ALL SELECT 'is_fp', 'p3', round(corr(a, c3), 6) FROM r
 UNION ALL SELECT 'is_fn', 'p2', round(corr(b, c2), 6) FROM r UNION ALL SELECT 'is_fn', 'p3', round(corr(b, c3), 6) FROM r"""))

@@ -336,3 +336,18 @@ def q_clean_readings(spark, d):
     fx = Fixtures(spark, d)
     out = ft.clean_readings(fx.readings(), fx.sites(), "site", "read_ts", ["wind"], "reading_id", "site_id", "zone")
     return out.select("reading_id", "zone", F.unix_micros("read_ts_utc").alias("utc_us"))
+
+
+@query("attach_zone", with_views(["sites", "stations"], """
+SELECT st.station_id, coalesce(s.zone, 'Unknown') AS zone
+FROM stations st
+LEFT JOIN (SELECT station_id AS sid, site_id FROM (
+   SELECT st.station_id, si.site_id, row_number() OVER (PARTITION BY st.station_id ORDER BY
+     2 * 6371.0 * asin(sqrt(pow(sin(radians(si.lat - st.lat) / 2), 2) + cos(radians(st.lat)) * cos(radians(si.lat)) * pow(sin(radians(si.lon - st.lon) / 2), 2))), si.site_id) AS rn
+   FROM stations st, sites si) WHERE rn = 1) p ON p.sid = st.station_id
+LEFT JOIN sites s ON s.site_id = p.site_id"""))
+def q_attach_zone(spark, d):
+    """zone of the nearest zone point (sites carry the zone names)."""
+    fx = Fixtures(spark, d)
+    out = ft.attach_zone(fx.stations(), "station_id", "lat", "lon", fx.sites(), "site_id", "lat", "lon", "zone")
+    return out.select("station_id", "zone")

@@ -112,7 +112,7 @@ _TT = """tt AS (
   SELECT *, epoch_us(sched) AS s_us,
     epoch_us(sched) + CAST(round(coalesce(delay_min, 0.0) * 60000000) AS BIGINT) AS dep_us,
     CAST(duration_min AS DOUBLE) AS sel,
-    CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0 ELSE 0.0 END AS label
+    CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
   FROM trips)"""
 
 

@@ -182,12 +182,12 @@ SELECT event_id AS reading_id, event_id % 5 AS site, ts AS read_ts,
 FROM events WHERE event_type IN ('view', 'signup')""",
     "scored": """
 SELECT event_id, user_id, event_type, ts,
-       CASE WHEN value >= 50 THEN 1.0 ELSE 0.0 END AS outcome,
+       CASE WHEN value >= 50 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS outcome,
        round((value % 97) / 97, 6) AS p1, round((event_id % 101) / 101, 6) AS p2,
        round((user_id % 11) / 11, 6) AS p3,
-       CASE WHEN round((value % 97) / 97, 6) >= 0.5 THEN 1.0 ELSE 0.0 END AS pred1,
-       CASE WHEN round((event_id % 101) / 101, 6) >= 0.5 THEN 1.0 ELSE 0.0 END AS pred2,
-       CASE WHEN round((user_id % 11) / 11, 6) >= 0.5 THEN 1.0 ELSE 0.0 END AS pred3
+       CASE WHEN round((value % 97) / 97, 6) >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS pred1,
+       CASE WHEN round((event_id % 101) / 101, 6) >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS pred2,
+       CASE WHEN round((user_id % 11) / 11, 6) >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS pred3
 FROM events""",
     "sites": f"""
 SELECT n_nationkey AS site_id, n_name AS site_name, CAST(25 + n_nationkey AS DOUBLE) AS lat,
