@@ -188,19 +188,46 @@ def site_summary(df: DataFrame, site: str, col: str, lat: str, lon: str) -> Data
                                 F.any_value(lat).alias("lat"), F.any_value(lon).alias("lon"))
 
 
+def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation (same definition as SQL
+    ``percentile``/``quantile_cont``), computed without gathering a
+    group's values in one task: value counts (pre-aggregated), distributed
+    prefix counts, then each target position is found by a range match
+    against a tiny table of (group, prob, position).  Output: (by..., p, q)."""
+    from leadtime.operators.windows import grouped_prefix_sum
+    by = list(by)
+    g = by if by else ["__all"]
+    x = df if by else df.withColumn("__all", F.lit(0))
+    vc = x.filter(F.col(col).isNotNull()).groupBy(*g, F.col(col).cast("double").alias("__v")).agg(
+        F.count(F.lit(1)).alias("__c"))
+    vc = grouped_prefix_sum(vc, g, "__v", "__c", "__before")
+    n = vc.groupBy(*g).agg(F.sum("__c").alias("__n"))
+    targets = n.select(*g, "__n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    targets = targets.withColumn("__h", F.col("p") * (F.col("__n") - 1))
+    targets = targets.select(*g, "p", "__h", F.explode(F.array(F.floor("__h"), F.ceil("__h"))).alias("__k"))
+    hit = targets.join(vc, [*g]).filter((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__c")))
+    lo_hi = hit.groupBy(*g, "p", "__h").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    q = F.col("__lo") + (F.col("__h") - F.floor("__h")) * (F.col("__hi") - F.col("__lo"))
+    out = lo_hi.select(*g, "p", q.alias("q"))
+    return out.drop("__all") if not by else out
+
+
 def summary(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Count, mean, stddev, min, exact percentiles, max per column."""
     parts = []
     for c in cols:
-        parts.append(df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                            F.stddev(c).alias("stddev"), F.min(F.col(c).cast("double")).alias("min"),
-                            F.percentile(F.col(c), F.array(*[F.lit(p) for p in probs])).alias("q"),
-                            F.max(F.col(c).cast("double")).alias("max")))
+        base = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
+                      F.stddev(c).alias("stddev"), F.min(F.col(c).cast("double")).alias("min"),
+                      F.max(F.col(c).cast("double")).alias("max"))
+        qs = (exact_quantiles(df, c, probs).withColumn("column", F.lit(c))
+              .groupBy("column").pivot("p", [float(p) for p in probs]).agg(F.first("q")))
+        qs = qs.select("column", *[F.col(f"`{float(p)}`").alias(f"p{int(p * 100)}") for p in probs])
+        parts.append(base.join(qs, "column", "left"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("column", "count", "mean", "stddev", "min",
-                      *[F.col("q")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(probs)], "max")
+                      *[f"p{int(q * 100)}" for q in probs], "max")
 
 
 def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -234,10 +261,12 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, by: str
 
 
 def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
-    """Min, quartiles, max and whisker bounds per class (exact)."""
-    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    g = df.groupBy(by).agg(F.min(col).alias("min"), q.alias("q"), F.max(col).alias("max"))
-    g = g.select(by, "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max")
+    """Min, quartiles, max and whisker bounds per class (exact
+    quantiles, computed distributively)."""
+    g = df.groupBy(by).agg(F.min(col).alias("min"), F.max(col).alias("max"))
+    q = exact_quantiles(df, col, (0.25, 0.5, 0.75), [by]).groupBy(by).pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
+    q = q.select(by, F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"), F.col("`0.75`").alias("q3"))
+    g = g.join(q, by, "left").select(by, "min", "q1", "median", "q3", "max")
     iqr = F.col("q3") - F.col("q1")
     return g.withColumns({"lower_whisker": F.col("q1") - 1.5 * iqr, "upper_whisker": F.col("q3") + 1.5 * iqr})
 

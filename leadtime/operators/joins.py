@@ -381,11 +381,12 @@ def expand_neighbors(df: DataFrame, nbrs: DataFrame, key: str) -> DataFrame:
 
 def dedup_keep_non(df: DataFrame, keys: list[str], type_col: str, bad_value) -> DataFrame:
     """For duplicated keys drop rows of the unwanted report type; keep
-    unique keys as they are.  One window count instead of join + anti join
-    + union."""
-    w = Window.partitionBy(*keys)
-    return (df.withColumn("__n", F.count(F.lit(1)).over(w))
-            .filter((F.col("__n") == 1) | ~F.coalesce(F.col(type_col) == F.lit(bad_value), F.lit(False)))
+    unique keys as they are.  Key counts come from a grouped count
+    (map-side combined, so a hot key is pre-aggregated) joined back on the
+    keys -- AQE splits a skewed key on the big side of that join."""
+    cnt = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    j = df.join(cnt, [df[k].eqNullSafe(cnt[k]) for k in keys]).drop(*[cnt[k] for k in keys])
+    return (j.filter((F.col("__n") == 1) | ~F.coalesce(F.col(type_col) == F.lit(bad_value), F.lit(False)))
             .drop("__n"))
 
 

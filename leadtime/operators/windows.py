@@ -339,12 +339,43 @@ def prefix_sum(df: DataFrame, order: str, weight: str, out: str) -> DataFrame:
             .withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off"))
 
 
+def grouped_prefix_sum(df: DataFrame, groups: list[str], order: str, weight: str, out: str) -> DataFrame:
+    """Per group, the sum of ``weight`` over rows strictly before each row in
+    ``order`` (unique within the group).  Range-partitioned on
+    (groups, order): local running sums plus, from a table with one row per
+    (partition, group), the totals of the group's earlier partitions."""
+    parts = df.repartitionByRange(*[F.col(g) for g in groups], F.col(order)).withColumn("__pid", F.spark_partition_id())
+    w = Window.partitionBy("__pid", *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
+    tot = parts.groupBy("__pid", *groups).agg(F.sum(weight).alias("__t"))
+    offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(
+        Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (parts.join(offs.select("__pid", *groups, "__off"), ["__pid", *groups])
+            .withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off"))
+
+
 def index_ids(ids: DataFrame, id_col: str, out: str = "idx") -> DataFrame:
     """Dense 0-based index of distinct ids in sorted order."""
     return row_index(ids.select(id_col).distinct(), [id_col], out).withColumn(out, F.col(out) - 1)
 
 
-def occurrence(df: DataFrame, keys: list[str], order: list[str], out: str = "occurrence") -> DataFrame:
-    """Occurrence number of a row within its keys."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w))
+def occurrence(df: DataFrame, keys: list[str], order: list[str], out: str = "occurrence",
+               width_s: float = DAY_S) -> DataFrame:
+    """Occurrence number of a row within its keys (1, 2, ...).
+
+    When the first order column is a timestamp the count is built per
+    (keys, day bucket) -- local row numbers plus the counts of the key's
+    earlier buckets (one row per key and bucket) -- so a key holding a large
+    share of the rows is still numbered by many tasks.
+    """
+    first = order[0]
+    if dict(df.dtypes).get(first) not in ("timestamp", "timestamp_ntz"):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w))
+    b = df.withColumn("__bk", _bucket(first, width_s))
+    local = b.withColumn("__loc", F.row_number().over(Window.partitionBy(*keys, "__bk").orderBy(*order)))
+    cnt = b.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__c"))
+    cnt = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(
+        Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = local.join(cnt.drop("__c"), [*keys, "__bk"])
+    return j.withColumn(out, (F.col("__off") + F.col("__loc")).cast("int")).drop("__bk", "__loc", "__off")

@@ -98,7 +98,8 @@ def q_to_utc(spark, d):
     """Rows at 00-03 h in DST-change months are left out of the check only
     because the two engines resolve non-existent local times differently."""
     fx = Fixtures(spark, d)
-    h = fx.hhmm().join(F.broadcast(fx.sites().select(F.col("site_id").alias("site"), "zone")), "site", "left")
+    from leadtime.operators._plan import sized_broadcast
+    h = fx.hhmm().join(sized_broadcast(fx.sites().select(F.col("site_id").alias("site"), "zone")), "site", "left")
     h = h.filter(~(F.month("day").isin(3, 4, 10, 11) & F.floor(F.col("hhmm") / 100).isin(0, 1, 2, 3)))
     return h.select("order_id", F.unix_micros(tm.to_utc(tm.hhmm_timestamp("day", "hhmm"), "zone")).alias("utc_us"))
 

@@ -108,8 +108,8 @@ class Fixtures:
         c = self.table("customer").select("c_custkey", "c_nationkey")
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         return (li.join(o, li.l_orderkey == o.o_orderkey)
-                .join(F.broadcast(c), o.o_custkey == c.c_custkey)
-                .join(F.broadcast(s), li.l_suppkey == s.s_suppkey)
+                .join(c, o.o_custkey == c.c_custkey)
+                .join(s, li.l_suppkey == s.s_suppkey)
                 .select(F.col("c_nationkey").cast("string").alias("src"),
                         F.col("s_nationkey").cast("string").alias("dst")))
 
