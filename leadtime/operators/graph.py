@@ -113,26 +113,30 @@ def rank_mass(ranks: DataFrame, group: str | None = None, score: str = "pagerank
 
 
 def personalized_pagerank(vertices: DataFrame, edges: DataFrame, sources: DataFrame, reset: float = 0.15,
-                          iters: int = 10, checkpoint_every: int = 3) -> DataFrame:
+                          iters: int = 10, checkpoint_every: int = 2) -> DataFrame:
     """Personalised PageRank for many sources at once, keyed by
     (source, id): teleport and dangling mass go back to the source.
 
         r_s'(v) = reset [v=s] + (1-reset) (sum_{u->v} r_s(u) p(u,v) + m_s [v=s])
+
+    Dangling vertices get one edge to a NULL destination, so a single
+    grouped sum per round gives the contributions and each source's m_s.
     """
-    P = _ckpt(transition_weights(edges))
+    P = transition_weights(edges)
     V = vertices.select(F.col("id").cast("string").alias("id")).distinct()
     outs = P.select(F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
-    Vd = _ckpt(V.join(outs, "id", "left").select("id", F.col("__has_out").isNull().alias("__dang")))
-    S = sources.select(F.col("id").cast("string").alias("source")).distinct()
+    dang = V.join(outs, "id", "left").filter(F.col("__has_out").isNull()).select(
+        F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"), F.lit(1.0).alias("p"))
+    P = _ckpt(P.unionByName(dang))
+    S = _ckpt(sources.select(F.col("id").cast("string").alias("source")).distinct())
     R = S.select("source", F.col("source").alias("id"), F.lit(1.0).alias("r"))
     for it in range(iters):
-        contrib = (R.join(P.withColumnRenamed("src", "id"), "id")
-                   .groupBy("source", F.col("dst").alias("id")).agg(F.sum(F.col("r") * F.col("p")).alias("__c")))
-        mass = (R.join(Vd.filter("__dang"), "id", "left_semi").groupBy("source").agg(F.sum("r").alias("__m")))
-        tele = S.join(mass, "source", "left").select(
-            "source", F.col("source").alias("id"),
-            (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("__m"), F.lit(0.0))).alias("__t"))
-        R = (contrib.join(tele, ["source", "id"], "full")
+        C = (R.join(P.withColumnRenamed("src", "id"), "id")
+             .groupBy("source", "dst").agg(F.sum(F.col("r") * F.col("p")).alias("__c")))
+        tele = (S.join(C.filter(F.col("dst").isNull()).select("source", F.col("__c").alias("__m")), "source", "left")
+                .select("source", F.col("source").alias("id"),
+                        (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("__m"), F.lit(0.0))).alias("__t")))
+        R = (C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id").join(tele, ["source", "id"], "full")
              .select("source", "id", (F.lit(1.0 - reset) * F.coalesce(F.col("__c"), F.lit(0.0))
                                       + F.coalesce(F.col("__t"), F.lit(0.0))).alias("r")))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
@@ -187,20 +191,26 @@ def outdegree_stats(adj: DataFrame, node: str = "node", nbrs: str = "nbrs", top:
     return tops, mean
 
 
-def label_propagation(vertices: DataFrame, edges: DataFrame, iters: int = 15, checkpoint_every: int = 5) -> DataFrame:
+def label_propagation(vertices: DataFrame, edges: DataFrame, iters: int = 15, checkpoint_every: int = 3) -> DataFrame:
     """Label propagation.  Each round a vertex takes the most frequent
     label among its neighbours (both edge directions, multi-edges counted),
     smallest label on ties; vertices without neighbours keep theirs.
-    Output (id, label)."""
+
+    Every vertex also gets a zero-weight message from itself, so one join of
+    the (static) message graph with the current labels and two grouped
+    aggregates give the next labels -- the previous round appears once in
+    the plan, and neighbour counts are combined map-side.  Output
+    (id, label)."""
     V = vertices.select(F.col("id").cast("string").alias("id")).distinct()
     E = edges.select(F.col("src").cast("string").alias("a"), F.col("dst").cast("string").alias("b"))
-    U = _ckpt(E.union(E.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b"))
+    U = (E.union(E.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
+         .withColumn("w", F.lit(1)))
+    U = _ckpt(U.unionByName(V.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).alias("w"))))
     L = V.select("id", F.col("id").alias("label"))
     for it in range(iters):
         msg = (U.join(L.withColumnRenamed("id", "b"), "b")
-               .groupBy(F.col("a").alias("id"), "label").agg(F.count(F.lit(1)).alias("__c")))
-        best = msg.groupBy("id").agg(F.min_by("label", F.struct(-F.col("__c"), F.col("label"))).alias("__new"))
-        L = L.join(best, "id", "left").select("id", F.coalesce("__new", "label").alias("label"))
+               .groupBy(F.col("a").alias("id"), "label").agg(F.sum("w").alias("__c")))
+        L = msg.groupBy("id").agg(F.min_by("label", F.struct(-F.col("__c"), F.col("label"))).alias("label"))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
             L = _ckpt(L)
     return L

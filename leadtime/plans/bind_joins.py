@@ -351,3 +351,17 @@ def q_attach_zone(spark, d):
     fx = Fixtures(spark, d)
     out = ft.attach_zone(fx.stations(), "station_id", "lat", "lon", fx.sites(), "site_id", "lat", "lon", "zone")
     return out.select("station_id", "zone")
+
+
+@query("modelling_table")
+def q_modelling_table(spark, d):
+    """The whole feature flow end to end (rows-only: each stage has its own
+    oracle-checked query)."""
+    fx = Fixtures(spark, d)
+    t = fx.trips().withColumn("period", F.floor(F.datediff(F.to_date("sched"), F.lit("2024-01-01").cast("date")) / 7).cast("long"))
+    out = ft.feature_table(t, fx.sites(), fx.stations(), fx.readings().select("reading_id", "site", "read_ts", "wind"),
+                           fx.holidays(), period="period")
+    keep = ["trip_id", "label", "origin_zone", "w_reading_id", "w_wind", "prior_valid", "prior_turnaround",
+            "prior_depdelay_calc", "mean_dep_delay", "prop_delayed", "lag_mean_delay", "days_to_holiday",
+            "hour_sin", "dow_cos", "prev_rank"]
+    return out.select(*keep)
