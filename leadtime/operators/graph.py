@@ -85,8 +85,14 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters:
     V = _ckpt(V.join(outs, [_G, "id"], "left").withColumn("__dang", F.col("__has_out").isNull()).drop("__has_out"))
     P = P.unionByName(V.filter("__dang").select(_G, F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"),
                                                 F.lit(1.0).alias("p")))
-    P = _ckpt(P)
+    # Edges and vertices are hash-partitioned once and kept (memory and
+    # disk; recomputed from their staged files if an executor is lost):
+    # the per-round joins then only move the ranks, which are already
+    # partitioned by (group, id) after the grouped sum -- one shuffle per
+    # round, of contributions combined map-side.
+    P = _ckpt(P).repartition(_G, "src").persist()
     n = _ckpt(V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n")))
+    V = V.repartition(_G, "id").persist()
     n_b = sized_broadcast(n)  # one row per group; size checked once
     R = _ckpt(V.join(n_b, _G).select(_G, "id", (F.lit(1.0) / F.col("__n")).alias("r")))
     for it in range(iters):
