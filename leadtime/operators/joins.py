@@ -407,8 +407,9 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
     compares each unresolved point only with sites in the (2r+1)^2 block of
     cells around it (sites are replicated into the cells they can serve) and
     accepts the best candidate once it is provably closer than anything
-    outside the block; the rest go to the next, wider ring.  Ties break on
-    ``site_id``.  Output: point_id, site_id, distance.
+    outside the block; the rest go to the next, wider ring.  Distances are
+    compared at 1e-6 (mm) resolution so floating-point noise cannot decide
+    between equally distant sites; ties break on ``site_id``.  Output: point_id, site_id, distance.
     """
     from leadtime.functions.geo import EARTH_RADIUS
     R = EARTH_RADIUS[unit]
@@ -462,7 +463,8 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
         d = haversine("__plat", "__plon", "__slat", "__slon", unit)
         best = (cand.withColumn("__d", d)
                 .groupBy("__pid", "__plat", "__plon", "__ci", "__cj")
-                .agg(F.min_by(F.struct(F.col("__sid"), F.col("__d")), F.struct(F.col("__d"), F.col("__sid"))).alias("__b")))
+                .agg(F.min_by(F.struct(F.col("__sid"), F.col("__d")),
+                              F.struct(F.round(F.col("__d"), 6), F.col("__sid"))).alias("__b")))
         if full:
             results.append(best.select("__pid", best["__b"]["__sid"].alias("__sid"), best["__b"]["__d"].alias("__d")))
             break

@@ -152,9 +152,8 @@ def q_load_or_compute(spark, d):
     from leadtime.sources.io import load_or_compute
     path = _scratch(spark, "loc")
     fx = Fixtures(spark, d)
-    first = load_or_compute(spark, path, lambda: fx.readings())
+    load_or_compute(spark, path, lambda: fx.readings())
     again = load_or_compute(spark, path, lambda: fx.readings().limit(0))  # reused, not recomputed
-    del first
     return again.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
 
 

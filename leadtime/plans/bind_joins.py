@@ -80,7 +80,7 @@ _NEAREST_SQL = """
 SELECT site_id, station_id, round(distance, 6) AS distance FROM (
   SELECT si.site_id, st.station_id,
     2 * 6371.0 * asin(sqrt(pow(sin(radians(st.lat - si.lat) / 2), 2) + cos(radians(si.lat)) * cos(radians(st.lat)) * pow(sin(radians(st.lon - si.lon) / 2), 2))) AS distance,
-    row_number() OVER (PARTITION BY si.site_id ORDER BY 2 * 6371.0 * asin(sqrt(pow(sin(radians(st.lat - si.lat) / 2), 2) + cos(radians(si.lat)) * cos(radians(st.lat)) * pow(sin(radians(st.lon - si.lon) / 2), 2))), st.station_id) AS rn
+    row_number() OVER (PARTITION BY si.site_id ORDER BY round(2 * 6371.0 * asin(sqrt(pow(sin(radians(st.lat - si.lat) / 2), 2) + cos(radians(si.lat)) * cos(radians(st.lat)) * pow(sin(radians(st.lon - si.lon) / 2), 2))), 6), st.station_id) AS rn
   FROM sites si, stations st) WHERE rn = 1"""
 
 
@@ -343,7 +343,7 @@ SELECT st.station_id, coalesce(s.zone, 'Unknown') AS zone
 FROM stations st
 LEFT JOIN (SELECT station_id AS sid, site_id FROM (
    SELECT st.station_id, si.site_id, row_number() OVER (PARTITION BY st.station_id ORDER BY
-     2 * 6371.0 * asin(sqrt(pow(sin(radians(si.lat - st.lat) / 2), 2) + cos(radians(st.lat)) * cos(radians(si.lat)) * pow(sin(radians(si.lon - st.lon) / 2), 2))), si.site_id) AS rn
+     round(2 * 6371.0 * asin(sqrt(pow(sin(radians(si.lat - st.lat) / 2), 2) + cos(radians(st.lat)) * cos(radians(si.lat)) * pow(sin(radians(si.lon - st.lon) / 2), 2))), 6), si.site_id) AS rn
    FROM stations st, sites si) WHERE rn = 1) p ON p.sid = st.station_id
 LEFT JOIN sites s ON s.site_id = p.site_id"""))
 def q_attach_zone(spark, d):
