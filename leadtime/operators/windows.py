@@ -48,7 +48,10 @@ def range_halo(df: DataFrame, t: str, back_s: float = 0.0, fwd_s: float = 0.0,
     A row at time x is copied into every bucket whose rows may look back
     ``back_s`` seconds (or forward ``fwd_s``) and reach x.
     """
-    w = float(width_s or max(back_s, fwd_s, DAY_S))
+    # Buckets at least four frame spans wide: only rows within one span of a
+    # border are copied (<= 25 % extra rows), while a bucket still holds at
+    # most a few days of one key.
+    w = float(width_s or max(4 * back_s, 4 * fwd_s, DAY_S))
     w_us = int(w * _US)
     x = F.unix_micros(F.col(t))
     own = F.floor(x / F.lit(w_us)).cast("long")
