@@ -90,17 +90,21 @@ def q_hhmm(spark, d):
                     tm.hhmm_hour("hhmm").alias("hour"))
 
 
+def utc_sql(zone: str, local: str) -> str:
+    """Local wall-clock -> UTC in DuckDB with the JVM rule for repeated
+    (fall-back) hours: the earlier instant."""
+    u = f"timezone({zone}, {local})"
+    return (f"(CASE WHEN ({u} - INTERVAL 1 HOUR) AT TIME ZONE {zone} = {local} "
+            f"THEN {u} - INTERVAL 1 HOUR ELSE {u} END)")
+
+
 @query("to_utc", with_views(["hhmm", "sites"], f"""
-SELECT h.order_id, epoch_us(timezone(s.zone, {_LOCAL_SQL})) AS utc_us
-FROM hhmm h LEFT JOIN sites s ON s.site_id = h.site
-WHERE NOT (month(h.day) IN (3, 4, 10, 11) AND h.hhmm // 100 IN (0, 1, 2, 3))"""))
+SELECT h.order_id, epoch_us({utc_sql('s.zone', _LOCAL_SQL.replace('day', 'h.day').replace('hhmm', 'h.hhmm'))}) AS utc_us
+FROM hhmm h LEFT JOIN sites s ON s.site_id = h.site"""))
 def q_to_utc(spark, d):
-    """Rows at 00-03 h in DST-change months are left out of the check only
-    because the two engines resolve non-existent local times differently."""
-    fx = Fixtures(spark, d)
     from leadtime.operators._plan import sized_broadcast
+    fx = Fixtures(spark, d)
     h = fx.hhmm().join(sized_broadcast(fx.sites().select(F.col("site_id").alias("site"), "zone")), "site", "left")
-    h = h.filter(~(F.month("day").isin(3, 4, 10, 11) & F.floor(F.col("hhmm") / 100).isin(0, 1, 2, 3)))
     return h.select("order_id", F.unix_micros(tm.to_utc(tm.hhmm_timestamp("day", "hhmm"), "zone")).alias("utc_us"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from leadtime.operators import joins
 from leadtime.plans import features as ft
 from leadtime.plans import seasonality as ss
+from leadtime.plans.bind_funcs import utc_sql
 from leadtime.plans.fixtures import Fixtures, with_views
 from leadtime.plans.registry import query
 
@@ -46,15 +47,14 @@ def q_missing(spark, d):
     return joins.missing_keys(fx.trips(), fx.table("events").filter("event_type = 'signup' AND value > 40"), "entity", "user_id")
 
 
-@query("unmatched_codes", with_views(["hhmm", "sites"], """,
-s AS (SELECT site_id, CASE WHEN site_id % 3 = 0 THEN NULL ELSE zone END AS zone FROM sites WHERE site_id % 4 <> 0)
-SELECT h.order_id, h.site, CASE WHEN s.site_id IS NULL THEN 'missing' ELSE 'incomplete' END AS reason
-FROM hhmm h LEFT JOIN s ON s.site_id = h.site WHERE s.site_id IS NULL OR s.zone IS NULL"""))
+@query("unmatched_codes", """
+SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' ELSE 'incomplete' END AS reason
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE l.doc_id IS NULL OR l.quality IS NULL""")
 def q_unmatched(spark, d):
+    """Documents with no label row, or a label row without quality."""
     fx = Fixtures(spark, d)
-    s = fx.sites().filter("site_id % 4 <> 0").withColumn("zone", F.when(F.col("site_id") % 3 != 0, F.col("zone")))
-    out = joins.unmatched(fx.hhmm().select("order_id", "site"), s, "site", "site_id", ["zone"])
-    return out.select("order_id", "site", "reason")
+    out = joins.unmatched(fx.table("documents").select("doc_id"), fx.table("labels"), "doc_id", "doc_id", ["quality"])
+    return out.select("doc_id", "reason")
 
 
 @query("match_rate", with_views(["trips", "readings"], """,
@@ -272,13 +272,12 @@ def q_attach_wide(spark, d):
 
 
 @query("align_predictions", with_views(["scored"], """
-SELECT a.event_id, a.pred1, b.pred2 FROM scored a JOIN scored b ON a.event_id = b.event_id AND a.ts = b.ts
-WHERE a.event_id % 3 <> 0 AND b.event_id % 5 <> 0"""))
+SELECT a.event_id, a.pred1, b.pred2, b.user_id FROM scored a JOIN scored b ON a.event_id = b.event_id AND a.ts = b.ts"""))
 def q_align(spark, d):
     s = Fixtures(spark, d).scored()
-    a = s.filter("event_id % 3 <> 0").select("event_id", "ts", "pred1")
-    b = s.filter("event_id % 5 <> 0").select("event_id", "ts", "pred2")
-    return joins.align_predictions(a, b, ["event_id", "ts"]).select("event_id", "pred1", "pred2")
+    a = s.select("event_id", "ts", "pred1")
+    b = s.select("event_id", "ts", "pred2", "user_id")
+    return joins.align_predictions(a, b, ["event_id", "ts"]).select("event_id", "pred1", "pred2", "user_id")
 
 
 @query("expand_neighbors", with_views(["sites"], """
@@ -312,7 +311,7 @@ def q_overlap(spark, d):
 @query("enrich_events", with_views(["trips", "sites", "stations", "readings"], """,
 nn AS (""" + _NEAREST_SQL + """),
 tu AS (SELECT t.trip_id, t.origin, t.dest, s.zone AS origin_zone, nn.station_id AS origin_station_id,
-         timezone(s.zone, t.sched) AT TIME ZONE 'UTC' AS sched_utc
+         """ + utc_sql('s.zone', 't.sched') + """ AT TIME ZONE 'UTC' AS sched_utc
        FROM trips t LEFT JOIN sites s ON s.site_id = t.origin LEFT JOIN nn ON nn.site_id = t.origin),
 pick AS (SELECT trip_id, reading_id FROM (
     SELECT t.trip_id, r.reading_id, row_number() OVER (PARTITION BY t.trip_id ORDER BY r.read_ts DESC, r.reading_id DESC) AS rn
@@ -328,7 +327,7 @@ def q_enrich(spark, d):
 
 
 @query("clean_readings", with_views(["readings", "sites"], """
-SELECT reading_id, zone, epoch_us(timezone(zone, read_ts) AT TIME ZONE 'UTC') AS utc_us FROM (
+SELECT reading_id, zone, epoch_us(""" + utc_sql('zone', 'read_ts') + """) AS utc_us FROM (
   SELECT r.*, s.zone, row_number() OVER (PARTITION BY r.site, r.read_ts ORDER BY
       CASE WHEN r.wind IS NULL THEN 1 ELSE 0 END, r.reading_id) AS rn
   FROM readings r LEFT JOIN sites s ON s.site_id = r.site) WHERE rn = 1"""))
