@@ -279,25 +279,71 @@ def range_mean_if(df: DataFrame, keys: list[str], t: str, col: str, cond: Column
     return _finish(h.withColumn(out, res))
 
 
-def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff: str, cols: dict[str, str],
-                span_s: float = 4 * 3600.0, width_s: float | None = None) -> DataFrame:
+def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff: str | None, cols: dict[str, str],
+                span_s: float = 4 * 3600.0, width_s: float | None = None,
+                cutoff_s: float | None = None) -> DataFrame:
     """Stale-aware range mean.
 
-    Over rows of the same keys scheduled in [sched - span, sched] (range
-    frame, peers included), average only values whose *actual* time is
-    before the row's ``cutoff`` (e.g. t - 2h): what was known at the
-    cutoff.  NULL values are skipped; no qualifying value -> NULL.
-    ``cols`` maps output name -> value column.  The frame is projected to
-    (actual, values) before collecting, and the filter/average run as
-    higher-order functions -- no Python.
+    Over rows of the same keys scheduled in [sched - span, sched] (peers
+    included), average only values whose *actual* time is before the
+    row's cutoff: what was known at the cutoff.  NULL values are skipped;
+    no qualifying value -> NULL.  ``cols`` maps output name -> value column.
+
+    With a fixed cutoff offset (``cutoff_s``: cutoff = sched - cutoff_s)
+    the statistic is an interval-stabbing sum: row j counts for row i
+    exactly when sched_i lies in [max(sched_j, actual_j + cutoff_s + 1us),
+    sched_j + span].  Each row emits +value at the interval start and
+    -value just after its end; one ordered running sum per (keys, time
+    bucket) -- intervals crossing a bucket border are copied into the next
+    bucket -- yields sum and count at every row.  Cost O(n log n) whatever
+    the number of rows inside a frame; sums run in DECIMAL, so they are
+    exact.  With a cutoff *column* the frame is collected (projected to
+    (actual, values)) and filtered with higher-order functions instead.
     """
+    if cutoff_s is None:
+        return _lagged_stat_frames(df, keys, sched, actual, cutoff, cols, span_s, width_s)
+    span_us, cut_us = int(span_s * _US), int(cutoff_s * _US)
+    w_us = int((width_s or max(4 * span_s, DAY_S)) * _US)
+    dec = "decimal(38,12)"
+    names = list(cols)
+    s_us = F.unix_micros(F.col(sched))
+    lo = F.greatest(s_us, F.unix_micros(F.col(actual)) + F.lit(cut_us + 1))
+    hi = s_us + F.lit(span_us)
+    ev = df.select(*[F.col(k) for k in keys], lo.alias("__lo"), hi.alias("__hi"),
+                   *[F.col(v).cast(dec).alias(f"__v{i}") for i, v in enumerate(cols.values())])
+    ev = ev.filter(F.col("__lo") <= F.col("__hi"))
+    ev = ev.withColumn("__bk", F.explode(F.sequence(F.floor(F.col("__lo") / w_us).cast("long"),
+                                                    F.floor(F.col("__hi") / w_us).cast("long"))))
+    signs = F.explode(F.array(F.struct(F.col("__lo").alias("__t"), F.lit(1).alias("__sg")),
+                              F.struct((F.col("__hi") + 1).alias("__t"), F.lit(-1).alias("__sg"))))
+    ev = ev.select(*keys, "__bk", *[f"__v{i}" for i in range(len(names))], signs.alias("__e")).select(
+        *keys, "__bk", F.col("__e.__t").alias("__t"), F.lit(0).alias("__kind"),
+        *[(F.col(f"__v{i}") * F.col("__e.__sg")).alias(f"__v{i}") for i in range(len(names))],
+        *[F.when(F.col(f"__v{i}").isNotNull(), F.col("__e.__sg")).otherwise(0).alias(f"__n{i}")
+          for i in range(len(names))])
+    # Probe rows carry the whole input row, so no row id / join back is needed.
+    pr = df.select("*", F.floor(s_us / w_us).cast("long").alias("__bk"), s_us.alias("__t"), F.lit(1).alias("__kind"),
+                   *[F.lit(None).cast(dec).alias(f"__v{i}") for i in range(len(names))],
+                   *[F.lit(0).alias(f"__n{i}") for i in range(len(names))])
+    u = pr.unionByName(ev, allowMissingColumns=True)
+    w = (Window.partitionBy(*keys, "__bk").orderBy("__t", "__kind")
+         .rowsBetween(Window.unboundedPreceding, 0))
+    sums = {f"__s{i}": F.sum(f"__v{i}").over(w) for i in range(len(names))}
+    cnts = {f"__c{i}": F.sum(f"__n{i}").over(w) for i in range(len(names))}
+    run = u.withColumns({**sums, **cnts}).filter(F.col("__kind") == 1)
+    return run.select(*[F.col(c) for c in df.columns],
+                      *[F.when(F.col(f"__c{i}") > 0, (F.col(f"__s{i}") / F.col(f"__c{i}")).cast("double")).alias(name)
+                        for i, name in enumerate(names)])
+
+
+def _lagged_stat_frames(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff: str, cols: dict[str, str],
+                        span_s: float, width_s: float | None) -> DataFrame:
     h = range_halo(df, sched, back_s=span_s, width_s=width_s)
     w = Window.partitionBy(*keys, "__bk").orderBy(_epoch_us(sched)).rangeBetween(-int(span_s * _US), 0)
     names = list(cols)
     st = F.struct(F.unix_micros(F.col(actual)).alias("a"), *[F.col(v).cast("double").alias(f"v{i}")
                                                             for i, v in enumerate(cols.values())])
-    frame = F.collect_list(st).over(w)
-    h = h.withColumn("__fr", frame)
+    h = h.withColumn("__fr", F.collect_list(st).over(w))
     cut = F.unix_micros(F.col(cutoff))
     outs = {}
     for i, name in enumerate(names):

@@ -122,11 +122,9 @@ def recency_features(df: DataFrame, site: str, sched: str, actual: str, delay: s
     """Site recency statistics ``mean_dep_delay`` and ``prop_delayed``:
     over the site's rows scheduled in the last ``span_h`` hours, only those
     actually departed before the cutoff (W10, both in one frame)."""
-    cut = "__cut"
-    x = df.withColumn(cut, tm.hours_before(sched, cutoff_h))
-    out = windows.lagged_stat(x, [site, *partition_extra], sched, actual, cut,
-                              {"mean_dep_delay": delay, "prop_delayed": label}, span_s=span_h * 3600)
-    return out.drop(cut)
+    return windows.lagged_stat(df, [site, *partition_extra], sched, actual, None,
+                               {"mean_dep_delay": delay, "prop_delayed": label}, span_s=span_h * 3600,
+                               cutoff_s=cutoff_h * 3600)
 
 
 def impute_spatial_temporal(df: DataFrame, cols: list[str], area: str, site: str, t: str, tie: str,

@@ -112,3 +112,19 @@ def test_nearest_matches_brute_force(spark):
     for cell in (0.5, 2.0, None):
         got = joins.nearest(s, st, "site_id", "lat", "lon", "station_id", "lat", "lon", cell_deg=cell)
         assert _eq(brute, got.select("site_id", "station_id"), "site_id", ["station_id"])
+
+
+def test_lagged_stat_interval_equals_frames(spark):
+    """The interval-stabbing form (any bucket width) equals the collected-frame form."""
+    from leadtime.functions.timeops import hours_before
+    fx = Fixtures(spark, MID)
+    t = ft.trip_times(fx.trips()).withColumn("label", F.when(F.col("delay_min") >= 15, 1.0).otherwise(0.0))
+    cols = {"m": "delay_min", "p": "label"}
+    frames = windows.lagged_stat(t.withColumn("cut", hours_before("sched", 2)), ["origin"], "sched", "actual_dep",
+                                 "cut", cols, span_s=4 * 3600)
+    for width in (None, 1800.0):
+        iv = windows.lagged_stat(t, ["origin"], "sched", "actual_dep", None, cols, span_s=4 * 3600,
+                                 cutoff_s=2 * 3600, width_s=width)
+        a = frames.select("trip_id", F.round("m", 9).alias("m"), F.round("p", 9).alias("p"))
+        b = iv.select("trip_id", F.round("m", 9).alias("m"), F.round("p", 9).alias("p"))
+        assert _eq(a, b, "trip_id", ["m", "p"])
