@@ -252,31 +252,35 @@ def rolling_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int = 8
 # Time-range windows
 
 def ffill_range(df: DataFrame, keys: list[str], t: str, col: str, secs: float, out: str | None = None,
-                width_s: float | None = None) -> DataFrame:
-    """Own value, else the last non-NULL value within the previous
-    ``secs`` seconds (range frame on epoch seconds)."""
+                width_s: float | None = None, tie: str | None = None) -> DataFrame:
+    """Own value, else the latest non-NULL value of the same keys within
+    the previous ``secs`` seconds.  A running ``last(ignorenulls)`` of
+    (time, value) over (keys, time bucket) partitions -- rows within
+    ``secs`` of a border are copied into the next bucket -- then an age
+    check: O(1) per row instead of re-scanning a frame.  Rows at the same
+    instant are ordered by ``tie`` (if given)."""
     h = range_halo(df, t, back_s=secs, width_s=width_s)
-    w = Window.partitionBy(*keys, "__bk").orderBy(_epoch_us(t)).rangeBetween(-int(secs * _US), 0)
-    return _finish(h.withColumn(out or col, F.coalesce(F.col(col), F.last(col, ignorenulls=True).over(w))))
+    x = F.unix_micros(F.col(t))
+    order = [x] + ([F.col(tie)] if tie else []) + [F.col("__halo").desc()]
+    w = Window.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    lastv = F.last(F.when(F.col(col).isNotNull(), F.struct(x.alias("t"), F.col(col).alias("v"))), ignorenulls=True).over(w)
+    h = h.withColumn("__lv", lastv)
+    fresh = F.when(F.col("__lv.t") >= x - F.lit(int(secs * _US)), F.col("__lv.v"))
+    return _finish(h.withColumn(out or col, F.coalesce(F.col(col), fresh)).drop("__lv"))
 
 
 def range_mean_if(df: DataFrame, keys: list[str], t: str, col: str, cond: Column | None, secs: float,
                   out: str, include_current: bool = False, width_s: float | None = None) -> DataFrame:
-    """Mean of ``col`` over rows of the previous ``secs`` seconds where
-    ``cond`` holds (range frame)."""
-    h = range_halo(df, t, back_s=secs, width_s=width_s)
-    o = _epoch_us(t)
-    w = Window.partitionBy(*keys, "__bk").orderBy(o).rangeBetween(-int(secs * _US), 0)
-    v = F.when(cond, F.col(col)) if cond is not None else F.col(col)
-    if include_current:
-        res = F.avg(v).over(w)
-    else:
-        # strictly earlier rows: sum/count over the frame minus the peers at t
-        wp = Window.partitionBy(*keys, "__bk").orderBy(o).rangeBetween(0, 0)
-        s = F.sum(v).over(w) - F.coalesce(F.sum(v).over(wp), F.lit(0.0))
-        c = F.count(v).over(w) - F.count(v).over(wp)
-        res = F.when(c > 0, s / c)
-    return _finish(h.withColumn(out, res))
+    """Mean of ``col`` over rows of the same keys in the previous
+    ``secs`` seconds where ``cond`` holds -- strictly earlier rows (rows at
+    the same instant excluded) unless ``include_current``.  Row j counts for
+    row i when t_i lies in (t_j, t_j + secs] (or [t_j, t_j + secs]):
+    interval stabbing, O(n log n) however many rows a frame holds."""
+    x = F.unix_micros(F.col(t))
+    lo = x if include_current else x + F.lit(1)
+    hi = x + F.lit(int(secs * _US))
+    w_us = int((width_s or max(4 * secs, DAY_S)) * _US)
+    return interval_means(df, keys, x, lo, hi, {out: col}, w_us, cond)
 
 
 def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff: str | None, cols: dict[str, str],
@@ -302,18 +306,33 @@ def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff:
     """
     if cutoff_s is None:
         return _lagged_stat_frames(df, keys, sched, actual, cutoff, cols, span_s, width_s)
-    span_us, cut_us = int(span_s * _US), int(cutoff_s * _US)
+    s_us = F.unix_micros(F.col(sched))
+    lo = F.greatest(s_us, F.unix_micros(F.col(actual)) + F.lit(int(cutoff_s * _US) + 1))
+    hi = s_us + F.lit(int(span_s * _US))
     w_us = int((width_s or max(4 * span_s, DAY_S)) * _US)
+    return interval_means(df, keys, s_us, lo, hi, cols, w_us)
+
+
+def interval_means(df: DataFrame, keys: list[str], probe_us: Column, lo_us: Column, hi_us: Column,
+                   cols: dict[str, str], width_us: int, cond: Column | None = None) -> DataFrame:
+    """Mean of each value over the rows whose interval [lo, hi] (microsecond
+    epochs, computed per row) contains the probe time of the current row,
+    same keys.  Interval stabbing by one ordered running sum per
+    (keys, time bucket): +value at lo, -value just after hi, probes read
+    the running sum; intervals crossing a bucket border are copied into the
+    buckets they overlap (intervals must be short against the bucket).
+    Sums are DECIMAL (exact); NULL values and rows failing ``cond`` are
+    skipped; no value -> NULL.  Input rows pass through unchanged."""
     dec = "decimal(38,12)"
     names = list(cols)
-    s_us = F.unix_micros(F.col(sched))
-    lo = F.greatest(s_us, F.unix_micros(F.col(actual)) + F.lit(cut_us + 1))
-    hi = s_us + F.lit(span_us)
-    ev = df.select(*[F.col(k) for k in keys], lo.alias("__lo"), hi.alias("__hi"),
-                   *[F.col(v).cast(dec).alias(f"__v{i}") for i, v in enumerate(cols.values())])
+    vals = [F.col(v).cast(dec) for v in cols.values()]
+    if cond is not None:
+        vals = [F.when(cond, v) for v in vals]
+    ev = df.select(*[F.col(k) for k in keys], lo_us.alias("__lo"), hi_us.alias("__hi"),
+                   *[v.alias(f"__v{i}") for i, v in enumerate(vals)])
     ev = ev.filter(F.col("__lo") <= F.col("__hi"))
-    ev = ev.withColumn("__bk", F.explode(F.sequence(F.floor(F.col("__lo") / w_us).cast("long"),
-                                                    F.floor(F.col("__hi") / w_us).cast("long"))))
+    ev = ev.withColumn("__bk", F.explode(F.sequence(F.floor(F.col("__lo") / width_us).cast("long"),
+                                                    F.floor(F.col("__hi") / width_us).cast("long"))))
     signs = F.explode(F.array(F.struct(F.col("__lo").alias("__t"), F.lit(1).alias("__sg")),
                               F.struct((F.col("__hi") + 1).alias("__t"), F.lit(-1).alias("__sg"))))
     ev = ev.select(*keys, "__bk", *[f"__v{i}" for i in range(len(names))], signs.alias("__e")).select(
@@ -322,8 +341,8 @@ def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff:
         *[F.when(F.col(f"__v{i}").isNotNull(), F.col("__e.__sg")).otherwise(0).alias(f"__n{i}")
           for i in range(len(names))])
     # Probe rows carry the whole input row, so no row id / join back is needed.
-    pr = df.select("*", F.floor(s_us / w_us).cast("long").alias("__bk"), s_us.alias("__t"), F.lit(1).alias("__kind"),
-                   *[F.lit(None).cast(dec).alias(f"__v{i}") for i in range(len(names))],
+    pr = df.select("*", F.floor(probe_us / width_us).cast("long").alias("__bk"), probe_us.alias("__t"),
+                   F.lit(1).alias("__kind"), *[F.lit(None).cast(dec).alias(f"__v{i}") for i in range(len(names))],
                    *[F.lit(0).alias(f"__n{i}") for i in range(len(names))])
     u = pr.unionByName(ev, allowMissingColumns=True)
     w = (Window.partitionBy(*keys, "__bk").orderBy("__t", "__kind")
@@ -332,7 +351,7 @@ def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff:
     cnts = {f"__c{i}": F.sum(f"__n{i}").over(w) for i in range(len(names))}
     run = u.withColumns({**sums, **cnts}).filter(F.col("__kind") == 1)
     return run.select(*[F.col(c) for c in df.columns],
-                      *[F.when(F.col(f"__c{i}") > 0, (F.col(f"__s{i}") / F.col(f"__c{i}")).cast("double")).alias(name)
+                      *[F.when(F.col(f"__c{i}") > 0, F.col(f"__s{i}").cast("double") / F.col(f"__c{i}")).alias(name)
                         for i, name in enumerate(names)])
 
 
