@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from leadtime.operators._plan import sized_broadcast
 
 _G = "__g"
+# Groups up to which per-group scalars (dangling mass) are read to the driver.
+MAX_SCALAR_GROUPS = 10_000
 
 
 def _with_group(df: DataFrame, group: str | None) -> DataFrame:
@@ -65,7 +67,7 @@ def _ckpt(df: DataFrame) -> DataFrame:
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters: int = 10,
              group: str | None = None, weight: str | None = None, normalized: bool = True,
-             checkpoint_every: int = 2) -> DataFrame:
+             checkpoint_every: int = 5) -> DataFrame:
     """PageRank with dangling mass spread evenly; scores sum to 1 per
     group (``normalized=False`` scales by the vertex count, like the
     un-normalised library result).
@@ -90,22 +92,41 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters:
     # the per-round joins then only move the ranks, which are already
     # partitioned by (group, id) after the grouped sum -- one shuffle per
     # round, of contributions combined map-side.
-    P = _ckpt(P).repartition(_G, "src").persist()
+    P = P.repartition(_G, "src").persist()
     n = _ckpt(V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n")))
     V = V.repartition(_G, "id").persist()
     n_b = sized_broadcast(n)  # one row per group; size checked once
     R = _ckpt(V.join(n_b, _G).select(_G, "id", (F.lit(1.0) / F.col("__n")).alias("r")))
+    # Dangling mass per group: one number per group.  Up to MAX_SCALAR_GROUPS
+    # groups it is read back as a literal map each round, so the next ranks
+    # depend on the previous ones through a single path (the plan grows
+    # linearly between lineage cuts); beyond that it is joined back.
+    scalar_m = n.limit(MAX_SCALAR_GROUPS + 1).count() <= MAX_SCALAR_GROUPS
+    held = []
     for it in range(iters):
         C = (P.join(R.select(_G, F.col("id").alias("src"), "r"), [_G, "src"])
              .groupBy(_G, "dst").agg(F.sum(F.col("r") * F.col("p")).alias("__c")))
-        M = C.filter(F.col("dst").isNull()).select(_G, F.col("__c").alias("__m"))
-        stats = F.broadcast(n.join(M, _G, "left").fillna(0.0, subset=["__m"]))
-        R = (V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"), [_G, "id"], "left")
-             .join(stats, _G)
-             .select(_G, "id", (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
-                                (F.coalesce(F.col("__c"), F.lit(0.0)) + F.col("__m") / F.col("__n"))).alias("r")))
+        if scalar_m:
+            C = C.persist()
+            held.append(C)
+            ms = {r[0]: r[1] for r in C.filter(F.col("dst").isNull()).select(_G, "__c").collect()}
+            m = (F.create_map(*[F.lit(x) for kv in ms.items() for x in kv])[F.col(_G)] if ms else F.lit(None))
+            base = V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"),
+                                           [_G, "id"], "left").join(n_b, _G)
+            m = F.coalesce(m.cast("double"), F.lit(0.0))
+        else:
+            M = C.filter(F.col("dst").isNull()).select(_G, F.col("__c").alias("__m"))
+            stats = F.broadcast(n.join(M, _G, "left").fillna(0.0, subset=["__m"]))
+            base = (V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"),
+                                            [_G, "id"], "left").join(stats, _G))
+            m = F.col("__m")
+        R = base.select(_G, "id", (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
+                                   (F.coalesce(F.col("__c"), F.lit(0.0)) + m / F.col("__n"))).alias("r"))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
             R = _ckpt(R)
+            for c in held:
+                c.unpersist()
+            held = []
     out = R.join(n_b, _G)
     score = F.col("r") if normalized else F.col("r") * F.col("__n")
     cols = ([F.col(_G).alias(group)] if group else []) + [F.col("id"), score.alias("pagerank")]
