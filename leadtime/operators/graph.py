@@ -76,9 +76,9 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters:
 
     where m is the rank held by vertices without out-edges.  Dangling
     vertices get one edge to a NULL destination, so one grouped sum per
-    iteration yields both the contributions and m (its NULL row); the
-    per-group (N, m) table has one row per group.  Output:
-    (group?, id, pagerank).
+    iteration yields both the contributions and m (its NULL row).  The
+    rounds run when the function is called (iterative jobs); the returned
+    frame reads the staged final ranks.  Output: (group?, id, pagerank).
     """
     V = _with_group(vertices, group).select(_G, F.col("id").cast("string").alias("id")).distinct()
     E = _with_group(edges, group)
@@ -127,6 +127,11 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters:
             for c in held:
                 c.unpersist()
             held = []
+    # Materialise the final ranks (V-sized) and release the cached inputs:
+    # the result no longer depends on the iteration chain.
+    R = _ckpt(R)
+    for c in [*held, P, V]:
+        c.unpersist()
     out = R.join(n_b, _G)
     score = F.col("r") if normalized else F.col("r") * F.col("__n")
     cols = ([F.col(_G).alias(group)] if group else []) + [F.col("id"), score.alias("pagerank")]
@@ -168,7 +173,7 @@ def personalized_pagerank(vertices: DataFrame, edges: DataFrame, sources: DataFr
                                       + F.coalesce(F.col("__t"), F.lit(0.0))).alias("r")))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
             R = _ckpt(R)
-    return R.select("source", "id", F.col("r").alias("pagerank"))
+    return _ckpt(R).select("source", "id", F.col("r").alias("pagerank"))
 
 
 def top_sources(ppr: DataFrame, k: int = 10) -> DataFrame:
