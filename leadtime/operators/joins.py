@@ -192,9 +192,10 @@ def asof_join(left: DataFrame, right: DataFrame, left_on, right_on, left_t: str,
         return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
                            -int(round(max_age_s * _US)), -int(round(min_age_s * _US)), order, row_id, width, how)
     span = int(round((max_age_s - min_age_s) * _US))
-    # Bucket >= 4 window spans (and >= 1 day): only readings within one span
-    # of a bucket border are copied into the next bucket.
-    width = int(bucket_s * _US) if bucket_s else max(4 * span, int(86400 * _US))
+    # Bucket = two window spans (at least an hour): readings within one span
+    # of a bucket border are copied into the next bucket, and a hot key is
+    # cut into many (key, bucket) partitions.
+    width = int(bucket_s * _US) if bucket_s else max(2 * span, int(3600 * _US))
     out = _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, span, None,
                        int(round(min_age_s * _US)), tie, width)
     if how == "inner":
@@ -217,7 +218,7 @@ def nearest_in_time(left: DataFrame, right: DataFrame, left_on, right_on, left_t
         return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
                            -tol, tol, order, row_id, None, how)
     return _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, tol, tol, 0, tie,
-                        max(4 * tol, int(86400 * _US)))
+                        max(2 * tol, int(3600 * _US)))
 
 
 def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: list[str], row_id: str,

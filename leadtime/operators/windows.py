@@ -279,7 +279,7 @@ def range_mean_if(df: DataFrame, keys: list[str], t: str, col: str, cond: Column
     x = F.unix_micros(F.col(t))
     lo = x if include_current else x + F.lit(1)
     hi = x + F.lit(int(secs * _US))
-    w_us = int((width_s or max(4 * secs, DAY_S)) * _US)
+    w_us = int((width_s or max(2 * secs, 3600.0)) * _US)
     return interval_means(df, keys, x, lo, hi, {out: col}, w_us, cond)
 
 
@@ -309,7 +309,7 @@ def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff:
     s_us = F.unix_micros(F.col(sched))
     lo = F.greatest(s_us, F.unix_micros(F.col(actual)) + F.lit(int(cutoff_s * _US) + 1))
     hi = s_us + F.lit(int(span_s * _US))
-    w_us = int((width_s or max(4 * span_s, DAY_S)) * _US)
+    w_us = int((width_s or max(2 * span_s, 3600.0)) * _US)
     return interval_means(df, keys, s_us, lo, hi, cols, w_us)
 
 
