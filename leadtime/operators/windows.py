@@ -42,11 +42,13 @@ def _bucket(t: str, width_s: float) -> Column:
 # Halo builders
 
 def range_halo(df: DataFrame, t: str, back_s: float = 0.0, fwd_s: float = 0.0,
-               width_s: float | None = None) -> DataFrame:
+               width_s: float | None = None, carry: list[str] | None = None) -> DataFrame:
     """Add ``__bk`` (bucket) and ``__halo`` (0 own row / 1 copy).
 
     A row at time x is copied into every bucket whose rows may look back
-    ``back_s`` seconds (or forward ``fwd_s``) and reach x.
+    ``back_s`` seconds (or forward ``fwd_s``) and reach x.  With ``carry``
+    the copies hold only those columns (the rest NULL): halo rows feed
+    window frames and are dropped afterwards.
     """
     # Buckets at least four frame spans wide: only rows within one span of a
     # border are copied (<= 25 % extra rows), while a bucket still holds at
@@ -57,18 +59,20 @@ def range_halo(df: DataFrame, t: str, back_s: float = 0.0, fwd_s: float = 0.0,
     own = F.floor(x / F.lit(w_us)).cast("long")
     lo = F.floor((x - F.lit(int(fwd_s * _US))) / F.lit(w_us)).cast("long")
     hi = F.floor((x + F.lit(int(back_s * _US))) / F.lit(w_us)).cast("long")
-    return (df.withColumn("__own", own)
-            .withColumn("__bk", F.explode(F.sequence(lo, hi)))
-            .withColumn("__halo", (F.col("__bk") != F.col("__own")).cast("int"))
-            .drop("__own"))
+    base = df.withColumn("__bk", own).withColumn("__halo", F.lit(0))
+    src = df if carry is None else df.select(*dict.fromkeys([t, *carry]))
+    copies = (src.withColumn("__own", own).withColumn("__bk", F.explode(F.sequence(lo, hi)))
+              .filter(F.col("__bk") != F.col("__own")).drop("__own").withColumn("__halo", F.lit(1)))
+    return base.unionByName(copies, allowMissingColumns=True)
 
 
 def rows_halo(df: DataFrame, keys: list[str], t: str, tie: str, back: int = 0, fwd: int = 0,
-              width_s: float = DAY_S) -> DataFrame:
+              width_s: float = DAY_S, carry: list[str] | None = None) -> DataFrame:
     """Add ``__bk`` and ``__halo`` so each (keys, bucket) partition also holds
-    the ``back`` rows before it and the ``fwd`` rows after it (per entity)."""
+    the ``back`` rows before it and the ``fwd`` rows after it (per entity).
+    With ``carry`` the halo rows hold only keys, order and those columns."""
     base = df.withColumn("__bk", _bucket(t, width_s)).withColumn("__halo", F.lit(0))
-    cols = base.columns
+    cols = base.columns if carry is None else list(dict.fromkeys([*keys, t, tie, *carry, "__bk", "__halo"]))
     parts = [base]
     pk = [*keys, "__bk"]
     if back > 0:
@@ -82,7 +86,7 @@ def rows_halo(df: DataFrame, keys: list[str], t: str, tie: str, back: int = 0, f
              .select("__to", F.explode("__lst").alias("__r"))
              .select(*[F.col("__r")[c].alias(c) for c in cols if c not in ("__bk", "__halo")],
                      F.col("__to").alias("__bk"), F.lit(1).alias("__halo")))
-        parts.append(h.select(*cols))
+        parts.append(h)
     if fwd > 0:
         wa = Window.partitionBy(*pk).orderBy(F.col(t).asc(), F.col(tie).asc())
         head = base.withColumn("__rr", F.row_number().over(wa)).filter(F.col("__rr") <= fwd)
@@ -94,8 +98,8 @@ def rows_halo(df: DataFrame, keys: list[str], t: str, tie: str, back: int = 0, f
              .select("__to", F.explode("__lst").alias("__r"))
              .select(*[F.col("__r")[c].alias(c) for c in cols if c not in ("__bk", "__halo")],
                      F.col("__to").alias("__bk"), F.lit(1).alias("__halo")))
-        parts.append(h.select(*cols))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(h)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -126,7 +130,7 @@ def prior_event(df: DataFrame, entity: str, t: str, tie: str, cols: list[str], p
                 width_s: float = DAY_S) -> DataFrame:
     """The previous row's columns for the same entity (all lags
     taken over one window in one select)."""
-    h = rows_halo(df, [entity], t, tie, back=1, width_s=width_s)
+    h = rows_halo(df, [entity], t, tie, back=1, width_s=width_s, carry=cols)
     w = Window.partitionBy(entity, "__bk").orderBy(t, tie)
     return _finish(h.select("*", *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in cols]))
 
@@ -134,7 +138,7 @@ def prior_event(df: DataFrame, entity: str, t: str, tie: str, cols: list[str], p
 def interpolate_midpoint(df: DataFrame, key: str, t: str, tie: str, col: str,
                          width_s: float = DAY_S) -> DataFrame:
     """A NULL between two present neighbours becomes their mean."""
-    h = rows_halo(df, [key], t, tie, back=1, fwd=1, width_s=width_s)
+    h = rows_halo(df, [key], t, tie, back=1, fwd=1, width_s=width_s, carry=[col])
     w = Window.partitionBy(key, "__bk").orderBy(t, tie)
     prv, nxt = F.lag(col).over(w), F.lead(col).over(w)
     fill = F.when(F.col(col).isNull() & prv.isNotNull() & nxt.isNotNull(), (prv + nxt) / 2).otherwise(F.col(col))
@@ -150,7 +154,7 @@ def ffill_rows(df: DataFrame, keys: list[str], t: str, tie: str, col: str, n: in
     ``overwrite=True`` and ``include_self=True`` the window value replaces it
     (the first reference version).
     """
-    h = rows_halo(df, keys, t, tie, back=n, width_s=width_s)
+    h = rows_halo(df, keys, t, tie, back=n, width_s=width_s, carry=[col])
     end = 0 if include_self else -1
     w = Window.partitionBy(*keys, "__bk").orderBy(t, tie).rowsBetween(-n, end)
     v = F.last(col, ignorenulls=True).over(w)
@@ -183,7 +187,7 @@ def ema_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int, alpha:
     rows only, so the frame is again ``n`` rows.
     """
     if not count_nonnull:
-        h = rows_halo(df, [key], t, tie, back=n, width_s=width_s)
+        h = rows_halo(df, [key], t, tie, back=n, width_s=width_s, carry=[col])
         w = Window.partitionBy(key, "__bk").orderBy(t, tie).rowsBetween(-n, -1)
         sm = ema_values(F.collect_list(col).over(w), alpha)
         res = F.coalesce(F.col(col), sm, F.lit(default)) if default is not None else F.coalesce(F.col(col), sm)
@@ -192,7 +196,7 @@ def ema_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int, alpha:
     # value and the n-1 before it among non-NULL rows; NULL rows take the
     # list of the latest non-NULL row before them.
     nn = df.filter(F.col(col).isNotNull())
-    h = rows_halo(nn, [key], t, tie, back=n - 1, width_s=width_s)
+    h = rows_halo(nn, [key], t, tie, back=n - 1, width_s=width_s, carry=[col])
     w = Window.partitionBy(key, "__bk").orderBy(t, tie).rowsBetween(-(n - 1), 0)
     lists = _finish(h.withColumn("__lst", F.collect_list(col).over(w))).select(
         F.col(key).alias("__k"), F.col(t).alias("__t"), F.col(tie).alias("__tie"), "__lst")
@@ -243,7 +247,7 @@ def rolling_mean(df: DataFrame, keys: list[str], order: str, col: str, start: in
 def rolling_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int = 8,
                  width_s: float = DAY_S) -> DataFrame:
     """NULL -> plain mean of the previous ``n`` rows."""
-    h = rows_halo(df, [key], t, tie, back=n, width_s=width_s)
+    h = rows_halo(df, [key], t, tie, back=n, width_s=width_s, carry=[col])
     w = Window.partitionBy(key, "__bk").orderBy(t, tie).rowsBetween(-n, -1)
     return _finish(h.withColumn(col, F.coalesce(F.col(col), F.avg(col).over(w))))
 
@@ -259,7 +263,7 @@ def ffill_range(df: DataFrame, keys: list[str], t: str, col: str, secs: float, o
     ``secs`` of a border are copied into the next bucket -- then an age
     check: O(1) per row instead of re-scanning a frame.  Rows at the same
     instant are ordered by ``tie`` (if given)."""
-    h = range_halo(df, t, back_s=secs, width_s=width_s)
+    h = range_halo(df, t, back_s=secs, width_s=width_s, carry=[*keys, col] + ([tie] if tie else []))
     x = F.unix_micros(F.col(t))
     order = [x] + ([F.col(tie)] if tie else []) + [F.col("__halo").desc()]
     w = Window.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
