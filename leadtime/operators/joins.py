@@ -341,27 +341,20 @@ def merge_counts(df: DataFrame, key: str, cls: str, classes: list) -> DataFrame:
 
 
 def history_avg_selfjoin(df: DataFrame, keys: list[str], t: str, value: str, cond: Column | None,
-                         span_s: float, row_id: str) -> DataFrame:
+                         span_s: float, row_id: str | None = None) -> DataFrame:
     """Mean of ``value`` over earlier rows of the same keys within
     ``span_s`` seconds (strictly before), optionally only where ``cond``.
 
-    Planned as a bucketed self-join: sources are replicated into the (at
-    most two) target buckets they can reach, so no key holds all its
-    history in one task.
+    The reference writes this as an inequality self-join; every pair it
+    would produce is an earlier row j whose window (t_j, t_j + span]
+    contains t_i, so it is evaluated as interval stabbing -- one ordered
+    running sum per (keys, time bucket) -- without materialising the pairs.
+    Adds ``hist_avg``.
     """
-    span_us = int(span_s * _US)
-    src = df.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(t).alias("__st"),
-                    (F.when(cond, F.col(value)) if cond is not None else F.col(value)).alias("__sv"))
-    s_us = F.unix_micros(F.col("__st"))
-    src = src.withColumn("__b", F.explode(F.sequence(F.floor(s_us / span_us).cast("long"),
-                                                     F.floor((s_us + span_us) / span_us).cast("long"))))
-    tgt = df.select(row_id, *keys, t).withColumn("__b", F.floor(F.unix_micros(F.col(t)) / span_us).cast("long"))
-    c = [tgt[k] == src[f"__s_{k}"] for k in keys] + [tgt["__b"] == src["__b"]]
-    t_us = F.unix_micros(tgt[t])
-    c += [F.unix_micros(src["__st"]) < t_us, F.unix_micros(src["__st"]) >= t_us - F.lit(span_us)]
-    j = tgt.join(src, reduce(lambda a, b: a & b, c), "left")
-    agg = j.groupBy(*[tgt[k] for k in keys], tgt["__b"], tgt[row_id]).agg(F.avg("__sv").alias("hist_avg"))
-    return df.join(agg.select(row_id, "hist_avg"), row_id, "left")
+    from leadtime.operators.windows import interval_means
+    x = F.unix_micros(F.col(t))
+    width = int(max(2 * span_s, 3600.0) * _US)
+    return interval_means(df, keys, x, x + F.lit(1), x + F.lit(int(span_s * _US)), {"hist_avg": value}, width, cond)
 
 
 def attach_wide(df: DataFrame, long: DataFrame, key: str, pivot_col: str, value: str,
