@@ -205,7 +205,10 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] = ()) -> DataF
     targets = n.select(*g, "__n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
     targets = targets.withColumn("__h", F.col("p") * (F.col("__n") - 1))
     targets = targets.select(*g, "p", "__h", F.explode(F.array(F.floor("__h"), F.ceil("__h"))).alias("__k"))
-    hit = targets.join(vc, [*g]).filter((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__c")))
+    # targets: 2 positions x probs per group -- broadcast (size checked), so
+    # the value counts never shuffle on the group key.
+    from leadtime.operators._plan import sized_broadcast
+    hit = vc.join(sized_broadcast(targets), [*g]).filter((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__c")))
     lo_hi = hit.groupBy(*g, "p", "__h").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     q = F.col("__lo") + (F.col("__h") - F.floor("__h")) * (F.col("__hi") - F.col("__lo"))
     out = lo_hi.select(*g, "p", q.alias("q"))
