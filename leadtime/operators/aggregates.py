@@ -236,9 +236,11 @@ def summary(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFram
 def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
     """Spearman rank correlation matrix, as (a, b, rho) rows.
 
-    Average ranks (ties share the mean rank) come from a window count per
-    value -- computed per column over its sorted distinct values -- then
-    Pearson ``corr`` of the ranks in one aggregate.
+    Average ranks (ties share the mean rank) come from value counts
+    (map-side combined, so a value held by a third of the rows is no
+    problem) and distributed prefix sums over the sorted distinct values,
+    joined back per column; then Pearson ``corr`` of the ranks in one
+    aggregate.
     """
     from leadtime.operators.windows import prefix_sum
     ranked = df.select(*cols)
@@ -246,7 +248,10 @@ def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
         vals = ranked.groupBy(c).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col(c).isNotNull())
         vals = prefix_sum(vals, c, "__cnt", "__before")
         vals = vals.withColumn(f"__r_{c}", F.col("__before") + (F.col("__cnt") + 1) / 2.0).select(c, f"__r_{c}")
-        ranked = ranked.join(vals, c, "left")
+        # One row per distinct value: broadcast when that is small (flags,
+        # codes); otherwise a shuffle join, where AQE splits a hot value.
+        from leadtime.operators._plan import sized_broadcast
+        ranked = ranked.join(sized_broadcast(vals, 1_000_000), c, "left")
     aggs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
