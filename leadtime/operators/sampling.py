@@ -124,7 +124,7 @@ class Fold:
 
 
 def cv_bounds(df: DataFrame, t: str, k: int = 3, blocking: bool = False, overlap: float = 0.0,
-              method: str = "notebook") -> list[Fold]:
+              method: str = "cumulative") -> list[Fold]:
     """M6: k folds by days, bounds relative to the earliest timestamp.
 
     chunk = ceil(days / (k + 1 - overlap (k - 1))).  Fold i validates on the
@@ -132,10 +132,10 @@ def cv_bounds(df: DataFrame, t: str, k: int = 3, blocking: bool = False, overlap
     the data.  Training starts at 0 (expanding) or moves with the fold
     (``blocking``).  ``method``:
 
-    * ``"notebook"`` -- offsets advance cumulatively, the start by
+    * ``"cumulative"`` -- offsets advance cumulatively, the start by
       ceil((1 - overlap) chunk) and the end by floor((1 - overlap) chunk);
       this produced the published fold dates (``FOLDS``);
-    * ``"package"`` -- offsets int(i (1 - overlap) chunk) and that + chunk,
+    * ``"truncated"`` -- offsets int(i (1 - overlap) chunk) and that + chunk,
       folds whose validation starts at or after the last time dropped;
     * ``"fixed_end"`` -- training ends at (i + 1) chunk whatever the overlap.
     """
@@ -147,7 +147,7 @@ def cv_bounds(df: DataFrame, t: str, k: int = 3, blocking: bool = False, overlap
     out = []
     tmin = tmax = 0
     for i in range(k):
-        if method == "notebook":
+        if method == "cumulative":
             if i == 0:
                 tmin, tmax = 0, chunk
             else:
@@ -164,7 +164,7 @@ def cv_bounds(df: DataFrame, t: str, k: int = 3, blocking: bool = False, overlap
         vs, ve = te, te + chunk
         f = Fold(i, lo + timedelta(days=ts), lo + timedelta(days=te), lo + timedelta(days=vs),
                  min(lo + timedelta(days=ve), hi + timedelta(days=1)))
-        if method == "package" and f.val_lo >= hi:
+        if method == "truncated" and f.val_lo >= hi:
             break
         out.append(f)
     return out

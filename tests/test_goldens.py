@@ -34,7 +34,7 @@ def test_rank_mass_is_one_with_dangling(spark):
 
 def test_published_fold_dates(spark):
     df = spark.createDataFrame([(datetime(2014, 12, 31),), (datetime(2018, 12, 31),)], "t timestamp")
-    folds = sm.cv_bounds(df, "t", k=5, blocking=True, overlap=0.2, method="notebook")
+    folds = sm.cv_bounds(df, "t", k=5, blocking=True, overlap=0.2, method="cumulative")
     got = [(f.train_lo.date().isoformat(), f.train_hi.date().isoformat(), f.val_lo.date().isoformat(),
             f.val_hi.date().isoformat()) for f in folds]
     assert got == sm.FOLDS
