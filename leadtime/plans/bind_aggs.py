@@ -48,7 +48,7 @@ def q_daily_site(spark, d):
 
 
 @query("duplicate_report", """
-SELECT count(*) AS dup_groups, coalesce(sum(n), 0) AS dup_rows FROM (
+SELECT count(*) AS dup_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS dup_rows FROM (
   SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)""")
 def q_dups(spark, d):
     return ag.duplicate_report(Fixtures(spark, d).table("lineitem"), ["l_orderkey", "l_linenumber"])
@@ -338,7 +338,7 @@ def q_top_k(spark, d):
 
 
 @query("top_k_per_group", with_views(["readings"], """
-SELECT site, reading_id, rank FROM (SELECT site, reading_id, row_number() OVER (PARTITION BY site ORDER BY wind DESC NULLS LAST, reading_id) AS rank
+SELECT site, reading_id, CAST(rank AS INTEGER) AS rank FROM (SELECT site, reading_id, row_number() OVER (PARTITION BY site ORDER BY wind DESC NULLS LAST, reading_id) AS rank
 FROM readings) WHERE rank <= 3"""))
 def q_top_k_group(spark, d):
     return sets.top_k_per_group(Fixtures(spark, d).readings(), "site", "wind", 3, "reading_id").select("site", "reading_id", "rank")

@@ -83,9 +83,9 @@ f AS (SELECT i AS fold, lo, hi, chunk,
       FROM p, range(3) r(i)),
 fb AS (SELECT fold, lo + to_days(CAST(ts AS INTEGER)) AS train_lo, lo + to_days(CAST(te AS INTEGER)) AS train_hi,
         least(lo + to_days(CAST(te + chunk AS INTEGER)), hi + INTERVAL 1 DAY) AS val_hi FROM f)
-SELECT fold, count(*) FILTER (WHERE t.sched >= train_lo AND t.sched < train_hi) AS n_train,
+SELECT CAST(fold AS INTEGER) AS fold, count(*) FILTER (WHERE t.sched >= train_lo AND t.sched < train_hi) AS n_train,
        count(*) FILTER (WHERE t.sched >= train_hi AND t.sched < val_hi) AS n_val
-FROM fb, trips t GROUP BY fold"""))
+FROM fb, trips t GROUP BY 1"""))
 def q_cv_bounds(spark, d):
     t = Fixtures(spark, d).trips()
     folds = sm.cv_bounds(t, "sched", k=3, blocking=True, overlap=0.5)
@@ -103,7 +103,7 @@ e1 AS (SELECT row_number() OVER (ORDER BY e) - 1 AS j, e, n, count(*) OVER () AS
 edges AS (SELECT j, CASE WHEN j = m - 1 THEN n - 1 ELSE e END + 1 AS edge FROM e1),
 f AS (SELECT i AS fold, (SELECT edge FROM edges WHERE j = 0) AS t_lo, (SELECT edge FROM edges WHERE j = i + 1) AS v_lo,
              (SELECT edge FROM edges WHERE j = i + 2) AS v_hi FROM range(3) r(i))
-SELECT fold, CASE WHEN rn >= v_lo AND rn < v_hi THEN 'val' ELSE 'train' END AS part, count(*) AS n
+SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN rn >= v_lo AND rn < v_hi THEN 'val' ELSE 'train' END AS part, count(*) AS n
 FROM r, f WHERE rn >= t_lo AND rn < v_hi GROUP BY 1, 2"""))
 def q_cv_rows(spark, d):
     f = sm.cv_bounds_rows(Fixtures(spark, d).trips(), ["sched", "trip_id"], k=3)
@@ -189,7 +189,7 @@ def q_agreement(spark, d):
 
 
 @query("errors_over", with_views(["scored"], """
-SELECT hour(ts) AS dim, count(*) AS n, count(*) FILTER (WHERE outcome = 0 AND pred3 = 1) AS fp,
+SELECT CAST(hour(ts) AS INTEGER) AS dim, count(*) AS n, count(*) FILTER (WHERE outcome = 0 AND pred3 = 1) AS fp,
   count(*) FILTER (WHERE outcome = 1 AND pred3 = 0) AS fn, round(avg(CASE WHEN outcome <> pred3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS error_rate
 FROM scored GROUP BY 1"""))
 def q_errors_over(spark, d):

@@ -138,7 +138,7 @@ def q_time_arith(spark, d):
 
 
 @query("time_parts", with_views(["trips"], """
-SELECT trip_id, hour(sched) AS hour, dayofweek(sched) + 1 AS dow, month(sched) AS month,
+SELECT trip_id, CAST(hour(sched) AS INTEGER) AS hour, CAST(dayofweek(sched) + 1 AS INTEGER) AS dow, CAST(month(sched) AS INTEGER) AS month,
        CAST(CAST(sched AS DATE) AS VARCHAR) AS day,
        round(sin(hour(sched) * 2 * pi() / 24), 6) + 0.0 AS hour_sin, round(cos(hour(sched) * 2 * pi() / 24), 6) + 0.0 AS hour_cos,
        round(sin((dayofweek(sched) + 1) * 2 * pi() / 7), 6) + 0.0 AS dow_sin, round(cos((dayofweek(sched) + 1) * 2 * pi() / 7), 6) + 0.0 AS dow_cos
@@ -240,7 +240,7 @@ def q_dms(spark, d):
 
 
 @query("holiday_distance", with_views(["trips", "holidays"], """
-SELECT t.trip_id, min(abs(date_diff('day', h.day, CAST(t.sched AS DATE)))) AS days_to_holiday,
+SELECT t.trip_id, CAST(min(abs(date_diff('day', h.day, CAST(t.sched AS DATE)))) AS INTEGER) AS days_to_holiday,
        CAST(max(CASE WHEN abs(date_diff('day', h.day, CAST(t.sched AS DATE))) <= 3 THEN 1 ELSE 0 END) AS INTEGER) AS in_holiday_week,
        string_agg(CAST(abs(date_diff('day', h.day, CAST(t.sched AS DATE))) AS VARCHAR), ',' ORDER BY h.day) AS days_each
 FROM trips t, holidays h GROUP BY t.trip_id"""))

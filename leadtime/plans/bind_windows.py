@@ -176,7 +176,7 @@ def q_index_ids(spark, d):
 
 
 @query("occurrence", with_views(["trips"], """
-SELECT trip_id, row_number() OVER (PARTITION BY entity, origin ORDER BY sched, trip_id) AS occurrence FROM trips"""))
+SELECT trip_id, CAST(row_number() OVER (PARTITION BY entity, origin ORDER BY sched, trip_id) AS INTEGER) AS occurrence FROM trips"""))
 def q_occurrence(spark, d):
     return windows.occurrence(Fixtures(spark, d).trips(), ["entity", "origin"], ["sched", "trip_id"]).select(
         "trip_id", "occurrence")
