@@ -162,3 +162,30 @@ def q_trend(spark, d):
     o = Fixtures(spark, d).table("orders")
     out = ss.trend_features(o, "o_orderpriority", "o_orderdate", "o_totalprice")
     return out.select("o_orderkey", "trend", "season", "resid")
+
+
+@query("ml_time_cv")
+def q_ml_time_cv(spark, d):
+    """Modelling flow on the trip feature table: time split (last 20 % held
+    out), class weights, three blocked overlapping time folds, weighted
+    logistic regression cross-validated, final fit scored on the held-out
+    span (F2 and area under PR per fold and final)."""
+    from leadtime.operators import clean
+    from leadtime.plans import features as ft
+    fx = Fixtures(spark, d)
+    t = fx.trips().withColumn("period", F.floor(F.datediff(F.to_date("sched"), F.lit("2024-01-01").cast("date")) / 7).cast("long"))
+    tab = ft.feature_table(t, fx.sites(), fx.stations(), fx.readings().select("reading_id", "site", "read_ts", "wind"),
+                           fx.holidays(), period="period")
+    num = ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "prior_turnaround", "prior_depdelay_calc", "prior_isdelayed_calc",
+           "mean_dep_delay", "prop_delayed", "lag_mean_delay", "days_to_holiday", "w_wind", "prev_rank"]
+    tab = clean.fill(tab.select("trip_id", "sched_utc", "label", "origin_zone", *num), numeric_value=0.0)
+    train, test = sm.train_test_split(tab, "sched_utc", test_fraction=0.2)
+    train = sm.class_weights(train, "label")
+    folds = sm.fold_frames(train, "sched_utc", sm.cv_bounds(train, "sched_utc", k=3, blocking=True, overlap=0.5))
+
+    def lr():
+        return Pipeline(stages=ml.encode_stages(["origin_zone"], num, scale="standard")
+                        + [ml.model("logreg", weight="weight", maxIter=30)])
+    rows = ml.cross_validate(folds, lr)
+    _, final = ml.final_eval(train, test, lr())
+    return ml.metrics_frame(spark, rows + [final])
