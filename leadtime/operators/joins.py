@@ -164,7 +164,8 @@ def _asof_sorted(left: DataFrame, right: DataFrame, left_keys: list[str], right_
             pick = (F.when(b.isNull(), f).when(f.isNull(), b)
                     .when(df_ <= db, f).otherwise(b))
     out = u.withColumn("__p", pick)
-    return out.select(*[F.col(c) for c in left.columns], *[F.col("__p.__r")[c].alias(c) for c in rcols])
+    return out.select(*[F.col(c) for c in left.columns], *[F.col("__p.__r")[c].alias(c) for c in rcols],
+                      F.col("__p").isNotNull().alias("__matched"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_on, right_on, left_t: str, right_t: str,
@@ -199,9 +200,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on, right_on, left_t: str,
     out = _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, span, None,
                        int(round(min_age_s * _US)), tie, width)
     if how == "inner":
-        first = right.columns[0]
-        out = out.filter(F.col(first).isNotNull())
-    return out
+        out = out.filter("__matched")
+    return out.drop("__matched")
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, left_on, right_on, left_t: str, right_t: str,
@@ -217,8 +217,11 @@ def nearest_in_time(left: DataFrame, right: DataFrame, left_on, right_on, left_t
             order.append(F.col(tie).desc_nulls_last())
         return _range_pick(left, right, as_list(left_on), as_list(right_on), left_t, right_t,
                            -tol, tol, order, row_id, None, how)
-    return _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, tol, tol, 0, tie,
-                        max(2 * tol, int(3600 * _US)))
+    out = _asof_sorted(left, right, as_list(left_on), as_list(right_on), left_t, right_t, tol, tol, 0, tie,
+                       max(2 * tol, int(3600 * _US)))
+    if how == "inner":
+        out = out.filter("__matched")
+    return out.drop("__matched")
 
 
 def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: list[str], row_id: str,

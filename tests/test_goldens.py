@@ -56,3 +56,11 @@ def test_prior_event_valid_count(spark):
     o = ft.prior_event_features(t)
     assert o.filter("prior_dest = origin").count() == 1232
     assert o.filter("prior_valid = 1").count() == 927
+
+
+def test_inner_asof_keeps_only_matches(spark):
+    fx = Fixtures(spark, MID)
+    j = joins.asof_join(fx.trips(), fx.readings().select("reading_id", "site", "read_ts", "wind"), "origin", "site",
+                        "sched", "read_ts", 7200, 14400, "trip_id", tie="reading_id", how="inner")
+    assert j.count() == 5578
+    assert "__matched" not in j.columns
