@@ -228,23 +228,27 @@ def label_propagation(vertices: DataFrame, edges: DataFrame, iters: int = 15, ch
     label among its neighbours (both edge directions, multi-edges counted),
     smallest label on ties; vertices without neighbours keep theirs.
 
-    Every vertex also gets a zero-weight message from itself, so one join of
-    the (static) message graph with the current labels and two grouped
-    aggregates give the next labels -- the previous round appears once in
-    the plan, and neighbour counts are combined map-side.  Output
-    (id, label)."""
+    A round is one join and one grouped ``mode(label, deterministic)``
+    (which breaks ties on the smallest value and combines map-side, so a
+    hub vertex is pre-aggregated before the shuffle).  The message edges
+    are hash-partitioned once by the vertex whose label they carry and
+    kept, so the join does not move them; vertices with no neighbours are
+    a fixed set.  Output (id, label)."""
     V = vertices.select(F.col("id").cast("string").alias("id")).distinct()
     E = edges.select(F.col("src").cast("string").alias("a"), F.col("dst").cast("string").alias("b"))
-    U = (E.union(E.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
-         .withColumn("w", F.lit(1)))
-    U = _ckpt(U.unionByName(V.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).alias("w"))))
+    U = E.union(E.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
+    U = _ckpt(U).repartition("b").persist()
+    lonely = _ckpt(V.join(U.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+                   .select("id", F.col("id").alias("label")))
     L = V.select("id", F.col("id").alias("label"))
     for it in range(iters):
-        msg = (U.join(L.withColumnRenamed("id", "b"), "b")
-               .groupBy(F.col("a").alias("id"), "label").agg(F.sum("w").alias("__c")))
-        L = msg.groupBy("id").agg(F.min_by("label", F.struct(-F.col("__c"), F.col("label"))).alias("label"))
+        msg = U.join(L.withColumnRenamed("id", "b"), "b")
+        L = (msg.groupBy(F.col("a").alias("id")).agg(F.mode("label", True).alias("label"))
+             .unionByName(lonely))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
             L = _ckpt(L)
+    L = _ckpt(L)
+    U.unpersist()
     return L
 
 
