@@ -205,10 +205,11 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] = ()) -> DataF
     targets = n.select(*g, "__n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
     targets = targets.withColumn("__h", F.col("p") * (F.col("__n") - 1))
     targets = targets.select(*g, "p", "__h", F.explode(F.array(F.floor("__h"), F.ceil("__h"))).alias("__k"))
-    # targets: 2 positions x probs per group -- broadcast (size checked), so
-    # the value counts never shuffle on the group key.
-    from leadtime.operators._plan import sized_broadcast
-    hit = vc.join(sized_broadcast(targets), [*g]).filter((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__c")))
+    # targets: 2 positions x probs per group.  Ungrouped that is a bound by
+    # construction -> broadcast, so the value counts never shuffle on a
+    # constant key; grouped, AQE decides from the measured size.
+    tj = targets if by else F.broadcast(targets)
+    hit = vc.join(tj, [*g]).filter((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__c")))
     lo_hi = hit.groupBy(*g, "p", "__h").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     q = F.col("__lo") + (F.col("__h") - F.floor("__h")) * (F.col("__hi") - F.col("__lo"))
     out = lo_hi.select(*g, "p", q.alias("q"))
@@ -248,10 +249,11 @@ def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
         vals = ranked.groupBy(c).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col(c).isNotNull())
         vals = prefix_sum(vals, c, "__cnt", "__before")
         vals = vals.withColumn(f"__r_{c}", F.col("__before") + (F.col("__cnt") + 1) / 2.0).select(c, f"__r_{c}")
-        # One row per distinct value: broadcast when that is small (flags,
-        # codes); otherwise a shuffle join, where AQE splits a hot value.
-        from leadtime.operators._plan import sized_broadcast
-        ranked = ranked.join(sized_broadcast(vals, 1_000_000), c, "left")
+        # One row per distinct value: AQE broadcasts it when its measured
+        # size is small (flags, codes); otherwise a shuffle join in which AQE
+        # splits a hot value.  (A count-based size check would compute the
+        # rank table twice.)
+        ranked = ranked.join(vals, c, "left")
     aggs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:

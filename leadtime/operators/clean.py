@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadtime.functions._util import col
-from leadtime.operators._plan import sized_broadcast
 
 
 def keep_columns(df: DataFrame, names: list[str] = (), patterns: list[str] = ()) -> DataFrame:
@@ -66,9 +65,10 @@ def outliers(df: DataFrame, column: str, above: float) -> DataFrame:
 
 def filter_in(df: DataFrame, keys: DataFrame, on: str, key_col: str | None = None) -> DataFrame:
     """Membership filter from a key table -- a left-semi join, not a
-    driver-side collect + isin.  The key set is broadcast after a size check."""
+    driver-side collect + isin.  AQE broadcasts the distinct keys when their
+    measured size is small."""
     k = keys.select(F.col(key_col or on).alias(on)).distinct()
-    return df.join(sized_broadcast(k), on, "left_semi")
+    return df.join(k, on, "left_semi")
 
 
 def filter_matches(df: DataFrame, column: str, contains: str | None = None,

@@ -264,11 +264,12 @@ def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: l
 def semi_reduce(big: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Keep only rows of a big fact whose keys occur in ``keys``.
 
-    A left-semi join; the distinct key set is broadcast only after a size
-    check, otherwise it is a shuffle semi join.
+    A left-semi join.  The distinct key set is derived from another fact,
+    so its size is only known at run time: AQE broadcasts it when the
+    materialised key stage is small, otherwise it stays a shuffle semi join
+    (a count-based check would compute the keys twice).
     """
-    k = sized_broadcast(keys.select(*on).distinct())
-    return big.join(k, on, "left_semi")
+    return big.join(keys.select(*on).distinct(), on, "left_semi")
 
 
 def day_keys(df: DataFrame, site: str, lo_t: str, hi_t: str) -> DataFrame:
@@ -319,14 +320,14 @@ def apply_seasonality(df: DataFrame, weekly: DataFrame, yearly: DataFrame, site:
                       suffix: str = "") -> DataFrame:
     """Composite equi lookups (site, dow, hour) and (site, month, dom).
 
-    Lookup tables hold at most 168 / 366 rows per site; they are broadcast
-    after a size check.
+    Lookup tables hold at most 168 / 366 rows per site.  They are usually
+    aggregates of the fact itself, so AQE decides the broadcast from their
+    measured size (a count would recompute the aggregation).
     """
     wk = weekly.select(F.col("site").alias("__s1"), F.col("dow").alias("__dow"), F.col("hour").alias("__hr"),
                        F.col("weekly").alias(f"weekly{suffix}"), F.col("daily").alias(f"daily{suffix}"))
     yr = yearly.select(F.col("site").alias("__s2"), F.col("month").alias("__mo"), F.col("dom").alias("__dom"),
                        F.col("yearly").alias(f"yearly{suffix}"), F.col("holidays").alias(f"holidays{suffix}"))
-    wk, yr = sized_broadcast(wk), sized_broadcast(yr)
     out = df.join(wk, (df[site] == wk["__s1"]) & (F.dayofweek(df[ts]) == wk["__dow"]) & (F.hour(df[ts]) == wk["__hr"]), "left")
     out = out.join(yr, (out[site] == yr["__s2"]) & (F.month(out[ts]) == yr["__mo"]) & (F.dayofmonth(out[ts]) == yr["__dom"]), "left")
     return out.drop("__s1", "__dow", "__hr", "__s2", "__mo", "__dom")

@@ -15,7 +15,6 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadtime.operators._plan import sized_broadcast
 
 # Multiplicative hash constant and modulus of the sampling hash.
 HASH_MULT = 2654435761
@@ -92,12 +91,13 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 def downsample_buckets(df: DataFrame, t: str, unit: str, label: str, key: str, salt: int = 42) -> DataFrame:
     """M4: downsample the majority class inside each day/week/month bucket;
     buckets holding one class are kept whole.  Class counts per bucket are
-    a small aggregate (two rows per bucket) joined back."""
+    a small aggregate (one row per bucket) joined back; AQE broadcasts it
+    from its measured size."""
     b = df.withColumn("__bkt", F.date_trunc(unit, F.col(t)))
     cnt = b.groupBy("__bkt").agg(F.count_if(F.col(label) == 1).alias("__n1"), F.count_if(F.col(label) == 0).alias("__n0"))
     cnt = cnt.withColumn("__maj", F.when(F.col("__n1") > F.col("__n0"), 1).otherwise(0)).withColumn(
         "__thr", F.floor(F.lit(HASH_BUCKETS) * F.least("__n1", "__n0") / F.greatest("__n1", "__n0")))
-    j = b.join(sized_broadcast(cnt), "__bkt")
+    j = b.join(cnt, "__bkt")
     keep = ((F.col("__n1") == 0) | (F.col("__n0") == 0) | (F.col(label) != F.col("__maj"))
             | (key_hash(key, salt) < F.col("__thr")))
     return j.filter(keep).drop("__bkt", "__n1", "__n0", "__maj", "__thr")

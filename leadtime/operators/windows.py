@@ -422,9 +422,9 @@ def grouped_prefix_sum(df: DataFrame, groups: list[str], order: str, weight: str
     tot = parts.groupBy("__pid", *groups).agg(F.sum(weight).alias("__t"))
     offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(
         Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per (partition, group) touched: at most #partitions + #groups rows
-    from leadtime.operators._plan import sized_broadcast
-    return (parts.join(sized_broadcast(offs.select("__pid", *groups, "__off")), ["__pid", *groups])
+    # one row per (partition, group) touched: at most #partitions + #groups
+    # rows; AQE broadcasts it from its measured size
+    return (parts.join(offs.select("__pid", *groups, "__off"), ["__pid", *groups])
             .withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off"))
 
 
