@@ -492,7 +492,14 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
             break
         ring = ring * 3
     out = reduce(lambda a, b: a.unionByName(b), results)
-    return out.select(F.col("__pid").alias(point_id), F.col("__sid").alias(site_id), F.col("__d").alias("distance"))
+    out = out.select(F.col("__pid").alias(point_id), F.col("__sid").alias(site_id), F.col("__d").alias("distance"))
+    # One row per point: write it to the shared checkpoint folder and drop
+    # the per-round caches, so the result no longer depends on them.
+    from leadtime.sources.io import stage_to
+    out = stage_to(out)
+    for c in cached:
+        c.unpersist()
+    return out
 
 
 def augment_pairs(pairs: DataFrame, needed: DataFrame, sites: DataFrame, point_key: str,
