@@ -139,7 +139,7 @@ def q_pairs(spark, d):
 
 @query("bounds", with_views(["trips"], """
 SELECT epoch_us(min(sched)) AS t_min_us, epoch_us(max(sched)) AS t_max_us,
-       date_diff('day', CAST(min(sched) AS DATE), CAST(max(sched) AS DATE)) + 1 AS span_days FROM trips"""))
+       CAST(date_diff('day', CAST(min(sched) AS DATE), CAST(max(sched) AS DATE)) + 1 AS INTEGER) AS span_days FROM trips"""))
 def q_bounds(spark, d):
     b = ag.bounds(Fixtures(spark, d).trips(), "sched")
     return b.select(F.unix_micros("t_min").alias("t_min_us"), F.unix_micros("t_max").alias("t_max_us"), "span_days")
