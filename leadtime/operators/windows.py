@@ -24,7 +24,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadtime.operators._plan import as_list
 
 _US = 1_000_000
 DAY_S = 86_400.0

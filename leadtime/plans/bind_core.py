@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadtime.functions import geo, text, timeops as tm
 from leadtime.operators import clean, joins
 from leadtime.plans.fixtures import Fixtures, with_views
 from leadtime.plans.registry import query

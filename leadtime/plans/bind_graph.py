@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadtime.operators import graph, joins
+from leadtime.operators import graph
 from leadtime.plans.fixtures import Fixtures, with_views
 from leadtime.plans.registry import query
 from leadtime.sources.io import adjacency_from_lines
