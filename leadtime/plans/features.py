@@ -82,7 +82,8 @@ def _prior_rows(df, entity, sched, tie, order_tie, cols, prefix):
     if order_tie == tie:
         return windows.prior_event(df, entity, sched, tie, cols, prefix)
     # cancelled-first ordering: (sched, -cancelled, tie)
-    h = windows.rows_halo(df.withColumn("__o2", F.struct(F.col(order_tie), F.col(tie))), [entity], sched, "__o2", back=1)
+    h = windows.rows_halo(df.withColumn("__o2", F.struct(F.col(order_tie), F.col(tie))), [entity], sched, "__o2", back=1,
+                          carry=cols)
     w = Window.partitionBy(entity, "__bk").orderBy(sched, "__o2")
     out = h.select("*", *[F.lag(c).over(w).alias(f"{prefix}{c}") for c in cols])
     return out.filter("__halo = 0").drop("__halo", "__bk", "__o2")
