@@ -212,10 +212,13 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
 
 
 def sample_n(df: DataFrame, n: int, key: str, salt: int = 7) -> DataFrame:
-    """M8: about n rows, chosen by the key hash (no driver collect)."""
+    """About n rows, chosen by the key hash (no driver collect).
+    Integer keys use the SQL-reproducible hash; other keys ``xxhash64``."""
     total = df.count()
     thr = min(HASH_BUCKETS, math.ceil(HASH_BUCKETS * n / total)) if total else 0
-    return df.filter(key_hash(key, salt) < thr)
+    integral = dict(df.dtypes).get(key) in ("int", "bigint", "smallint", "tinyint")
+    h = key_hash(key, salt) if integral else F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(HASH_BUCKETS))
+    return df.filter(h < thr)
 
 
 def bind_fold(df: DataFrame, i: int, templates: dict[str, str], fill: list[str] = ()) -> DataFrame:

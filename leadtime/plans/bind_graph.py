@@ -198,3 +198,13 @@ def q_rank_by_fold(spark, d):
     fx = Fixtures(spark, d)
     out = rank_by_fold(fx.trips(), fx.folds(), "origin", "dest", "sched", [0, 1, 2, 3], iters=5)
     return out.select("trip_id", *[r6(F.col(f"pr_{i}")).alias(f"pr_{i}") for i in range(4)])
+
+
+@query("outdegree_sample")
+def q_outdeg_sample(spark, d):
+    """An n-point sample of the out-degree distribution (hash-chosen)."""
+    from leadtime.operators.sampling import sample_n
+    adj = adjacency_from_lines(Fixtures(spark, d).adjacency())
+    deg = adj.select(F.col("node").alias("id"),
+                     F.aggregate(F.map_values("nbrs"), F.lit(0).cast("long"), lambda a, x: a + x).alias("out_degree"))
+    return sample_n(deg, 10, "id")
