@@ -128,3 +128,12 @@ def test_lagged_stat_interval_equals_frames(spark):
         a = frames.select("trip_id", F.round("m", 9).alias("m"), F.round("p", 9).alias("p"))
         b = iv.select("trip_id", F.round("m", 9).alias("m"), F.round("p", 9).alias("p"))
         assert _eq(a, b, "trip_id", ["m", "p"])
+
+
+def test_modelling_table_one_row_per_trip(spark):
+    import __spark_entry__ as E
+    out = E.queries()["modelling_table"](spark, MID)
+    n = Fixtures(spark, MID).trips().count()
+    assert out.count() == n
+    assert out.select("trip_id").distinct().count() == n
+    assert out.filter(F.col("label").isNull()).count() == 0
