@@ -218,3 +218,14 @@ FROM (SELECT outcome - p1 AS r FROM scored) GROUP BY 1"""))
 def q_residuals(spark, d):
     h = ev.residuals(Fixtures(spark, d).scored(), "outcome", "p1", 20)
     return h.select(F.col("bin").cast("long").alias("bin"), "n")
+
+
+@query("upsample_random")
+def q_upsample_random(spark, d):
+    """M2 (reference form): minority rows drawn with replacement up to the
+    majority size (seeded; rows-only check)."""
+    t = _trips_l(Fixtures(spark, d))
+    c = {r[0]: r[1] for r in t.groupBy("label").count().collect()}  # two classes
+    ratio = max(c.values()) / min(c.values()) - 1.0
+    minority = min(c, key=c.get)
+    return sm.upsample_random(t, "label", minority, ratio).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
