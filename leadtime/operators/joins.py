@@ -124,8 +124,9 @@ def _asof_sorted(left: DataFrame, right: DataFrame, left_keys: list[str], right_
     rcols = right.columns
     r_us = F.unix_micros(F.col(right_t))
     w = F.lit(width_us)
+    tie_type = right.schema[tie].dataType.simpleString() if tie else "long"
     Rt = right.select(*[F.col(k).alias(a) for k, a in zip(right_keys, rk)], r_us.alias("__ts"),
-                      (F.col(tie).cast("long") if tie else F.lit(0).cast("long")).alias("__tie"),
+                      (F.col(tie) if tie else F.lit(0).cast("long")).alias("__tie"),
                       F.struct(*[F.col(c) for c in rcols]).alias("__r"))
     lo_b = F.floor((F.col("__ts") - F.lit(fwd_us or 0)) / w).cast("long")
     hi_b = F.floor((F.col("__ts") + F.lit(back_us or 0)) / w).cast("long")
@@ -133,7 +134,7 @@ def _asof_sorted(left: DataFrame, right: DataFrame, left_keys: list[str], right_
     Lt = left.select(*[F.col(c) for c in left.columns],
                      *[F.col(k).alias(a) for k, a in zip(left_keys, rk)],
                      (F.unix_micros(F.col(left_t)) - F.lit(probe_shift_us)).alias("__ts"),
-                     F.lit(None).cast("long").alias("__tie"), F.lit(1).alias("__kind"))
+                     F.lit(None).cast(tie_type).alias("__tie"), F.lit(1).alias("__kind"))
     Lt = Lt.withColumn("__bk", F.floor(F.col("__ts") / w).cast("long"))
     u = Lt.unionByName(Rt, allowMissingColumns=True)
     part = [*rk, "__bk"]

@@ -137,3 +137,13 @@ def test_modelling_table_one_row_per_trip(spark):
     assert out.count() == n
     assert out.select("trip_id").distinct().count() == n
     assert out.filter(F.col("label").isNull()).count() == 0
+
+
+def test_asof_string_tie(spark):
+    fx = Fixtures(spark, MID)
+    t = fx.trips()
+    r = fx.readings().select("reading_id", "site", "read_ts")
+    rs = r.withColumn("rid_s", F.lpad(F.col("reading_id").cast("string"), 12, "0"))
+    a = joins.asof_join(t, r, "origin", "site", "sched", "read_ts", 7200, 14400, tie="reading_id")
+    b = joins.asof_join(t, rs, "origin", "site", "sched", "read_ts", 7200, 14400, tie="rid_s")
+    assert _eq(a, b, "trip_id", ["reading_id"])
