@@ -155,10 +155,16 @@ def ffill_rows(df: DataFrame, keys: list[str], t: str, tie: str, col: str, n: in
     """
     h = rows_halo(df, keys, t, tie, back=n, width_s=width_s, carry=[col])
     end = 0 if include_self else -1
-    w = Window.partitionBy(*keys, "__bk").orderBy(t, tie).rowsBetween(-n, end)
-    v = F.last(col, ignorenulls=True).over(w)
+    # Running last non-NULL (with its row number) instead of re-scanning an
+    # n-row frame per row: O(1) per row whatever n is.
+    w = Window.partitionBy(*keys, "__bk").orderBy(t, tie)
+    h = h.withColumn("__rn", F.row_number().over(w))
+    lastv = F.last(F.when(F.col(col).isNotNull(), F.struct(F.col("__rn").alias("i"), F.col(col).alias("v"))),
+                   ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, end))
+    h = h.withColumn("__lv", lastv)
+    v = F.when(F.col("__lv.i") >= F.col("__rn") - n, F.col("__lv.v"))
     res = v if overwrite else F.coalesce(F.col(col), v)
-    return _finish(h.withColumn(out or col, res))
+    return _finish(h.withColumn(out or col, res).drop("__rn", "__lv"))
 
 
 def ema_values(values: Column, alpha: float) -> Column:
