@@ -56,78 +56,92 @@ def _ranked(suffixes: DataFrame, a: str, b: str, path: str) -> DataFrame:
     return staged(out, "suffixes", path)
 
 
-def repeated_places(places: DataFrame, min_lines: int = MIN_LINES) -> list[tuple[int, DataFrame]]:
-    """For each prefix length 2^k of at least ``min_lines``: the suffixes that
-    are later copies.  ``min_lines`` is a power of two."""
+def suffix_intervals(places: DataFrame, min_lines: int = MIN_LINES) -> list[tuple[int, DataFrame]]:
+    """For each prefix length 2^k of at least ``min_lines`` (a power of two):
+    ``row, place, rank, later`` of the suffixes that share it with another;
+    rank is the interval's place in the suffix array of the repeated ones,
+    later says that the suffix isn't the interval's first."""
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     spark = places.sparkSession
-    found, length, old = [], 1, scratch_path(spark, "suffixes")
-    cur = _ranked(places, "h1", "h2", old)
+    found, length, path = [], 1, scratch_path(spark, "suffixes")
+    cur = _ranked(places, "h1", "h2", path)
     while cur.head(1):
-        if length >= min_lines:
-            found.append((length, staged(cur.filter("later").select("row", "place"), "later-copies")))
         half = cur.select(F.col("row").alias("r2"), (F.col("place") - length).alias("p2"), F.col("rank").alias("next"))
-        path = scratch_path(spark, "suffixes")
+        old, path = path, scratch_path(spark, "suffixes")
+        if length >= min_lines:
+            found.append((length, cur.drop("doc_id")))
         cur = _ranked(cur.join(half, (F.col("row") == F.col("r2")) & (F.col("place") == F.col("p2"))),
                       "rank", "next", path)
-        remove(spark, old)
-        length, old = 2 * length, path
-    remove(spark, old)
+        if length < min_lines:
+            remove(spark, old)
+        length *= 2
+    remove(spark, path)
     return found
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
-    """Per row: ``doc_id, n_lines, n_removed, kept_text``.
+    """Per row: ``doc_id, n_lines, n_removed, longest, kept_text``; longest is
+    the greatest 2^k for which 2^k lines of the document are a later copy (0:
+    none).
 
     A line goes when it lies in a run of at least ``min_lines`` lines (lines
     with a word, compared exactly) that occurs earlier: in a smaller id, in
-    an earlier row of the same id, or further up in the same text.  Lines
-    without a word are kept and don't interrupt a run.  A NULL text is an
-    empty one (one empty line); NULL ids come last; extra columns are not
-    read; an empty table gives an empty result.
+    an earlier row of the same id, or further up in the same text.  Runs may
+    overlap and add up to maximal ones.  Lines without a word are kept and
+    don't interrupt a run.  A NULL text is an empty one (one empty line);
+    NULL ids come last; extra columns are not read; an empty table gives an
+    empty result.
     """
     rows = _rows(docs, doc_id, text)
     places = _places(rows)
-    gone = None
-    for length, later in repeated_places(places, min_lines):
-        # the windows of one length cover those of any greater length, so the
-        # shortest decides which lines go; longer ones only reach further at once
-        e = later.select("row", F.explode(F.sequence(F.col("place"), F.col("place") + (length - 1))).alias("place"))
-        gone = e if gone is None or length == min_lines else gone
-    if gone is None:
-        gone = places.select("row", "place").limit(0)
+    gone = places.select("row", "place").limit(0)
+    longest = places.select("row", F.lit(0).alias("length")).limit(0)
+    for length, suffixes in suffix_intervals(places, min_lines):
+        later = suffixes.filter("later")
+        longest = longest.unionByName(later.select("row", F.lit(length).alias("length")))
+        if length == min_lines:   # a longer run is the sum of its windows of this length
+            gone = later.select("row", F.explode(F.sequence("place", F.col("place") + (length - 1))).alias("place"))
     hit = places.select("row", "place", "line_no").join(gone.distinct(), ["row", "place"])
     per_row = hit.groupBy(F.col("row").alias("r")).agg(F.collect_list("line_no").alias("gone"))
-    out = rows.join(per_row, F.col("row") == F.col("r"), "left")
+    runs = longest.groupBy(F.col("row").alias("r")).agg(F.max("length").alias("longest"))
+    out = rows.join(per_row.join(runs, "r"), F.col("row") == F.col("r"), "left")
     all_lines = F.sequence(F.lit(0), F.size("lines") - 1)
     keep = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(
         F.transform(F.array_except(all_lines, F.coalesce("gone", F.array().cast("array<int>"))),
                     lambda i: F.element_at("lines", i + 1)))
     return out.select("doc_id", F.size("lines").cast("long").alias("n_lines"),
                       F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+                      F.coalesce("longest", F.lit(0)).cast("long").alias("longest"),
                       F.array_join(keep, "\n").alias("kept_text"))
 
 
 def line_dedup_report(docs: DataFrame) -> DataFrame:
     """``line_dedup`` with the kept text's SHA-256 in place of the text."""
-    return line_dedup(docs).select("doc_id", "n_lines", "n_removed",
+    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", "longest",
                                    F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-def sql(min_lines: int = MIN_LINES) -> str:
-    """DuckDB SQL for the report over ``documents`` (unique ids): windows of
-    ``min_lines`` lines and the first place of each."""
+def sql(min_lines: int = MIN_LINES, max_lines: int = 1 << 15) -> str:
+    """DuckDB SQL for the report over ``documents`` (unique ids of up to
+    ``max_lines`` lines): windows of each length and the first place of each."""
+    lengths, n = [], min_lines
+    while n <= max_lines:
+        lengths.append(n)
+        n *= 2
     return rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 p AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i: regexp_matches(l[i], '[^\x20\x09-\x0D]')) AS n FROM d),
-x AS (SELECT doc_id, l, n, unnest(range(1, len(n) - {min_lines - 2})) AS k FROM p),
-g AS (SELECT doc_id, k, n, list_transform(n[k:k + {min_lines - 1}], lambda i: l[i]) AS g FROM x),
-m AS (SELECT doc_id, k, n, row_number() OVER (PARTITION BY g ORDER BY doc_id, k) > 1 AS later FROM g),
-c AS (SELECT DISTINCT doc_id, unnest(n[k:k + {min_lines - 1}]) AS i FROM m WHERE later),
+q AS (SELECT doc_id, l, n, unnest({lengths}) AS w FROM p),
+x AS (SELECT doc_id, l, n, w, unnest(range(1, len(n) - w + 2)) AS k FROM q WHERE len(n) >= w),
+g AS (SELECT doc_id, k, n, w, list_transform(n[k:k + w - 1], lambda i: l[i]) AS g FROM x),
+m AS (SELECT doc_id, k, n, w, row_number() OVER (PARTITION BY w, g ORDER BY doc_id, k) > 1 AS later FROM g),
+t AS (SELECT doc_id, max(w) AS longest FROM m WHERE later GROUP BY doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(n[k:k + w - 1]) AS i FROM m WHERE later AND w = {min_lines}),
 o AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(longest, 0) AS BIGINT) AS longest,
        sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(l) + 1),
               lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: l[i]), chr(10)), '')) AS kept_sha256
-FROM d LEFT JOIN o USING (doc_id)
+FROM d LEFT JOIN o USING (doc_id) LEFT JOIN t USING (doc_id)
 """

@@ -99,3 +99,9 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     from leadtime.llm.lang_id import language_id
     return language_id(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
