@@ -108,18 +108,31 @@ def _finish(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Dedup / one row per key
 
+def _sort_key(cols: list[Column]) -> Column:
+    """Struct that orders like the columns ascending, NULLs last."""
+    return F.struct(*[x for i, c in enumerate(cols) for x in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))])
+
+
+def _least_row(df: DataFrame, keys: list[str], sort_key: Column) -> DataFrame:
+    """Per key the row with the least ``sort_key``: an aggregate combined
+    map-side, so a key holding any share of the rows is no hot spot."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    best = df.groupBy(*keys).agg(F.min_by(row, sort_key).alias("__row"))
+    return best.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+
+
 def dedup_least_null(df: DataFrame, keys: list[str], feats: list[str], tie: list[str]) -> DataFrame:
     """Per key keep the row with the fewest NULLs among ``feats``;
     ``tie`` makes the pick deterministic (the reference has none)."""
     from leadtime.functions.text import null_count
-    w = Window.partitionBy(*keys).orderBy(null_count(feats).asc(), *[F.col(c).asc_nulls_last() for c in tie])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    return _least_row(df, keys, F.struct(null_count(feats).alias("nulls"), _sort_key([F.col(c) for c in tie]).alias("tie")))
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first by ``order`` (must be total)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+    """One row per key, the first by ``order`` ascending, NULLs last
+    (must be total)."""
+    return _least_row(df, keys, _sort_key([F.col(c) if isinstance(c, str) else c for c in order]))
 
 
 # ---------------------------------------------------------------------------
@@ -384,21 +397,43 @@ def _lagged_stat_frames(df: DataFrame, keys: list[str], sched: str, actual: str,
 # ---------------------------------------------------------------------------
 # Row indices
 
+def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, with the partition
+    (``__pid``) and the 0-based place in it (``__at``), written out.
+
+    Ranges are sampled anew whenever a plan is evaluated, so two uses of an
+    unwritten frame would disagree about the partitions; the stored numbers
+    are the same for every reader.
+    """
+    from leadtime.sources.io import stage_to
+    parts = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    # partition number in the upper bits, row number in the lower 33
+    parts = parts.withColumn("__mid", F.monotonically_increasing_id())
+    parts = parts.withColumns({"__pid": F.shiftright("__mid", 33), "__at": F.col("__mid").bitwiseAND((1 << 33) - 1)})
+    return stage_to(parts.drop("__mid"))
+
+
+def _add_offsets(rows: DataFrame, totals: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
+    """Join ``__off``: the sum of ``value`` over earlier partitions (of the
+    same ``keys``).  ``totals`` has one row per partition (and key)."""
+    w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.withColumn("__off", F.coalesce(F.sum(value).over(w), F.lit(0))).drop(value)
+    on = F.col("__pid") == F.col("__p2")
+    names = {"__pid": "__p2"}
+    for i, k in enumerate(keys):
+        names[k] = f"__k{i}"
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return rows.join(offs.withColumnsRenamed(names), on).drop(*names.values())
+
+
 def row_index(df: DataFrame, order: list[str], out: str = "row_idx") -> DataFrame:
     """Global 1-based row number in ``order`` without a single-partition
     window: range-partition by the order, number rows inside each
     partition, add the preceding partitions' counts (a tiny table)."""
-    parts = df.repartitionByRange(*[F.col(c) for c in order])
-    pid = F.spark_partition_id()
-    tagged = parts.withColumn("__pid", pid)
-    w = Window.partitionBy("__pid").orderBy(*order)
-    tagged = tagged.withColumn("__local", F.row_number().over(w))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (tagged.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
-            .withColumn(out, (F.col("__off") + F.col("__local")).cast("long"))
-            .drop("__pid", "__local", "__off"))
+    rows = _numbered(df, order)
+    counts = rows.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    return (_add_offsets(rows, counts, "__n").withColumn(out, (F.col("__off") + F.col("__at") + 1).cast("long"))
+            .drop("__pid", "__at", "__off"))
 
 
 def prefix_sum(df: DataFrame, order: str, weight: str, out: str) -> DataFrame:
@@ -406,14 +441,12 @@ def prefix_sum(df: DataFrame, order: str, weight: str, out: str) -> DataFrame:
     (``order`` unique), without a single-partition window: range-partition,
     local running sums, plus the totals of earlier partitions (one row per
     partition)."""
-    parts = df.repartitionByRange(F.col(order)).withColumn("__pid", F.spark_partition_id())
-    w = Window.partitionBy("__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    tot = parts.groupBy("__pid").agg(F.sum(weight).alias("__t"))
-    offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (parts.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
-            .withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off"))
+    rows = _numbered(df, [order])
+    w = Window.partitionBy("__pid").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    tot = rows.groupBy("__pid").agg(F.sum(weight).alias("__t"))
+    rows = rows.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
+    return (_add_offsets(rows, tot, "__t").withColumn(out, F.col("__off") + F.col("__loc"))
+            .drop("__pid", "__at", "__loc", "__off"))
 
 
 def grouped_prefix_sum(df: DataFrame, groups: list[str], order: str, weight: str, out: str) -> DataFrame:
@@ -421,16 +454,12 @@ def grouped_prefix_sum(df: DataFrame, groups: list[str], order: str, weight: str
     ``order`` (unique within the group).  Range-partitioned on
     (groups, order): local running sums plus, from a table with one row per
     (partition, group), the totals of the group's earlier partitions."""
-    parts = df.repartitionByRange(*[F.col(g) for g in groups], F.col(order)).withColumn("__pid", F.spark_partition_id())
-    w = Window.partitionBy("__pid", *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    tot = parts.groupBy("__pid", *groups).agg(F.sum(weight).alias("__t"))
-    offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(
-        Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # one row per (partition, group) touched: at most #partitions + #groups
-    # rows; AQE broadcasts it from its measured size
-    return (parts.join(offs.select("__pid", *groups, "__off"), ["__pid", *groups])
-            .withColumn(out, F.col("__off") + F.col("__loc")).drop("__pid", "__loc", "__off"))
+    rows = _numbered(df, [*groups, order])
+    w = Window.partitionBy("__pid", *groups).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    tot = rows.groupBy("__pid", *groups).agg(F.sum(weight).alias("__t"))
+    rows = rows.withColumn("__loc", F.coalesce(F.sum(weight).over(w), F.lit(0)))
+    return (_add_offsets(rows, tot, "__t", groups).withColumn(out, F.col("__off") + F.col("__loc"))
+            .drop("__pid", "__at", "__loc", "__off"))
 
 
 def index_ids(ids: DataFrame, id_col: str, out: str = "idx") -> DataFrame:
