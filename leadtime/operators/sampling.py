@@ -16,11 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# Multiplicative hash constant and modulus of the sampling hash.
-HASH_MULT = 2654435761
-HASH_PRIME = 1000003
-HASH_BUCKETS = 1000
-
 # The published 5-fold bounds of the reference's 2015-2018
 # training span (train_min, train_max, test_min, test_max; max exclusive).
 FOLDS = [
@@ -32,43 +27,44 @@ FOLDS = [
 ]
 
 def key_hash(key, salt: int = 0) -> Column:
-    """Integer key -> 0..999, identical in Spark and in plain SQL engines
-    (no overflow: the key is reduced modulo a prime first)."""
+    """Key -> a number in [0, 1) with 52 random bits, identical in Spark and
+    in plain SQL engines: the first 13 hex digits of an MD5."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(k.cast("long"), F.lit(HASH_PRIME)) * F.lit(HASH_MULT) + F.lit(salt), F.lit(HASH_BUCKETS))
+    text = F.concat_ws(":", F.lit(str(salt)), F.coalesce(k.cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _class_counts(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(1000).collect()
-    return {r[0]: r[1] for r in rows}
+def _extreme_classes(df: DataFrame, label: str):
+    """(smallest, largest) class as (value, rows), whatever the number of
+    classes; None with fewer than two."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    name = F.col(label).cast("string")
+    r = counts.agg(F.min_by(F.struct(label, "n"), F.struct("n", name)).alias("lo"),
+                   F.max_by(F.struct(label, "n"), F.struct("n", name)).alias("hi"), F.count(F.lit(1)).alias("k")).first()
+    return ((r.lo[0], r.lo[1]), (r.hi[0], r.hi[1])) if r.k > 1 else None
 
 
 def downsample(df: DataFrame, label: str, key: str, salt: int = 42) -> DataFrame:
-    """M1: keep every minority row and a hash-chosen share of the majority,
-    threshold floor(1000 * minority / majority)."""
-    c = _class_counts(df, label)
-    if len(c) < 2:
+    """M1: keep every minority row and a hash-chosen share
+    minority / majority of the majority."""
+    c = _extreme_classes(df, label)
+    if c is None:
         return df
-    minority = min(c, key=lambda k: (c[k], str(k)))
-    majority = max(c, key=lambda k: (c[k], str(k)))
-    thr = math.floor(HASH_BUCKETS * c[minority] / c[majority])
-    keep = (F.col(label) != F.lit(majority)) | (key_hash(key, salt) < thr)
-    return df.filter(keep)
+    (_, n_min), (majority, n_max) = c
+    return df.filter(~F.col(label).eqNullSafe(F.lit(majority)) | (key_hash(key, salt) < n_min / n_max))
 
 
 def upsample(df: DataFrame, label: str, key: str, salt: int = 42) -> DataFrame:
     """M2: replicate minority rows to the majority size: floor(r) copies
     each plus one more for a hash-chosen share of the fraction."""
-    c = _class_counts(df, label)
-    if len(c) < 2:
+    c = _extreme_classes(df, label)
+    if c is None:
         return df
-    minority = min(c, key=lambda k: (c[k], str(k)))
-    majority = max(c, key=lambda k: (c[k], str(k)))
-    r = c[majority] / c[minority]
-    whole, frac = int(math.floor(r)), r - math.floor(r)
-    thr = math.floor(HASH_BUCKETS * frac)
-    copies = F.when(F.col(label) == F.lit(minority),
-                    F.lit(whole) + F.when(key_hash(key, salt) < thr, 1).otherwise(0)).otherwise(1)
+    (minority, n_min), (_, n_max) = c
+    r = n_max / n_min
+    whole = int(math.floor(r))
+    copies = F.when(F.col(label).eqNullSafe(F.lit(minority)),
+                    F.lit(whole) + F.when(key_hash(key, salt) < r - whole, 1).otherwise(0)).otherwise(1)
     return df.withColumn("__copies", F.sequence(F.lit(1), copies)).select(
         "*", F.explode("__copies").alias("replica")).drop("__copies")
 
@@ -81,9 +77,7 @@ def upsample_random(df: DataFrame, label: str, minority, ratio: float, seed: int
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """M3: weight = negatives/positives for positive rows, else 1."""
-    c = _class_counts(df, label)
-    pos = c.get(1, c.get(1.0, 0))
-    neg = c.get(0, c.get(0.0, 0))
+    pos, neg = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
     w = (neg / pos) if pos else 1.0
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(w)).otherwise(F.lit(1.0)))
 
@@ -96,7 +90,7 @@ def downsample_buckets(df: DataFrame, t: str, unit: str, label: str, key: str, s
     b = df.withColumn("__bkt", F.date_trunc(unit, F.col(t)))
     cnt = b.groupBy("__bkt").agg(F.count_if(F.col(label) == 1).alias("__n1"), F.count_if(F.col(label) == 0).alias("__n0"))
     cnt = cnt.withColumn("__maj", F.when(F.col("__n1") > F.col("__n0"), 1).otherwise(0)).withColumn(
-        "__thr", F.floor(F.lit(HASH_BUCKETS) * F.least("__n1", "__n0") / F.greatest("__n1", "__n0")))
+        "__thr", F.least("__n1", "__n0") / F.greatest("__n1", "__n0"))
     j = b.join(cnt, "__bkt")
     keep = ((F.col("__n1") == 0) | (F.col("__n0") == 0) | (F.col(label) != F.col("__maj"))
             | (key_hash(key, salt) < F.col("__thr")))
@@ -185,8 +179,7 @@ def fold_frames(df: DataFrame, t: str, folds: list[Fold]) -> list[tuple[DataFram
 def cv_bounds_rows(df: DataFrame, order: list[str], k: int = 3, blocking: bool = False) -> DataFrame:
     """M7: k folds by row count on the global row order (W14, no
     single-partition window).  chunk = floor(N / (k + 1)); edges are the
-    1-based rows 1, 1 + chunk, 1 + 2 chunk, ... with the last replaced by N.
-    Fold i validates rows [edge[i+1], edge[i+2]) and trains on
+    1-based rows 1, 1 + chunk, ..., 1 + k chunk and N.  Fold i validates rows [edge[i+1], edge[i+2]) and trains on
     [edge[0] or edge[i] when ``blocking``, edge[i+1]).  Returns the rows
     with (fold, part); a row may be in several folds."""
     from functools import reduce
@@ -194,11 +187,9 @@ def cv_bounds_rows(df: DataFrame, order: list[str], k: int = 3, blocking: bool =
     idx = row_index(df, order, "__row")
     n = idx.count()
     chunk = max(n // (k + 1), 1)
-    edges = list(range(0, n, chunk))
-    edges[-1] = n - 1
-    edges = [e + 1 for e in edges]
+    edges = [i * chunk + 1 for i in range(k + 1)] + [n]
     folds = []
-    for i in range(min(k, len(edges) - 2)):
+    for i in range(k):
         t_lo = edges[i] if blocking else edges[0]
         part = (F.when((F.col("__row") >= edges[i + 1]) & (F.col("__row") < edges[i + 2]), "val")
                 .when((F.col("__row") >= t_lo) & (F.col("__row") < edges[i + 1]), "train"))
@@ -212,13 +203,10 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
 
 
 def sample_n(df: DataFrame, n: int, key: str, salt: int = 7) -> DataFrame:
-    """About n rows, chosen by the key hash (no driver collect).
-    Integer keys use the SQL-reproducible hash; other keys ``xxhash64``."""
+    """About n rows, chosen by the key hash (no driver collect); the
+    number is binomial, so within 6 sqrt(n) of n but for one in a billion."""
     total = df.count()
-    thr = min(HASH_BUCKETS, math.ceil(HASH_BUCKETS * n / total)) if total else 0
-    integral = dict(df.dtypes).get(key) in ("int", "bigint", "smallint", "tinyint")
-    h = key_hash(key, salt) if integral else F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(HASH_BUCKETS))
-    return df.filter(h < thr)
+    return df.filter(key_hash(key, salt) < (n / total if total else 0.0))
 
 
 def bind_fold(df: DataFrame, i: int, templates: dict[str, str], fill: list[str] = ()) -> DataFrame:

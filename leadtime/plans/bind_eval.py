@@ -15,7 +15,7 @@ def r6(c):
 
 
 _LABEL = "CASE WHEN delay_min >= 15 OR cancelled = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
-_HASH = "((({k} % 1000003) * 2654435761 + {s}) % 1000)"
+_HASH = "(CAST('0x' || substr(md5('{s}:' || CAST({k} AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
 
 
 def _trips_l(fx):
@@ -31,14 +31,14 @@ mm AS (SELECT (SELECT label FROM c ORDER BY n, label LIMIT 1) AS minority,
 
 
 @query("downsample", with_views(["trips"], _CLASS_CTE + f"""
-SELECT trip_id, label FROM t, mm WHERE label <> majority OR {_HASH.format(k='trip_id', s=42)} < floor(1000 * nmin / nmax)"""))
+SELECT trip_id, label FROM t, mm WHERE label <> majority OR {_HASH.format(k='trip_id', s=42)} < nmin / nmax"""))
 def q_downsample(spark, d):
     return sm.downsample(_trips_l(Fixtures(spark, d)), "label", "trip_id").select("trip_id", "label")
 
 
 @query("upsample", with_views(["trips"], _CLASS_CTE + f"""
 SELECT trip_id, CASE WHEN label = minority THEN CAST(floor(nmax / nmin) AS BIGINT)
-   + CASE WHEN {_HASH.format(k='trip_id', s=42)} < floor(1000 * (nmax / nmin - floor(nmax / nmin))) THEN 1 ELSE 0 END ELSE 1 END AS copies
+   + CASE WHEN {_HASH.format(k='trip_id', s=42)} < nmax / nmin - floor(nmax / nmin) THEN 1 ELSE 0 END ELSE 1 END AS copies
 FROM t, mm"""))
 def q_upsample(spark, d):
     u = sm.upsample(_trips_l(Fixtures(spark, d)), "label", "trip_id")
@@ -58,7 +58,7 @@ t AS (SELECT *, {_LABEL} AS label, date_trunc('day', sched) AS bkt FROM trips),
 c AS (SELECT bkt, count(*) FILTER (WHERE label = 1) AS n1, count(*) FILTER (WHERE label = 0) AS n0 FROM t GROUP BY bkt)
 SELECT trip_id FROM t JOIN c USING (bkt)
 WHERE n1 = 0 OR n0 = 0 OR label <> CASE WHEN n1 > n0 THEN 1 ELSE 0 END
-   OR {_HASH.format(k='trip_id', s=42)} < floor(1000 * least(n1, n0) / greatest(n1, n0))"""))
+   OR {_HASH.format(k='trip_id', s=42)} < least(n1, n0) / greatest(n1, n0)"""))
 def q_downsample_buckets(spark, d):
     return sm.downsample_buckets(_trips_l(Fixtures(spark, d)), "sched", "day", "label", "trip_id").select("trip_id")
 
@@ -98,9 +98,7 @@ def q_cv_bounds(spark, d):
 @query("cv_bounds_rows", with_views(["trips"], """,
 r AS (SELECT trip_id, row_number() OVER (ORDER BY sched, trip_id) AS rn FROM trips),
 n AS (SELECT count(*) AS n, count(*) // 4 AS chunk FROM trips),
-e0 AS (SELECT unnest(range(0, n, chunk)) AS e, n FROM n),
-e1 AS (SELECT row_number() OVER (ORDER BY e) - 1 AS j, e, n, count(*) OVER () AS m FROM e0),
-edges AS (SELECT j, CASE WHEN j = m - 1 THEN n - 1 ELSE e END + 1 AS edge FROM e1),
+edges AS (SELECT j, CASE WHEN j = 4 THEN n ELSE j * chunk + 1 END AS edge FROM n, range(5) e(j)),
 f AS (SELECT i AS fold, (SELECT edge FROM edges WHERE j = 0) AS t_lo, (SELECT edge FROM edges WHERE j = i + 1) AS v_lo,
              (SELECT edge FROM edges WHERE j = i + 2) AS v_hi FROM range(3) r(i))
 SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN rn >= v_lo AND rn < v_hi THEN 'val' ELSE 'train' END AS part, count(*) AS n
@@ -111,7 +109,7 @@ def q_cv_rows(spark, d):
 
 
 @query("sample_n", with_views(["trips"], f"""
-SELECT trip_id FROM trips WHERE {_HASH.format(k='trip_id', s=7)} < least(1000, ceil(1000 * 500 / (SELECT count(*) FROM trips)))"""))
+SELECT trip_id FROM trips WHERE {_HASH.format(k='trip_id', s=7)} < 500 / (SELECT count(*) FROM trips)"""))
 def q_sample_n(spark, d):
     return sm.sample_n(Fixtures(spark, d).trips(), 500, "trip_id").select("trip_id")
 
