@@ -3,8 +3,8 @@
 PageRank and label propagation are iterated joins + grouped sums.  All
 ranks are keyed by a *group* column (period, fold, or personalised
 source), so many independent graphs run in one plan; the per-group
-scalars (vertex count, dangling mass) live in a table with one row per
-group that is joined back (broadcast after a size check).  Lineage is cut
+scalars (vertex count, dangling mass) live in a written table with one row
+per group that is joined back (Spark broadcasts it when its file is small).  Lineage is cut
 every few iterations by writing the ranks as Parquet into the session's
 shared checkpoint folder (``spark.checkpoint.dir``) and reading them back.
 """
@@ -14,11 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadtime.operators._plan import sized_broadcast
-
 _G = "__g"
-# Groups up to which per-group scalars (dangling mass) are read to the driver.
-MAX_SCALAR_GROUPS = 10_000
 
 
 def _with_group(df: DataFrame, group: str | None) -> DataFrame:
@@ -56,13 +52,24 @@ def transition_weights(edges: DataFrame, group: str | None = None, weight: str |
     return e.join(out, [*g, "src"]).select(*g, "src", "dst", (F.col("__w") / F.col("__ow")).alias("p"))
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
+def _ckpt(df: DataFrame, stages: list[str] | None = None) -> DataFrame:
     """Cut lineage: write the frame as Parquet under the shared checkpoint
-    folder and read it back.  (``Dataset.checkpoint`` was measured to slow
-    down geometrically over a long iteration chain on this Spark version;
-    a written table keeps every round at constant cost.)"""
-    from leadtime.sources.io import stage_to
-    return stage_to(df)
+    folder and read it back; the folder is added to ``stages``.
+    (``Dataset.checkpoint`` was measured to slow down geometrically over a
+    long iteration chain on this Spark version; a written table keeps every
+    round at constant cost.)"""
+    from leadtime.sources.io import stage_path, stage_to
+    path = stage_path(df.sparkSession)
+    if stages is not None:
+        stages.append(path)
+    return stage_to(df, path)
+
+
+def _release(spark, stages: list[str]) -> None:
+    from leadtime.sources.io import remove_path
+    for path in stages:
+        remove_path(spark, path)
+    stages.clear()
 
 
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters: int = 10,
@@ -84,7 +91,8 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters:
     E = _with_group(edges, group)
     P = transition_weights(E, _G, weight)
     outs = P.select(_G, F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
-    V = _ckpt(V.join(outs, [_G, "id"], "left").withColumn("__dang", F.col("__has_out").isNull()).drop("__has_out"))
+    spark, stages = vertices.sparkSession, []
+    V = _ckpt(V.join(outs, [_G, "id"], "left").withColumn("__dang", F.col("__has_out").isNull()).drop("__has_out"), stages)
     P = P.unionByName(V.filter("__dang").select(_G, F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"),
                                                 F.lit(1.0).alias("p")))
     # Edges and vertices are hash-partitioned once and kept (memory and
@@ -95,44 +103,34 @@ def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters:
     P = P.repartition(_G, "src").persist()
     n = _ckpt(V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n")))
     V = V.repartition(_G, "id").persist()
-    n_b = sized_broadcast(n)  # one row per group; size checked once
-    R = _ckpt(V.join(n_b, _G).select(_G, "id", (F.lit(1.0) / F.col("__n")).alias("r")))
-    # Dangling mass per group: one number per group.  Up to MAX_SCALAR_GROUPS
-    # groups it is read back as a literal map each round, so the next ranks
-    # depend on the previous ones through a single path (the plan grows
-    # linearly between lineage cuts); beyond that it is joined back.
-    scalar_m = n.limit(MAX_SCALAR_GROUPS + 1).count() <= MAX_SCALAR_GROUPS
-    held = []
+    R = _ckpt(V.join(n, _G).select(_G, "id", (F.lit(1.0) / F.col("__n")).alias("r")), stages)
+    held, rounds = [], []
     for it in range(iters):
         C = (P.join(R.select(_G, F.col("id").alias("src"), "r"), [_G, "src"])
-             .groupBy(_G, "dst").agg(F.sum(F.col("r") * F.col("p")).alias("__c")))
-        if scalar_m:
-            C = C.persist()
-            held.append(C)
-            ms = {r[0]: r[1] for r in C.filter(F.col("dst").isNull()).select(_G, "__c").collect()}
-            m = (F.create_map(*[F.lit(x) for kv in ms.items() for x in kv])[F.col(_G)] if ms else F.lit(None))
-            base = V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"),
-                                           [_G, "id"], "left").join(n_b, _G)
-            m = F.coalesce(m.cast("double"), F.lit(0.0))
-        else:
-            M = C.filter(F.col("dst").isNull()).select(_G, F.col("__c").alias("__m"))
-            stats = F.broadcast(n.join(M, _G, "left").fillna(0.0, subset=["__m"]))
-            base = (V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"),
-                                            [_G, "id"], "left").join(stats, _G))
-            m = F.col("__m")
-        R = base.select(_G, "id", (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
-                                   (F.coalesce(F.col("__c"), F.lit(0.0)) + m / F.col("__n"))).alias("r"))
+             .groupBy(_G, "dst").agg(F.sum(F.col("r") * F.col("p")).alias("__c"))).persist()
+        held.append(C)
+        # one row per group: its vertex count and dangling mass, written so
+        # that its size is known when the join is planned
+        M = C.filter(F.col("dst").isNull()).select(_G, F.col("__c").alias("__m"))
+        stats = _ckpt(n.join(M, _G, "left").fillna(0.0, subset=["__m"]), rounds)
+        R = (V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"),
+                                     [_G, "id"], "left").join(stats, _G)
+             .select(_G, "id", (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
+                                (F.coalesce(F.col("__c"), F.lit(0.0)) + F.col("__m") / F.col("__n"))).alias("r")))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
-            R = _ckpt(R)
+            done = rounds[:]
+            R = _ckpt(R, stages)
             for c in held:
                 c.unpersist()
-            held = []
-    # Materialise the final ranks (V-sized) and release the cached inputs:
-    # the result no longer depends on the iteration chain.
+            held, rounds = [], []
+            _release(spark, done)
+    # Materialise the final ranks (V-sized) and release the cached and
+    # staged inputs: the result no longer depends on the iteration chain.
     R = _ckpt(R)
     for c in [*held, P, V]:
         c.unpersist()
-    out = R.join(n_b, _G)
+    _release(spark, [*rounds, *stages])
+    out = R.join(n, _G)
     score = F.col("r") if normalized else F.col("r") * F.col("__n")
     cols = ([F.col(_G).alias(group)] if group else []) + [F.col("id"), score.alias("pagerank")]
     return out.select(*cols)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,8 +40,9 @@ def use_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` (or the context's directory); only when
-    neither is set -- local tests -- a fresh temporary folder is created.
+    Reads the context's directory or ``spark.checkpoint.dir``.  With neither
+    set, a local session (one machine) gets a fresh temporary folder, and a
+    cluster raises: its executors can't share a folder of one machine.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -48,6 +50,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="leadtime-ckpt-")
+        d = local_checkpoint_dir(sc.master)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def local_checkpoint_dir(master: str) -> str:
+    """A temporary folder for a session inside one process; raises for any
+    other master."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="leadtime-ckpt-")

@@ -111,14 +111,25 @@ def stage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stage_path(spark: SparkSession) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"stage-{uuid.uuid4().hex}")
+
+
 def stage_to(df: DataFrame, path: str | None = None) -> DataFrame:
     """S7 variant: write the stage as Parquet under the shared checkpoint
-    folder (or ``path``) and read it back -- lineage cut, files reusable."""
+    folder (or ``path``) and read it back -- lineage cut, files reusable.
+    Loops name the path and remove it (``remove_path``) when done."""
     spark = df.sparkSession
-    if path is None:
-        path = os.path.join(checkpoint_dir(spark), f"stage-{uuid.uuid4().hex}")
+    path = path or stage_path(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a stage that no later plan reads (any Hadoop file system)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
