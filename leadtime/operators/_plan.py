@@ -2,25 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Default ceiling for an explicit broadcast hint (rows).  Above it the join is
-# left to Catalyst/AQE, which broadcast only when runtime statistics allow.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows``.
-
-    The check is a ``limit(max_rows + 1).count()`` -- it stops reading as
-    soon as the bound is exceeded.  Bigger inputs are returned unhinted, so
-    the join falls back to a shuffle join (AQE may still broadcast it if its
-    runtime size turns out small).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def as_list(x) -> list:
     if x is None:

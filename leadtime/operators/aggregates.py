@@ -84,10 +84,11 @@ def distinct_counts(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def collect_sets(df: DataFrame, key: str, col: str, struct_cols: list[str] | None = None) -> DataFrame:
-    """Sorted set of values (and sorted list of structs) per key."""
+    """Sorted set of values (and of distinct structs) per key.  Sets are
+    combined map-side, so a key costs its distinct values, not its rows."""
     aggs = [F.array_sort(F.collect_set(col)).alias(f"{col}_set")]
     if struct_cols:
-        aggs.append(F.array_sort(F.collect_list(F.struct(*struct_cols))).alias("items"))
+        aggs.append(F.array_sort(F.collect_set(F.struct(*struct_cols))).alias("items"))
     return df.groupBy(key).agg(*aggs)
 
 

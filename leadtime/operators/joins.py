@@ -17,21 +17,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadtime.functions.geo import haversine
-from leadtime.operators._plan import as_list, sized_broadcast
+from leadtime.operators._plan import as_list
 
 _US = 1_000_000
 
 
 def lookup_two_roles(fact: DataFrame, dim: DataFrame, dim_key: str, roles: dict[str, str],
-                     cols: list[str], broadcast_dim: bool = True) -> DataFrame:
+                     cols: list[str]) -> DataFrame:
     """Join the same dimension twice (e.g. origin and destination).
 
     ``roles`` maps fact key column -> output prefix; dimension columns come
-    out as ``<prefix><col>``.  The dimension is broadcast after a size check.
+    out as ``<prefix><col>``.  Spark broadcasts the dimension from its file
+    or measured size.
     """
     d = dim.select(dim_key, *cols)
-    if broadcast_dim:
-        d = sized_broadcast(d)
     out = fact
     for fact_key, prefix in roles.items():
         r = d.select(F.col(dim_key).alias(f"__k_{prefix}"), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
@@ -288,33 +287,49 @@ def match_any(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], r
 
     A right row matches if any (left_col, right_col) pair is equal (and,
     when given, ``left_t`` is within [valid_from, valid_to]); per left row
-    the match with the latest ``order_col`` wins.  Each branch is a hash
-    join instead of one nested-loop join on the OR.
+    the match with the latest ``order_col`` wins (NULL last, then the least
+    other columns).  Without validity bounds the best right row of each key
+    is picked before the join -- an aggregate combined map-side -- so a
+    branch gives at most one candidate per left row, however many right rows
+    share a key.  The winner of the branches is an aggregate as well.
     """
-    branches = []
     rcols = right.columns
+    others = [c for c in rcols if c != order_col]
+    bounded = bool(left_t and (valid_from or valid_to))
+
+    def least(df: DataFrame, keys: list[str]) -> DataFrame:
+        # latest order_col first: its greatest value, then the least others
+        rest = [c for c in df.columns if c not in keys]
+        top = df.groupBy(*keys).agg(F.max(order_col).alias("__top")).withColumnsRenamed({k: f"__j_{k}" for k in keys})
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__j_{k}")) for k in keys])
+        last = df.join(top, on & F.col(order_col).eqNullSafe(F.col("__top")))
+        rank = F.struct(*[x for i, c in enumerate(others) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))],
+                        F.lit(0).alias("z"))
+        best = last.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("__b"))
+        return best.select(*keys, *[F.col("__b")[c].alias(c) for c in rest])
+
+    branches = []
     for lc, rc in pairs:
-        cond = left[lc] == right[rc]
-        if left_t and valid_to:
-            cond = cond & (left[left_t] <= right[valid_to])
-        if left_t and valid_from:
-            cond = cond & (left[left_t] >= right[valid_from])
-        branches.append(left.join(right, cond, "inner").select(*[left[c] for c in left.columns],
-                                                                *[right[c] for c in rcols]))
-    u = reduce(lambda a, b: a.unionByName(b), branches)
-    w = Window.partitionBy(row_id).orderBy(F.col(order_col).desc_nulls_last(),
-                                           *[F.col(c).asc_nulls_last() for c in rcols if c != order_col])
-    best = u.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-    missing = left.join(best.select(row_id), row_id, "left_anti")
-    return best.unionByName(missing, allowMissingColumns=True)
+        if bounded:
+            cond = left[lc] == right[rc]
+            if valid_to:
+                cond = cond & (left[left_t] <= right[valid_to])
+            if valid_from:
+                cond = cond & (left[left_t] >= right[valid_from])
+            j = left.select(row_id, lc, left_t).join(right, cond, "inner")
+        else:
+            key = right.filter(F.col(rc).isNotNull()).withColumn("__key", F.col(rc))
+            j = left.select(row_id, lc).join(least(key, ["__key"]), F.col(lc) == F.col("__key"), "inner")
+        branches.append(j.select(F.col(row_id).alias("__rid"), *[F.col(c) for c in rcols]))
+    best = least(reduce(lambda a, b: a.unionByName(b), branches), ["__rid"])
+    return left.join(best, left[row_id] == best["__rid"], "left").drop("__rid")
 
 
 def assign_intervals(df: DataFrame, bounds: DataFrame, t: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Range join of rows to [lo, hi) intervals; a row may fall in
-    several.  The bounds table is one row per fold (size-checked broadcast),
-    so this is a broadcast nested-loop join over a handful of rows."""
-    b = sized_broadcast(bounds, 10_000)
-    return df.join(b, (df[t] >= b[lo]) & (df[t] < b[hi]), "inner")
+    several.  The bounds table is one row per fold, so Spark plans a
+    broadcast nested-loop join over a handful of rows."""
+    return df.join(bounds, (df[t] >= bounds[lo]) & (df[t] < bounds[hi]), "inner")
 
 
 def apply_seasonality(df: DataFrame, weekly: DataFrame, yearly: DataFrame, site: str, ts: str,
@@ -400,106 +415,87 @@ def overlap(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
 # Nearest site (J6/J7/F23): exact grid search, no cross join.
 
 def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lon: str,
-            site_id: str, s_lat: str, s_lon: str, cell_deg: float | None = None, unit: str = "km",
-            max_rounds: int = 12) -> DataFrame:
+            site_id: str, s_lat: str, s_lon: str, cell_deg: float | None = None, unit: str = "km") -> DataFrame:
     """Nearest site per point by haversine distance, exact.
 
-    Both sides are keyed by grid cells of ``cell_deg`` degrees.  Round r
-    compares each unresolved point only with sites in the (2r+1)^2 block of
-    cells around it (sites are replicated into the cells they can serve) and
-    accepts the best candidate once it is provably closer than anything
-    outside the block; the rest go to the next, wider ring.  Distances are
-    compared at 1e-6 (mm) resolution so floating-point noise cannot decide
-    between equally distant sites; ties break on ``site_id``.  Output: point_id, site_id, distance.
+    Both sides are keyed by grid cells.  A round compares each unresolved
+    point only with the sites in the 3x3 block of cells around it (sites are
+    replicated into the cells they can serve) and accepts the best candidate
+    once it is provably closer than anything outside the block; the rest go
+    to the next round with cells three times as wide, until the block spans
+    the globe.  The cells divide the circle evenly, so blocks wrap around the
+    date line without overlap.  Distances are compared at 1e-6 (mm)
+    resolution so floating-point noise cannot decide between equally distant
+    sites; ties break on ``site_id``.  Output: point_id, site_id, distance;
+    points without coordinates (or with no site at all) have NULLs.
     """
     from leadtime.functions.geo import EARTH_RADIUS
+    from leadtime.sources.io import remove_path, stage_path, stage_to
     R = EARTH_RADIUS[unit]
+    spark = points.sparkSession
     if cell_deg is None:
         # About two sites per cell on average over the sites' bounding box
         # (one small aggregate over the site dimension).
         b = sites.agg(F.min(s_lat), F.max(s_lat), F.min(s_lon), F.max(s_lon), F.count(s_lat)).first()
+        cell_deg = 1.0
         if b[4]:
             area = max(b[1] - b[0], 0.01) * max(b[3] - b[2], 0.01)
             cell_deg = float(min(max(math.sqrt(2.0 * area / b[4]), 0.05), 30.0))
-        else:
-            cell_deg = 1.0
-    ncell_lon = int(math.ceil(360.0 / cell_deg))
-    S = sites.select(F.col(site_id).alias("__sid"), F.col(s_lat).alias("__slat"), F.col(s_lon).alias("__slon"))
-    S = S.filter(F.col("__slat").isNotNull() & F.col("__slon").isNotNull())
-    S = S.withColumns({"__ci": F.floor(F.col("__slat") / cell_deg).cast("long"),
-                       "__cj": F.floor(F.col("__slon") / cell_deg).cast("long")})
-    P = points.select(F.col(point_id).alias("__pid"), F.col(p_lat).alias("__plat"), F.col(p_lon).alias("__plon"))
-    P = P.withColumns({"__ci": F.floor(F.col("__plat") / cell_deg).cast("long"),
-                       "__cj": F.floor(F.col("__plon") / cell_deg).cast("long")})
-    pending = P.filter(F.col("__plat").isNotNull() & F.col("__plon").isNotNull())
-    results, cached = [], []
-    ring = 1
-    for rnd in range(max_rounds):
-        full = (2 * ring + 1) * cell_deg >= 360.0 or rnd == max_rounds - 1
-        if full:
-            # Widest ring: every site is a candidate.  Only reached by points
-            # still unresolved; the site table is a dimension, size-checked.
-            cand = pending.join(sized_broadcast(S.drop("__ci", "__cj")), F.lit(True), "inner")
-        else:
-            offs = F.sequence(F.lit(-ring), F.lit(ring))
-            if ring == 1:
-                # First ring: replicate sites into the 3x3 cells they serve.
-                Sx = (S.withColumn("__di", F.explode(offs)).withColumn("__dj", F.explode(offs))
-                      .select("__sid", "__slat", "__slon",
-                              (F.col("__ci") + F.col("__di")).alias("__ki"),
-                              F.pmod(F.col("__cj") + F.col("__dj"), F.lit(ncell_lon)).alias("__kj")))
-                Pk = pending.withColumn("__kj0", F.pmod(F.col("__cj"), F.lit(ncell_lon)))
-                cand = (Pk.join(Sx, (Pk["__ci"] == Sx["__ki"]) & (Pk["__kj0"] == Sx["__kj"]), "left")
-                        .drop("__kj0", "__ki", "__kj"))
-            else:
-                # Wider rings: only the few unresolved points are replicated.
-                Pk = (pending.withColumn("__di", F.explode(offs)).withColumn("__dj", F.explode(offs))
-                      .withColumn("__ki", F.col("__ci") + F.col("__di"))
-                      .withColumn("__kj", F.pmod(F.col("__cj") + F.col("__dj"), F.lit(ncell_lon)))
-                      .drop("__di", "__dj"))
-                Sk = S.withColumn("__sj", F.pmod(F.col("__cj"), F.lit(ncell_lon))).select(
-                    "__sid", "__slat", "__slon", F.col("__ci").alias("__si"), "__sj")
-                cand = (Pk.join(Sk, (Pk["__ki"] == Sk["__si"]) & (Pk["__kj"] == Sk["__sj"]), "left")
-                        .drop("__ki", "__kj", "__si", "__sj"))
-        d = haversine("__plat", "__plon", "__slat", "__slon", unit)
-        best = (cand.withColumn("__d", d)
+    S = sites.select(F.col(site_id).alias("__sid"), F.col(s_lat).cast("double").alias("__slat"),
+                     F.col(s_lon).cast("double").alias("__slon")).dropna()
+    P = points.select(F.col(point_id).alias("__pid"), F.col(p_lat).cast("double").alias("__plat"),
+                      F.col(p_lon).cast("double").alias("__plon"))
+    located = F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
+    results = [P.filter(~located).select("__pid", F.lit(None).cast(S.schema["__sid"].dataType).alias("__sid"),
+                                         F.lit(None).cast("double").alias("__d"))]
+    pending, old = P.filter(located), []
+    while True:
+        n_lon = max(1, int(360.0 // cell_deg))          # cells around the circle
+        w_lon = 360.0 / n_lon
+        n_lat = max(1, int(180.0 // cell_deg))
+        w_lat = 180.0 / n_lat
+        all_lon, all_lat = n_lon <= 3, n_lat <= 2       # the block spans all longitudes / latitudes
+
+        def cell(lat, lon):
+            i = F.least(F.floor((F.col(lat) + 90.0) / w_lat), F.lit(n_lat - 1)).cast("long")
+            return i, F.floor((F.col(lon) + 180.0) / w_lon).cast("long")
+
+        si, sj = cell("__slat", "__slon")
+        ring = F.array(*[F.lit(k) for k in (-1, 0, 1)])
+        around = F.array(*[F.lit(k) for k in ((-1, 0, 1) if n_lon >= 3 else range(n_lon))])
+        served = (S.withColumns({"__si": si, "__sj": sj}).withColumn("__di", F.explode(ring))
+                  .withColumn("__dj", F.explode(around))
+                  .select("__sid", "__slat", "__slon", (F.col("__si") + F.col("__di")).alias("__ki"),
+                          F.pmod(F.col("__sj") + F.col("__dj"), F.lit(n_lon)).alias("__kj")))
+        pi, pj = cell("__plat", "__plon")
+        keyed = pending.withColumns({"__ci": pi, "__cj": pj})
+        cand = keyed.join(served, (F.col("__ci") == F.col("__ki")) & (F.pmod("__cj", F.lit(n_lon)) == F.col("__kj")), "left")
+        best = (cand.withColumn("__d", haversine("__plat", "__plon", "__slat", "__slon", unit))
                 .groupBy("__pid", "__plat", "__plon", "__ci", "__cj")
                 .agg(F.min_by(F.struct(F.col("__sid"), F.col("__d")),
-                              F.struct(F.round(F.col("__d"), 6), F.col("__sid"))).alias("__b")))
-        if full:
-            results.append(best.select("__pid", best["__b"]["__sid"].alias("__sid"), best["__b"]["__d"].alias("__d")))
-            break
-        # Lower bound of the distance to any site outside the searched block.
-        lat_lo = F.col("__ci") - ring
-        lat_hi = F.col("__ci") + ring + 1
-        dlat = F.least(F.col("__plat") - lat_lo * cell_deg, lat_hi * cell_deg - F.col("__plat"))
-        bound_lat = F.radians(dlat) * R
-        band_max = F.greatest(F.abs(lat_lo * cell_deg), F.abs(lat_hi * cell_deg))
-        cos_band = F.cos(F.radians(F.least(band_max, F.lit(90.0))))
-        dlon = F.least(F.col("__plon") - (F.col("__cj") - ring) * cell_deg,
-                       (F.col("__cj") + ring + 1) * cell_deg - F.col("__plon"))
-        bound_lon = F.lit(2 * R) * F.asin(F.least(F.lit(1.0), F.sqrt(F.cos(F.radians(F.col("__plat"))) * cos_band)
-                                                  * F.sin(F.radians(dlon) / 2)))
-        bound = F.least(bound_lat, bound_lon)
-        ok = F.col("__b").isNotNull() & F.col("__b")["__sid"].isNotNull() & (F.col("__b")["__d"] <= bound)
-        # Persist the round so later rounds and the final union do not
-        # recompute the whole chain (lineage-safe: lost blocks recompute).
-        best = best.withColumn("__ok", ok).persist()
-        cached.append(best)
-        results.append(best.filter("__ok").select("__pid", best["__b"]["__sid"].alias("__sid"),
-                                                  best["__b"]["__d"].alias("__d")))
-        pending = best.filter(~F.col("__ok")).select("__pid", "__plat", "__plon", "__ci", "__cj")
-        if pending.limit(1).count() == 0:
+                              F.when(F.col("__sid").isNotNull(), F.struct(F.round(F.col("__d"), 6), F.col("__sid")))).alias("__b")))
+        # Lower bound of the distance to any site outside the block.
+        south, north = (F.col("__ci") - 1) * w_lat - 90.0, (F.col("__ci") + 2) * w_lat - 90.0
+        bound_lat = F.radians(F.least(F.when(south > -90.0, F.col("__plat") - south).otherwise(F.lit(1e3)),
+                                      F.when(north < 90.0, north - F.col("__plat")).otherwise(F.lit(1e3)))) * R
+        cos_band = F.cos(F.radians(F.least(F.greatest(F.abs(south), F.abs(north)), F.lit(90.0))))
+        dlon = F.least(F.col("__plon") + 180.0 - (F.col("__cj") - 1) * w_lon, (F.col("__cj") + 2) * w_lon - F.col("__plon") - 180.0)
+        bound_lon = F.lit(2 * R) * F.asin(F.least(F.lit(1.0), F.sqrt(F.greatest(
+            F.cos(F.radians(F.col("__plat"))) * cos_band, F.lit(0.0))) * F.sin(F.radians(dlon) / 2)))
+        whole = all_lon and all_lat
+        bound = bound_lat if all_lon else F.least(bound_lat, bound_lon)
+        ok = F.lit(True) if whole else F.coalesce(F.col("__b")["__d"] <= bound, F.lit(False))
+        old.append(stage_path(spark))
+        best = stage_to(best.withColumn("__ok", ok), old[-1])
+        results.append(best.filter("__ok").select("__pid", F.col("__b")["__sid"].alias("__sid"), F.col("__b")["__d"].alias("__d")))
+        pending = best.filter(~F.col("__ok")).select("__pid", "__plat", "__plon")
+        if whole or not pending.head(1):
             break
-        ring = ring * 3
+        cell_deg *= 3
     out = reduce(lambda a, b: a.unionByName(b), results)
-    out = out.select(F.col("__pid").alias(point_id), F.col("__sid").alias(site_id), F.col("__d").alias("distance"))
-    # One row per point: write it to the shared checkpoint folder and drop
-    # the per-round caches, so the result no longer depends on them.
-    from leadtime.sources.io import stage_to
-    out = stage_to(out)
-    for c in cached:
-        c.unpersist()
+    out = stage_to(out.select(F.col("__pid").alias(point_id), F.col("__sid").alias(site_id), F.col("__d").alias("distance")))
+    for path in old:
+        remove_path(spark, path)
     return out
 
 

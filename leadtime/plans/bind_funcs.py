@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadtime.functions import geo, text, timeops as tm
+from leadtime.operators.sets import top_k_per_group
 from leadtime.plans.fixtures import Fixtures, with_views
 from leadtime.plans.registry import query
 
@@ -100,9 +101,8 @@ def utc_sql(zone: str, local: str) -> str:
 SELECT h.order_id, epoch_us({utc_sql('s.zone', _LOCAL_SQL.replace('day', 'h.day').replace('hhmm', 'h.hhmm'))}) AS utc_us
 FROM hhmm h LEFT JOIN sites s ON s.site_id = h.site"""))
 def q_to_utc(spark, d):
-    from leadtime.operators._plan import sized_broadcast
     fx = Fixtures(spark, d)
-    h = fx.hhmm().join(sized_broadcast(fx.sites().select(F.col("site_id").alias("site"), "zone")), "site", "left")
+    h = fx.hhmm().join(fx.sites().select(F.col("site_id").alias("site"), "zone"), "site", "left")
     return h.select("order_id", F.unix_micros(tm.to_utc(tm.hhmm_timestamp("day", "hhmm"), "zone")).alias("utc_us"))
 
 
@@ -255,11 +255,14 @@ SELECT site, CAST(CAST(read_ts AS DATE) AS VARCHAR) AS day,
   array_to_string(list_slice(list_filter(list(wind ORDER BY read_ts, reading_id), lambda x: x IS NOT NULL), -3, -1), ',') AS last3
 FROM readings GROUP BY 1, 2"""))
 def q_last_non_null(spark, d):
-    r = Fixtures(spark, d).readings()
-    g = r.groupBy("site", F.to_date("read_ts").cast("string").alias("day")).agg(
-        F.array_sort(F.collect_list(F.struct("read_ts", "reading_id", "wind"))).alias("l"))
-    arr = F.transform("l", lambda s: s["wind"])
-    return g.select("site", "day", F.array_join(F.transform(text.last_non_null(arr, 3), lambda x: x.cast("string")), ",").alias("last3"))
+    r = Fixtures(spark, d).readings().withColumn("day", F.to_date("read_ts").cast("string"))
+    # the last three of a site-day are picked before they are gathered
+    top = top_k_per_group(r.filter(F.col("wind").isNotNull()).withColumn("site_day", F.struct("site", "day"))
+                          .withColumn("t", F.struct("read_ts", "reading_id")), "site_day", "t", 3, "reading_id")
+    last = top.groupBy("site", "day").agg(F.array_sort(F.collect_list(F.struct("read_ts", "reading_id", "wind"))).alias("l"))
+    g = r.select("site", "day").distinct().join(last, ["site", "day"], "left")
+    last3 = text.last_non_null(F.transform("l", lambda s: s["wind"]), 3)
+    return g.select("site", "day", F.coalesce(F.array_join(F.transform(last3, lambda x: x.cast("string")), ","), F.lit("")).alias("last3"))
 
 
 @query("entries_to_map", with_views(["trips"], """

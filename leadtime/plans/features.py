@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from leadtime.functions import timeops as tm
 from leadtime.operators import joins, windows
-from leadtime.operators._plan import sized_broadcast
 
 _MIN = 60_000_000.0
 
@@ -162,18 +161,16 @@ def impute_from_route(df: DataFrame, route: list[str], t: str, tie: str, col: st
 
 
 def holiday_distance(df: DataFrame, day: Column, holidays: DataFrame, day_col: str = "day",
-                     week: int = 3, max_holidays: int = 10_000) -> DataFrame:
+                     week: int = 3) -> DataFrame:
     """days to each holiday (array, holiday order), the nearest, and
-    whether any is within ``week`` days.  The holiday calendar is a small
-    bounded table: it is read once (size checked) and inlined as a literal
-    array, so no join is needed."""
-    rows = holidays.select(F.col(day_col).cast("string")).limit(max_holidays + 1).collect()
-    if len(rows) > max_holidays:
-        raise ValueError("holiday table larger than the bound for inlining")
-    hs = F.array(*[F.lit(r[0]).cast("date") for r in sorted(rows)]) if rows else F.array().cast("array<date>")
-    dist = F.transform(hs, lambda h: F.abs(F.datediff(day, h)))
-    return df.withColumns({"days_each": dist, "days_to_holiday": F.array_min(dist),
-                           "in_holiday_week": F.exists(dist, lambda x: x <= week).cast("int")})
+    whether any is within ``week`` days.  The calendar is gathered into one
+    row in Spark and joined; the result holds a number per holiday and row,
+    so it is meant for a calendar of a few hundred days at most."""
+    cal = holidays.agg(F.array_sort(F.collect_list(F.col(day_col).cast("date"))).alias("__cal"))
+    dist = F.transform("__cal", lambda h: F.abs(F.datediff(day, h)))
+    out = df.join(cal)   # one row
+    return out.withColumns({"days_each": dist, "days_to_holiday": F.array_min(dist),
+                            "in_holiday_week": F.exists(dist, lambda x: x <= week).cast("int")}).drop("__cal")
 
 
 def attach_zone(df: DataFrame, point_id: str, lat: str, lon: str, zones: DataFrame,
@@ -183,7 +180,7 @@ def attach_zone(df: DataFrame, point_id: str, lat: str, lon: str, zones: DataFra
     pts = df.select(point_id, lat, lon).distinct()
     nn = joins.nearest(pts, zones, point_id, lat, lon, z_id, z_lat, z_lon)
     zz = zones.select(F.col(z_id).alias("__zid"), F.col(zone).alias("__zone"))
-    nn = nn.join(sized_broadcast(zz), nn[z_id] == zz["__zid"], "left").select(point_id, "__zone")
+    nn = nn.join(zz, nn[z_id] == zz["__zid"], "left").select(point_id, "__zone")
     out = df.join(nn, point_id, "left")
     return out.withColumn(zone, F.coalesce(F.col("__zone"), F.lit(default))).drop("__zone")
 
@@ -193,7 +190,7 @@ def clean_readings(readings: DataFrame, sites: DataFrame, key: str, t: str, feat
     """Reading clean flow: dedup (fewest NULLs per key and time),
     zone lookup, local -> UTC."""
     d = windows.dedup_least_null(readings, [key, t], feats, [tie])
-    z = sized_broadcast(sites.select(F.col(site_key).alias("__sk"), F.col(zone).alias("__zone")))
+    z = sites.select(F.col(site_key).alias("__sk"), F.col(zone).alias("__zone"))
     d = d.join(z, d[key] == z["__sk"], "left").drop("__sk")
     return d.withColumn(f"{t}_utc", tm.to_utc(t, "__zone")).withColumnRenamed("__zone", zone)
 
