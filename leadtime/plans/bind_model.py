@@ -30,7 +30,7 @@ def _folds(df, k=3):
 
 
 def _split(df):
-    return df.filter(sm.key_hash("doc_id") < 750), df.filter(sm.key_hash("doc_id") >= 750)
+    return df.filter(sm.key_hash("doc_id") < 0.75), df.filter(sm.key_hash("doc_id") >= 0.75)
 
 
 def _lr(**p):
@@ -157,11 +157,22 @@ def q_season_fold(spark, d):
     return out.select("trip_id", *[c for c in out.columns if c.startswith(("weekly_", "daily_", "yearly_", "holidays_"))])
 
 
-@query("trend_features")
+@query("trend_features", """
+WITH a AS (SELECT o_orderpriority AS site, CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS y FROM orders GROUP BY 1, 2),
+r AS (SELECT site, min(day) AS lo, max(day) AS hi FROM a GROUP BY site),
+c AS (SELECT site, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM r),
+f AS (SELECT c.site, c.day, last_value(y IGNORE NULLS) OVER (PARTITION BY c.site ORDER BY c.day) AS s
+      FROM c LEFT JOIN a ON a.site = c.site AND a.day = c.day),
+t AS (SELECT *, avg(s) OVER (PARTITION BY site ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS trend,
+             row_number() OVER (PARTITION BY site ORDER BY day) AS n FROM f),
+w AS (SELECT *, avg(s - trend) OVER (PARTITION BY site, dayofweek(day) ORDER BY day) AS season FROM t)
+SELECT o.o_orderkey, round(trend, 6) + 0.0 AS trend, round(season, 6) + 0.0 AS season, round(s - trend - season, 6) + 0.0 AS resid
+FROM orders o LEFT JOIN w ON w.site = o.o_orderpriority AND w.n >= 90
+  AND CAST(o.o_orderdate AS DATE) = w.day + INTERVAL 7 DAY""")
 def q_trend(spark, d):
     o = Fixtures(spark, d).table("orders")
     out = ss.trend_features(o, "o_orderpriority", "o_orderdate", "o_totalprice")
-    return out.select("o_orderkey", "trend", "season", "resid")
+    return out.select("o_orderkey", *[F.round(c, 6).alias(c) for c in ("trend", "season", "resid")])
 
 
 @query("ml_time_cv")
@@ -172,20 +183,22 @@ def q_ml_time_cv(spark, d):
     span (F2 and area under PR per fold and final)."""
     from leadtime.operators import clean
     from leadtime.plans import features as ft
+    from leadtime.sources.io import stage_to
     fx = Fixtures(spark, d)
     t = fx.trips().withColumn("period", F.floor(F.datediff(F.to_date("sched"), F.lit("2024-01-01").cast("date")) / 7).cast("long"))
     tab = ft.feature_table(t, fx.sites(), fx.stations(), fx.readings().select("reading_id", "site", "read_ts", "wind"),
                            fx.holidays(), period="period")
     num = ["hour_sin", "hour_cos", "dow_sin", "dow_cos", "prior_turnaround", "prior_depdelay_calc", "prior_isdelayed_calc",
            "mean_dep_delay", "prop_delayed", "lag_mean_delay", "days_to_holiday", "w_wind", "prev_rank"]
-    tab = clean.fill(tab.select("trip_id", "sched_utc", "label", "origin_zone", *num), numeric_value=0.0)
+    tab = stage_to(clean.fill(tab.select("trip_id", "sched_utc", "label", "origin_zone", *num), numeric_value=0.0))
     train, test = sm.train_test_split(tab, "sched_utc", test_fraction=0.2)
-    train = sm.class_weights(train, "label")
     folds = sm.fold_frames(train, "sched_utc", sm.cv_bounds(train, "sched_utc", k=3, blocking=True, overlap=0.5))
 
     def lr():
         return Pipeline(stages=ml.encode_stages(["origin_zone"], num, scale="standard")
                         + [ml.model("logreg", weight="weight", maxIter=30)])
-    rows = ml.cross_validate(folds, lr)
-    _, final = ml.final_eval(train, test, lr())
+    def weighted(part):
+        return sm.class_weights(part, "label")
+    rows = ml.cross_validate(folds, lr, weight_fn=weighted, keep=["label", "origin_zone", *num])
+    _, final = ml.final_eval(weighted(train), test, lr())
     return ml.metrics_frame(spark, rows + [final])

@@ -108,15 +108,32 @@ def _metrics(pred: DataFrame, label: str, fold, extra: dict | None = None) -> di
 
 
 def cross_validate(folds: list[tuple[DataFrame, DataFrame]], make_pipeline: Callable[[], Pipeline], label: str = "label",
-                   sampling_fn: Callable[[DataFrame], DataFrame] | None = None) -> list[dict]:
-    """Fit on each fold's training part (optionally resampled), score its
-    validation part; one metrics dict per fold."""
+                   sampling_fn: Callable[[DataFrame], DataFrame] | None = None,
+                   weight_fn: Callable[[DataFrame], DataFrame] | None = None, keep: list[str] | None = None,
+                   templates: dict[str, str] | None = None, fill: list[str] = ()) -> list[dict]:
+    """Fit on each fold's training part, score its validation part; one
+    metrics dict per fold.
+
+    Per fold, in this order: fold-suffixed columns get their plain names
+    (``templates``, ``fill``: ``sampling.bind_fold``), the ``keep`` columns
+    are selected, the training part is resampled and weighted from its own
+    rows.  A training part is read several times by a fit, so it is kept
+    until the fold is done; folds should read a staged table.
+    """
+    from leadtime.operators.sampling import bind_fold
     out = []
     for i, (tr, va) in enumerate(folds):
-        if sampling_fn is not None:
-            tr = sampling_fn(tr)
-        m = make_pipeline().fit(tr)
-        out.append(_metrics(m.transform(va), label, i))
+        if templates:
+            tr, va = bind_fold(tr, i, templates, fill), bind_fold(va, i, templates, fill)
+        if keep:
+            tr, va = tr.select(*keep), va.select(*keep)
+        for fn in (sampling_fn, weight_fn):
+            tr = fn(tr) if fn is not None else tr
+        tr = tr.persist()
+        pred = make_pipeline().fit(tr).transform(va).select(label, "prediction", "probability").persist()
+        out.append(_metrics(pred, label, i))
+        tr.unpersist()
+        pred.unpersist()
     return out
 
 

@@ -162,8 +162,12 @@ def apply_by_fold(df: DataFrame, weekly: DataFrame, yearly: DataFrame, folds: li
 def trend_features(df: DataFrame, site: str, ts: str, y: str, shift_days: int = 7, min_days: int = 90,
                    window: int = 7) -> DataFrame:
     """Per-site trend / weekly season / residual of the daily mean,
-    shifted forward ``shift_days`` (so a row only sees components of data at
-    least that old), sites with fewer than ``min_days`` days skipped.
+    shifted forward ``shift_days``; a row only sees data at least that old.
+
+    Every component looks back only: a missing day carries the last one on,
+    the trend is the mean of the last ``window`` days, and the season is the
+    weekday's mean residue so far.  Components start on a site's
+    ``min_days``-th day.
 
     The daily series (one row per site and day) is built in Spark; each
     site's series is decomposed in one ``applyInPandas`` group; the result
@@ -174,19 +178,19 @@ def trend_features(df: DataFrame, site: str, ts: str, y: str, shift_days: int =
 
     def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
         cols = ["__site", "__day", "trend", "season", "resid"]
-        if len(pdf) < min_days:
+        p = pdf[pdf["__day"].notna()].sort_values("__day")
+        if not len(p):
             return pd.DataFrame(columns=cols)
-        p = pdf.sort_values("__day")
         idx = pd.date_range(p["__day"].min(), p["__day"].max(), freq="D")
-        s = pd.Series(p["y"].to_numpy(dtype=float), index=pd.to_datetime(p["__day"])).reindex(idx).interpolate(limit_direction="both")
-        trend = s.rolling(window, center=True, min_periods=1).mean()
+        s = pd.Series(p["y"].to_numpy(dtype=float), index=pd.to_datetime(p["__day"])).reindex(idx).ffill()
+        trend = s.rolling(window, min_periods=1).mean()
         det = s - trend
-        season = det.groupby(det.index.dayofweek).transform("mean")
-        resid = s - trend - season
-        out = pd.DataFrame({"__site": p["__site"].iloc[0],
+        season = det.groupby(det.index.dayofweek).transform(lambda x: x.expanding().mean())
+        out = pd.DataFrame({"__site": pdf["__site"].iloc[0],
                             "__day": (idx + pd.Timedelta(days=shift_days)).date,
-                            "trend": trend.to_numpy(), "season": season.to_numpy(), "resid": resid.to_numpy()})
-        return out[cols]
+                            "trend": trend.to_numpy(), "season": season.to_numpy(),
+                            "resid": (det - season).to_numpy()})
+        return out[cols].iloc[min_days - 1:]
 
     comp = daily.groupBy("__site").applyInPandas(
         decompose, f"__site {site_t}, __day date, trend double, season double, resid double")
