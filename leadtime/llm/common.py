@@ -54,6 +54,14 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.coalesce(c, F.lit("")), GAP), lambda w: w != "")
 
 
+def packed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside ``extra``, so that no
+    helper column meets a column of the same name; ``select("row.*")`` undoes
+    it."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *[c.alias(n) for n, c in extra.items()])
+
+
 def text_groups(texts: list, limit: int = 1 << 21):
     """Consecutive slices (lo, hi) of ``texts`` of about ``limit`` characters,
     one text at least, so that working memory follows the longest text and
@@ -82,13 +90,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def rolling_hash(h: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
-    """64-bit hash of every window of ``width`` consecutive values of ``h``
-    (unsigned); empty when there are fewer."""
+    """64-bit hash of every window of ``width`` consecutive values of ``h``,
+    themselves 64-bit hashes (unsigned); empty when there are fewer."""
     n = len(h) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     acc = np.zeros(n, np.uint64)
     odd = np.random.default_rng(seed).integers(1, 1 << 62, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     for j in range(width):
-        acc += mix64(h[j:j + n] ^ odd[j]) * odd[width - 1 - j]
+        acc += h[j:j + n] * odd[j]
     return mix64(acc)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import WORD, staged
+from leadtime.llm.common import WORD, packed, staged
 from leadtime.operators.windows import row_index
 
 WEIGHTS = (3, 1, 2)
@@ -89,9 +89,7 @@ def mix_report(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: floa
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 7) -> DataFrame:
     """The mixed corpus: the columns of ``docs``, each row as often as the
     mix takes it."""
-    cols = docs.columns
-    one = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("source"),
-                      F.col("doc_id").alias("__id"), text_size(F.col("text")).alias("size"))
+    one = packed(docs, source=F.col("source"), __id=F.col("doc_id"), size=text_size(F.col("text")))
     targets = source_targets(one.select("source", "size"), weights, share, cap)
     out = _copies(one.withColumn("u", draw(seed, F.col("__id"), F.col("size"))), targets)
     out = out.filter(F.col("copies") > 0).select("row", F.explode(F.expr("array_repeat(0, int(copies))")))

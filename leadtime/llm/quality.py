@@ -6,9 +6,10 @@ that lose most of their words are rejected, beside those that fail the base
 rules (too short, or mostly repeated word windows).
 
 Copies and near copies of one document count as one document of the host:
-documents are told apart by the smallest hash of their word windows.  So the
-lines of a much-copied document are not boilerplate, and its copies are left
-to the deduplication stages.
+documents are told apart by two minimum hashes of their word windows, and
+rows that agree in one of them, or in one with a third row each, are one
+document.  So the lines of a much-copied document are not boilerplate, and
+its copies are left to the deduplication stages.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import rolling_hash, staged
+from leadtime.llm.common import mix64, packed, rolling_hash, staged
 
 REPEAT_WINDOW = 8
+SKETCH_WINDOW = 5
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 HOST_SHARE = 0.01    # a line in more than this share of a host's documents ...
@@ -30,14 +32,22 @@ _SYMBOLS = "#*$%&|<>"
 _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def repeat_words(ws: list[bytes], hashes: np.ndarray) -> tuple[int, int]:
-    """Words in windows found twice or more, and the smallest window hash."""
+def sketches(hashes: np.ndarray) -> tuple[int, int]:
+    """The smallest of two hashes over a text's word windows."""
+    if not len(hashes):
+        return 0, 0
+    h = rolling_hash(hashes, min(SKETCH_WINDOW, len(hashes)))
+    return int(h.min()), int(mix64(h ^ np.uint64(SKETCH_WINDOW)).min())
+
+
+def repeat_words(ws: list[bytes], hashes: np.ndarray) -> int:
+    """Words in windows found twice or more."""
     if len(ws) < REPEAT_WINDOW:
-        return 0, int(rolling_hash(hashes, len(ws))[0]) if ws else 0
+        return 0
     h = rolling_hash(hashes, REPEAT_WINDOW)
     s = np.sort(h)
     if not (s[1:] == s[:-1]).any():
-        return 0, int(s[0])
+        return 0
     seen, again = {}, []   # equal hashes are looked at as words
     for i in np.nonzero(np.isin(h, s[1:][s[1:] == s[:-1]]))[0].tolist():
         seen.setdefault(tuple(ws[i:i + REPEAT_WINDOW]), []).append(i)
@@ -46,12 +56,12 @@ def repeat_words(ws: list[bytes], hashes: np.ndarray) -> tuple[int, int]:
     cover = np.zeros(len(ws) + 1, np.int64)
     np.add.at(cover, again, 1)
     np.add.at(cover, np.array(again, np.int64) + REPEAT_WINDOW, -1)
-    return int((np.cumsum(cover[:-1]) > 0).sum()), int(s[0])
+    return int((np.cumsum(cover[:-1]) > 0).sum())
 
 
 def measure_text(text) -> tuple:
-    """The base figures of a text, its sketch, and its lines with words as
-    (hash, number of words)."""
+    """The base figures of a text, its two sketches, and its lines with words
+    as hashes and numbers of words."""
     import xxhash
     text = text or ""
     digest = xxhash.xxh3_64_intdigest
@@ -59,7 +69,7 @@ def measure_text(text) -> tuple:
     chars = len(text) - sum(map(text.count, _SPACES))
     symbols = sum(map(text.count, _SYMBOLS))
     hashes = np.fromiter(map(digest, ws), np.uint64, len(ws))
-    repeated, sketch = repeat_words(ws, hashes)
+    repeated = repeat_words(ws, hashes)
     dup, seen, lines, sizes = 0, set(), [], []
     for raw in text.encode("utf-8").split(b"\n"):
         line = raw.lower().split()
@@ -69,7 +79,7 @@ def measure_text(text) -> tuple:
         seen.add(raw)
         lines.append(digest(b" ".join(line)))
         sizes.append(len(line))
-    return len(ws), chars, symbols, dup, repeated, sketch, lines, sizes
+    return len(ws), chars, symbols, dup, repeated, *sketches(hashes), lines, sizes
 
 
 def _signed(values) -> pa.Array:
@@ -77,7 +87,7 @@ def _signed(values) -> pa.Array:
 
 
 def measured(docs: DataFrame, host: str = "source") -> DataFrame:
-    """``row, doc_id, host, key, <base figures>, sketch, lines`` per row,
+    """``row, doc_id, host, key, <base figures>, m1, m2, lines`` per row,
     written to the shared folder."""
     src = docs.select("doc_id", F.col(host).alias("host"), content_key(docs, host).alias("key"), F.col("text").alias("t"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -85,18 +95,18 @@ def measured(docs: DataFrame, host: str = "source") -> DataFrame:
     def run(batches):
         for b in batches:
             rows = [measure_text(t.as_py()) for t in b.column(3)]
-            cols = list(zip(*rows)) if rows else [()] * 8
+            cols = list(zip(*rows)) if rows else [()] * 9
             line = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum([len(x) for x in cols[6]])]), pa.int32()),
-                pa.StructArray.from_arrays([_signed([h for x in cols[6] for h in x]),
-                                            pa.array([n for x in cols[7] for n in x], pa.int64())], ["h", "n"]))
+                pa.array(np.concatenate([[0], np.cumsum([len(x) for x in cols[7]])]), pa.int32()),
+                pa.StructArray.from_arrays([_signed([h for x in cols[7] for h in x]),
+                                            pa.array([n for x in cols[8] for n in x], pa.int64())], ["h", "n"]))
             yield pa.record_batch([b.column(0), b.column(1), b.column(2),
-                                   *[pa.array(c, pa.int64()) for c in cols[:5]], _signed(cols[5]), line],
-                                  ["doc_id", "host", "key", *names, "sketch", "lines"])
+                                   *[pa.array(c, pa.int64()) for c in cols[:5]], _signed(cols[5]), _signed(cols[6]), line],
+                                  ["doc_id", "host", "key", *names, "m1", "m2", "lines"])
 
     types = {f.name: f.dataType.simpleString() for f in src.schema.fields}
     out = src.mapInArrow(run, f"doc_id {types['doc_id']}, host {types['host']}, key string, "
-                         + ", ".join(f"{n} long" for n in names) + ", sketch long, lines array<struct<h:long,n:long>>")
+                         + ", ".join(f"{n} long" for n in names) + ", m1 long, m2 long, lines array<struct<h:long,n:long>>")
     return staged(out.withColumn("row", F.monotonically_increasing_id()), "quality-lines")
 
 
@@ -106,13 +116,25 @@ def content_key(docs: DataFrame, host: str = "source") -> Column:
     return F.concat_ws("|", *part)
 
 
-def boilerplate(lines: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR) -> DataFrame:
-    """``host, h``: lines in more than ``floor`` documents of their host and
-    more than ``share`` of them.  Every count is combined map-side."""
-    null_safe = F.struct("host")   # NULL is a host like any other
-    docs = lines.select(null_safe.alias("hs"), "sketch").distinct().groupBy("hs").agg(F.count(F.lit(1)).alias("docs"))
-    seen = (lines.filter(F.size("lines") > 0)
-            .select(null_safe.alias("hs"), "sketch", F.explode(F.array_distinct(F.col("lines.h"))).alias("h"))
+def distinct_documents(rows: DataFrame) -> DataFrame:
+    """``r, doc``: each row's document.  An edit changes one of the two
+    sketches rarely and both almost never, so the smallest m1 among rows of
+    equal m2, and the smallest of that among rows of equal m1, is the same
+    for nearly all copies.  Minima are combined map-side."""
+    by2 = rows.groupBy(F.col("m2").alias("k2")).agg(F.min("m1").alias("least"))
+    hop = rows.select("row", "m1", "m2").join(by2, F.col("m2") == F.col("k2")).select("row", "m1", "least")
+    by1 = hop.groupBy(F.col("m1").alias("k1")).agg(F.min("least").alias("doc"))
+    return staged(hop.join(by1, F.col("m1") == F.col("k1")).select(F.col("row").alias("r"), "doc"), "distinct-documents")
+
+
+def boilerplate(rows: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR) -> DataFrame:
+    """``hs, h``: lines in more than ``floor`` documents of their host (in a
+    struct, so that NULL is a host like any other) and more than ``share`` of
+    them.  Every count is combined map-side."""
+    lines = (rows.select("row", F.struct("host").alias("hs"), F.array_distinct(F.col("lines.h")).alias("hashes"))
+             .join(distinct_documents(rows), F.col("row") == F.col("r")))
+    docs = lines.select("hs", "doc").distinct().groupBy("hs").agg(F.count(F.lit(1)).alias("docs"))
+    seen = (lines.filter(F.size("hashes") > 0).select("hs", "doc", F.explode("hashes").alias("h"))
             .distinct().groupBy("hs", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > floor))
     often = seen.join(docs.withColumnRenamed("hs", "h0"), F.col("hs") == F.col("h0")).filter(F.col("n") > share * F.col("docs"))
     return staged(often.select("hs", "h"), "boilerplate")
@@ -127,7 +149,7 @@ def judged(docs: DataFrame, host: str = "source", share: float = HOST_SHARE, flo
     lines = rows.filter(F.size("lines") > 0).select("row", F.struct("host").alias("hs"), F.explode("lines").alias("l"))
     lost = (lines.join(bad, (F.col("hs") == F.col("bh")) & (F.col("l.h") == F.col("bl")))
             .groupBy("row").agg(F.sum("l.n").alias("lost")).withColumnRenamed("row", "r"))
-    out = rows.drop("lines", "sketch").join(lost, F.col("row") == F.col("r"), "left")
+    out = rows.drop("lines", "m1", "m2").join(lost, F.col("row") == F.col("r"), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     out = out.withColumn("n_left", F.col("n_words") - F.coalesce("lost", F.lit(0))).withColumn("base_failed", failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_left") >= min_left * F.col("n_words"))).drop("row", "r", "lost")
@@ -150,4 +172,6 @@ def keep_good(docs: DataFrame, host: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` that the rules keep."""
     bad = staged(judged(docs, host, **options).filter(~F.col("kept")).select(F.col("key").alias("__bad")).distinct(),
                  "quality-rejected")
-    return docs.join(bad, content_key(docs, host) == F.col("__bad"), "left_anti")
+    # always by shuffle: the rejected keys grow with the documents
+    return (packed(docs, key=content_key(docs, host)).join(bad.hint("merge"), F.col("key") == F.col("__bad"), "left_anti")
+            .select("row.*"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import mix64, staged, text_groups
+from leadtime.llm.common import mix64, packed, staged
 from leadtime.llm.components import components
 
 BLOCKS = 8
@@ -228,8 +228,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     alike = rows.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("__n"))
     first = staged(first.join(alike, (F.col("__h") == F.col("row_hash")) & F.col("__id").eqNullSafe(F.col("doc_id")))
                    .select("__id", "__h", "__n"), "simhash-kept")
-    kept = docs.join(first, (row_hash(docs) == F.col("__h")) & F.col(doc_id).eqNullSafe(F.col("__id")))
+    kept = packed(docs, d=F.col(doc_id), h=row_hash(docs)).join(first, (F.col("h") == F.col("__h")) & F.col("d").eqNullSafe(F.col("__id")))
     single = kept.filter(F.col("__n") == 1)
     repeated = kept.filter(F.col("__n") > 1).dropDuplicates(["__id", "__h"])
-    cols = [f"`{c}`" for c in docs.columns]
-    return single.select(*cols).unionByName(repeated.select(*cols))
+    return single.select("row").unionByName(repeated.select("row")).select("row.*")
