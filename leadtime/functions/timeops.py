@@ -19,11 +19,6 @@ def to_instant(c) -> Column:
     return col(c).cast("timestamp")
 
 
-def epoch_seconds(c) -> Column:
-    """Seconds since epoch as a double (sub-second part kept)."""
-    return F.unix_micros(col(c)) / F.lit(1_000_000.0)
-
-
 def epoch_micros(c) -> Column:
     return F.unix_micros(col(c))
 
@@ -101,11 +96,6 @@ def time_bucket(ts, width) -> Column:
     return F.timestamp_micros(F.floor(F.unix_micros(col(ts)) / w).cast("long") * w)
 
 
-def bucket_index(ts, width_seconds: float) -> Column:
-    """Integer epoch bucket number of ``width_seconds``."""
-    return F.floor(F.unix_micros(col(ts)) / F.lit(int(width_seconds * 1_000_000))).cast("long")
-
-
 def interval_minutes(c) -> Column:
     """day-time interval -> minutes (double)."""
     return F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + col(c)) / F.lit(60_000_000.0)

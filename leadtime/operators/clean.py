@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,7 +171,3 @@ def only_correct(df: DataFrame, y: str, pred: str, others: list[str]) -> DataFra
     for o in others:
         cond = cond & (F.col(o) != F.col(y))
     return df.filter(cond)
-
-
-def all_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)

@@ -24,9 +24,10 @@ def f_beta(df: DataFrame, y: str, p: str, beta: float = 2.0, positive=1) -> Data
 
 
 def area_under_pr(df: DataFrame, y: str, score: str) -> float:
-    """Area under the precision-recall curve (Spark evaluator)."""
+    """Area under the precision-recall curve (Spark evaluator, a point
+    for every distinct score)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=y, metricName="areaUnderPR")
+    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=y, metricName="areaUnderPR", numBins=0)
     return ev.evaluate(df.select(F.col(score).cast("double").alias(score), F.col(y).cast("double").alias(y)))
 
 

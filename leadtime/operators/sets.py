@@ -67,9 +67,10 @@ def top_k_per_group(df: DataFrame, key: str, score: str, k: int, tie: str) -> Da
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def head(df: DataFrame, n: int) -> DataFrame:
-    """T4."""
-    return df.limit(n)
+def head(df: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
+    """T4: ``n`` rows, the first in ``order`` when given (a top-k plan, no
+    full sort)."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 def top_features(df: DataFrame, by: str, n: int, name: str = "feature") -> DataFrame:

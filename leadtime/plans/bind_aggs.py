@@ -344,9 +344,10 @@ def q_top_k_group(spark, d):
     return sets.top_k_per_group(Fixtures(spark, d).readings(), "site", "wind", 3, "reading_id").select("site", "reading_id", "rank")
 
 
-@query("head")
+@query("head", with_views(["trips"], """
+SELECT trip_id, entity, carrier FROM trips ORDER BY sched, trip_id LIMIT 20"""))
 def q_head(spark, d):
-    return sets.head(Fixtures(spark, d).trips(), 20)
+    return sets.head(Fixtures(spark, d).trips(), 20, ["sched", "trip_id"]).select("trip_id", "entity", "carrier")
 
 
 @query("top_features", with_views(["wide_nulls"], """

@@ -170,6 +170,13 @@ def q_dataset_size(spark, d):
     return dataset_size(spark, d)
 
 
+@query("profile_stage_counts", with_views(["trips"], """
+SELECT 'trips' AS stage, count(*) AS n_rows, CAST(9 AS BIGINT) AS n_cols FROM trips"""))
+def q_profile_counts(spark, d):
+    from leadtime.sources.io import profile_stage
+    return profile_stage(Fixtures(spark, d).trips(), "trips").select("stage", "n_rows", "n_cols")
+
+
 @query("profile_stage")
 def q_profile_stage(spark, d):
     from leadtime.sources.io import profile_stage

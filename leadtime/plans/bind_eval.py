@@ -141,7 +141,11 @@ def q_f_beta(spark, d):
     return f.select("tp", "fp", "fn", *[r6(F.col(c)).alias(c) for c in ["precision", "recall", "f_beta"]])
 
 
-@query("area_under_pr")
+@query("area_under_pr", with_views(["scored"], """,
+g AS (SELECT p1, sum(outcome) AS pos, count(*) AS n FROM scored GROUP BY p1),
+c AS (SELECT pos, sum(pos) OVER w AS tp, sum(n) OVER w AS k, sum(pos) OVER () AS p FROM g WINDOW w AS (ORDER BY p1 DESC)),
+q AS (SELECT pos, p, tp / k AS prec, lag(tp / k) OVER (ORDER BY k) AS prev FROM c)
+SELECT (SELECT count(*) FROM scored) AS n, round(sum(pos / p * (prec + coalesce(prev, prec)) / 2), 6) AS area_under_pr FROM q"""))
 def q_aupr(spark, d):
     s = Fixtures(spark, d).scored()
     v = ev.area_under_pr(s, "outcome", "p1")

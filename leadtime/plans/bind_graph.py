@@ -200,7 +200,9 @@ def q_rank_by_fold(spark, d):
     return out.select("trip_id", *[r6(F.col(f"pr_{i}")).alias(f"pr_{i}") for i in range(4)])
 
 
-@query("outdegree_sample")
+@query("outdegree_sample", with_views(["edges_sparse"], """,
+n AS (SELECT src AS id, count(*) AS out_degree FROM edges_sparse GROUP BY src)
+SELECT * FROM n WHERE CAST('0x' || substr(md5('7:' || id), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE < 10 / (SELECT count(*) FROM n)"""))
 def q_outdeg_sample(spark, d):
     """An n-point sample of the out-degree distribution (hash-chosen)."""
     from leadtime.operators.sampling import sample_n
@@ -208,3 +210,22 @@ def q_outdeg_sample(spark, d):
     deg = adj.select(F.col("node").alias("id"),
                      F.aggregate(F.map_values("nbrs"), F.lit(0).cast("long"), lambda a, x: a + x).alias("out_degree"))
     return sample_n(deg, 10, "id")
+
+
+# ---------------------------------------------------------------------------
+# A graph that grows with the tables: customers to suppliers
+
+@query("pagerank_trade", with_views(["edges_trade"], ",\n" + pagerank_sql("edges_trade", 4) + """
+SELECT id, round(r, 9) AS pagerank FROM r4"""))
+def q_pagerank_trade(spark, d):
+    v, e = graph.build_graph(Fixtures(spark, d).edges_trade(), "src", "dst")
+    return graph.pagerank(v, e, 0.15, 4).select("id", F.round("pagerank", 9).alias("pagerank"))
+
+
+@query("degrees_trade", with_views(["edges_trade"], """,
+o AS (SELECT src AS id, count(*) AS out_degree FROM edges_trade GROUP BY 1),
+i AS (SELECT dst AS id, count(*) AS in_degree FROM edges_trade GROUP BY 1)
+SELECT coalesce(o.id, i.id) AS id, coalesce(out_degree, 0) AS out_degree, coalesce(in_degree, 0) AS in_degree
+FROM o FULL JOIN i ON o.id = i.id"""))
+def q_degrees_trade(spark, d):
+    return graph.degrees(Fixtures(spark, d).edges_trade())

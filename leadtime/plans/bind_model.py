@@ -1,4 +1,4 @@
-"""Registered queries: model pipelines and seasonal fits (rows-only checks:
+"""Registered queries: model pipelines and seasonal fits (mostly rows-only checks:
 fitted models and least-squares fits have no SQL statement)."""
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from leadtime.plans import ml
 from leadtime.plans import seasonality as ss
 from leadtime.plans.fixtures import HOLIDAYS, Fixtures
 from leadtime.plans.registry import query
+from leadtime.sources.io import stage_to
 
 CAT, NUM = ["lang", "source"], ["n_chars"]
 
@@ -87,6 +88,19 @@ def q_ml_ablation(spark, d):
     return ml.metrics_frame(spark, rows)
 
 
+@query("ml_scaled_values", """
+WITH x AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS v FROM labels JOIN documents USING (doc_id))
+SELECT doc_id, round((v - avg(v) OVER ()) / stddev_samp(v) OVER (), 6) + 0.0 AS standard,
+       round((v - min(v) OVER ()) / (max(v) OVER () - min(v) OVER ()), 6) + 0.0 AS minmax FROM x""")
+def q_ml_scaled(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    x = stage_to(_model_input(Fixtures(spark, d)).select("doc_id", "n_chars"))
+    for kind in ("standard", "minmax"):
+        fitted = Pipeline(stages=ml.encode_stages([], ["n_chars"], scale=kind, out=kind)).fit(x)
+        x = fitted.transform(x).drop(f"{kind}__raw")
+    return x.select("doc_id", *[F.round(vector_to_array(k)[0], 6).alias(k) for k in ("standard", "minmax")])
+
+
 @query("ml_importance")
 def q_ml_importance(spark, d):
     tr, _ = _split(_model_input(Fixtures(spark, d)))
@@ -183,7 +197,6 @@ def q_ml_time_cv(spark, d):
     span (F2 and area under PR per fold and final)."""
     from leadtime.operators import clean
     from leadtime.plans import features as ft
-    from leadtime.sources.io import stage_to
     fx = Fixtures(spark, d)
     t = fx.trips().withColumn("period", F.floor(F.datediff(F.to_date("sched"), F.lit("2024-01-01").cast("date")) / 7).cast("long"))
     tab = ft.feature_table(t, fx.sites(), fx.stations(), fx.readings().select("reading_id", "site", "read_ts", "wind"),

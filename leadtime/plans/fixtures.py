@@ -113,6 +113,15 @@ class Fixtures:
                 .select(F.col("c_nationkey").cast("string").alias("src"),
                         F.col("s_nationkey").cast("string").alias("dst")))
 
+    def edges_trade(self) -> DataFrame:
+        """Customer -> supplier multigraph over every line: its vertices grow
+        with the tables, and suppliers have no out-links."""
+        li = self.table("lineitem").select("l_orderkey", "l_suppkey")
+        o = self.table("orders").select("o_orderkey", "o_custkey")
+        return li.join(o, li.l_orderkey == o.o_orderkey).select(
+            F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
+            F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst"))
+
     def edges_sparse(self) -> DataFrame:
         """Route multigraph with dangling nodes over every order: sources
         0..35 (customer key mod 36), targets 0..39 (order key mod 40), so the
@@ -210,6 +219,9 @@ FROM orders""",
 SELECT CAST(c.c_nationkey AS VARCHAR) AS src, CAST(s.s_nationkey AS VARCHAR) AS dst
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey""",
+    "edges_trade": """
+SELECT 'c' || CAST(o_custkey AS VARCHAR) AS src, 's' || CAST(l_suppkey AS VARCHAR) AS dst
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "edges_sparse": """
 SELECT CAST(o_custkey % 36 AS VARCHAR) AS src, CAST(o_orderkey % 40 AS VARCHAR) AS dst FROM orders""",
     "wide_nulls": """

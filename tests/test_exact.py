@@ -185,3 +185,34 @@ def test_folds_are_weighted_from_their_own_rows(spark):
     folds = [(df.filter("id < 200"), df.filter("id >= 200 and id < 300")), (df.filter("id < 300"), df.filter("id >= 300"))]
     out = ml.cross_validate(folds, lr, weight_fn=weigh, templates={"x_{i}": "x"}, keep=["label", "x"])
     assert [r["fold"] for r in out] == [0, 1] and seen == [(["label", "x"], 200), (["label", "x"], 300)]
+
+
+def test_week_fit_equals_its_closed_form(spark):
+    """On a whole 168-hour grid the Fourier columns are orthogonal with
+    squared length 84, so a ridge coefficient is (x . y) / (84 + lambda)."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    y = rng.normal(size=168)
+    start = dt.datetime(2024, 1, 7)   # a Sunday
+    df = spark.createDataFrame([("a", start + dt.timedelta(hours=i), float(v)) for i, v in enumerate(y)], "site string, ts timestamp, y double")
+    got = {(r.dow - 1) * 24 + r.hour: (r.weekly, r.daily) for r in seasonality.fit_seasonality_week(df, "site", "ts", "y").collect()}
+    t = np.arange(168)
+
+    def part(period, k):
+        cols = [f(2 * np.pi * j * t / period) for j in range(1, k + 1) for f in (np.sin, np.cos)]
+        return sum(c * (c @ y) / 85.0 for c in cols)
+
+    for i, (a, b) in enumerate(zip(part(168, 3), part(24, 4))):
+        assert abs(got[i][0] - a) < 1e-9 and abs(got[i][1] - b) < 1e-9
+
+
+def test_small_helpers(spark, tmp_path):
+    from leadtime.functions.text import map_series
+    from leadtime.sources.io import from_rows, list_files, save
+    rows = from_rows(spark, [(1, 2.0), (2, None)], "a int, b double")
+    assert [tuple(r) for r in rows.orderBy("a").collect()] == [(1, 2.0), (2, None)]
+    twice = map_series(lambda s: s * 2)
+    assert [r[0] for r in rows.orderBy("a").select(twice("b")).collect()] == [4.0, None]
+    save(rows.coalesce(1), str(tmp_path / "t"))
+    files = list_files(spark, str(tmp_path / "t")).filter(F.col("path").endswith(".parquet")).collect()
+    assert len(files) == 1 and files[0]["length"] > 0
