@@ -240,21 +240,23 @@ def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
 
     Average ranks (ties share the mean rank) come from value counts
     (map-side combined, so a value held by a third of the rows is no
-    problem) and distributed prefix sums over the sorted distinct values,
-    joined back per column; then Pearson ``corr`` of the ranks in one
-    aggregate.
+    problem) and distributed prefix sums over the sorted distinct values, in
+    one pass for all (numeric) columns; the written rank table is joined back
+    per column; then Pearson ``corr`` of the ranks in one aggregate.
     """
-    from leadtime.operators.windows import prefix_sum
+    from leadtime.operators.windows import grouped_prefix_sum
+    from leadtime.sources.io import stage_to
     ranked = df.select(*cols)
-    for c in cols:
-        vals = ranked.groupBy(c).agg(F.count(F.lit(1)).alias("__cnt")).filter(F.col(c).isNotNull())
-        vals = prefix_sum(vals, c, "__cnt", "__before")
-        vals = vals.withColumn(f"__r_{c}", F.col("__before") + (F.col("__cnt") + 1) / 2.0).select(c, f"__r_{c}")
-        # One row per distinct value: AQE broadcasts it when its measured
-        # size is small (flags, codes); otherwise a shuffle join in which AQE
-        # splits a hot value.  (A count-based size check would compute the
-        # rank table twice.)
-        ranked = ranked.join(vals, c, "left")
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]))
+    counts = (ranked.select(cells.alias("x")).select("x.c", "x.v").filter(F.col("v").isNotNull())
+              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    ranks = grouped_prefix_sum(counts, ["c"], "v", "n", "before")
+    ranks = stage_to(ranks.select("c", "v", (F.col("before") + (F.col("n") + 1) / 2.0).alias("r")))
+    for i, c in enumerate(cols):
+        # one row per distinct value: broadcast when its size is small (flags,
+        # codes), else a shuffle join in which AQE splits a hot value
+        one = ranks.filter(F.col("c") == i).select(F.col("v").alias("__v"), F.col("r").alias(f"__r_{c}"))
+        ranked = ranked.join(one, F.col(c).cast("double") == F.col("__v"), "left").drop("__v")
     aggs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
