@@ -99,12 +99,13 @@ def downsample_buckets(df: DataFrame, t: str, unit: str, label: str, key: str, s
 
 def train_test_split(df: DataFrame, t: str, split=None, test_fraction: float | None = None,
                      upper=None) -> tuple[DataFrame, DataFrame]:
-    """M5: split by a date (train < split <= test) or by the last fraction
-    of the span; optional upper limit on the data."""
+    """M5: split by a date (train < split <= test), or so that the test part
+    is the last whole days of the span: floor(test_fraction * days) of them;
+    optional upper limit on the data."""
     x = df if upper is None else df.filter(F.col(t) < F.lit(upper))
     if split is None:
         lo, hi = x.agg(F.min(t), F.max(t)).first()
-        split = lo + (hi - lo) * (1 - test_fraction)
+        split = hi - timedelta(days=int((hi - lo).days * test_fraction))
     return x.filter(F.col(t) < F.lit(split)), x.filter(F.col(t) >= F.lit(split))
 
 

@@ -347,7 +347,8 @@ def interval_means(df: DataFrame, keys: list[str], probe_us: Column, lo_us: Colu
     skipped; no value -> NULL.  Input rows pass through unchanged."""
     dec = "decimal(38,12)"
     names = list(cols)
-    vals = [F.col(v).cast(dec) for v in cols.values()]
+    # NaN and infinite measures count as missing: they have no decimal form
+    vals = [F.when(F.abs(F.col(v).cast("double")) < 1e25, F.col(v).cast(dec)) for v in cols.values()]
     if cond is not None:
         vals = [F.when(cond, v) for v in vals]
     ev = df.select(*[F.col(k) for k in keys], lo_us.alias("__lo"), hi_us.alias("__hi"),

@@ -65,7 +65,7 @@ def q_downsample_buckets(spark, d):
 
 @query("train_test_split", with_views(["trips"], """,
 b AS (SELECT epoch_us(min(sched)) AS lo, epoch_us(max(sched)) AS hi FROM trips WHERE sched < TIMESTAMP '2024-01-29')
-SELECT CASE WHEN epoch_us(sched) < lo + CAST(round((hi - lo) * 0.8) AS BIGINT) THEN 'train' ELSE 'test' END AS part, count(*) AS n
+SELECT CASE WHEN epoch_us(sched) < hi - 86400000000 * CAST(floor((hi - lo) // 86400000000 * 0.2) AS BIGINT) THEN 'train' ELSE 'test' END AS part, count(*) AS n
 FROM trips, b WHERE sched < TIMESTAMP '2024-01-29' GROUP BY 1"""))
 def q_split(spark, d):
     t = Fixtures(spark, d).trips()

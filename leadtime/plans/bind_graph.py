@@ -187,6 +187,22 @@ def q_prev_rank(spark, d):
     return out.select("trip_id", r6(F.col("prev_rank")).alias("prev_rank"))
 
 
+@query("previous_period_degrees", with_views(["trips"], """,
+tw AS (SELECT *, CAST(date_diff('day', DATE '2024-01-01', CAST(sched AS DATE)) // 7 AS BIGINT) AS period FROM trips),
+e AS (SELECT DISTINCT period, origin, dest FROM tw),
+v AS (SELECT period, origin AS id FROM e UNION SELECT period, dest FROM e),
+o AS (SELECT period, origin AS id, count(*) AS n FROM e GROUP BY 1, 2),
+i AS (SELECT period, dest AS id, count(*) AS n FROM e GROUP BY 1, 2)
+SELECT t.trip_id, CASE WHEN v.id IS NULL THEN NULL ELSE coalesce(i.n, 0) END AS in_degree,
+       CASE WHEN v.id IS NULL THEN NULL ELSE coalesce(o.n, 0) END AS out_degree
+FROM tw t LEFT JOIN v ON v.period = t.period - 1 AND v.id = t.origin
+LEFT JOIN o ON o.period = v.period AND o.id = v.id LEFT JOIN i ON i.period = v.period AND i.id = v.id"""))
+def q_prev_degrees(spark, d):
+    from leadtime.plans.features_graph import previous_period_rank
+    t = Fixtures(spark, d).trips().withColumn("period", F.floor(F.datediff(F.to_date("sched"), F.lit("2024-01-01").cast("date")) / 7).cast("long"))
+    return previous_period_rank(t, "origin", "dest", "period", iters=1, degrees=True).select("trip_id", "in_degree", "out_degree")
+
+
 @query("rank_by_fold", with_views(["trips", "folds"], """,
 fe AS (SELECT f.fold AS g, CAST(t.origin AS VARCHAR) AS src, CAST(t.dest AS VARCHAR) AS dst FROM trips t JOIN folds f ON t.sched >= f.lo AND t.sched < f.hi),
 """ + pagerank_sql("fe", 5, grouped=True) + """

@@ -216,3 +216,12 @@ def test_small_helpers(spark, tmp_path):
     save(rows.coalesce(1), str(tmp_path / "t"))
     files = list_files(spark, str(tmp_path / "t")).filter(F.col("path").endswith(".parquet")).collect()
     assert len(files) == 1 and files[0]["length"] > 0
+
+
+def test_interval_means_skip_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("a", i, t0 + dt.timedelta(minutes=i), v) for i, v in enumerate([1.0, nan, 3.0, inf, None, 5.0])]
+    df = spark.createDataFrame(rows, "k string, id int, t timestamp, v double")
+    out = windows.range_mean_if(df, ["k"], "t", "v", None, 3600, out="m")
+    assert {r.id: r.m for r in out.collect()}[5] == 2.0   # strictly earlier rows
