@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import GAP, LOWER, UPPER, WORD, ascii_lower, staged, words
+from leadtime.llm.common import GAP, LOWER, UPPER, WORD, ascii_lower, packed, staged, words
 
 WIDTH = 5
 PERCENT = 80
@@ -67,7 +67,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, percent: in
                       F.explode_outer(_pieces(F.col("w"), width, F.xxhash64)).alias("h"))
     near = staged(probes.join(sketch, "h").filter(F.col("need") <= F.col("have"))
                   .select("content", "cls").distinct(), "candidates")
-    texts = d.join(near.select(F.col("content").alias("c")).distinct(), F.col("content") == F.col("c"), "left_semi")
+    # the candidates' texts: always by shuffle, as their number grows with the documents
+    keys = near.select(F.col("content").alias("c")).distinct().hint("merge")
+    texts = (docs.filter(F.col("text").isNotNull()).select(_content(F.col("text")).alias("content"), "text")
+             .join(keys, F.col("content") == F.col("c"), "left_semi")
+             .select("content", words(ascii_lower(F.col("text"))).alias("w")))
     have = texts.select("content", F.explode_outer(F.array_distinct(_pieces(F.col("w"), width, _joined))).alias("shingle"))
     shared = (have.join(items.select("shingle", "cls"), "shingle").join(near, ["content", "cls"], "left_semi")
               .select("content", "cls", "shingle").distinct()
@@ -98,7 +102,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, perc
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose text contains no benchmark item."""
     found = leaks(docs, benchmark, width, percent).select(F.col("content").alias("__leak")).distinct()
-    return docs.join(found, _content(F.col("text")) == F.col("__leak"), "left_anti")
+    return (packed(docs, content=_content(F.col("text")))
+            .join(found.hint("merge"), F.col("content") == F.col("__leak"), "left_anti").select("row.*"))
 
 
 def sql(width: int = WIDTH, percent: int = PERCENT) -> str:
