@@ -479,8 +479,13 @@ def occurrence(df: DataFrame, keys: list[str], order: list[str], out: str = "occ
     """
     first = order[0]
     if dict(df.dtypes).get(first) not in ("timestamp", "timestamp_ntz"):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w))
+        # any other order: ranges of (keys, order), so one key may fill many
+        # tasks; its count in earlier ranges is added to the local number
+        rows = _numbered(df, [*keys, *order])
+        cnt = rows.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__c"))
+        local = rows.withColumn("__loc", F.row_number().over(Window.partitionBy("__pid", *keys).orderBy("__at")))
+        return (_add_offsets(local, cnt, "__c", keys).withColumn(out, (F.col("__off") + F.col("__loc")).cast("int"))
+                .drop("__pid", "__at", "__loc", "__off"))
     b = df.withColumn("__bk", _bucket(first, width_s))
     local = b.withColumn("__loc", F.row_number().over(Window.partitionBy(*keys, "__bk").orderBy(*order)))
     cnt = b.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__c"))

@@ -225,3 +225,12 @@ def test_interval_means_skip_nan(spark):
     df = spark.createDataFrame(rows, "k string, id int, t timestamp, v double")
     out = windows.range_mean_if(df, ["k"], "t", "v", None, 3600, out="m")
     assert {r.id: r.m for r in out.collect()}[5] == 2.0   # strictly earlier rows
+
+
+def test_occurrence_by_any_order(spark):
+    df = spark.range(30_000).select((F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5)).alias("k"),
+                                    (F.col("id") * 7919 % 30_011).alias("v"), F.repeat(F.lit("x"), 40).alias("pad")).repartition(7)
+    got = windows.occurrence(df, ["k"], ["v"])
+    want = df.withColumn("w", F.row_number().over(windows.Window.partitionBy("k").orderBy("v")))
+    j = got.join(want.select(F.col("v").alias("v2"), "w"), F.col("v") == F.col("v2"))
+    assert j.agg(F.count("pad"), F.count_if(F.col("occurrence") != F.col("w"))).first()[:] == (30_000, 0)
