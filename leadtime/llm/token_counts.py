@@ -52,18 +52,25 @@ class PieceCache:
 
     def lookup(self, pieces: list) -> list:
         out = list(map(self.known.get, pieces))
-        missing = {p for p, v in zip(pieces, out) if v is None}
-        if not missing:
+        if None not in out:
             return out
+        holes = [i for i, v in enumerate(out) if v is None]
+        missing = {pieces[i] for i in holes}
         if len(self.known) + len(missing) > self.entries + len(self.base):
             self.old, self.known = self.known, dict(self.base)
-            missing = set(pieces).difference(self.known)
-        again = {p: self.old[p] for p in missing if p in self.old}
-        self.known.update(again)
-        new = list(missing.difference(again))
+        old, found, new = self.old, {}, []
+        for p in missing:
+            v = old.get(p)
+            if v is None:
+                new.append(p)
+            else:
+                found[p] = v
         if new:
-            self.known.update(zip(new, self.encode(new)))
-        return list(map(self.known.__getitem__, pieces))
+            found.update(zip(new, self.encode(new)))
+        self.known.update(found)
+        for i in holes:
+            out[i] = found[pieces[i]]
+        return out
 
 
 def encode_lengths(tok, pieces: list[str]) -> list[int]:
