@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,9 +112,27 @@ def stage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def stage_path(spark: SparkSession) -> str:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Stages made inside the block are removed at its end: write the result
+    inside, to a path of your own."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove_path(spark, path)
+
+
+def stage_path(spark: SparkSession, name: str = "stage") -> str:
     """A new folder under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"stage-{uuid.uuid4().hex}")
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def stage_to(df: DataFrame, path: str | None = None) -> DataFrame:
