@@ -51,7 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; what earlier stages wrote is removed."""
+    docs, old = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = C.staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = C.scratch_path(spark, f"pipeline-{name}")
+        with C.stage_scope(spark):
+            docs = C.staged(stage(spark, docs, sf_dir), name, path)
+        if old:
+            C.remove(spark, old)
+        old = path
     return docs

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadtime.session import checkpoint_dir
+from leadtime.sources.io import remove_path as remove
+from leadtime.sources.io import stage_path, stage_scope
 
 # A word: a run of characters other than space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,7 +23,7 @@ def tokenizer_file(name: str) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return stage_path(spark, name)
 
 
 def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -37,13 +35,6 @@ def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder written by ``staged`` that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     return F.translate(c, UPPER, LOWER)

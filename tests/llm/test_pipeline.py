@@ -14,6 +14,7 @@ from test_operators import brute_components, brute_fingerprint, brute_leaks, bru
 
 import corpus_pipeline
 from leadtime.llm import mixing, quality
+from leadtime.session import checkpoint_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -117,7 +118,12 @@ def test_stages(spark, folder):
 
 
 def test_run_gives_the_last_stage(spark):
+    from urllib.parse import urlparse
+    import os
+    folder = urlparse(checkpoint_dir(spark)).path
+    before = set(os.listdir(folder))
     got = corpus_pipeline.run(spark, SMALL)
+    assert len(set(os.listdir(folder)) - before) == 1   # the result alone is left
     assert got.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
 
