@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import rolling_hash, staged
+from leadtime.llm.common import mix64, rolling_hash, staged
 
 WINDOW = 13
 BLOCK = (WINDOW + 1) // 2
@@ -33,68 +33,77 @@ BUNDLE_CHARS = 4 << 20
 BUCKET_ENTRIES = 2 << 20
 
 
-def _word_hashes(words: list[bytes], seed: int) -> np.ndarray:
-    import xxhash
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w, seed) for w in words), np.uint64, len(words))
+def _distinct(h: np.ndarray, g: np.ndarray):
+    """Distinct pairs of two 64-bit hashes in ascending order, and the index
+    of each pair among them."""
+    order = np.lexsort((g, h))
+    a, b = h[order], g[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    where = np.empty(len(a), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return a[new], b[new], where
+
+
+def _least(n: int, where: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    out = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(out, where, ids)
+    return out
 
 
 class Bundle:
-    """The documents of one bundle in a fixed order, and the hashes of their
-    windows (documents follow each other, windows never cross)."""
+    """The documents of one bundle in a fixed order, their words one after
+    the other, and the hashes of windows (which never cross documents)."""
 
     def __init__(self, frame: pa.Table):
+        import xxhash
         order = np.argsort(frame.column("seq").to_numpy(), kind="stable")
         ids = frame.column("doc_id").to_pylist()
         texts = frame.column("text").to_pylist()
         self.ids = [ids[i] for i in order]
         self.words = [texts[i].encode("utf-8").split() if texts[i] else [] for i in order]
         del texts
-        self.sizes = np.array([len(w) for w in self.words], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-
-    def hashes(self, width: int, seed: int):
-        """Hash, document number and position in the document of every window."""
-        hs, docs, at = [], [], []
-        for i, ws in enumerate(self.words):
-            if self.ids[i] is None or len(ws) < WINDOW:
-                continue   # NULL ids neither lose words nor are references
-            h = rolling_hash(_word_hashes(ws, seed), width, seed)
-            hs.append(h)
-            docs.append(np.full(len(h), i, np.int64))
-            at.append(np.arange(len(h)))
-        if not hs:
-            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        return np.concatenate(hs), np.concatenate(docs), np.concatenate(at)
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        # NULL ids neither lose words nor are references
+        self.used = (sizes >= WINDOW) & np.array([i is not None for i in self.ids])
+        digest = xxhash.xxh3_64_intdigest
+        self.h = np.fromiter((digest(w) for ws in self.words for w in ws), np.uint64, int(self.starts[-1]))
+
+    def hashes(self, width: int, seed: int = 0):
+        """Hash and place (among the bundle's words) of every window."""
+        h = rolling_hash(self.h if not seed else mix64(self.h + np.uint64(seed)), width, width + seed)
+        at = np.arange(len(h))
+        doc = self.doc[:len(h)]
+        ok = self.used[doc] & (at + width <= self.starts[doc + 1])
+        return h[ok], at[ok]
 
     def anchors(self):
         """Sorted distinct hashes of the 7-word windows, whether the bundle
-        has each as an aligned block, and each window's place among them."""
-        h, doc, at = self.hashes(BLOCK, 7)
+        has each as an aligned block, how often it has it, and each window's
+        index among them and place."""
+        h, at = self.hashes(BLOCK)
         values, where, n = np.unique(h, return_inverse=True, return_counts=True)
         aligned = np.zeros(len(values), bool)
-        aligned[where[at % BLOCK == 0]] = True
-        return values, aligned, n, where, doc, at
+        aligned[where[(at - self.starts[self.doc[at]]) % BLOCK == 0]] = True
+        return values, aligned, n, where, at
 
     def windows(self, hit: np.ndarray, anchors):
-        """The 13-word windows around hit anchors: sorted distinct hashes,
-        the bundle's smallest id of each, and each window's (place, document,
-        position)."""
-        _, _, _, where, doc, at = anchors
-        keep = hit[where]
-        start = self.starts[doc[keep]] + at[keep]
-        mark = np.zeros(self.starts[-1] + 1, np.int64)   # starts start-6 .. start, cut to the document
-        np.add.at(mark, np.maximum(start - BLOCK + 1, self.starts[doc[keep]]), 1)
+        """The 13-word windows around hit anchors: sorted distinct pairs of
+        hashes, the bundle's smallest id of each, each window's index among
+        them and place, and the documents' ids."""
+        _, _, _, where, at = anchors
+        start = at[hit[where]]
+        mark = np.zeros(len(self.doc) + 1, np.int64)   # starts start-6 .. start, cut to the document
+        np.add.at(mark, np.maximum(start - BLOCK + 1, self.starts[self.doc[start]]), 1)
         np.add.at(mark, start + 1, -1)
-        chosen = np.cumsum(mark[:-1]) > 0
-        h, doc, at = self.hashes(WINDOW, 13)
-        sel = chosen[self.starts[doc] + at] if len(h) else np.empty(0, bool)
-        h, doc, at = h[sel], doc[sel], at[sel]
-        values, where = np.unique(h, return_inverse=True)
+        h, at = self.hashes(WINDOW)
+        sel = (np.cumsum(mark[:-1]) > 0)[at]
+        values, second, where = _distinct(h[sel], self.hashes(WINDOW, 1)[0][sel])
+        at = at[sel]
         ids = np.array([0 if i is None else i for i in self.ids], np.int64)
-        least = np.full(len(values), np.iinfo(np.int64).max)
-        np.minimum.at(least, where, ids[doc])
-        return values, least, where, doc, at, ids
+        return values, second, _least(len(values), where, ids[self.doc[at]]), where, at, ids
 
 
 def _bucket_of(values: np.ndarray, buckets: int) -> np.ndarray:
@@ -168,16 +177,18 @@ def _match_anchors(frame: pa.Table) -> pa.Table:
 
 
 def _window_rows(docs: pa.Table, hits: pa.Table, buckets: int, window_buckets: int) -> pa.Table:
-    schema = pa.schema([("p", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("ids", pa.binary())])
+    schema = pa.schema([("p", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("second", pa.binary()),
+                        ("ids", pa.binary())])
     if not docs.num_rows or not hits.num_rows:
         return schema.empty_table()
     p = docs.column("p")[0].as_py()
     bundle = Bundle(docs)
     anchors = bundle.anchors()
-    values, least, *_ = bundle.windows(_answers(hits, "hit", anchors[0], buckets), anchors)
+    values, second, least, *_ = bundle.windows(_answers(hits, "hit", anchors[0], buckets), anchors)
     cut = _slices(values, window_buckets)
     return pa.table([pa.array([p] * len(cut), pa.int64()), pa.array([b for b, _, _ in cut], pa.int64()),
                      pa.array([_pack(values[lo:hi]) for _, lo, hi in cut], pa.binary()),
+                     pa.array([second[lo:hi].astype("<u8").tobytes() for _, lo, hi in cut], pa.binary()),
                      pa.array([least[lo:hi].astype("<i8").tobytes() for _, lo, hi in cut], pa.binary())], schema=schema)
 
 
@@ -186,10 +197,9 @@ def _match_windows(frame: pa.Table) -> pa.Table:
     another bundle, have the same window?"""
     parts = [_unpack(r) for r in frame.column("hashes").to_pylist()]
     ids = np.concatenate([np.frombuffer(r, "<i8") for r in frame.column("ids").to_pylist()])
-    values, where = np.unique(np.concatenate(parts), return_inverse=True)
-    least = np.full(len(values), np.iinfo(np.int64).max)
-    np.minimum.at(least, where, ids)
-    later = ids > least[where]
+    second = np.concatenate([np.frombuffer(r, "<u8") for r in frame.column("second").to_pylist()])
+    values, _, where = _distinct(np.concatenate(parts), second)
+    later = ids > _least(len(values), where, ids)[where]
     ends = np.cumsum([len(x) for x in parts])
     cut = [(e - len(x), e) for x, e in zip(parts, ends)]
     out = pa.table([frame.column("p"), frame.column("bucket"),
@@ -207,11 +217,10 @@ def _kept_rows(docs: pa.Table, replies: pa.Table, buckets: int, window_buckets:
     hits = replies.filter(pa.compute.is_valid(replies.column("hit")))
     if hits.num_rows:
         anchors = bundle.anchors()
-        values, least, where, doc, at, ids = bundle.windows(_answers(hits, "hit", anchors[0], buckets), anchors)
+        values, _, least, where, at, ids = bundle.windows(_answers(hits, "hit", anchors[0], buckets), anchors)
         del anchors
         later = _answers(replies.filter(pa.compute.is_valid(replies.column("later"))), "later", values, window_buckets)
-        cover = later[where] | (ids[doc] > least[where])
-        first = bundle.starts[doc[cover]] + at[cover]
+        first = at[later[where] | (ids[bundle.doc[at]] > least[where])]
         np.add.at(gone, first, 1)
         np.add.at(gone, first + WINDOW, -1)
     keep = np.cumsum(gone[:-1]) == 0
@@ -250,7 +259,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the input.  A NULL text has no words.  Rows with a NULL id are returned
     whole and are no reference; rows that share an id don't remove each
     other's words; extra columns are not read; an empty table gives an empty
-    result.  Ids are integers.  Hashes have 64 bits.
+    result.  Ids are integers.  Windows are compared by 128 bits of hashes.
     """
     spark: SparkSession = docs.sparkSession
     name = f"substring_bundles_{uuid.uuid4().hex}"
@@ -263,7 +272,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                       "p long, bucket long, hashes binary, aligned binary, many binary")
         hits = staged(probes.groupBy("bucket").applyInArrow(_match_anchors, "p long, bucket long, hit binary"), "anchors")
         windows = grouped.cogroup(hits.groupBy("p")).applyInArrow(
-            lambda d, h: _window_rows(d, h, buckets, buckets), "p long, bucket long, hashes binary, ids binary")
+            lambda d, h: _window_rows(d, h, buckets, buckets), "p long, bucket long, hashes binary, second binary, ids binary")
         later = windows.groupBy("bucket").applyInArrow(_match_windows, "p long, bucket long, later binary")
         none = F.lit(None).cast("binary")
         replies = (hits.withColumn("later", none)
