@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import GAP, LOWER, UPPER, WORD, ascii_lower, packed, staged, words
+from leadtime.llm.common import LOWER, UPPER, WORD, ascii_lower, packed, staged, words
 
 WIDTH = 5
 PERCENT = 80
