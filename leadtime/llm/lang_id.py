@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadtime.llm.common import text_groups
+
 SEGMENT = 64           # bytes read in one go
 HIDDEN = 16            # units in each direction
 DOCS_PER_LANG = 300    # the sample's bound: documents of each language ...
@@ -110,7 +112,7 @@ def train(x: np.ndarray, mask: np.ndarray, y: np.ndarray, n_out: int, steps: int
         pick = np.concatenate([rng.choice(ix, max(1, BATCH // n_out)) for ix in by_class])
         _, g = gradients(m, x[pick], mask[pick], y[pick])
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-        rate = RATE * min(1.0, 20 / step if step > steps // 2 else 1.0) if step > steps // 2 else RATE
+        rate = RATE * min(1.0, 20 / step) if step > steps // 2 else RATE
         for k, v in g.items():
             v = v * np.float32(min(1.0, 5.0 / (norm + 1e-9)))
             mean[k] += 0.1 * (v - mean[k])
@@ -131,14 +133,51 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, mask, owner
 
 
+def _states(m: dict, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """``forward`` without what only training needs: gates apart, the
+    halves of the logistic function folded into the weights, updates in place."""
+    n, t_max = x.shape
+    half = np.float32(0.5)
+    states = np.empty((2, t_max, n, HIDDEN), np.float32)
+    columns = np.ascontiguousarray(x.T)
+    full = mask.all(axis=0)
+    for d in (0, 1):
+        ez, er = (np.ascontiguousarray(e) for e in np.split(m["ezr"][d] * half, 2, axis=1))
+        uz, ur = (np.ascontiguousarray(u) for u in np.split(m["uzr"][d] * half, 2, axis=1))
+        en, un, bn = m["en"][d], m["un"][d], m["bn"][d]
+        h, tmp = np.zeros((n, HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
+        z, r, new = np.empty_like(h), np.empty_like(h), np.empty_like(h)
+        for t in (range(t_max) if d == 0 else range(t_max - 1, -1, -1)):
+            c = columns[t]
+            for gate, e, u in ((z, ez, uz), (r, er, ur)):
+                np.take(e, c, axis=0, out=gate, mode="clip")
+                gate += np.matmul(h, u, out=tmp)
+                np.tanh(gate, out=gate)
+                gate += 1
+                gate *= half
+            np.matmul(h, un, out=tmp)
+            tmp += bn
+            tmp *= r
+            np.take(en, c, axis=0, out=new, mode="clip")
+            new += tmp
+            np.tanh(new, out=new)
+            nxt = states[d, t]
+            np.subtract(h, new, out=nxt)
+            nxt *= z
+            nxt += new
+            if not full[t]:
+                nxt *= mask[:, t, None]
+            h = nxt
+    return states
+
+
 def predict(m: dict, texts: list[bytes], n_out: int, at_once: int = 4096) -> np.ndarray:
     """[text, class]: mean probabilities over all byte positions."""
     x, mask, owner = segments(texts)
     sums = np.zeros((len(texts), n_out))
     for lo in range(0, len(x), at_once):
         part = slice(lo, lo + at_once)
-        states, _ = forward(m, x[part], mask[part])
-        p = probabilities(m, states)
+        p = probabilities(m, _states(m, x[part], mask[part]))
         per = np.einsum("tnc,nt->nc", p, mask[part])
         for c in range(n_out):
             sums[:, c] += np.bincount(owner[part], weights=per[:, c], minlength=len(texts))
@@ -186,6 +225,7 @@ def sample(docs: DataFrame, per_lang: int = DOCS_PER_LANG):
                                   ["raw", "lang"])
 
     rows = (open_.join(few, (F.col("doc_id") == F.col("i")) & (F.col("lang") == F.col("l")))
+            .groupBy("doc_id", "lang").agg(F.min("text").alias("text"))   # repeated ids: one text
             .select("text", "lang").mapInArrow(cut, "raw binary, lang string").collect())
     rows = sorted((bytes(r.raw), r.lang) for r in rows)
     langs = [x for x in langs if any(r[1] == x for r in rows)]
@@ -217,7 +257,7 @@ def language_id(docs: DataFrame, per_lang: int = DOCS_PER_LANG, steps: int = STE
         for b in batches:
             col = b.column(2).to_pylist()
             names, scores = [], []
-            for lo, hi in _groups(col):
+            for lo, hi in text_groups(col, 1 << 18):
                 texts = [t.encode("utf-8") if langs and has_letter(t) else b"" for t in col[lo:hi]]
                 p = predict(model, texts, len(langs)) if langs else np.zeros((len(texts), 1))
                 best = p.argmax(axis=1)
@@ -228,8 +268,3 @@ def language_id(docs: DataFrame, per_lang: int = DOCS_PER_LANG, steps: int = STE
 
     id_type = src.schema["doc_id"].dataType.simpleString()
     return src.mapInArrow(run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double")
-
-
-def _groups(col):
-    from leadtime.llm.common import text_groups
-    return text_groups(col, 1 << 18)
