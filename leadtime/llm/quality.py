@@ -117,24 +117,32 @@ def content_key(docs: DataFrame, host: str = "source") -> Column:
 
 
 def distinct_documents(rows: DataFrame) -> DataFrame:
-    """``r, doc``: each row's document.  An edit changes one of the two
-    sketches rarely and both almost never, so the smallest m1 among rows of
-    equal m2, and the smallest of that among rows of equal m1, is the same
-    for nearly all copies.  Minima are combined map-side."""
-    by2 = rows.groupBy(F.col("m2").alias("k2")).agg(F.min("m1").alias("least"))
-    hop = rows.select("row", "m1", "m2").join(by2, F.col("m2") == F.col("k2")).select("row", "m1", "least")
-    by1 = hop.groupBy(F.col("m1").alias("k1")).agg(F.min("least").alias("doc"))
-    return staged(hop.join(by1, F.col("m1") == F.col("k1")).select(F.col("row").alias("r"), "doc"), "distinct-documents")
+    """``k1, k2, doc``: the document of each pair of sketches.  An edit
+    changes one of the two rarely and both almost never, so the smallest m1
+    among pairs of equal m2, and the smallest of that among pairs of equal
+    m1, is the same for nearly all copies.  Pairs are made distinct first, so
+    copies of any number cost one row."""
+    pairs = staged(rows.select(F.col("m1").alias("k1"), F.col("m2").alias("k2")).distinct(), "sketch-pairs")
+    # the minima are written, so that both sides of each join are plain
+    # shuffles, which adaptive execution splits at a sketch of many pairs
+    by2 = staged(pairs.groupBy(F.col("k2").alias("g2")).agg(F.min("k1").alias("least")), "sketch-minima")
+    hop = pairs.join(by2, F.col("k2") == F.col("g2")).select("k1", "k2", "least")
+    by1 = staged(hop.groupBy(F.col("k1").alias("g1")).agg(F.min("least").alias("doc")), "sketch-minima")
+    return staged(hop.join(by1, F.col("k1") == F.col("g1")).select("k1", "k2", "doc"), "distinct-documents")
 
 
 def boilerplate(rows: DataFrame, share: float = HOST_SHARE, floor: int = HOST_FLOOR) -> DataFrame:
     """``hs, h``: lines in more than ``floor`` documents of their host (in a
     struct, so that NULL is a host like any other) and more than ``share`` of
     them.  Every count is combined map-side."""
-    lines = (rows.select("row", F.struct("host").alias("hs"), F.array_distinct(F.col("lines.h")).alias("hashes"))
-             .join(distinct_documents(rows), F.col("row") == F.col("r")))
-    docs = lines.select("hs", "doc").distinct().groupBy("hs").agg(F.count(F.lit(1)).alias("docs"))
-    seen = (lines.filter(F.size("hashes") > 0).select("hs", "doc", F.explode("hashes").alias("h"))
+    names = distinct_documents(rows)
+    # copies fall together before the join, so no sketch is a hot key of it
+    at = rows.select(F.struct("host").alias("hs"), "m1", "m2", F.array_distinct(F.col("lines.h")).alias("hashes"))
+    same = (F.col("m1") == F.col("k1")) & (F.col("m2") == F.col("k2"))
+    docs = (at.select("hs", "m1", "m2").distinct().join(names, same).select("hs", "doc").distinct()
+            .groupBy("hs").agg(F.count(F.lit(1)).alias("docs")))
+    seen = (at.filter(F.size("hashes") > 0).select("hs", "m1", "m2", F.explode("hashes").alias("h")).distinct()
+            .join(names, same).select("hs", "doc", "h")
             .distinct().groupBy("hs", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > floor))
     often = seen.join(docs.withColumnRenamed("hs", "h0"), F.col("hs") == F.col("h0")).filter(F.col("n") > share * F.col("docs"))
     return staged(often.select("hs", "h"), "boilerplate")
