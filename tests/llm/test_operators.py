@@ -440,6 +440,51 @@ def test_quality_boilerplate_and_copies(docs_of):
     assert all(kept[3000 + i][0] for i in range(500))
 
 
+def test_quality_boilerplate_of_depleted_documents_only(docs_of):
+    """A passage of four fifths of each of its documents, and in no others."""
+    rng = random.Random(12)
+
+    def prose(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+
+    footer = prose(80)
+    rows_ = [(i, prose(60) + "\n" + prose(40), "en", "h") for i in range(600)]
+    rows_ += [(1000 + i, prose(20) + "\n" + footer, "en", "h") for i in range(60)]
+    rows_ += [(2000 + i, rows_[600][1] + " " * i, "en", "h") for i in range(40)]   # copies of one of them
+    got = {r.doc_id: (r.kept, r.n_left) for r in quality.quality_report(docs_of(rows_)).collect()}
+    assert all(got[i] == (True, 100) for i in range(600))
+    assert all(got[1000 + i] == (False, 20) for i in range(60))
+    assert all(got[2000 + i] == (False, 20) for i in range(40))
+
+
+def test_quality_same_documents_are_similar(spark, docs_of):
+    rng = random.Random(13)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(6)]
+    texts = {}
+    for _ in range(120):
+        w = rng.choice(base)[:]
+        for _ in range(rng.choice([0, 1, 2, 4, 8, 16])):
+            w[rng.randrange(200)] = f"e{rng.randrange(10**6)}"
+        texts[len(texts)] = " ".join(w)
+    frame = docs_of(list(texts.items()))
+    rows_ = quality.measured(frame)
+    of = {r.id: texts[r.doc_id] for r in rows_.collect()}
+
+    def grams(t):
+        w = t.split(" ")
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+    def jaccard(a, b):
+        a, b = grams(of[a]), grams(of[b])
+        return len(a & b) / len(a | b)
+
+    doc = {r.i: r.doc for r in quality.distinct_documents(frame, rows_).collect()}
+    assert len(doc) > 20 and all(jaccard(a, b) >= 0.8 for a, b in doc.items())
+    assert not set(doc) & set(doc.values())
+    heads = sorted(set(of) - set(doc))
+    assert all(jaccard(a, b) < 0.85 for k, a in enumerate(heads) for b in heads[:k])
+
+
 # -- 9: language id
 
 def test_language_id(spark, odd):
