@@ -116,9 +116,9 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
                       F.array_join(keep, "\n").alias("kept_text"))
 
 
-def line_dedup_report(docs: DataFrame) -> DataFrame:
+def line_dedup_report(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """``line_dedup`` with the kept text's SHA-256 in place of the text."""
-    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", "longest",
+    return line_dedup(docs, min_lines=min_lines).select("doc_id", "n_lines", "n_removed", "longest",
                                    F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -95,6 +95,18 @@ def op7(spark, sf_dir):
     return line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def _every_line_sql():
+    from leadtime.llm.line_dedup import sql
+    return sql(1)
+
+
+@query("op7_every_line", _every_line_sql())
+def op7_every(spark, sf_dir):
+    """Runs of one line count too."""
+    from leadtime.llm.line_dedup import line_dedup_report
+    return line_dedup_report(table(spark, sf_dir, "documents"), 1)
+
+
 @query("op9_language_id")
 def op9(spark, sf_dir):
     from leadtime.llm.lang_id import language_id

@@ -389,6 +389,19 @@ def test_line_dedup(docs_of, docs, odd):
         assert all((r.longest >= 2) == (r.n_removed > 0) for r in got.collect())
 
 
+def test_every_line(spark, docs_of, tmp_path):
+    from leadtime.llm.queries import QUERIES
+    long = " ".join(f"w{i}" for i in range(60))
+    texts = [(1, long), (2, long), (3, "a b\n" + long + "\nc d"), (4, "e f\n\ng h"), (5, "g h\ni"), (6, None), (7, "c d\n\ne f")]
+    docs_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op7_every_line"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 1, 3: 1, 4: 0, 5: 1, 6: 0, 7: 2}
+    for folder in (str(tmp_path), SMALL):
+        want = [(i, n, k, hashlib.sha256(t.encode()).hexdigest())
+                for i, n, k, t in brute_lines(pairs_of(spark.read.parquet(f"{folder}/documents.parquet")), 1)]
+        assert rows(QUERIES["op7_every_line"](spark, folder).drop("longest")) == sorted(want, key=repr)
+
+
 # -- 8: quality rules
 
 def brute_quality(t):
