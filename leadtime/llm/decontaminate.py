@@ -1,10 +1,11 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
-
-Items are partitioned by the size of their shingle set.  A partition's sizes
-fix how many of an item's smallest shingle hashes (its MinHash sketch) must
-be probed: when fewer than the required share of n shingles may be missing,
-any n - need + 1 of them include one that the document has, so a document
-that shares none of the sketch can't contain the item.  Documents probe with
+"""Benchmark decontamination by exact-prefix MinHash containment search.
+
+The size n of an item's own shingle set fixes how many of its smallest
+shingle hashes (its MinHash sketch) must be probed: when fewer than the
+required share of n shingles may be missing, any n - need + 1 of them include
+one that the document has, so a document that shares none of the sketch can't
+contain the item.  This exact prefix per item replaces partitions by size:
+``size_part`` is carried, but chooses neither sketches nor probes.  Documents probe with
 all their shingles, whatever their length, so a short item inside a long
 document is found; documents with fewer shingles than an item needs are not
 compared with it.  Candidates are verified by exact containment of shingle
