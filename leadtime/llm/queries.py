@@ -113,6 +113,17 @@ def op9(spark, sf_dir):
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def _collocation_sql():
+    from leadtime.llm.collocations import sql
+    return sql()
+
+
+@query("op12_collocations", _collocation_sql())
+def op12(spark, sf_dir):
+    from leadtime.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
