@@ -113,6 +113,17 @@ def op9(spark, sf_dir):
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def _trie_sql():
+    from leadtime.llm.prefix_trie import sql
+    return sql()
+
+
+@query("op11_prefix_trie", _trie_sql())
+def op11(spark, sf_dir):
+    from leadtime.llm.prefix_trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def _collocation_sql():
     from leadtime.llm.collocations import sql
     return sql()
