@@ -135,6 +135,12 @@ def op12(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
 
 
+@query("op13_license_scan")
+def op13(spark, sf_dir):
+    from leadtime.llm.licenses import license_report
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
