@@ -2,19 +2,26 @@
 
 PageRank and label propagation are iterated joins + grouped sums.  All
 ranks are keyed by a *group* column (period, fold, or personalised
-source), so many independent graphs run in one plan; the per-group
-scalars (vertex count, dangling mass) live in a written table with one row
-per group that is joined back (Spark broadcasts it when its file is small).  Lineage is cut
-every few iterations by writing the ranks as Parquet into the session's
-shared checkpoint folder (``spark.checkpoint.dir``) and reading them back.
+source), so many independent graphs run in one plan.  Lineage is cut every
+few iterations by writing Parquet into the session's shared checkpoint folder
+(``spark.checkpoint.dir``) and reading it back.
+
+Messages go along a *vertex cut*: the edges of a source are kept by source,
+but a source with more than ``BLOCK_EDGES`` of them (a hub) is cut into blocks
+by destination, and its value is mirrored to the blocks.  So no task holds a
+hub's edges, and the edges of all others never move again.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _G = "__g"
+BLOCK_EDGES = 1 << 16   # edges of one source in one block, about
 
 
 def _with_group(df: DataFrame, group: str | None) -> DataFrame:
@@ -72,70 +79,124 @@ def _release(spark, stages: list[str]) -> None:
     stages.clear()
 
 
+class _VertexCut:
+    """Edges (keys, src, dst, value) dealt out once and kept for many rounds.
+
+    ``send`` joins them to one value per (keys, src).  Edges of ordinary
+    sources are partitioned by source; a hub's by (source, block of
+    destinations), and its row of the values is copied to each block.
+    """
+
+    def __init__(self, edges: DataFrame, keys: list[str], value: str, block_edges: int):
+        self.keys, self.value, spark = keys, value, edges.sparkSession
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.stages: list[str] = []
+        counts = edges.groupBy(*keys, "src").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > block_edges)
+        self.hubs = _ckpt(counts.select(*keys, "src", F.ceil(F.col("__n") / block_edges).cast("int").alias("__nb")), self.stages)
+        self.has_hubs = bool(self.hubs.head(1))
+        cols = [*keys, "src", "dst", value]
+        light = edges.select(*cols)
+        self.heavy = None
+        if self.has_hubs:
+            on = [*keys, "src"]
+            self.heavy = (edges.select(*cols).join(self.hubs, on).withColumn("__b", F.pmod(F.xxhash64("dst"), F.col("__nb")).cast("int"))
+                          .drop("__nb").repartition(n, *on, "__b").sortWithinPartitions(*on, "__b").persist())
+            light = light.join(self.hubs.drop("__nb"), on, "left_anti")
+        # the number is given so that a round's values are brought to the
+        # edges' partitions and not the other way round
+        self.light = light.repartition(n, *keys, "src").sortWithinPartitions(*keys, "src").persist()
+
+    def send(self, values: DataFrame) -> DataFrame:
+        """Edges with the columns of ``values`` (keys, src, ...) of their source."""
+        on = [*self.keys, "src"]
+        out = self.light.join(values, on)
+        if self.has_hubs:
+            mirrored = values.join(self.hubs, on).withColumn("__b", F.explode(F.sequence(F.lit(0), F.col("__nb") - 1))).drop("__nb")
+            out = out.unionByName(self.heavy.join(mirrored, [*on, "__b"]).drop("__b"))
+        return out
+
+    def release(self) -> None:
+        self.light.unpersist()
+        if self.heavy is not None:
+            self.heavy.unpersist()
+        _release(self.hubs.sparkSession, self.stages)
+
+
 def pagerank(vertices: DataFrame, edges: DataFrame, reset: float = 0.15, iters: int = 10,
              group: str | None = None, weight: str | None = None, normalized: bool = True,
-             checkpoint_every: int = 5) -> DataFrame:
+             checkpoint_every: int = 5, block_edges: int = BLOCK_EDGES) -> DataFrame:
     """PageRank with dangling mass spread evenly; scores sum to 1 per
     group (``normalized=False`` scales by the vertex count, like the
     un-normalised library result).
 
         r'(v) = reset/N + (1-reset) * (sum_{u->v} r(u) p(u,v) + m/N)
 
-    where m is the rank held by vertices without out-edges.  Dangling
-    vertices get one edge to a NULL destination, so one grouped sum per
-    iteration yields both the contributions and m (its NULL row).  The
-    rounds run when the function is called (iterative jobs); the returned
-    frame reads the staged final ranks.  Output: (group?, id, pagerank).
+    where m is the rank held by vertices without out-edges.  What every vertex
+    gets alike, s = reset + (1-reset) m, is one number per group and round, and
+    ranks are linear in it: with u_0 = 1 and u_j = (1-reset) P u_(j-1),
+
+        N r_k = u_k + sum_{j<k} s_(k-j) u_j
+
+    So the rounds only push u along the edges (one grouped sum, combined
+    map-side); nothing per group is joined in between.  The s follow at the
+    end from the sums of u_j over dangling vertices.  Edges go by vertex cut.
+    The rounds run when the function is called; the returned frame reads the
+    staged final ranks.  Output: (group?, id, pagerank).
     """
     V = _with_group(vertices, group).select(_G, F.col("id").cast("string").alias("id")).distinct()
-    E = _with_group(edges, group)
-    P = transition_weights(E, _G, weight)
-    outs = P.select(_G, F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
+    P = transition_weights(_with_group(edges, group), _G, weight).withColumn("src", F.col("src").cast("string"))
     spark, stages = vertices.sparkSession, []
-    V = _ckpt(V.join(outs, [_G, "id"], "left").withColumn("__dang", F.col("__has_out").isNull()).drop("__has_out"), stages)
-    P = P.unionByName(V.filter("__dang").select(_G, F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"),
-                                                F.lit(1.0).alias("p")))
-    # Edges and vertices are hash-partitioned once and kept (memory and
-    # disk; recomputed from their staged files if an executor is lost):
-    # the per-round joins then only move the ranks, which are already
-    # partitioned by (group, id) after the grouped sum -- one shuffle per
-    # round, of contributions combined map-side.
-    P = P.repartition(_G, "src").persist()
-    n = _ckpt(V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n")))
-    V = V.repartition(_G, "id").persist()
-    R = _ckpt(V.join(n, _G).select(_G, "id", (F.lit(1.0) / F.col("__n")).alias("r")), stages)
-    held, rounds = [], []
-    for it in range(iters):
-        C = (P.join(R.select(_G, F.col("id").alias("src"), "r"), [_G, "src"])
-             .groupBy(_G, "dst").agg(F.sum(F.col("r") * F.col("p")).alias("__c"))).persist()
-        held.append(C)
-        # one row per group: its vertex count and dangling mass, written so
-        # that its size is known when the join is planned
-        M = C.filter(F.col("dst").isNull()).select(_G, F.col("__c").alias("__m"))
-        stats = _ckpt(n.join(M, _G, "left").fillna(0.0, subset=["__m"]), rounds)
-        R = (V.select(_G, "id").join(C.filter(F.col("dst").isNotNull()).withColumnRenamed("dst", "id"),
-                                     [_G, "id"], "left").join(stats, _G)
-             .select(_G, "id", (F.lit(reset) / F.col("__n") + F.lit(1.0 - reset) *
-                                (F.coalesce(F.col("__c"), F.lit(0.0)) + F.col("__m") / F.col("__n"))).alias("r")))
-        if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
-            done = rounds[:]
-            R = _ckpt(R, stages)
-            for c in held:
-                c.unpersist()
-            held, rounds = [], []
-            _release(spark, done)
-    # Materialise the final ranks (V-sized) and release the cached and
-    # staged inputs: the result no longer depends on the iteration chain.
-    R = _ckpt(R)
-    for c in [*held, P, V]:
-        c.unpersist()
-    _release(spark, [*rounds, *stages])
-    out = R.join(n, _G)
-    score = F.col("r") if normalized else F.col("r") * F.col("__n")
+    V = _ckpt(V, stages)
+    P = _ckpt(P, stages)
+    cut = _VertexCut(P, [_G], "p", block_edges)
+    u = V.withColumn("u", F.lit(1.0))
+    waves, held = [], []
+    for j in range(1, iters + 1):
+        sent = cut.send(u.withColumnRenamed("id", "src"))
+        u = sent.groupBy(_G, F.col("dst").cast("string").alias("id")).agg(F.sum(F.lit(1.0 - reset) * F.col("u") * F.col("p")).alias("u")).persist()
+        held.append((j, u))
+        if j == iters or (checkpoint_every and j % checkpoint_every == 0):
+            wave = reduce(lambda a, b: a.unionByName(b), [h.withColumn("j", F.lit(i)) for i, h in held])
+            waves.append(_ckpt(wave, stages))
+            for _, h in held:
+                h.unpersist()
+            held, u = [], waves[-1].filter(F.col("j") == j).drop("j")
+    out = _combined_waves(V, P, waves, iters, reset, stages)
+    # materialise the final ranks, then release what they were made of
+    out = _ckpt(out)
+    cut.release()
+    _release(spark, stages)
+    score = F.col("r") / F.col("__n") if normalized else F.col("r")
     cols = ([F.col(_G).alias(group)] if group else []) + [F.col("id"), score.alias("pagerank")]
     return out.select(*cols)
 
 
+def _combined_waves(V: DataFrame, P: DataFrame, waves: list[DataFrame], iters: int, reset: float, stages: list[str]) -> DataFrame:
+    """(group, id, r, __n): N times the ranks after ``iters`` rounds from the
+    waves u_1.. (``pagerank``), and the group's number of vertices."""
+    dangling = V.join(P.select(_G, F.col("src").alias("id")).distinct(), [_G, "id"], "left_anti")
+    parts = [dangling.select(_G, F.lit(0).alias("j"), F.lit(1.0).alias("u"))]
+    parts += [w.join(dangling, [_G, "id"]).select(_G, "j", "u") for w in waves]
+    sums = reduce(lambda a, b: a.unionByName(b), parts).groupBy(_G, "j").agg(F.sum("u").alias("d"))
+    d = sums.groupBy(_G).agg(F.map_from_entries(F.collect_list(F.struct("j", "d"))).alias("__d"))
+    stats = V.groupBy(_G).agg(F.count(F.lit(1)).cast("double").alias("__n")).join(d, _G, "left")
+    # s_1 .. s_k in turn, each from those before and the dangling sums d_j / N
+    dj = F.transform(F.sequence(F.lit(0), F.lit(max(iters - 1, 0))), lambda j: F.coalesce(F.col("__d")[j], F.lit(0.0)) / F.col("__n"))
+    stats = stats.withColumn("__dj", dj)
+    keep = 1.0 - reset
+    s = (f"aggregate(sequence(1, {iters}), cast(array() as array<double>), (s, i) -> concat(s, array({reset} + {keep} * (__dj[i - 1] + "
+         f"aggregate(zip_with(s, reverse(slice(__dj, 1, i - 1)), (x, y) -> x * y), 0D, (t, x) -> t + x)))))")
+    stats = _ckpt(stats.select(_G, "__n", (F.expr(s) if iters else F.expr("cast(array() as array<double>)")).alias("__s")), stages)
+    if not iters:
+        return V.join(stats, _G).select(_G, "id", F.lit(1.0).alias("r"), "__n")
+    base = F.col("__s")[iters - 1]
+    got = reduce(lambda a, b: a.unionByName(b), waves)
+    share = F.when(F.col("j") == iters, F.lit(1.0)).otherwise(F.expr(f"get(__s, {iters} - j - 1)"))
+    got = got.join(stats.select(_G, "__s"), _G).groupBy(_G, "id").agg(F.sum(share * F.col("u")).alias("__x"))
+    return (V.join(got, [_G, "id"], "left").join(stats, _G)
+            .select(_G, "id", (base + F.coalesce("__x", F.lit(0.0))).alias("r"), "__n"))
+
+
 def rank_mass(ranks: DataFrame, group: str | None = None, score: str = "pagerank") -> DataFrame:
     """Total rank per group (should be 1 each iteration)."""
     g = [group] if group else []
@@ -174,6 +235,56 @@ def personalized_pagerank(vertices: DataFrame, edges: DataFrame, sources: DataFr
     return _ckpt(R).select("source", "id", F.col("r").alias("pagerank"))
 
 
+def push_pagerank(edges: DataFrame, sources: DataFrame, reset: float = 0.15, bound: float = 1e-4, rounds: int = 100,
+                  block_edges: int = BLOCK_EDGES) -> DataFrame:
+    """Personalised PageRank by forward push, for many sources at once.
+
+    A source starts with residual 1 on itself.  In a round every (source,
+    vertex) row whose residual is above ``bound`` keeps ``reset`` of it as
+    rank and sends the rest along its edges (from vertices without edges back
+    to the source); other rows wait.  A push settles at least reset x bound,
+    so a source has at most 1 / (reset x bound) pushes and rows near that
+    number times the degree of what was pushed, not one per vertex.  Rounds
+    end when no residual is above the bound.
+
+    Output (source, id, pagerank, residual, rest): ``rest`` is the source's
+    unsent total, and the exact rank lies in [pagerank, pagerank + rest].
+    ``personalized_pagerank`` is the exact form.
+    """
+    from leadtime.sources.io import remove_path, stage_path, stage_to
+    spark, stages = edges.sparkSession, []
+    P = _ckpt(transition_weights(edges).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"), "p"), stages)
+    cut = _VertexCut(P, [], "p", block_edges)
+    has_out = _ckpt(P.select(F.col("src").alias("id")).distinct().withColumn("__out", F.lit(True)), stages)
+    state = sources.select(F.col("id").cast("string").alias("source")).distinct().select(
+        "source", F.col("source").alias("id"), F.lit(0.0).alias("p"), F.lit(1.0).alias("r"))
+    state = state.join(has_out, "id", "left")
+    path = None
+    for _ in range(rounds):
+        act = F.col("r") > bound
+        settled = state.select("source", "id", (F.col("p") + F.when(act, reset * F.col("r")).otherwise(0.0)).alias("p"),
+                               F.when(act, 0.0).otherwise(F.col("r")).alias("r"))
+        going = state.filter(act)
+        rest = (1.0 - reset) * F.col("r")
+        home = going.filter(F.col("__out").isNull()).select("source", F.col("source").alias("id"), F.lit(0.0).alias("p"), rest.alias("r"))
+        sent = cut.send(going.filter("__out").select(F.col("id").alias("src"), "source", "r")).select(
+            "source", F.col("dst").alias("id"), F.lit(0.0).alias("p"), (rest * F.col("p")).alias("r"))
+        new = settled.unionByName(home).unionByName(sent).groupBy("source", "id").agg(F.sum("p").alias("p"), F.sum("r").alias("r"))
+        old, path = path, stage_path(spark)
+        state = stage_to(new.join(has_out, "id", "left"), path)
+        if old:
+            remove_path(spark, old)
+        if not state.filter(F.col("r") > bound).head(1):
+            break
+    left = state.groupBy("source").agg(F.sum("r").alias("rest"))
+    out = _ckpt(state.join(left, "source").select("source", "id", F.col("p").alias("pagerank"), F.col("r").alias("residual"), "rest"))
+    if path:
+        remove_path(spark, path)
+    cut.release()
+    _release(spark, stages)
+    return out
+
+
 def top_sources(ppr: DataFrame, k: int = 10) -> DataFrame:
     """Per vertex the k sources ranking it highest, as a sorted array of
     (source, score) and as a map."""
@@ -221,33 +332,65 @@ def outdegree_stats(adj: DataFrame, node: str = "node", nbrs: str = "nbrs", top:
     return tops, mean
 
 
-def label_propagation(vertices: DataFrame, edges: DataFrame, iters: int = 15, checkpoint_every: int = 3) -> DataFrame:
+def label_propagation(vertices: DataFrame, edges: DataFrame, iters: int = 15, checkpoint_every: int = 3,
+                      block_edges: int = BLOCK_EDGES) -> DataFrame:
     """Label propagation.  Each round a vertex takes the most frequent
     label among its neighbours (both edge directions, multi-edges counted),
     smallest label on ties; vertices without neighbours keep theirs.
 
-    A round is one join and one grouped ``mode(label, deterministic)``
-    (which breaks ties on the smallest value and combines map-side, so a
-    hub vertex is pre-aggregated before the shuffle).  The message edges
-    are hash-partitioned once by the vertex whose label they carry and
-    kept, so the join does not move them; vertices with no neighbours are
-    a fixed set.  Output (id, label)."""
-    V = vertices.select(F.col("id").cast("string").alias("id")).distinct()
-    E = edges.select(F.col("src").cast("string").alias("a"), F.col("dst").cast("string").alias("b"))
-    U = E.union(E.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
-    U = _ckpt(U).repartition("b").persist()
-    lonely = _ckpt(V.join(U.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
-                   .select("id", F.col("id").alias("label")))
-    L = V.select("id", F.col("id").alias("label"))
+    The counts of each (vertex, label) are a table of their own, spread by
+    both, and the winner of a vertex is a maximum over it, combined map-side:
+    no task gathers a hub's neighbours.  In the first round the counts are the
+    edges themselves.  Later only vertices whose label changed send: one less
+    for the old label, one more for the new one, over a vertex cut.  The
+    rounds end when no label changes.  Output (id, label)."""
+    from leadtime.operators.windows import index_ids
+    from leadtime.sources.io import remove_path, stage_path, stage_to
+    spark, stages = vertices.sparkSession, []
+    # vertices by number, in the order of their ids
+    V = _ckpt(index_ids(vertices.select(F.col("id").cast("string").alias("id")).distinct(), "id", "v"), stages)
+    E = edges.select(F.col("src").cast("string").alias("s"), F.col("dst").cast("string").alias("t")).filter("s <> t")
+    E = E.groupBy("s", "t").agg(F.count(F.lit(1)).alias("w"))
+    E = (E.join(V.select(F.col("id").alias("s"), F.col("v").alias("a")), "s").join(V.select(F.col("id").alias("t"), F.col("v").alias("b")), "t"))
+    U = E.select(F.col("a").alias("src"), F.col("b").alias("dst"), "w").unionByName(E.select(F.col("b").alias("src"), F.col("a").alias("dst"), "w"))
+    U = _ckpt(U.groupBy("src", "dst").agg(F.sum("w").alias("w")), stages)
+    cut = _VertexCut(U, [], "w", block_edges)
+    counts = U.select(F.col("dst").alias("v"), F.col("src").alias("label"), F.col("w").alias("n"))
+    labels, l_path, held = V.select("v", F.col("v").alias("label")), None, []
+    base = F.lit(Decimal(10 ** 19))
     for it in range(iters):
-        msg = U.join(L.withColumnRenamed("id", "b"), "b")
-        L = (msg.groupBy(F.col("a").alias("id")).agg(F.mode("label", True).alias("label"))
-             .unionByName(lonely))
-        if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
-            L = _ckpt(L)
-    L = _ckpt(L)
-    U.unpersist()
-    return L
+        if it:
+            moved = cut.send(labels.filter("label <> old").select(F.col("v").alias("src"), "label", "old"))
+            moved = moved.select(F.col("dst").alias("v"), F.explode(F.array(
+                F.struct(F.col("old").alias("label"), (-F.col("w")).alias("n")), F.struct("label", F.col("w").alias("n")))).alias("c"))
+            counts = counts.unionByName(moved.select("v", "c.label", "c.n")).groupBy("v", "label").agg(F.sum("n").alias("n")).filter("n > 0")
+            if checkpoint_every and it % checkpoint_every == 0:
+                counts = _ckpt(counts, stages)
+                for h in held:
+                    h.unpersist()
+                held = []
+            else:
+                counts = counts.persist()
+                held.append(counts)
+        # greatest count, then smallest label, as one number
+        top = counts.groupBy("v").agg(F.max(F.col("n").cast("decimal(18,0)") * base + (base - 1 - F.col("label"))).alias("m"))
+        best = top.select("v", (base - 1 - F.col("m") % base).cast("long").alias("new"))
+        old, l_path = l_path, stage_path(spark)
+        labels = stage_to(labels.select("v", F.col("label").alias("old")).join(best, "v", "left")
+                          .select("v", F.coalesce("new", "old").alias("label"), "old"), l_path)
+        if old:
+            remove_path(spark, old)
+        if not labels.filter("label <> old").head(1):
+            break
+    names = V.select(F.col("v").alias("label"), F.col("id").alias("name"))
+    out = _ckpt(labels.select("v", "label").join(V, "v").join(names, "label").select("id", F.col("name").alias("label")))
+    for h in held:
+        h.unpersist()
+    if l_path:
+        remove_path(spark, l_path)
+    cut.release()
+    _release(spark, stages)
+    return out
 
 
 def community_sizes(labels: DataFrame) -> DataFrame:

@@ -150,9 +150,9 @@ def q_outdeg_top(spark, d):
     return tops
 
 
-def _lpa_sql(iters):
-    parts = ["u AS (SELECT src AS a, dst AS b FROM edges_sparse WHERE src <> dst UNION ALL SELECT dst, src FROM edges_sparse WHERE src <> dst)",
-             "l0 AS (SELECT id, id AS label FROM (SELECT src AS id FROM edges_sparse UNION SELECT dst FROM edges_sparse))"]
+def _lpa_sql(iters, edges="edges_sparse"):
+    parts = [f"u AS (SELECT src AS a, dst AS b FROM {edges} WHERE src <> dst UNION ALL SELECT dst, src FROM {edges} WHERE src <> dst)",
+             f"l0 AS (SELECT id, id AS label FROM (SELECT src AS id FROM {edges} UNION SELECT dst FROM {edges}))"]
     for k in range(1, iters + 1):
         parts.append(f"""l{k} AS (SELECT l.id, coalesce(b.label, l.label) AS label FROM l{k - 1} l LEFT JOIN (
   SELECT id, label FROM (SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY c DESC, label) AS rn FROM (
@@ -245,3 +245,48 @@ SELECT coalesce(o.id, i.id) AS id, coalesce(out_degree, 0) AS out_degree, coales
 FROM o FULL JOIN i ON o.id = i.id"""))
 def q_degrees_trade(spark, d):
     return graph.degrees(Fixtures(spark, d).edges_trade())
+
+
+@query("label_propagation_trade", with_views(["edges_trade"], ",\n" + _lpa_sql(15, "edges_trade") + """
+SELECT id, label FROM l15"""))
+def q_lpa_trade(spark, d):
+    """Fifteen rounds over every customer and supplier."""
+    v, e = graph.build_graph(Fixtures(spark, d).edges_trade(), "src", "dst")
+    return graph.label_propagation(v, e, 15)
+
+
+def _push_sql(bound, rounds, reset=0.15):
+    parts = ["e AS (SELECT src, dst FROM edges_trade UNION ALL SELECT dst, src FROM edges_trade)",
+             "p AS (SELECT src, dst, count(*) / sum(count(*)) OVER (PARTITION BY src) AS p FROM e GROUP BY src, dst)",
+             "q0 AS (SELECT 'c' || c_custkey AS source, 'c' || c_custkey AS id, 0.0::DOUBLE AS p, 1.0::DOUBLE AS r FROM customer WHERE c_custkey % 100 = 0)"]
+    for k in range(1, rounds + 1):
+        parts.append(f"""q{k} AS MATERIALIZED (SELECT source, id, sum(p) AS p, sum(r) AS r FROM (
+  SELECT source, id, p + CASE WHEN r > {bound} THEN {reset} * r ELSE 0 END AS p, CASE WHEN r > {bound} THEN 0 ELSE r END AS r FROM q{k - 1}
+  UNION ALL SELECT q.source, p.dst, 0, {1 - reset} * q.r * p.p FROM q{k - 1} q JOIN p ON p.src = q.id WHERE q.r > {bound}
+  UNION ALL SELECT q.source, q.source, 0, {1 - reset} * q.r FROM q{k - 1} q WHERE q.r > {bound} AND q.id NOT IN (SELECT src FROM p)) GROUP BY 1, 2)""")
+    return ",\n".join(parts)
+
+
+def _push(spark, d):
+    fx = Fixtures(spark, d)
+    e = fx.edges_trade()
+    both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    keys = fx.table("customer").filter("c_custkey % 100 = 0").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"))
+    return graph.push_pagerank(both, keys, bound=0.0007, rounds=10)
+
+
+@query("push_pagerank_trade", with_views(["edges_trade"], ",\n" + _push_sql(0.0007, 10) + """
+SELECT source, id, round(p, 9) AS pagerank, round(sum(r) OVER (PARTITION BY source), 6) AS rest FROM q10"""))
+def q_push(spark, d):
+    """Ranks of customers and suppliers around every hundredth customer
+    (the stated sources), by forward push over the trade graph."""
+    return _push(spark, d).select("source", "id", F.round("pagerank", 9).alias("pagerank"), r6(F.col("rest")).alias("rest"))
+
+
+@query("top_sources_trade", with_views(["edges_trade"], ",\n" + _push_sql(0.0007, 10) + """,
+k AS (SELECT id, source, row_number() OVER (PARTITION BY id ORDER BY round(p, 9) DESC, source) AS rn FROM q10 WHERE p > 0)
+SELECT id, string_agg(source, ',' ORDER BY rn) AS top3 FROM k WHERE rn <= 3 GROUP BY id"""))
+def q_top_sources_trade(spark, d):
+    """The sources that rank each vertex highest, after ten rounds."""
+    ranks = _push(spark, d).filter("pagerank > 0").withColumn("pagerank", F.round("pagerank", 9))
+    return graph.top_sources(ranks, 3).select("id", F.array_join(F.transform("top", lambda s: s["source"]), ",").alias("top3"))
