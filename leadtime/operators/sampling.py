@@ -177,25 +177,66 @@ def fold_frames(df: DataFrame, t: str, folds: list[Fold]) -> list[tuple[DataFram
              df.filter((F.col(t) >= F.lit(f.val_lo)) & (F.col(t) < F.lit(f.val_hi)))) for f in folds]
 
 
-def cv_bounds_rows(df: DataFrame, order: list[str], k: int = 3, blocking: bool = False) -> DataFrame:
-    """M7: k folds by row count on the global row order (W14, no
-    single-partition window).  chunk = floor(N / (k + 1)); edges are the
-    1-based rows 1, 1 + chunk, ..., 1 + k chunk and N.  Fold i validates rows [edge[i+1], edge[i+2]) and trains on
-    [edge[0] or edge[i] when ``blocking``, edge[i+1]).  Returns the rows
-    with (fold, part); a row may be in several folds."""
+def _row_folds(n: int, k: int, blocking: bool, overlap: float) -> list[tuple[int, int, int, int]]:
+    """(train_lo, train_hi, val_lo, val_hi) as 1-based rows, ends inclusive.
+
+    Without overlap chunk = floor(n / (k + 1)) and the last fold validates up
+    to the row before the last one.  With it chunk = floor(n / (k + 1 -
+    overlap (k - 1))), each fold starts floor((1 - overlap) chunk) rows after
+    the one before and validates on the chunk after its training rows.
+    """
+    if not overlap:
+        chunk = max(n // (k + 1), 1)
+        edges = [i * chunk + 1 for i in range(k + 1)] + [n]
+        return [(edges[i] if blocking else 1, edges[i + 1] - 1, edges[i + 1], edges[i + 2] - 1) for i in range(k)]
+    chunk = math.floor(n / (k + 1 - overlap * (k - 1)))
+    step = math.floor((1 - overlap) * chunk)
+    return [(i * step + 1 if blocking else 1, i * step + chunk, i * step + chunk + 1, i * step + 2 * chunk) for i in range(k)]
+
+
+def cv_bounds_rows(df: DataFrame, order: list[str], k: int = 3, blocking: bool = False, overlap: float = 0.0) -> DataFrame:
+    """M7: k folds by row count on the global row order (``order`` unique),
+    neighbours sharing ``overlap`` of a chunk (see ``_row_folds``).  Returns
+    the rows with (fold, part), part train or val; a row may be in several
+    folds.
+
+    Nothing is sorted or numbered: the few rows at the folds' bounds are found
+    by distributed selection (``selection.values_at``), and the folds are
+    filters on the order columns.
+    """
     from functools import reduce
-    from leadtime.operators.windows import row_index
-    idx = row_index(df, order, "__row")
-    n = idx.count()
-    chunk = max(n // (k + 1), 1)
-    edges = [i * chunk + 1 for i in range(k + 1)] + [n]
-    folds = []
-    for i in range(k):
-        t_lo = edges[i] if blocking else edges[0]
-        part = (F.when((F.col("__row") >= edges[i + 1]) & (F.col("__row") < edges[i + 2]), "val")
-                .when((F.col("__row") >= t_lo) & (F.col("__row") < edges[i + 1]), "train"))
-        folds.append(idx.withColumn("fold", F.lit(i)).withColumn("part", part).filter(F.col("part").isNotNull()))
-    return reduce(lambda a, b: a.unionByName(b), folds).drop("__row")
+    from leadtime.operators import selection as sel
+    n = df.count()
+    folds = _row_folds(n, k, blocking, overlap)
+    at = sel.values_at(df, order, [p for f in folds for p in f])
+    key = sel.row_key(order)
+
+    def inside(lo: int, hi: int) -> Column:
+        if lo > hi or lo > n:
+            return F.lit(False)
+        upto = key <= sel.key_literal(df, order, at[hi]) if hi < n else F.lit(True)
+        return upto & (key >= sel.key_literal(df, order, at[lo])) if lo > 1 else upto
+
+    out = []
+    for i, (t_lo, t_hi, v_lo, v_hi) in enumerate(folds):
+        part = F.when(inside(v_lo, v_hi), "val").when(inside(t_lo, t_hi), "train")
+        out.append(df.withColumn("fold", F.lit(i)).withColumn("part", part).filter(F.col("part").isNotNull()))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+def row_fold_times(df: DataFrame, t: str, k: int = 3, blocking: bool = False, overlap: float = 0.0) -> DataFrame:
+    """M7: the times of the rows at the folds' bounds, one row per fold:
+    (fold, train_min, train_max, test_min, test_max); ties in ``t`` don't
+    matter.  Bounds beyond the last row are NULL."""
+    from leadtime.operators import selection as sel
+    folds = _row_folds(df.count(), k, blocking, overlap)
+    at = sel.values_at(df, [t], [p for f in folds for p in f])
+    rows = [(i, *[at.get(p, (None,))[0] for p in f]) for i, f in enumerate(folds)]
+    names = ["train_min", "train_max", "test_min", "test_max"]
+    got = df.sparkSession.createDataFrame(rows, "fold int, " + ", ".join(f"{c} long" for c in names))
+    kind = df.schema[t].dataType.simpleString()
+    back = {"timestamp": F.timestamp_micros, "date": lambda c: F.date_from_unix_date(F.col(c).cast("int"))}.get(kind, lambda c: F.col(c).cast(kind))
+    return got.select("fold", *[back(c).alias(c) for c in names])
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:

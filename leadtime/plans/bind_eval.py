@@ -108,6 +108,32 @@ def q_cv_rows(spark, d):
     return f.groupBy("fold", "part").agg(F.count(F.lit(1)).alias("n"))
 
 
+_OVERLAP_ROWS = """,
+r AS (SELECT trip_id, sched, row_number() OVER (ORDER BY sched, trip_id) AS rn FROM trips),
+n AS (SELECT CAST(floor(count(*) / (5 - 0.2::DOUBLE * 3)) AS BIGINT) AS chunk FROM trips),
+s AS (SELECT chunk, CAST(floor(0.8::DOUBLE * chunk) AS BIGINT) AS step FROM n),
+f AS (SELECT CAST(i AS INTEGER) AS fold, i * step + 1 AS t_lo, i * step + chunk AS t_hi, i * step + 2 * chunk AS v_hi FROM s, range(4) g(i))
+"""
+
+
+@query("cv_bounds_rows_overlap", with_views(["trips"], _OVERLAP_ROWS + """
+SELECT fold, CASE WHEN rn > t_hi THEN 'val' ELSE 'train' END AS part, count(*) AS n, min(trip_id) AS lo, max(trip_id) AS hi,
+       sum(trip_id)::BIGINT AS ids FROM r, f WHERE rn BETWEEN t_lo AND v_hi GROUP BY 1, 2"""))
+def q_cv_rows_overlap(spark, d):
+    """M7: moving folds that share a fifth of a chunk."""
+    f = sm.cv_bounds_rows(Fixtures(spark, d).trips(), ["sched", "trip_id"], k=4, blocking=True, overlap=0.2)
+    return f.groupBy("fold", "part").agg(F.count(F.lit(1)).alias("n"), F.min("trip_id").alias("lo"), F.max("trip_id").alias("hi"),
+                                         F.sum("trip_id").alias("ids"))
+
+
+@query("row_fold_times", with_views(["trips"], _OVERLAP_ROWS + """
+SELECT fold, (SELECT min(sched) FROM trips) AS train_min, (SELECT sched FROM r WHERE rn = t_hi) AS train_max,
+       (SELECT sched FROM r WHERE rn = t_hi + 1) AS test_min, (SELECT sched FROM r WHERE rn = v_hi) AS test_max FROM f"""))
+def q_row_fold_times(spark, d):
+    """M7: the published form, times of the rows at the bounds."""
+    return sm.row_fold_times(Fixtures(spark, d).trips(), "sched", k=4, overlap=0.2)
+
+
 @query("sample_n", with_views(["trips"], f"""
 SELECT trip_id FROM trips WHERE {_HASH.format(k='trip_id', s=7)} < 500 / (SELECT count(*) FROM trips)"""))
 def q_sample_n(spark, d):
