@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,26 +113,29 @@ def stage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-_SCOPES: list[list[str]] = []
+# the open scopes of this thread or task, outermost first
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("stage_scopes", default=())
 
 
 @contextmanager
 def stage_scope(spark: SparkSession):
     """Stages made inside the block are removed at its end: write the result
-    inside, to a path of your own."""
-    _SCOPES.append([])
+    inside, to a path of your own.  Scopes of other threads are theirs."""
+    mine: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), mine))
     try:
         yield
     finally:
-        for path in _SCOPES.pop():
+        _SCOPES.reset(token)
+        for path in mine:
             remove_path(spark, path)
 
 
 def stage_path(spark: SparkSession, name: str = "stage") -> str:
     """A new folder under the shared checkpoint folder."""
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
     return path
 
 
