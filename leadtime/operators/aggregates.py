@@ -92,26 +92,41 @@ def collect_sets(df: DataFrame, key: str, col: str, struct_cols: list[str] | Non
     return df.groupBy(key).agg(*aggs)
 
 
-def pair_counts(df: DataFrame, key: str, item: str) -> DataFrame:
+PAIR_BLOCK = 256   # members of an item set in one block
+
+
+def pair_counts(df: DataFrame, key: str, item: str, block: int = PAIR_BLOCK) -> DataFrame:
     """For each unordered pair of items, the number of keys holding both.
 
     Each key's distinct items are reduced to one sorted item set; identical
     sets are counted once (``groupBy(set)``), and pairs are expanded per
-    *distinct set* with its weight -- never per key -- then summed.  The
-    expansion is quadratic only in the size of one item set, which is
-    bounded by the item vocabulary (sources, carriers), not by the data.
+    *distinct set* with its weight -- never per key -- then summed.  A set is
+    cut into blocks of ``block`` members and each pair of blocks is a row of
+    its own, dealt over the tasks, that gives at most block x block pairs: no
+    row holds all pairs of a large set.
     """
     sets = (df.select(key, item).filter(F.col(item).isNotNull()).distinct()
             .groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__set")))
     w = sets.groupBy("__set").agg(F.count(F.lit(1)).alias("__w")).filter(F.size("__set") >= 2)
-    n = F.size("__set")
-    idx = F.sequence(F.lit(0), n - 2)
-    pairs = F.flatten(F.transform(idx, lambda i: F.transform(
-        F.sequence(i + 1, n - 1),
-        lambda j: F.struct(F.element_at("__set", i + 1).alias("item_a"), F.element_at("__set", j + 1).alias("item_b")))))
-    ex = w.select("__w", F.explode(pairs).alias("p")).filter(F.col("p.item_a") < F.col("p.item_b"))
-    return ex.groupBy(F.col("p.item_a").alias("item_a"), F.col("p.item_b").alias("item_b")).agg(
-        F.sum("__w").alias("n_keys"))
+    pairs = set_pairs(w, block).select("__w", "item_a", F.explode("__right").alias("item_b")).filter("item_a < item_b")
+    return pairs.groupBy("item_a", "item_b").agg(F.sum("__w").alias("n_keys"))
+
+
+def set_pairs(sets: DataFrame, block: int) -> DataFrame:
+    """A12 helper: ``__w, item_a, __right``: each member of the sorted arrays
+    ``__set`` with the members of one block, which include all greater ones in
+    the same block and all of each later block."""
+    last = F.floor((F.size("__set") - 1) / block).cast("int")
+    one = sets.filter(F.size("__set") <= block).select("__w", F.col("__set").alias("__left"), F.col("__set").alias("__right"))
+    many = sets.filter(F.size("__set") > block).select("*", F.explode(F.sequence(F.lit(0), last)).alias("__i"))
+    many = many.select("*", F.explode(F.sequence(F.col("__i"), last)).alias("__j"))
+
+    def members(i):
+        return F.expr(f"slice(__set, {i} * {block} + 1, {block})")
+
+    many = many.select("__w", members("__i").alias("__left"), members("__j").alias("__right"), "__i", "__j")
+    many = many.repartition(F.xxhash64("__left", "__right")).drop("__i", "__j")
+    return one.unionByName(many).select("__w", F.explode("__left").alias("item_a"), "__right")
 
 
 def bounds(df: DataFrame, t: str) -> DataFrame:
@@ -217,22 +232,67 @@ def exact_quantiles(df: DataFrame, col: str, probs, by: list[str] = ()) -> DataF
     return out.drop("__all") if not by else out
 
 
+SKETCH_ACCURACY = 10_000   # ranks of the quantile sketches are right to one part in this
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs, accuracy: int = SKETCH_ACCURACY, stats: list = ()) -> tuple[DataFrame, object]:
+    """Exact quantiles (linear interpolation) of many columns in two scans:
+    ``column, p, q``, and the first scan's row of ``stats`` aggregates.
+
+    The first scan takes one mergeable sketch per column, whose values around
+    each probability bracket the quantile.  The second counts what lies below
+    a bracket and keeps the few values inside it, which are then numbered by
+    a distributed prefix sum.  A bracket that doesn't hold its place (sketches
+    are right to one part in ``accuracy``) leaves that column to
+    ``exact_quantiles``.
+    """
+    from leadtime.operators.windows import grouped_prefix_sum
+    from leadtime.sources.io import stage_to
+    d = df.select(*cols)
+    for i, c in enumerate(cols):
+        d = d.withColumn(f"__q{i}", F.col(c).cast("double"))
+    around = [min(max(float(p) + s * 2.0 / accuracy, 0.0), 1.0) for p in probs for s in (-1, 1)]
+    first = d.agg(*stats, *[F.count(f"__q{i}").alias(f"__n{i}") for i in range(len(cols))],
+                  *[F.percentile_approx(f"__q{i}", around, accuracy).alias(f"__b{i}") for i in range(len(cols))]).first()
+    places = []   # (column, number of the probability, probability, lower and upper value, place)
+    for i in range(len(cols)):
+        n, bracket = first[f"__n{i}"], first[f"__b{i}"]
+        places += [(i, j, float(p), bracket[2 * j], bracket[2 * j + 1], float(p) * (n - 1)) for j, p in enumerate(probs) if n]
+    spark = df.sparkSession
+    if not places:
+        return spark.createDataFrame([], "column string, p double, q double"), first
+    # a cell per bracket the value isn't above: NULL stands for below
+    cells = F.array(*[F.when(F.col(f"__q{i}") <= F.lit(hi), F.struct(
+        F.lit(i).alias("c"), F.lit(j).alias("b"), F.when(F.col(f"__q{i}") >= F.lit(lo), F.col(f"__q{i}")).alias("v")))
+        for i, j, _, lo, hi, _ in places])
+    counts = d.select(F.explode(F.array_compact(cells)).alias("x")).select("x.*").groupBy("c", "b", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = stage_to(grouped_prefix_sum(counts, ["c", "b"], "v", "n", "before"))
+    want = spark.createDataFrame([(i, j, p, h) for i, j, p, _, _, h in places], "i int, j int, p double, h double")
+    hit = ranked.filter("v IS NOT NULL").join(F.broadcast(want), (F.col("c") == F.col("i")) & (F.col("b") == F.col("j")))
+    floor_in = (F.col("before") <= F.floor("h")) & (F.floor("h") < F.col("before") + F.col("n"))
+    ceil_in = (F.col("before") <= F.ceil("h")) & (F.ceil("h") < F.col("before") + F.col("n"))
+    got = hit.groupBy("c", "p", "h").agg(F.max(F.when(floor_in, F.col("v"))).alias("lo"), F.max(F.when(ceil_in, F.col("v"))).alias("hi"))
+    got = got.filter("lo IS NOT NULL AND hi IS NOT NULL").select("c", "p", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("q"))
+    names = F.array(*[F.lit(c) for c in cols])
+    out = got.select(names[F.col("c")].alias("column"), "p", "q")
+    found = {(r.column, r.p) for r in out.select("column", "p").collect()}   # one row per column and probability
+    for c in {cols[i] for i, _, p, *_ in places if (cols[i], p) not in found}:
+        exact = exact_quantiles(df, c, probs).select(F.lit(c).alias("column"), "p", "q")
+        out = out.filter(F.col("column") != c).unionByName(exact)
+    return out, first
+
+
 def summary(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Count, mean, stddev, min, exact percentiles, max per column."""
-    parts = []
-    for c in cols:
-        base = df.agg(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                      F.stddev(c).alias("stddev"), F.min(F.col(c).cast("double")).alias("min"),
-                      F.max(F.col(c).cast("double")).alias("max"))
-        qs = (exact_quantiles(df, c, probs).withColumn("column", F.lit(c))
-              .groupBy("column").pivot("p", [float(p) for p in probs]).agg(F.first("q")))
-        qs = qs.select("column", *[F.col(f"`{float(p)}`").alias(f"p{int(p * 100)}") for p in probs])
-        parts.append(base.join(qs, "column", "left"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("column", "count", "mean", "stddev", "min",
-                      *[f"p{int(q * 100)}" for q in probs], "max")
+    """Count, mean, stddev, min, exact percentiles, max per column, in
+    two scans for any number of columns (``column_quantiles``)."""
+    stats = [f(F.col(c)).alias(f"__{name}{i}") for i, c in enumerate(cols)
+             for name, f in (("mean", F.avg), ("sd", F.stddev), ("min", lambda x: F.min(x.cast("double"))), ("max", lambda x: F.max(x.cast("double"))))]
+    quantiles, first = column_quantiles(df, cols, probs, stats=stats)
+    rows = [(c, first[f"__n{i}"], *[None if v is None else float(v) for v in (first[f"__mean{i}"], first[f"__sd{i}"], first[f"__min{i}"], first[f"__max{i}"])])
+            for i, c in enumerate(cols)]
+    base = df.sparkSession.createDataFrame(rows, "column string, count long, mean double, stddev double, min double, max double")
+    wide = quantiles.groupBy("column").agg(*[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(f"p{int(p * 100)}") for p in probs])
+    return base.join(wide, "column", "left").select("column", "count", "mean", "stddev", "min", *[f"p{int(q * 100)}" for q in probs], "max")
 
 
 def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -241,28 +301,26 @@ def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
     Average ranks (ties share the mean rank) come from value counts
     (map-side combined, so a value held by a third of the rows is no
     problem) and distributed prefix sums over the sorted distinct values, in
-    one pass for all (numeric) columns; the written rank table is joined back
-    per column; then Pearson ``corr`` of the ranks in one aggregate.
+    one pass for all (numeric) columns.  Rows become cells (row, column,
+    value), take their rank in one join for all columns and are put together
+    by row again; then Pearson ``corr`` of the ranks in one aggregate.  The
+    number of shuffles does not depend on the number of columns.
     """
     from leadtime.operators.windows import grouped_prefix_sum
     from leadtime.sources.io import stage_to
-    ranked = df.select(*cols)
-    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]))
-    counts = (ranked.select(cells.alias("x")).select("x.c", "x.v").filter(F.col("v").isNotNull())
-              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    values = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
+    # the row numbers are stored, so that all readers see the same ones
+    cells = df.select(F.monotonically_increasing_id().alias("row"), values.alias("xs")).select("row", F.explode("xs").alias("x"))
+    cells = stage_to(cells.select("row", "x.c", "x.v").filter("v IS NOT NULL"))
+    counts = cells.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     ranks = grouped_prefix_sum(counts, ["c"], "v", "n", "before")
-    ranks = stage_to(ranks.select("c", "v", (F.col("before") + (F.col("n") + 1) / 2.0).alias("r")))
-    for i, c in enumerate(cols):
-        # one row per distinct value: broadcast when its size is small (flags,
-        # codes), else a shuffle join in which AQE splits a hot value
-        one = ranks.filter(F.col("c") == i).select(F.col("v").alias("__v"), F.col("r").alias(f"__r_{c}"))
-        ranked = ranked.join(one, F.col(c).cast("double") == F.col("__v"), "left").drop("__v")
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                 F.corr(f"__r_{a}", f"__r_{b}").alias("rho")))
-    return ranked.agg(F.array(*aggs).alias("m")).select(F.explode("m").alias("x")).select("x.*")
+    ranks = ranks.select(F.col("c").alias("c2"), F.col("v").alias("v2"), (F.col("before") + (F.col("n") + 1) / 2.0).alias("r"))
+    # one row per distinct value: AQE splits a value with many rows
+    ranked = cells.join(ranks, (F.col("c") == F.col("c2")) & (F.col("v") == F.col("v2")))
+    rows = ranked.groupBy("row").agg(*[F.max(F.when(F.col("c") == i, F.col("r"))).alias(f"r{i}") for i in range(len(cols))])
+    aggs = [F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.corr(f"r{i}", f"r{j}").alias("rho"))
+            for i in range(len(cols)) for j in range(i, len(cols))]
+    return rows.agg(F.array(*aggs).alias("m")).select(F.explode("m").alias("x")).select("x.*")
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, by: str | None = None) -> DataFrame:

@@ -227,6 +227,22 @@ def q_summary(spark, d):
     return s.select("column", "count", *[r6(F.col(c)).alias(c) for c in ["mean", "stddev", "min", "p25", "p50", "p75", "max"]])
 
 
+_TEN = {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey", "l_linenumber": "l_linenumber", "l_quantity": "l_quantity",
+        "l_extendedprice": "l_extendedprice", "l_discount": "l_discount", "l_tax": "l_tax",
+        "net": "l_extendedprice * (1 - l_discount)", "rare": "CASE WHEN l_orderkey % 97 = 0 THEN l_quantity END"}
+
+
+@query("summary_ten", "WITH x AS (SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in _TEN.items()) + " FROM lineitem)\n" + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, round(min({c}), 6) AS min,
+  round(quantile_cont({c}, 0.01), 6) AS p1, round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.99), 6) AS p99, round(max({c}), 6) AS max FROM x""" for c in _TEN))
+def q_summary_ten(spark, d):
+    """A22 over ten columns, two scans."""
+    x = Fixtures(spark, d).table("lineitem").select(*[F.expr(e).cast("double").alias(c) for c, e in _TEN.items()])
+    s = ag.summary(x, list(_TEN), (0.01, 0.5, 0.99))
+    return s.select("column", "count", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"),
+                    *[r6(F.col(c)).alias(c) for c in ["min", "p1", "p50", "p99", "max"]])
+
+
 def _avg_rank(c):
     return f"CASE WHEN {c} IS NULL THEN NULL ELSE rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 END"
 
