@@ -127,6 +127,7 @@ def _asof_sorted(left: DataFrame, right: DataFrame, left_keys: list[str], right_
     Rt = right.select(*[F.col(k).alias(a) for k, a in zip(right_keys, rk)], r_us.alias("__ts"),
                       (F.col(tie) if tie else F.lit(0).cast("long")).alias("__tie"),
                       F.struct(*[F.col(c) for c in rcols]).alias("__r"))
+    Rt = Rt.dropna(subset=rk)   # a NULL key matches nothing
     lo_b = F.floor((F.col("__ts") - F.lit(fwd_us or 0)) / w).cast("long")
     hi_b = F.floor((F.col("__ts") + F.lit(back_us or 0)) / w).cast("long")
     Rt = Rt.withColumn("__bk", F.explode(F.sequence(lo_b, hi_b))).withColumn("__kind", F.lit(0))
@@ -235,30 +236,64 @@ def fill_from_neighbor(df: DataFrame, nbrs: DataFrame, key: str, t: str, cols: l
     * ``tolerance_s=None`` and no ages: the neighbour's reading at the same
       instant (J14, plain equi join).
     Only neighbour readings where the measure is present are used; one
-    neighbour per site (``nbrs``: key -> nbr_key).
+    neighbour per site (``nbrs``: key -> nbr_key).  All measures are looked up
+    together: one scan in time order keeps, for each measure, the last (and
+    the next) reading that has it, so shuffles don't grow with their number.
     """
-    out = df
-    for c in cols:
-        src = (df.filter(F.col(c).isNotNull())
-                 .select(F.col(key).alias("__nk"), F.col(t).alias("__nt"), F.col(row_id).alias("__nid"),
-                         F.col(c).alias("__nv")))
-        # Only rows missing the measure are looked up; the rest pass through.
-        have = out.filter(F.col(c).isNotNull())
-        need = out.filter(F.col(c).isNull()).join(
-            nbrs.select(F.col(key).alias("__k"), F.col(nbr_key).alias("__nbr")), F.col(key) == F.col("__k"),
-            "left").drop("__k")
-        if tolerance_s is None and min_age_s is None:
-            picked = need.join(src, (F.col("__nbr") == F.col("__nk")) & (F.col(t) == F.col("__nt")), "left")
-            w = Window.partitionBy(row_id).orderBy(F.col("__nid").desc_nulls_last())
-            picked = picked.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-        elif min_age_s is not None:
-            picked = asof_join(need, src, "__nbr", "__nk", t, "__nt", min_age_s, max_age_s, row_id, tie="__nid")
+    # only rows that miss a measure are looked up; the rest pass through
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    need = df.filter(~full).join(nbrs.select(F.col(key).alias("__k"), F.col(nbr_key).alias("__nbr")), F.col(key) == F.col("__k"), "left").drop("__k")
+    some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in cols])
+    src = df.filter(some & F.col(key).isNotNull()).select(F.col(key).alias("__nk"), F.col(t).alias("__nt"), F.col(row_id).alias("__nid"),
+                                 *[F.col(c).alias(f"__v{i}") for i, c in enumerate(cols)])
+    if tolerance_s is None and min_age_s is None:
+        best = src.groupBy("__nk", "__nt").agg(*[F.max_by(f"__v{i}", F.when(F.col(f"__v{i}").isNotNull(), F.col("__nid"))).alias(f"__v{i}")
+                                                 for i in range(len(cols))])
+        got = need.join(best, (F.col("__nbr") == F.col("__nk")) & (F.col(t) == F.col("__nt")), "left").drop("__nk", "__nt")
+    elif min_age_s is not None:
+        got = _last_of_each(need, src, t, len(cols), int(round((max_age_s - min_age_s) * _US)), None, int(round(min_age_s * _US)))
+    else:
+        tol = int(round(tolerance_s * _US))
+        got = _last_of_each(need, src, t, len(cols), tol, tol, 0)
+    filled = got.withColumns({c: F.coalesce(F.col(c), F.col(f"__v{i}")) for i, c in enumerate(cols)})
+    return df.filter(full).unionByName(filled.select(df.columns))
+
+
+def _last_of_each(need: DataFrame, src: DataFrame, t: str, n: int, back_us: int, fwd_us: int | None, shift_us: int) -> DataFrame:
+    """``need`` with ``__v0`` .. : for each value column of ``src`` (key
+    ``__nk``, time ``__nt``, tie ``__nid``) the one of the reading nearest to
+    ``t`` - shift that has it, of the row's neighbour ``__nbr``, up to
+    ``back_us`` before and (if given) ``fwd_us`` after; equal distances go to
+    the later one.  The scan of ``_asof_sorted`` with one running state per
+    value column."""
+    width = F.lit(max(2 * max(back_us, fwd_us or 0), 3600 * _US))
+    r = src.select(F.col("__nk").alias("__nbr"), F.unix_micros("__nt").alias("__ts"), F.col("__nid").alias("__tie"),
+                   *[f"__v{i}" for i in range(n)], F.lit(0).alias("__kind"))
+    r = r.withColumn("__bk", F.explode(F.sequence(F.floor((F.col("__ts") - F.lit(fwd_us or 0)) / width).cast("long"),
+                                                  F.floor((F.col("__ts") + F.lit(back_us)) / width).cast("long"))))
+    p = need.withColumn("__ts", F.unix_micros(F.col(t)) - F.lit(shift_us)).withColumn("__kind", F.lit(1))
+    both = p.withColumn("__bk", F.floor(F.col("__ts") / width).cast("long")).unionByName(r, allowMissingColumns=True)
+    before = Window.partitionBy("__nbr", "__bk").orderBy("__ts", "__kind", "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    after = (Window.partitionBy("__nbr", "__bk").orderBy(F.col("__ts").asc(), F.col("__kind").desc(), F.col("__tie").desc())
+             .rowsBetween(0, Window.unboundedFollowing))
+
+    def known(i):
+        return F.when((F.col("__kind") == 0) & F.col(f"__v{i}").isNotNull(), F.struct(F.col("__ts").alias("t"), F.col(f"__v{i}").alias("v")))
+
+    cols = [F.last(known(i), ignorenulls=True).over(before).alias(f"__b{i}") for i in range(n)]
+    if fwd_us is not None:
+        cols += [F.first(known(i), ignorenulls=True).over(after).alias(f"__f{i}") for i in range(n)]
+    seen = both.select("*", *cols).filter("__kind = 1")
+    picks = {}
+    for i in range(n):
+        b = F.when(F.col(f"__b{i}.t") >= F.col("__ts") - back_us, F.col(f"__b{i}"))
+        if fwd_us is None:
+            picks[f"__v{i}"] = b["v"]
         else:
-            picked = nearest_in_time(need, src, "__nbr", "__nk", t, "__nt", tolerance_s, row_id, tie="__nid")
-        filled = (picked.withColumn(c, F.coalesce(F.col(c), F.col("__nv")))
-                  .drop("__nbr", "__nk", "__nt", "__nid", "__nv"))
-        out = have.unionByName(filled)
-    return out
+            f = F.when(F.col(f"__f{i}.t") <= F.col("__ts") + fwd_us, F.col(f"__f{i}"))
+            later = b.isNull() | (f["t"] - F.col("__ts") <= F.col("__ts") - b["t"])
+            picks[f"__v{i}"] = F.when(f.isNotNull() & later, f["v"]).otherwise(b["v"])
+    return seen.withColumns(picks).drop("__ts", "__kind", "__bk", "__tie", *[f"__{x}{i}" for x in ("b", "f") for i in range(n)])
 
 
 def semi_reduce(big: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -280,49 +315,83 @@ def day_keys(df: DataFrame, site: str, lo_t: str, hi_t: str) -> DataFrame:
             .distinct())
 
 
-def match_any(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], row_id: str,
+def match_any(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], row_id: str | None,
               order_col: str, valid_from: str | None = None, valid_to: str | None = None,
               left_t: str | None = None) -> DataFrame:
-    """OR-condition join rewritten as a union of equi joins.
+    """OR-condition join without pairs.
 
     A right row matches if any (left_col, right_col) pair is equal (and,
-    when given, ``left_t`` is within [valid_from, valid_to]); per left row
-    the match with the latest ``order_col`` wins (NULL last, then the least
-    other columns).  Without validity bounds the best right row of each key
-    is picked before the join -- an aggregate combined map-side -- so a
-    branch gives at most one candidate per left row, however many right rows
-    share a key.  The winner of the branches is an aggregate as well.
+    when given, ``left_t`` is within [valid_from, valid_to]; a NULL bound or
+    time never matches); per left row the match with the latest ``order_col``
+    wins (NULL last, then the least other columns).  Right rows are numbered
+    by that order once, so a winner is a least number: the least of a key --
+    or, with validity bounds, of the key's segment of time in which the left
+    row falls (``winning_segments``) -- and then of the branches.  One join
+    fetches its columns.  Every left row comes out once, repeated ones too;
+    no pair of rows is built that isn't in the result.  ``row_id`` is not
+    needed (kept for callers).
     """
-    rcols = right.columns
-    others = [c for c in rcols if c != order_col]
+    from leadtime.operators.windows import last_before, row_index
+    others = [c for c in right.columns if c != order_col]
+    ranked = row_index(right, [F.col(order_col).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in others]], "__prio")
     bounded = bool(left_t and (valid_from or valid_to))
-
-    def least(df: DataFrame, keys: list[str]) -> DataFrame:
-        # latest order_col first: its greatest value, then the least others
-        rest = [c for c in df.columns if c not in keys]
-        top = df.groupBy(*keys).agg(F.max(order_col).alias("__top")).withColumnsRenamed({k: f"__j_{k}" for k in keys})
-        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__j_{k}")) for k in keys])
-        last = df.join(top, on & F.col(order_col).eqNullSafe(F.col("__top")))
-        rank = F.struct(*[x for i, c in enumerate(others) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))],
-                        F.lit(0).alias("z"))
-        best = last.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("__b"))
-        return best.select(*keys, *[F.col("__b")[c].alias(c) for c in rest])
-
-    branches = []
-    for lc, rc in pairs:
+    out, found = left, []
+    for i, (lc, rc) in enumerate(pairs):
+        prio = f"__p{i}"
         if bounded:
-            cond = left[lc] == right[rc]
-            if valid_to:
-                cond = cond & (left[left_t] <= right[valid_to])
-            if valid_from:
-                cond = cond & (left[left_t] >= right[valid_from])
-            j = left.select(row_id, lc, left_t).join(right, cond, "inner")
+            seg = winning_segments(ranked, rc, "__prio", valid_from, valid_to)
+            probes = out.withColumns({"__key": F.col(lc).cast(right.schema[rc].dataType),
+                                      "__at": F.unix_micros(F.col(left_t).cast("timestamp"))})
+            # segments without a valid row end the ones before them
+            out = last_before(probes, seg.select("__key", F.col("__from").alias("__at"), F.coalesce("__prio", F.lit(-1)).alias(prio)),
+                              "__key", "__at", prio).withColumn(prio, F.when(F.col(prio) >= 0, F.col(prio))).drop("__key", "__at")
         else:
-            key = right.filter(F.col(rc).isNotNull()).withColumn("__key", F.col(rc))
-            j = left.select(row_id, lc).join(least(key, ["__key"]), F.col(lc) == F.col("__key"), "inner")
-        branches.append(j.select(F.col(row_id).alias("__rid"), *[F.col(c) for c in rcols]))
-    best = least(reduce(lambda a, b: a.unionByName(b), branches), ["__rid"])
-    return left.join(best, left[row_id] == best["__rid"], "left").drop("__rid")
+            best = ranked.filter(F.col(rc).isNotNull()).groupBy(F.col(rc).alias("__key")).agg(F.min("__prio").alias(prio))
+            out = out.join(best, F.col(lc) == F.col("__key"), "left").drop("__key")
+        found.append(prio)
+    out = out.withColumn("__win", F.least(*found) if len(found) > 1 else F.col(found[0])).drop(*found)
+    return out.join(ranked, F.col("__win") == F.col("__prio"), "left").drop("__win", "__prio")
+
+
+# The first microsecond of year 1, before every timestamp (fixed value).
+_FIRST_US = -62_135_596_800_000_000
+
+
+def winning_segments(ranked: DataFrame, key: str, prio: str, valid_from: str | None, valid_to: str | None) -> DataFrame:
+    """The time line of each key cut into segments with one winner each:
+    ``__key, __from`` (microseconds; a segment lasts until the key's next) and
+    ``prio``, the least one among rows valid throughout it (NULL: none).
+
+    Interval ends are numbered per key, and an interval of numbers is cut into
+    at most two dyadic nodes a level; a node keeps the least number of the
+    rows on it, and a segment takes the least over the nodes above it.  All of
+    it is grouped minima combined map-side: n log n rows for n intervals of a
+    key, spread by node, so a key with any share of the rows is many tasks'
+    work and nested or overlapping intervals cost nothing extra.
+    """
+    from leadtime.operators.windows import occurrence
+    lo = F.unix_micros(F.col(valid_from).cast("timestamp")) if valid_from else F.lit(_FIRST_US)
+    hi = F.unix_micros(F.col(valid_to).cast("timestamp")) + 1 if valid_to else F.lit((1 << 63) - 1)
+    iv = ranked.select(F.col(key).alias("__key"), lo.alias("__lo"), hi.alias("__hi"), F.col(prio).alias("__prio"))
+    iv = iv.filter("__key IS NOT NULL AND __lo < __hi")
+    ends = iv.select("__key", F.explode(F.array("__lo", "__hi")).alias("__from")).distinct()
+    ends = occurrence(ends, ["__key"], ["__from"], "__no")
+    count = ends.groupBy("__key").agg(F.max("__no").alias("__n"))
+    for side in ("__lo", "__hi"):
+        at = ends.select(F.col("__key").alias("__k"), F.col("__from").alias("__x"), (F.col("__no") - 1).cast("long").alias(f"{side}_no"))
+        iv = iv.join(at, (F.col("__key") == F.col("__k")) & (F.col(side) == F.col("__x"))).drop("__k", "__x")
+    # at level k the nodes from ceil(lo / 2^k) to floor(hi / 2^k), exclusive,
+    # lie inside; the first if odd and the last if even have no such parent
+    levels = iv.withColumn("__lv", F.explode(F.expr("sequence(0, length(bin(__hi_no - __lo_no)))")))
+    levels = levels.withColumns({"__a": F.expr("shiftright(__lo_no + shiftleft(1L, __lv) - 1, __lv)"), "__b": F.expr("shiftright(__hi_no, __lv)")})
+    nodes = (levels.filter("__a < __b")
+             .withColumn("__nd", F.explode(F.expr("filter(array(if(__a % 2 = 1, __a, -1L), if(__b % 2 = 1, __b - 1, -1L)), x -> x >= 0)")))
+             .groupBy("__key", "__lv", "__nd").agg(F.min("__prio").alias("__prio")).withColumnRenamed("__key", "__k"))
+    segs = ends.join(count, "__key").withColumn("__lv", F.explode(F.expr("sequence(0, length(bin(cast(__n as long))))")))
+    segs = segs.withColumn("__nd", F.expr("shiftright(cast(__no - 1 as long), __lv)"))
+    hit = segs.join(nodes.withColumnsRenamed({"__lv": "__l2", "__nd": "__n2"}),
+                    (F.col("__key") == F.col("__k")) & (F.col("__lv") == F.col("__l2")) & (F.col("__nd") == F.col("__n2")), "left")
+    return hit.groupBy("__key", "__from").agg(F.min("__prio").alias(prio))
 
 
 def assign_intervals(df: DataFrame, bounds: DataFrame, t: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
@@ -415,8 +484,9 @@ def overlap(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
 # Nearest site (J6/J7/F23): exact grid search, no cross join.
 
 def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lon: str,
-            site_id: str, s_lat: str, s_lon: str, cell_deg: float | None = None, unit: str = "km") -> DataFrame:
-    """Nearest site per point by haversine distance, exact.
+            site_id: str, s_lat: str, s_lon: str, cell_deg: float | None = None, unit: str = "km", k: int = 1) -> DataFrame:
+    """Nearest site (or the ``k`` nearest sites) per point by haversine
+    distance, exact.
 
     Both sides are keyed by grid cells.  A round compares each unresolved
     point only with the sites in the 3x3 block of cells around it (sites are
@@ -428,6 +498,12 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
     resolution so floating-point noise cannot decide between equally distant
     sites; ties break on ``site_id``.  Output: point_id, site_id, distance;
     points without coordinates (or with no site at all) have NULLs.
+
+    With ``k`` above 1 a point is done when its k-th best candidate is closer
+    than anything outside the block; candidates are cut to k per point and
+    task ahead of the shuffle (window group limit).  There is one row per
+    point and site, with its ``rank``, and fewer than k where there are fewer
+    sites; points without any have one row with NULLs.
     """
     from leadtime.functions.geo import EARTH_RADIUS
     from leadtime.sources.io import remove_path, stage_path, stage_to
@@ -445,9 +521,11 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
                      F.col(s_lon).cast("double").alias("__slon")).dropna()
     P = points.select(F.col(point_id).alias("__pid"), F.col(p_lat).cast("double").alias("__plat"),
                       F.col(p_lon).cast("double").alias("__plon"))
+    if k > 1:
+        P, S = P.distinct(), S.distinct()
     located = F.col("__plat").isNotNull() & F.col("__plon").isNotNull()
     results = [P.filter(~located).select("__pid", F.lit(None).cast(S.schema["__sid"].dataType).alias("__sid"),
-                                         F.lit(None).cast("double").alias("__d"))]
+                                         F.lit(None).cast("double").alias("__d"), *[F.lit(None).cast("int").alias("__rank")] * (k > 1))]
     pending, old = P.filter(located), []
     while True:
         n_lon = max(1, int(360.0 // cell_deg))          # cells around the circle
@@ -470,10 +548,16 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
         pi, pj = cell("__plat", "__plon")
         keyed = pending.withColumns({"__ci": pi, "__cj": pj})
         cand = keyed.join(served, (F.col("__ci") == F.col("__ki")) & (F.pmod("__cj", F.lit(n_lon)) == F.col("__kj")), "left")
-        best = (cand.withColumn("__d", haversine("__plat", "__plon", "__slat", "__slon", unit))
-                .groupBy("__pid", "__plat", "__plon", "__ci", "__cj")
-                .agg(F.min_by(F.struct(F.col("__sid"), F.col("__d")),
-                              F.when(F.col("__sid").isNotNull(), F.struct(F.round(F.col("__d"), 6), F.col("__sid")))).alias("__b")))
+        cand = cand.withColumn("__d", haversine("__plat", "__plon", "__slat", "__slon", unit))
+        point = ["__pid", "__plat", "__plon", "__ci", "__cj"]
+        if k == 1:
+            best = cand.groupBy(*point).agg(F.min_by(F.struct(F.col("__sid"), F.col("__d")), F.when(
+                F.col("__sid").isNotNull(), F.struct(F.round(F.col("__d"), 6), F.col("__sid")))).alias("__b"))
+        else:
+            closest = Window.partitionBy(*point).orderBy(F.round("__d", 6).asc_nulls_last(), F.col("__sid").asc_nulls_last())
+            cand = cand.withColumn("__rank", F.row_number().over(closest)).filter(F.col("__rank") <= k)
+            best = cand.groupBy(*point).agg(F.sort_array(F.collect_list(F.when(F.col("__sid").isNotNull(), F.struct("__rank", "__sid", "__d")))).alias("__all"))
+            best = best.withColumn("__b", F.get("__all", F.lit(k - 1)))
         # Lower bound of the distance to any site outside the block.
         south, north = (F.col("__ci") - 1) * w_lat - 90.0, (F.col("__ci") + 2) * w_lat - 90.0
         bound_lat = F.radians(F.least(F.when(south > -90.0, F.col("__plat") - south).otherwise(F.lit(1e3)),
@@ -487,13 +571,18 @@ def nearest(points: DataFrame, sites: DataFrame, point_id: str, p_lat: str, p_lo
         ok = F.lit(True) if whole else F.coalesce(F.col("__b")["__d"] <= bound, F.lit(False))
         old.append(stage_path(spark))
         best = stage_to(best.withColumn("__ok", ok), old[-1])
-        results.append(best.filter("__ok").select("__pid", F.col("__b")["__sid"].alias("__sid"), F.col("__b")["__d"].alias("__d")))
+        if k == 1:
+            results.append(best.filter("__ok").select("__pid", F.col("__b")["__sid"].alias("__sid"), F.col("__b")["__d"].alias("__d")))
+        else:
+            rows = best.filter("__ok").select("__pid", F.explode_outer("__all").alias("__b"))
+            results.append(rows.select("__pid", "__b.__sid", "__b.__d", "__b.__rank"))
         pending = best.filter(~F.col("__ok")).select("__pid", "__plat", "__plon")
         if whole or not pending.head(1):
             break
         cell_deg *= 3
     out = reduce(lambda a, b: a.unionByName(b), results)
-    out = stage_to(out.select(F.col("__pid").alias(point_id), F.col("__sid").alias(site_id), F.col("__d").alias("distance")))
+    out = stage_to(out.select(F.col("__pid").alias(point_id), F.col("__sid").alias(site_id), F.col("__d").alias("distance"),
+                              *[F.col("__rank").alias("rank")] * (k > 1)))
     for path in old:
         remove_path(spark, path)
     return out

@@ -29,10 +29,6 @@ _US = 1_000_000
 DAY_S = 86_400.0
 
 
-def _epoch_us(t: str) -> Column:
-    return F.unix_micros(F.col(t))
-
-
 def _bucket(t: str, width_s: float) -> Column:
     return F.floor(F.unix_micros(F.col(t)) / F.lit(int(width_s * _US))).cast("long")
 
@@ -77,9 +73,12 @@ def rows_halo(df: DataFrame, keys: list[str], t: str, tie: str, back: int = 0, f
     if back > 0:
         wd = Window.partitionBy(*pk).orderBy(F.col(t).desc(), F.col(tie).desc())
         tail = base.withColumn("__rr", F.row_number().over(wd)).filter(F.col("__rr") <= back)
-        we = (Window.partitionBy(*keys).orderBy("__bk", t, tie).rowsBetween(-(back - 1), 0))
-        last = (tail.withColumn("__lst", F.collect_list(F.struct(*cols)).over(we))
-                .filter(F.col("__rr") == 1).select(*keys, "__bk", "__lst"))
+        # a bucket's own last rows as one list each; the lists of the buckets
+        # before fill up what it lacks, newest first
+        own = (tail.groupBy(*pk).agg(F.array_sort(F.collect_list(F.struct(F.col("__rr"), F.struct(*cols).alias("__r"))), lambda a, b: a["__rr"] - b["__rr"]).alias("__l"))
+               .select(*pk, F.transform("__l", lambda x: x["__r"]).alias("__l")))
+        we = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(-(back - 1), 0)
+        last = own.withColumn("__lst", F.slice(F.flatten(F.reverse(F.collect_list("__l").over(we))), 1, back))
         nxt = last.withColumn("__to", F.lead("__bk").over(Window.partitionBy(*keys).orderBy("__bk")))
         h = (nxt.filter(F.col("__to").isNotNull())
              .select("__to", F.explode("__lst").alias("__r"))
@@ -89,9 +88,10 @@ def rows_halo(df: DataFrame, keys: list[str], t: str, tie: str, back: int = 0, f
     if fwd > 0:
         wa = Window.partitionBy(*pk).orderBy(F.col(t).asc(), F.col(tie).asc())
         head = base.withColumn("__rr", F.row_number().over(wa)).filter(F.col("__rr") <= fwd)
-        we = (Window.partitionBy(*keys).orderBy("__bk", t, tie).rowsBetween(0, fwd - 1))
-        first = (head.withColumn("__lst", F.collect_list(F.struct(*cols)).over(we))
-                 .filter(F.col("__rr") == 1).select(*keys, "__bk", "__lst"))
+        own = (head.groupBy(*pk).agg(F.array_sort(F.collect_list(F.struct(F.col("__rr"), F.struct(*cols).alias("__r"))), lambda a, b: a["__rr"] - b["__rr"]).alias("__l"))
+               .select(*pk, F.transform("__l", lambda x: x["__r"]).alias("__l")))
+        we = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(0, fwd - 1)
+        first = own.withColumn("__lst", F.slice(F.flatten(F.collect_list("__l").over(we)), 1, fwd))
         prv = first.withColumn("__to", F.lag("__bk").over(Window.partitionBy(*keys).orderBy("__bk")))
         h = (prv.filter(F.col("__to").isNotNull())
              .select("__to", F.explode("__lst").alias("__r"))
@@ -108,31 +108,26 @@ def _finish(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Dedup / one row per key
 
-def _sort_key(cols: list[Column]) -> Column:
-    """Struct that orders like the columns ascending, NULLs last."""
-    return F.struct(*[x for i, c in enumerate(cols) for x in (c.isNull().alias(f"n{i}"), c.alias(f"v{i}"))])
-
-
-def _least_row(df: DataFrame, keys: list[str], sort_key: Column) -> DataFrame:
-    """Per key the row with the least ``sort_key``: an aggregate combined
-    map-side, so a key holding any share of the rows is no hot spot."""
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
-    best = df.groupBy(*keys).agg(F.min_by(row, sort_key).alias("__row"))
-    return best.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+def _first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Per key the first row in ``order``: a row number limited to 1, of which
+    Spark keeps one row per key and map task ahead of the shuffle (window
+    group limit), so a key holding any share of the rows is no hot spot and
+    whole rows are sorted, never aggregated."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def dedup_least_null(df: DataFrame, keys: list[str], feats: list[str], tie: list[str]) -> DataFrame:
     """Per key keep the row with the fewest NULLs among ``feats``;
     ``tie`` makes the pick deterministic (the reference has none)."""
     from leadtime.functions.text import null_count
-    return _least_row(df, keys, F.struct(null_count(feats).alias("nulls"), _sort_key([F.col(c) for c in tie]).alias("tie")))
+    return _first_row(df, keys, [null_count(feats), *[F.col(c).asc_nulls_last() for c in tie]])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first by ``order`` ascending, NULLs last
     (must be total)."""
-    return _least_row(df, keys, _sort_key([F.col(c) if isinstance(c, str) else c for c in order]))
+    return _first_row(df, keys, [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order])
 
 
 # ---------------------------------------------------------------------------
@@ -194,7 +189,7 @@ def ema_values(values: Column, alpha: float) -> Column:
     return F.when(F.size(vals) > 0, acc["num"] / acc["den"])
 
 
-def ema_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int, alpha: float,
+def ema_fill(df: DataFrame, key: str, t: str, tie: str, col: str | list[str], n: int, alpha: float,
              count_nonnull: bool = False, default: float | None = None, out: str | None = None,
              width_s: float = DAY_S) -> DataFrame:
     """Fill NULLs with an exponential smoothing of earlier values.
@@ -202,14 +197,24 @@ def ema_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int, alpha:
     ``count_nonnull=False``: the previous ``n`` rows (NULLs skipped).
     ``count_nonnull=True``: the last ``n`` non-NULL values up to and
     including the row, however far back (W13) -- evaluated on the non-NULL
-    rows only, so the frame is again ``n`` rows.
+    rows only, so the frame is again ``n`` rows.  Several columns (a list)
+    are filled in place, for ``n`` rows by one halo and one window; ``out``
+    names a single one.
     """
     if not count_nonnull:
-        h = rows_halo(df, [key], t, tie, back=n, width_s=width_s, carry=[col])
+        cols = [col] if isinstance(col, str) else list(col)
+        h = rows_halo(df, [key], t, tie, back=n, width_s=width_s, carry=cols)
         w = Window.partitionBy(key, "__bk").orderBy(t, tie).rowsBetween(-n, -1)
-        sm = ema_values(F.collect_list(col).over(w), alpha)
-        res = F.coalesce(F.col(col), sm, F.lit(default)) if default is not None else F.coalesce(F.col(col), sm)
-        return _finish(h.withColumn(out or col, res))
+        h = h.select("*", *[F.collect_list(c).over(w).alias(f"__fr{i}") for i, c in enumerate(cols)])
+        rest = [F.lit(default)] if default is not None else []
+        res = {(out if out and len(cols) == 1 else c): F.coalesce(F.col(c), ema_values(F.col(f"__fr{i}"), alpha), *rest)
+               for i, c in enumerate(cols)}
+        return _finish(h.withColumns(res).drop(*[f"__fr{i}" for i in range(len(cols))]))
+    if not isinstance(col, str):
+        out_df = df
+        for c in col:
+            out_df = ema_fill(out_df, key, t, tie, c, n, alpha, True, default, None, width_s)
+        return out_df
     # Last n non-NULL values up to the row: rows with a value see their own
     # value and the n-1 before it among non-NULL rows; NULL rows take the
     # list of the latest non-NULL row before them.
@@ -254,6 +259,31 @@ def rows_halo_last(df: DataFrame, key: str, t: str, tie: str, src: str, carry: s
     return out.withColumn(carry, F.coalesce(F.col("__in"), F.col("__prev"))).drop("__in", "__prev", "__bk")
 
 
+def last_before(df: DataFrame, marks: DataFrame, key: str, at: str, value: str, width: int = int(DAY_S * _US)) -> DataFrame:
+    """``df`` with ``value`` of the newest row of ``marks`` (key, at, value;
+    value not NULL) of the same key at or before the row's ``at`` (a number),
+    however far back; NULL without one, or where key or ``at`` is NULL.
+
+    Inside a bucket of ``width`` it is a running last value; a bucket's first
+    rows take the last value of the key's earlier buckets, from a table with
+    one row per key and bucket.
+    """
+    both = df.withColumn("__m", F.lit(0)).unionByName(marks.select(key, at, value).withColumn("__m", F.lit(1)), allowMissingColumns=True)
+    both = both.withColumn("__bk", F.floor(F.col(at) / F.lit(width)).cast("long"))
+    w = Window.partitionBy(key, "__bk").orderBy(F.col(at), F.desc("__m")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("__in", F.last(value, ignorenulls=True).over(w))
+    ends = (marks.withColumn("__bk", F.floor(F.col(at) / F.lit(width)).cast("long")).groupBy(key, "__bk")
+            .agg(F.max_by(value, at).alias("__last")))
+    need = df.select(key, F.floor(F.col(at) / F.lit(width)).cast("long").alias("__bk")).distinct().withColumn("__ask", F.lit(1))
+    # the frame ends before the bucket itself
+    wb = Window.partitionBy(key).orderBy("__bk").rangeBetween(Window.unboundedPreceding, -1)
+    before = (need.withColumn("__last", F.lit(None).cast(marks.schema[value].dataType))
+              .unionByName(ends.withColumn("__ask", F.lit(0))).withColumn("__prev", F.last("__last", ignorenulls=True).over(wb))
+              .filter("__ask = 1").select(F.col(key).alias("__k2"), F.col("__bk").alias("__b2"), "__prev"))
+    out = inside.filter("__m = 0").join(before, (F.col(key) == F.col("__k2")) & (F.col("__bk") == F.col("__b2")), "left")
+    return out.withColumn(value, F.coalesce("__in", "__prev")).select(*df.columns, value)
+
+
 def rolling_mean(df: DataFrame, keys: list[str], order: str, col: str, start: int = -30, end: int = -1,
                  out: str | None = None) -> DataFrame:
     """Mean over rows [start, end] relative to the row (daily tables:
@@ -273,22 +303,27 @@ def rolling_fill(df: DataFrame, key: str, t: str, tie: str, col: str, n: int = 8
 # ---------------------------------------------------------------------------
 # Time-range windows
 
-def ffill_range(df: DataFrame, keys: list[str], t: str, col: str, secs: float, out: str | None = None,
+def ffill_range(df: DataFrame, keys: list[str], t: str, col: str | list[str], secs: float, out: str | None = None,
                 width_s: float | None = None, tie: str | None = None) -> DataFrame:
     """Own value, else the latest non-NULL value of the same keys within
     the previous ``secs`` seconds.  A running ``last(ignorenulls)`` of
     (time, value) over (keys, time bucket) partitions -- rows within
     ``secs`` of a border are copied into the next bucket -- then an age
     check: O(1) per row instead of re-scanning a frame.  Rows at the same
-    instant are ordered by ``tie`` (if given)."""
-    h = range_halo(df, t, back_s=secs, width_s=width_s, carry=[*keys, col] + ([tie] if tie else []))
+    instant are ordered by ``tie`` (if given).  Several columns (a list) are
+    filled in place by one halo and one window; ``out`` names a single one."""
+    cols = [col] if isinstance(col, str) else list(col)
+    h = range_halo(df, t, back_s=secs, width_s=width_s, carry=[*keys, *cols] + ([tie] if tie else []))
     x = F.unix_micros(F.col(t))
     order = [x] + ([F.col(tie)] if tie else []) + [F.col("__halo").desc()]
     w = Window.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    lastv = F.last(F.when(F.col(col).isNotNull(), F.struct(x.alias("t"), F.col(col).alias("v"))), ignorenulls=True).over(w)
-    h = h.withColumn("__lv", lastv)
-    fresh = F.when(F.col("__lv.t") >= x - F.lit(int(secs * _US)), F.col("__lv.v"))
-    return _finish(h.withColumn(out or col, F.coalesce(F.col(col), fresh)).drop("__lv"))
+    h = h.select("*", *[F.last(F.when(F.col(c).isNotNull(), F.struct(x.alias("t"), F.col(c).alias("v"))), ignorenulls=True).over(w)
+                        .alias(f"__lv{i}") for i, c in enumerate(cols)])
+    filled = {}
+    for i, c in enumerate(cols):
+        fresh = F.when(F.col(f"__lv{i}.t") >= x - F.lit(int(secs * _US)), F.col(f"__lv{i}.v"))
+        filled[out if out and len(cols) == 1 else c] = F.coalesce(F.col(c), fresh)
+    return _finish(h.withColumns(filled).drop(*[f"__lv{i}" for i in range(len(cols))]))
 
 
 def range_mean_if(df: DataFrame, keys: list[str], t: str, col: str, cond: Column | None, secs: float,
@@ -323,11 +358,12 @@ def lagged_stat(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff:
     bucket) -- intervals crossing a bucket border are copied into the next
     bucket -- yields sum and count at every row.  Cost O(n log n) whatever
     the number of rows inside a frame; sums run in DECIMAL, so they are
-    exact.  With a cutoff *column* the frame is collected (projected to
-    (actual, values)) and filtered with higher-order functions instead.
+    exact.  With any cutoff *column* it is a two-sided question (scheduled in
+    the span, actual before the cutoff), answered by dominance sums
+    (``_dominance_means``).
     """
     if cutoff_s is None:
-        return _lagged_stat_frames(df, keys, sched, actual, cutoff, cols, span_s, width_s)
+        return _dominance_means(df, keys, sched, actual, cutoff, cols, span_s, width_s)
     s_us = F.unix_micros(F.col(sched))
     lo = F.greatest(s_us, F.unix_micros(F.col(actual)) + F.lit(int(cutoff_s * _US) + 1))
     hi = s_us + F.lit(int(span_s * _US))
@@ -378,36 +414,87 @@ def interval_means(df: DataFrame, keys: list[str], probe_us: Column, lo_us: Colu
                         for i, name in enumerate(names)])
 
 
-def _lagged_stat_frames(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff: str, cols: dict[str, str],
-                        span_s: float, width_s: float | None) -> DataFrame:
-    h = range_halo(df, sched, back_s=span_s, width_s=width_s)
-    w = Window.partitionBy(*keys, "__bk").orderBy(_epoch_us(sched)).rangeBetween(-int(span_s * _US), 0)
-    names = list(cols)
-    st = F.struct(F.unix_micros(F.col(actual)).alias("a"), *[F.col(v).cast("double").alias(f"v{i}")
-                                                            for i, v in enumerate(cols.values())])
-    h = h.withColumn("__fr", F.collect_list(st).over(w))
-    cut = F.unix_micros(F.col(cutoff))
-    outs = {}
-    for i, name in enumerate(names):
-        known = F.filter(F.col("__fr"), lambda s: (s["a"] < cut) & s[f"v{i}"].isNotNull())
-        tot = F.aggregate(known, F.lit(0.0), lambda acc, s: acc + s[f"v{i}"])
-        outs[name] = F.when(F.size(known) > 0, tot / F.size(known))
-    return _finish(h.withColumns(outs).drop("__fr"))
+def _dominance_means(df: DataFrame, keys: list[str], sched: str, actual: str, cutoff: str, cols: dict[str, str],
+                     span_s: float, width_s: float | None) -> DataFrame:
+    """Means over rows scheduled in [sched - span, sched] with an actual time
+    before the row's ``cutoff`` (any column).
+
+    Rows are numbered by schedule inside (keys, time bucket), in buckets no
+    shorter than the span, so a span is a difference of prefixes: up to its
+    end in the row's bucket, less up to its start, plus the whole bucket before
+    if it starts there.  A prefix of r rows is cut into dyadic blocks, one for
+    each set bit of r, and a row lies in one block a level.  Each block is one
+    sorted run by actual time in which a cutoff reads a running sum.  Cost is n
+    log m rows for m rows a bucket, whatever the number of rows in a span;
+    nothing is gathered, and a hot key is spread over buckets and blocks.
+    Equal questions are asked once; sums are DECIMAL, so differences are exact.
+    NULL times or cutoffs count for, or get, nothing.
+    """
+    dec = "decimal(38,12)"
+    span = int(span_s * _US)
+    width = max(int((width_s or max(2 * span_s, 3600.0)) * _US), span, 1)
+    ks = [f"__k{i}" for i in range(len(keys))]
+    key_cols = [F.col(k).alias(a) for k, a in zip(keys, ks)]
+    s_us, a_us, c_us = (F.unix_micros(F.col(c)) for c in (sched, actual, cutoff))
+    n = range(len(cols))
+    # NaN and infinite measures count as missing: they have no decimal form
+    vals = [F.when(F.abs(F.col(v).cast("double")) < 1e25, F.col(v).cast(dec)).alias(f"__v{i}") for i, v in enumerate(cols.values())]
+    data = (df.select(*key_cols, s_us.alias("__s"), a_us.alias("__x"), *vals).filter("__s IS NOT NULL AND __x IS NOT NULL")
+            .groupBy(*ks, "__s", "__x").agg(*[F.sum(f"__v{i}").alias(f"__v{i}") for i in n], *[F.count(f"__v{i}").alias(f"__n{i}") for i in n]))
+    data = data.select(*ks, F.floor(F.col("__s") / width).cast("long").alias("__bk"), F.col("__s").alias("__t"), F.lit(1).alias("__kind"),
+                       "__x", *[c for i in n for c in (f"__v{i}", f"__n{i}")])
+    asks = df.select(*key_cols, s_us.alias("__s"), c_us.alias("__c")).filter("__s IS NOT NULL AND __c IS NOT NULL").distinct()
+    own, low = F.floor(F.col("__s") / width).cast("long"), F.floor((F.col("__s") - span) / width).cast("long")
+
+    def probe(bucket, t, kind, sign):
+        return F.struct(bucket.alias("bk"), t.alias("t"), F.lit(kind).alias("kind"), F.lit(sign).alias("sign"))
+
+    # kind 0 comes before the rows of its instant, kind 2 after them
+    parts = F.array(probe(own, F.col("__s"), 2, 1), probe(low, F.col("__s") - span, 0, -1),
+                    probe(F.when(low < own, low), (low + 1) * width, 2, 1))
+    asks = asks.withColumn("__p", F.explode(parts)).filter("__p.bk IS NOT NULL").select(
+        *ks, F.col("__p.bk").alias("__bk"), F.col("__p.t").alias("__t"), F.col("__p.kind").alias("__kind"), F.col("__c").alias("__x"),
+        F.col("__p.sign").alias("__sign"), F.col("__s").alias("__ask"))
+    both = data.unionByName(asks, allowMissingColumns=True)
+    is_row = F.when(F.col("__kind") == 1, 1)
+    w = Window.partitionBy(*ks, "__bk").orderBy("__t", "__kind", "__x")
+    both = both.withColumn("__r", F.count(is_row).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # row number r - 1 lies in block (k, (r - 1) >> k); a prefix of r rows has
+    # block (k, (r >> k) - 1) for each set bit k: both are even numbers.  A
+    # row only takes levels that a prefix of its bucket can have.
+    both = both.withColumn("__m", F.count(is_row).over(Window.partitionBy(*ks, "__bk")))
+    blocks = F.expr("filter(transform(sequence(0, length(bin(__m)) - 1), k -> struct(k AS k, "
+                    "if(__kind = 1, shiftright(__r - 1, k), shiftright(__r, k) - 1) AS nd)), x -> x.nd % 2 = 0)")
+    runs = both.withColumn("__b", F.explode(blocks)).withColumns({"__lv": F.col("__b.k"), "__nd": F.col("__b.nd")}).drop("__b")
+    wb = (Window.partitionBy(*ks, "__bk", "__lv", "__nd").orderBy(F.col("__x"), F.col("__kind") == 1)
+          .rowsBetween(Window.unboundedPreceding, 0))
+    runs = runs.select(*ks, "__ask", "__x", "__sign", "__kind", *[F.sum(f"__v{i}").over(wb).alias(f"__s{i}") for i in n],
+                       *[F.sum(f"__n{i}").over(wb).alias(f"__c{i}") for i in n]).filter("__kind <> 1")
+    got = runs.groupBy(*ks, "__ask", "__x").agg(*[F.sum(F.col(f"__s{i}") * F.col("__sign")).alias(f"__s{i}") for i in n],
+                                                *[F.sum(F.col(f"__c{i}") * F.col("__sign")).alias(f"__c{i}") for i in n])
+    got = got.select(*ks, "__ask", F.col("__x").alias("__cut"),
+                     *[F.when(F.col(f"__c{i}") > 0, F.col(f"__s{i}").cast("double") / F.col(f"__c{i}")).alias(name) for i, name in enumerate(cols)])
+    on = (s_us == F.col("__ask")) & (c_us == F.col("__cut"))
+    for k, a in zip(keys, ks):
+        on = on & F.col(k).eqNullSafe(F.col(a))
+    return df.join(got, on, "left").drop(*ks, "__ask", "__cut")
 
 
 # ---------------------------------------------------------------------------
 # Row indices
 
-def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """``df`` range-partitioned and sorted by ``order``, with the partition
-    (``__pid``) and the 0-based place in it (``__at``), written out.
+def _numbered(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order`` (names, or columns
+    with a direction), with the partition (``__pid``) and the 0-based place in
+    it (``__at``), written out.
 
     Ranges are sampled anew whenever a plan is evaluated, so two uses of an
     unwritten frame would disagree about the partitions; the stored numbers
     are the same for every reader.
     """
     from leadtime.sources.io import stage_to
-    parts = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
+    parts = df.repartitionByRange(*by).sortWithinPartitions(*by)
     # partition number in the upper bits, row number in the lower 33
     parts = parts.withColumn("__mid", F.monotonically_increasing_id())
     parts = parts.withColumns({"__pid": F.shiftright("__mid", 33), "__at": F.col("__mid").bitwiseAND((1 << 33) - 1)})
@@ -427,7 +514,7 @@ def _add_offsets(rows: DataFrame, totals: DataFrame, value: str, keys: list[str]
     return rows.join(offs.withColumnsRenamed(names), on).drop(*names.values())
 
 
-def row_index(df: DataFrame, order: list[str], out: str = "row_idx") -> DataFrame:
+def row_index(df: DataFrame, order: list[str | Column], out: str = "row_idx") -> DataFrame:
     """Global 1-based row number in ``order`` without a single-partition
     window: range-partition by the order, number rows inside each
     partition, add the preceding partitions' counts (a tiny table)."""

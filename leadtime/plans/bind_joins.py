@@ -91,6 +91,14 @@ def q_nearest(spark, d):
     return n.select("site_id", "station_id", r6(F.col("distance")).alias("distance"))
 
 
+@query("nearest_k", with_views(["sites", "stations"], _NEAREST_SQL.replace("SELECT site_id, station_id, round(distance, 6) AS distance FROM", "SELECT site_id, station_id, round(distance, 6) AS distance, CAST(rn AS INTEGER) AS rank FROM").replace("rn = 1", "rn <= 3")))
+def q_nearest_k(spark, d):
+    """The three nearest stations of each site."""
+    fx = Fixtures(spark, d)
+    n = joins.nearest(fx.sites(), fx.stations(), "site_id", "lat", "lon", "station_id", "lat", "lon", k=3)
+    return n.select("site_id", "station_id", r6(F.col("distance")).alias("distance"), "rank")
+
+
 @query("augment_pairs", with_views(["sites", "stations"], _NEAREST_SQL))
 def q_augment(spark, d):
     fx = Fixtures(spark, d)
@@ -177,6 +185,34 @@ def q_fill_nbr_aged(spark, d):
     return out.select("reading_id", r6(F.col("wind")).alias("wind"))
 
 
+_MANY = ["wind", "gust", "temp"]
+_MANY_VIEW = """,
+rm AS (SELECT *, CASE WHEN reading_id % 3 = 0 THEN NULL ELSE wind * 2 END AS gust, CASE WHEN reading_id % 13 < 9 THEN reading_id % 40 + 0.0::DOUBLE END AS temp FROM readings)"""
+
+
+def _many(fx):
+    i = F.col("reading_id")
+    return fx.readings().withColumns({"gust": F.when(i % 3 != 0, F.col("wind") * 2), "temp": F.when(i % 13 < 9, (i % 40).cast("double"))})
+
+
+def _many_sql(order, cond):
+    parts = [f"""c{i} AS (SELECT r.reading_id, s.{c} AS v, row_number() OVER (PARTITION BY r.reading_id ORDER BY {order}) AS rn
+  FROM rm r JOIN rm s ON s.site = (r.site + 1) % 5 AND s.{c} IS NOT NULL AND {cond} WHERE r.{c} IS NULL)""" for i, c in enumerate(_MANY)]
+    cols = ", ".join(f"round(coalesce(r.{c}, c{i}.v), 6) AS {c}" for i, c in enumerate(_MANY))
+    joined = " ".join(f"LEFT JOIN c{i} ON c{i}.reading_id = r.reading_id AND c{i}.rn = 1" for i in range(len(_MANY)))
+    return _MANY_VIEW + ",\n" + ",\n".join(parts) + f"\nSELECT r.reading_id, {cols} FROM rm r {joined}"
+
+
+@query("fill_from_neighbor_many", with_views(["readings"], _many_sql(
+    "abs(epoch_us(s.read_ts) - epoch_us(r.read_ts)), s.read_ts DESC, s.reading_id DESC",
+    "s.read_ts BETWEEN r.read_ts - INTERVAL 6 HOUR AND r.read_ts + INTERVAL 6 HOUR")))
+def q_fill_nbr_many(spark, d):
+    """J12 for three measures in one scan."""
+    fx = Fixtures(spark, d)
+    out = joins.fill_from_neighbor(_many(fx), _nbrs(fx), "site", "read_ts", _MANY, "reading_id", tolerance_s=6 * 3600)
+    return out.select("reading_id", *[r6(F.col(c)).alias(c) for c in _MANY])
+
+
 @query("fill_from_neighbor_same_hour", with_views(["readings"], """,
 rr AS (SELECT *, date_trunc('hour', read_ts) AS hr FROM readings),
 src AS (SELECT site AS nk, hr AS nt, reading_id AS nid, wind AS nv FROM rr WHERE wind IS NOT NULL),
@@ -205,6 +241,26 @@ def q_match_any(spark, d):
     return out.select("trip_id", "c_custkey")
 
 
+@query("match_any_dated", with_views(["trips"], """,
+h AS (SELECT o_orderkey, o_custkey, o_custkey % 7 AS cust7, TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 28 AS INTEGER)) AS begin_ts,
+      TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 28 + o_custkey % 5 AS INTEGER)) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS end_ts FROM orders)
+SELECT t.trip_id, b.o_orderkey, b.begin_ts FROM trips t LEFT JOIN (
+  SELECT trip_id, o_orderkey, begin_ts FROM (
+    SELECT t.trip_id, h.*, row_number() OVER (PARTITION BY t.trip_id ORDER BY h.begin_ts DESC, h.o_orderkey) AS rn
+    FROM trips t JOIN h ON (h.o_custkey = t.entity OR h.cust7 = t.entity % 9) AND t.sched BETWEEN h.begin_ts AND h.end_ts) WHERE rn = 1) b
+ON b.trip_id = t.trip_id"""))
+def q_match_any_dated(spark, d):
+    """Station history valid at the time of the trip, by either key."""
+    fx = Fixtures(spark, d)
+    t = fx.trips().select("trip_id", "sched", "entity", (F.col("entity") % 9).alias("ent9"))
+    day = F.lit("2024-01-01").cast("timestamp")
+    begin = day + F.make_dt_interval((F.col("o_orderkey") % 28).cast("int"))
+    end = begin + F.make_dt_interval((F.col("o_custkey") % 5).cast("int"), (F.col("o_orderkey") % 24).cast("int"))
+    h = fx.table("orders").select("o_orderkey", "o_custkey", (F.col("o_custkey") % 7).alias("cust7"), begin.alias("begin_ts"), end.alias("end_ts"))
+    out = joins.match_any(t, h, [("entity", "o_custkey"), ("ent9", "cust7")], None, "begin_ts", "begin_ts", "end_ts", "sched")
+    return out.select("trip_id", "o_orderkey", "begin_ts")
+
+
 @query("assign_intervals", with_views(["trips", "folds"], """
 SELECT t.trip_id, f.fold FROM trips t JOIN folds f ON t.sched >= f.lo AND t.sched < f.hi"""))
 def q_assign(spark, d):

@@ -129,6 +129,19 @@ def q_lagged_stat(spark, d):
                       r6(F.col("prop_delayed")).alias("prop_delayed"))
 
 
+@query("lagged_stat_cutoff", with_views(["trips"], "," + _TT + """,
+ct AS (SELECT *, s_us - CAST((trip_id % 7) * 1800000000 AS BIGINT) AS c_us FROM tt)
+SELECT t.trip_id, round(avg(u.delay_min), 6) + 0.0 AS known_delay, count(u.delay_min) > 0 AS known
+FROM ct t LEFT JOIN tt u ON u.origin = t.origin AND u.s_us >= t.s_us - 21600000000 AND u.s_us <= t.s_us AND u.dep_us < t.c_us
+GROUP BY t.trip_id"""))
+def q_lagged_cutoff(spark, d):
+    """Each trip has a cutoff of its own, 0 to 3 hours before it is due."""
+    t = ft.trip_times(Fixtures(spark, d).trips())
+    t = t.withColumn("cut", F.timestamp_micros(F.unix_micros("sched") - F.col("trip_id") % 7 * F.lit(1_800_000_000)))
+    out = windows.lagged_stat(t, ["origin"], "sched", "actual_dep", "cut", {"known_delay": "delay_min"}, span_s=6 * 3600)
+    return out.select("trip_id", r6(F.col("known_delay")).alias("known_delay"), F.col("known_delay").isNotNull().alias("known"))
+
+
 def _ema_sql(list_expr):
     return (f"CASE WHEN len({list_expr}) > 0 THEN list_sum(list_transform({list_expr}, lambda x, i: x * pow(0.5, i - 1))) "
             f"/ list_sum(list_transform({list_expr}, lambda x, i: pow(0.5, i - 1))) END")
@@ -263,6 +276,23 @@ def q_impute(spark, d):
     return out.select("reading_id", r6(F.col("wind")).alias("wind"))
 
 
+_TWO = ("wind", "gust")
+
+
+@query("impute_many", with_views(["readings"], """,
+r2 AS (SELECT *, CASE WHEN reading_id % 3 = 0 THEN NULL ELSE wind * 2 END AS gust FROM readings),
+s1 AS (SELECT reading_id, site, read_ts, """ + ", ".join(f"""coalesce({c}, last_value({c} IGNORE NULLS) OVER (PARTITION BY CAST(site % 2 AS VARCHAR)
+         ORDER BY read_ts RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND CURRENT ROW)) AS {c}""" for c in _TWO) + """ FROM r2),
+l AS (SELECT reading_id, wind, gust, """ + ", ".join(f"""list_reverse(list_filter(list({c}) OVER (PARTITION BY site ORDER BY read_ts, reading_id
+        ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), lambda x: x IS NOT NULL)) AS l_{c}""" for c in _TWO) + f""" FROM s1)
+SELECT reading_id, {", ".join(f"round(coalesce({c}, {_ema_sql('l_' + c)}), 6) AS {c}" for c in _TWO)} FROM l"""))
+def q_impute_many(spark, d):
+    """D10 for two measures, one window a step."""
+    r = Fixtures(spark, d).readings().withColumn("area", _area("site")).withColumn("gust", F.when(F.col("reading_id") % 3 != 0, F.col("wind") * 2))
+    out = ft.impute_spatial_temporal(r, list(_TWO), "area", "site", "read_ts", "reading_id", secs=1800.0)
+    return out.select("reading_id", *[r6(F.col(c)).alias(c) for c in _TWO])
+
+
 @query("overwrite_from_area", with_views(["readings"], """
 SELECT reading_id, round(last_value(wind IGNORE NULLS) OVER (PARTITION BY CAST(site % 2 AS VARCHAR) ORDER BY read_ts, reading_id
        ROWS BETWEEN 5 PRECEDING AND CURRENT ROW), 6) AS wind FROM readings"""))

@@ -131,13 +131,10 @@ def impute_spatial_temporal(df: DataFrame, cols: list[str], area: str, site: str
                             secs: float = 7200.0, n: int = 8, alpha: float = 0.5) -> DataFrame:
     """Two-step fill of measures: (1) latest value of the same area
     (geohash) within ``secs`` before; (2) exponential smoothing of the
-    site's previous ``n`` rows.  Own values are never replaced."""
-    out = df
-    for c in cols:
-        out = windows.ffill_range(out, [area], t, c, secs)
-    for c in cols:
-        out = windows.ema_fill(out, site, t, tie, c, n, alpha)
-    return out
+    site's previous ``n`` rows.  Own values are never replaced.  Each step is
+    one window over all columns, so shuffles don't grow with their number."""
+    out = windows.ffill_range(df, [area], t, list(cols), secs)
+    return windows.ema_fill(out, site, t, tie, list(cols), n, alpha)
 
 
 def overwrite_from_area(df: DataFrame, col: str, area: str, t: str, tie: str, n: int = 6) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadtime.operators import joins
@@ -169,30 +169,21 @@ def trend_features(df: DataFrame, site: str, ts: str, y: str, shift_days: int =
     weekday's mean residue so far.  Components start on a site's
     ``min_days``-th day.
 
-    The daily series (one row per site and day) is built in Spark; each
-    site's series is decomposed in one ``applyInPandas`` group; the result
-    is joined back on (site, day).
+    All of it is windows over the daily series (one row per site and day of
+    its span, so a site's partition is bounded by the calendar), joined back
+    on (site, day).
     """
-    daily = df.groupBy(F.col(site).alias("__site"), F.to_date(ts).alias("__day")).agg(F.avg(y).alias("y"))
-    site_t = df.select(F.col(site)).schema.fields[0].dataType.simpleString()
-
-    def decompose(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols = ["__site", "__day", "trend", "season", "resid"]
-        p = pdf[pdf["__day"].notna()].sort_values("__day")
-        if not len(p):
-            return pd.DataFrame(columns=cols)
-        idx = pd.date_range(p["__day"].min(), p["__day"].max(), freq="D")
-        s = pd.Series(p["y"].to_numpy(dtype=float), index=pd.to_datetime(p["__day"])).reindex(idx).ffill()
-        trend = s.rolling(window, min_periods=1).mean()
-        det = s - trend
-        season = det.groupby(det.index.dayofweek).transform(lambda x: x.expanding().mean())
-        out = pd.DataFrame({"__site": pdf["__site"].iloc[0],
-                            "__day": (idx + pd.Timedelta(days=shift_days)).date,
-                            "trend": trend.to_numpy(), "season": season.to_numpy(),
-                            "resid": (det - season).to_numpy()})
-        return out[cols].iloc[min_days - 1:]
-
-    comp = daily.groupBy("__site").applyInPandas(
-        decompose, f"__site {site_t}, __day date, trend double, season double, resid double")
+    daily = df.groupBy(F.col(site).alias("__site"), F.to_date(ts).alias("__day")).agg(F.avg(y).alias("y")).filter("__day IS NOT NULL")
+    span = daily.groupBy("__site").agg(F.min("__day").alias("lo"), F.max("__day").alias("hi"))
+    days = span.select("__site", F.explode(F.sequence("lo", "hi")).alias("__day"))
+    on = F.col("__site").eqNullSafe(F.col("s2")) & (F.col("__day") == F.col("d2"))
+    full = days.join(daily.select(F.col("__site").alias("s2"), F.col("__day").alias("d2"), "y"), on, "left")
+    back = Window.partitionBy("__site").orderBy("__day")
+    carried = full.select("__site", "__day", F.last("y", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0)).alias("y"))
+    comp = carried.select("__site", "__day", "y", F.avg("y").over(back.rowsBetween(1 - window, 0)).alias("trend"), F.row_number().over(back).alias("n"))
+    by_weekday = Window.partitionBy("__site", F.dayofweek("__day")).orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
+    comp = comp.withColumn("season", F.avg(F.col("y") - F.col("trend")).over(by_weekday)).filter(F.col("n") >= min_days)
+    comp = comp.select("__site", F.date_add("__day", shift_days).alias("__day"), "trend", "season",
+                       (F.col("y") - F.col("trend") - F.col("season")).alias("resid"))
     out = df.join(comp, (df[site] == comp["__site"]) & (F.to_date(df[ts]) == comp["__day"]), "left")
     return out.drop("__site", "__day")

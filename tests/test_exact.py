@@ -4,6 +4,7 @@ coordinates."""
 import datetime as dt
 import math
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -142,13 +143,16 @@ def test_nearest_without_sites(spark):
     assert [tuple(r) for r in joins.nearest(p, s, "pid", "la", "lo", "sid", "sa", "so").collect()] == [(1, None, None)]
 
 
-def test_one_key_dedup_needs_no_window(spark):
-    df = spark.range(200_000).select(F.lit(1).alias("k"), "id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"),
+def test_one_key_dedup_sends_one_row_per_task(spark):
+    df = spark.range(200_000).select((F.col("id") % 1 + 1).alias("k"), "id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"),
                                      F.when(F.col("id") == 777, F.lit(1)).alias("b"))
     out = windows.dedup_least_null(df, ["k"], ["a", "b"], ["id"])
     assert [tuple(r) for r in out.collect()] == [(1, 778 - 1, None, 1)] or out.first()["id"] == min(
         i for i in range(200_000) if (i % 3 == 0) + (i != 777) == 1)
-    assert "Window" not in out._jdf.queryExecution().toString()
+    # whole rows are neither aggregated nor sent: the limit of one row per key
+    # applies in each task ahead of the shuffle
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and re.search(r"Exchange hash[^\n]*\n[^\n]*WindowGroupLimit[^\n]*Partial", plan), plan
     assert windows.first_per_key(df, ["k"], ["b", "id"]).first()["id"] == 777
 
 
