@@ -67,6 +67,21 @@ def text_groups(texts: list, limit: int = 1 << 21):
         yield lo, len(texts)
 
 
+def release_memory() -> None:
+    """Give a worker's unused memory back to the system: workers are kept for
+    later tasks, and what one stage needed would count against the next."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):   # another C library keeps it
+        pass
+
+
 # The multipliers and shifts of the splitmix64 finaliser (fixed values).
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 from collections import Counter
 from itertools import islice
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,8 +23,10 @@ from leadtime.llm.common import text_groups
 
 HEAVY_SHARE = 1 / 32768   # tier 1 holds pre-tokens with at least this share
 SUMMARY_ENTRIES = 1 << 18  # entries a task counts before it prunes rare ones
-CACHE_ENTRIES = 1 << 18   # a worker's cache (tier 2) keeps up to twice as many
-KEY_BYTES = 64            # longer pre-tokens are never tier-1 keys
+CACHE_ENTRIES = 1 << 18   # a worker's cache (tier 2) keeps up to twice as many ...
+CACHE_BYTES = 40 << 20    # ... and up to twice so many bytes
+SLOT_BYTES = 64           # of the table itself for an entry, about
+KEY_BYTES = 64            # longer pre-tokens are neither tier-1 keys nor cached
 
 _LOADED: dict = {}        # per worker process: tokenizers and caches
 
@@ -42,13 +45,15 @@ def _tokenizer(path: str):
 class PieceCache:
     """What the tokenizer gives for a piece, in two generations.
 
-    ``base`` entries stay; of the others the last ``entries`` to ``2 *
-    entries`` distinct ones are kept.  Misses are encoded in one batch.
+    ``base`` entries stay; of the others the last ones are kept, up to twice
+    ``entries`` and up to twice ``max_bytes`` (and one batch) of pieces,
+    values and table.  Pieces longer than ``KEY_BYTES`` are encoded each time.
+    Misses are encoded in one batch.
     """
 
-    def __init__(self, encode, entries: int, base: dict | None = None):
-        self.encode, self.entries, self.base = encode, entries, base or {}
-        self.known, self.old = dict(self.base), {}
+    def __init__(self, encode, entries: int, base: dict | None = None, max_bytes: int = CACHE_BYTES):
+        self.encode, self.entries, self.base, self.max_bytes = encode, entries, base or {}, max_bytes
+        self.known, self.old, self.used = dict(self.base), {}, 0
 
     def lookup(self, pieces: list) -> list:
         out = list(map(self.known.get, pieces))
@@ -56,8 +61,8 @@ class PieceCache:
             return out
         holes = [i for i, v in enumerate(out) if v is None]
         missing = {pieces[i] for i in holes}
-        if len(self.known) + len(missing) > self.entries + len(self.base):
-            self.old, self.known = self.known, dict(self.base)
+        if self.used > self.max_bytes or len(self.known) + len(missing) > self.entries + len(self.base):
+            self.old, self.known, self.used = self.known, dict(self.base), 0
         old, found, new = self.old, {}, []
         for p in missing:
             v = old.get(p)
@@ -67,7 +72,9 @@ class PieceCache:
                 found[p] = v
         if new:
             found.update(zip(new, self.encode(new)))
-        self.known.update(found)
+        kept = {p: v for p, v in found.items() if len(p) <= KEY_BYTES}
+        self.used += SLOT_BYTES * len(kept) + sum(map(getsizeof, kept)) + sum(map(getsizeof, kept.values()))
+        self.known.update(kept)
         for i in holes:
             out[i] = found[pieces[i]]
         return out

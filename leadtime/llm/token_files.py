@@ -16,23 +16,29 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leadtime.llm.common import scratch_path, text_groups
+from leadtime.llm.common import release_memory, scratch_path, text_groups
 from leadtime.llm.token_counts import _LOADED, PieceCache, _tokenizer
 
 BLOCK_IDS = 1 << 16
-CACHE_ENTRIES = 7 << 16  # a worker's cache keeps up to twice as many
-# Cuts are made before each run of white space, after a single line feed, and
-# between a word of plain Latin letters and ASCII punctuation (but not "'").
+SLICE_CHARS = 1 << 21    # text whose pieces are looked up at once (one text at least)
+CACHE_ENTRIES = 7 << 16  # a worker's cache keeps up to twice as many ...
+CACHE_BYTES = 40 << 20   # ... and up to twice so many bytes
+# Cuts are made before each run of white space, after a run that is a single
+# line feed, and between a word's plain Latin beginning and ASCII punctuation
+# (but not "'").  ``_cuts`` makes them on the UTF-8 bytes of many texts at once.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_PIECE = re.compile(rf"\n(?=\S)|\s*[{_LATIN}]+(?=[\s!-&(-/:-@\[-`{{-~]|\Z)|\s*\S+|\s+")
 _PLAIN = re.compile(rf" ?[{_LATIN}]+").fullmatch  # one pre-token
+_PUNCT = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8))
+_SPACE = np.isin(np.arange(256), np.frombuffer(b"\t\n\x0b\x0c\r ", np.uint8))
+_LETTER = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", np.uint8))
+# White space beyond ASCII, by the bytes of each character.
+_WIDE_SPACE = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 # Separators that Python counts as white space and Unicode does not.
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -117,6 +123,45 @@ def _encode_pieces(tok):
     return encode
 
 
+def _cuts(raw: bytes, starts: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts joined in ``raw`` begin; ``starts`` are
+    the beginnings of texts that aren't empty."""
+    if not raw:
+        return np.zeros(1, np.int64)
+    b = np.frombuffer(raw, np.uint8)
+    n = len(b)
+    space, letter = _SPACE[b], _LETTER[b]
+    present = np.bincount(b, minlength=256) > 0
+    if present[0x80:].any():
+        for c in (c for c in _WIDE_SPACE if all(present[list(c)])):
+            at = raw.find(c)
+            while at >= 0:
+                space[at:at + len(c)] = True
+                at = raw.find(c, at + len(c))
+        lead = np.flatnonzero((b >= 0xC3) & (b <= 0xC9))
+        lead = lead[lead + 1 < n]
+        nxt = b[lead + 1]
+        lead = lead[np.where(b[lead] == 0xC3, (nxt != 0x97) & (nxt != 0xB7), (b[lead] < 0xC9) | (nxt < 0x90))]
+        letter[lead] = letter[lead + 1] = True
+    first = np.zeros(n + 1, bool)
+    first[starts] = True
+    first[n] = True
+    before = np.concatenate([[False], space[:-1]])
+    begins = space & (~before | first[:n])          # a run of white space
+    cut = first.copy()
+    cut[:n] |= begins
+    feed = np.flatnonzero(begins & (b == 10))
+    feed = feed[feed + 1 < n]
+    cut[feed[~space[feed + 1]] + 1] = True
+    words = np.flatnonzero(~space & (before | first[:n]) & letter)
+    stops = np.flatnonzero(np.concatenate([~letter, [True]]) | first)
+    if len(words):
+        ends = stops[np.searchsorted(stops, words, "right")]
+        ends = ends[~first[ends]]
+        cut[ends[_PUNCT[b[ends]]]] = True
+    return np.flatnonzero(cut)
+
+
 def _encode(texts: list[str], path: str) -> list[bytes]:
     """Unsigned 32-bit ids of each text, little-endian as on every platform Spark supports.
 
@@ -127,18 +172,27 @@ def _encode(texts: list[str], path: str) -> list[bytes]:
     tok = _tokenizer(path)
     key = f"ids#{path}"
     if key not in _LOADED:
-        _LOADED[key] = PieceCache(_encode_pieces(tok), CACHE_ENTRIES)
-    special = _special_strings(tok)
-    lists, whole = [], []
-    for i, t in enumerate(texts):
-        odd = any(c in t for c in _ODD_SPACE) or any(s in t for s in special)
-        whole += [i] if odd else []
-        lists.append([] if odd else _PIECE.findall(t))
+        encode = _encode_pieces(tok)
+        _LOADED[key] = PieceCache(lambda ps: encode([p.decode("utf-8") for p in ps]), CACHE_ENTRIES, max_bytes=CACHE_BYTES)
+        _LOADED[f"odd#{path}"] = [s.encode() for s in (*_ODD_SPACE, *_special_strings(tok))]
+    needles = _LOADED[f"odd#{path}"]
+    raws = [t.encode("utf-8") for t in texts]
+    joined = b"".join(raws)
+    suspects = [s for s in needles if s in joined]
+    whole = [i for i, r in enumerate(raws) if any(s in r for s in suspects)] if suspects else []
+    if whole:
+        for i in whole:
+            raws[i] = b""
+        joined = b"".join(raws)
+    begin = np.zeros(len(raws) + 1, np.int64)
+    np.cumsum([len(r) for r in raws], out=begin[1:])
+    cuts = _cuts(joined, begin[:-1][np.diff(begin) > 0])
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(joined)])
     # every distinct piece is looked up once; Arrow gathers the ids
-    pieces = pa.array(list(chain.from_iterable(lists)), pa.large_string()).dictionary_encode()
+    pieces = pieces.dictionary_encode()
     ids = pa.array(_LOADED[key].lookup(pieces.dictionary.to_pylist()), pa.large_binary()).take(pieces.indices)
     _, offsets, data = ids.buffers()
-    ends = np.frombuffer(offsets, np.int64)[np.cumsum([0, *map(len, lists)])].tolist()
+    ends = np.frombuffer(offsets, np.int64)[np.searchsorted(cuts, begin)].tolist()
     raw = memoryview(data) if data is not None else b""
     out = [bytes(raw[lo:hi]) for lo, hi in zip(ends, ends[1:])]
     for i in whole:
@@ -209,11 +263,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             if shard is None:
                 shard = _Shard(TaskContext.get().partitionId(), block_ids, unit, b.schema.field(0).type)
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for lo, hi in text_groups(texts, 1 << 20):
+            for lo, hi in text_groups(texts, SLICE_CHARS):
                 for d, raw in zip(ids[lo:hi], _encode(texts[lo:hi], tokenizer_path)):
                     yield from shard.add(d, np.frombuffer(raw + tail, "<u4"))
         if shard is not None:
             yield from shard.end()
+        release_memory()
 
     blocks = src.select("doc_id", "t").mapInArrow(encode, BLOCK_SCHEMA.format(id=id_spark))
     blocks.write.mode("overwrite").option("compression", "uncompressed").parquet(f"{path}/blocks")
