@@ -5,13 +5,17 @@ class (hexadecimal, base64) a window slides along the candidate; the counts
 of its characters change by one each step, so the entropy is updated, not
 recomputed.  Windows above the class's limit are joined to spans, and spans
 on the allow list (identifiers, placeholders, paths, plain sequences) are
-suppressed.  Pattern matches are never suppressed.
+suppressed.  A placeholder word suppresses a span only near it and in the path
+segment that holds most of it, so a key below a folder named "sample" is found.
+Pattern matches are never suppressed.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,17 +36,36 @@ _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{%d,}" % WINDOW)
 # most 4.32; 20 hexadecimal digits rarely exceed 3.8).
 CLASSES = (("entropy_base64", re.compile(r"[A-Za-z0-9+/=_-]{%d,}" % WINDOW), 3.75),
            ("entropy_hex", re.compile(r"[0-9A-Fa-f]{%d,}" % WINDOW), 3.0))
-_CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+# one more than a window: the next character is counted before the first goes
+_CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
+REACH = 32   # characters around a span in which a placeholder word suppresses it
+PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|1234567890|abcdefgh")
 ALLOW = (re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),      # UUIDs
-         re.compile(r"(?i).*(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|1234567890|abcdefgh)"),
          re.compile(r"[A-Za-z0-9_-]*(/[A-Za-z_-]+){2,}/?"),                       # paths of plain words
          re.compile(r"[0-9_/=+-]*"),                                              # numbers and dates
          re.compile(r"[A-Za-z_/=+-]*"))                                           # words without a digit
 
 
 def allowed(candidate: str) -> bool:
-    return any(p.fullmatch(candidate) or (p.pattern.startswith("(?i)") and p.match(candidate)) for p in ALLOW)
+    """Whether all of a candidate or span is an identifier, a path of words, a
+    number or a word."""
+    return any(p.fullmatch(candidate) for p in ALLOW)
+
+
+class _Segments:
+    """The parts of a candidate between slashes."""
+
+    def __init__(self, word: str):
+        self.word = word
+        self.cuts = [-1, *(m.start() for m in re.finditer("/", word)), len(word)]
+
+    def placeholder(self, lo: int, hi: int) -> bool:
+        """Whether the segment that holds most of [lo, hi) (the first such)
+        has a placeholder word, in the span or at most ``REACH`` from it."""
+        first, last = bisect_right(self.cuts, lo - 1), bisect_left(self.cuts, hi)
+        i = max(range(first, last + 1), key=lambda k: min(self.cuts[k], hi) - max(self.cuts[k - 1] + 1, lo))
+        return bool(PLACEHOLDER.search(self.word, max(self.cuts[i - 1] + 1, lo - REACH), min(self.cuts[i], hi + REACH)))
 
 
 def entropy_spans(s: str, limit: float, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -82,25 +105,41 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return out
 
 
+def _inside(starts: list[int], ends: list[int], a: int, z: int) -> bool:
+    """Whether [a, z) lies in one of the spans with ascending ``starts``;
+    ``ends`` holds the greatest end so far."""
+    i = bisect_right(starts, a)
+    return i > 0 and ends[i - 1] >= z
+
+
 def scan_text(text) -> list[tuple[int, str, int]]:
     """All spans of a text by start, then kind as listed, then end; entropy
-    spans inside a pattern's span are not reported again."""
+    spans inside a pattern's span, or inside one of another class, are not
+    reported again.  Time grows with the text, however many spans it has."""
     if not text:
         return []
     base = base_spans(text)
+    base_starts = sorted(x for x, _, _ in base)
+    base_ends = list(accumulate((y for _, _, y in sorted(base)), max))
     found = []
     for m in _CANDIDATE.finditer(text):
         word = m.group()
         if word.isalpha() or allowed(word):
             continue
+        segments, starts, ends = _Segments(word), [], []   # spans of this candidate so far
         for kind, chars, limit in CLASSES:
+            new = []
             for run in chars.finditer(word):
                 for lo, hi in entropy_spans(run.group(), limit):
-                    a, z = m.start() + run.start() + lo, m.start() + run.start() + hi
-                    if allowed(text[a:z]) or any(x <= a and z <= y for x, _, y in base):
-                        continue
-                    if not any(x <= a and z <= y for x, _, y in found):
-                        found.append((a, kind, z))
+                    lo, hi = run.start() + lo, run.start() + hi
+                    a, z = m.start() + lo, m.start() + hi
+                    if not (allowed(word[lo:hi]) or segments.placeholder(lo, hi) or _inside(base_starts, base_ends, a, z)
+                            or _inside(starts, ends, a, z)):
+                        new.append((a, z))
+            # a class's own spans never lie in one another
+            found += [(a, kind, z) for a, z in new]
+            both = sorted([*zip(starts, ends), *new])
+            starts, ends = [a for a, _ in both], list(accumulate((z for _, z in both), max))
     return sorted(base + found, key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
