@@ -218,8 +218,9 @@ def personalized_pagerank(vertices: DataFrame, edges: DataFrame, sources: DataFr
     outs = P.select(F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
     dang = V.join(outs, "id", "left").filter(F.col("__has_out").isNull()).select(
         F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"), F.lit(1.0).alias("p"))
-    P = _ckpt(P.unionByName(dang))
-    S = _ckpt(sources.select(F.col("id").cast("string").alias("source")).distinct())
+    spark, stages = vertices.sparkSession, []
+    P = _ckpt(P.unionByName(dang), stages)
+    S = _ckpt(sources.select(F.col("id").cast("string").alias("source")).distinct(), stages)
     R = S.select("source", F.col("source").alias("id"), F.lit(1.0).alias("r"))
     for it in range(iters):
         C = (R.join(P.withColumnRenamed("src", "id"), "id")
@@ -231,8 +232,10 @@ def personalized_pagerank(vertices: DataFrame, edges: DataFrame, sources: DataFr
              .select("source", "id", (F.lit(1.0 - reset) * F.coalesce(F.col("__c"), F.lit(0.0))
                                       + F.coalesce(F.col("__t"), F.lit(0.0))).alias("r")))
         if checkpoint_every and (it + 1) % checkpoint_every == 0 and it + 1 < iters:
-            R = _ckpt(R)
-    return _ckpt(R).select("source", "id", F.col("r").alias("pagerank"))
+            R = _ckpt(R, stages)
+    out = _ckpt(R).select("source", "id", F.col("r").alias("pagerank"))
+    _release(spark, stages)
+    return out
 
 
 def push_pagerank(edges: DataFrame, sources: DataFrame, reset: float = 0.15, bound: float = 1e-4, rounds: int = 100,
