@@ -1,15 +1,15 @@
-"""Benchmark decontamination by exact-prefix MinHash containment search.
-
-The size n of an item's own shingle set fixes how many of its smallest
-shingle hashes (its MinHash sketch) must be probed: when fewer than the
-required share of n shingles may be missing, any n - need + 1 of them include
-one that the document has, so a document that shares none of the sketch can't
-contain the item.  This exact prefix per item replaces partitions by size:
-``size_part`` is carried, but chooses neither sketches nor probes.  Documents probe with
-all their shingles, whatever their length, so a short item inside a long
-document is found; documents with fewer shingles than an item needs are not
-compared with it.  Candidates are verified by exact containment of shingle
-strings.  DataFrame functions only.
+"""Benchmark decontamination by size-partitioned MinHash containment search.
+
+Items are partitioned by the size n of their shingle sets (the whole part of
+log2 n).  A partition's largest size gives the length of its sketches: when
+at most m of n shingles may be missing, any m + 1 of them include one that
+the document has, and m grows with n, so the m + 1 smallest hashes of the
+largest size do for every item of the partition; a document that shares none
+of them can't contain the item.  Its smallest size gives the least number of
+shingles that a document must have to be probed at all.  Documents probe a
+partition with all their shingles, whatever their length, so a short item
+inside a long document is found.  Candidates are verified by exact
+containment of shingle strings.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -55,22 +55,32 @@ def item_shingles(benchmark: DataFrame, width: int = WIDTH, percent: int = PERCE
     return s.withColumn("rank", F.row_number().over(Window.partitionBy("size_part", "cls").orderBy("h", "shingle")))
 
 
+def size_partitions(items: DataFrame) -> DataFrame:
+    """``part, sketch, least``: of each partition by size the length of its
+    sketches and the shingles that a document must have; as many rows as the
+    largest item has binary digits."""
+    return (items.filter("rank = 1").groupBy(F.col("size_part").alias("part"))
+            .agg((F.max(F.col("n") - F.col("need")) + 1).alias("sketch"), F.min("need").alias("least")))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``content, cls, n, n_shared``: distinct texts (by MD5) and item texts
     with at least ``percent`` of the item's shingles in the text."""
     items = staged(item_shingles(benchmark, width, percent), "items")
-    sketch = staged(items.filter(F.col("rank") <= F.col("n") - F.col("need") + 1)
-                    .select("h", "cls", "need", "size_part"), "sketches")
+    sketch = (items.join(size_partitions(items), F.col("size_part") == F.col("part")).filter(F.col("rank") <= F.col("sketch"))
+              .select("h", "cls", "least"))
+    sketch = staged(sketch, "sketches")
     d = (docs.filter(F.col("text").isNotNull())
          .select(_content(F.col("text")).alias("content"), words(ascii_lower(F.col("text"))).alias("w")))
     # outer: an inner explode computes its array twice, once in an added filter
     probes = d.select("content", F.greatest(F.size("w") - (width - 1), F.lit(1)).alias("have"),
                       F.explode_outer(_pieces(F.col("w"), width, F.xxhash64)).alias("h"))
-    near = staged(probes.join(sketch, "h").filter(F.col("need") <= F.col("have"))
+    near = staged(probes.join(sketch, "h").filter(F.col("least") <= F.col("have"))
                   .select("content", "cls").distinct(), "candidates")
     # the candidates' texts: always by shuffle, as their number grows with the documents
     keys = near.select(F.col("content").alias("c")).distinct().hint("merge")
-    texts = (docs.filter(F.col("text").isNotNull()).select(_content(F.col("text")).alias("content"), "text")
+    # and copies fall together first, so no text is a hot key of it
+    texts = (docs.filter(F.col("text").isNotNull()).groupBy(_content(F.col("text")).alias("content")).agg(F.first("text").alias("text"))
              .join(keys, F.col("content") == F.col("c"), "left_semi")
              .select("content", words(ascii_lower(F.col("text"))).alias("w")))
     have = texts.select("content", F.explode_outer(F.array_distinct(_pieces(F.col("w"), width, _joined))).alias("shingle"))
