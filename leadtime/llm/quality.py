@@ -67,15 +67,6 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= SAME_PERCENT * (len(a) + len(b) - both)
 
 
-def sketches(hashes: np.ndarray) -> tuple[int, int]:
-    """The smallest of two hashes over a text's word windows (not read by the
-    rules; the pipeline's test names copies by it)."""
-    if not len(hashes):
-        return 0, 0
-    h = rolling_hash(hashes, min(SKETCH_WINDOW, len(hashes)))
-    return int(h.min()), int(mix64(h ^ np.uint64(SKETCH_WINDOW)).min())
-
-
 def repeat_words(ws: list[bytes], hashes: np.ndarray) -> int:
     """Words in windows found twice or more."""
     if len(ws) < REPEAT_WINDOW:

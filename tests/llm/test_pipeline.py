@@ -8,7 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-import xxhash
+from brute_lines import brute_left
 from llm_data import ITEMS, ODD, SMALL, make_docs
 from test_operators import brute_components, brute_fingerprint, brute_leaks, brute_quality, brute_targets, library
 
@@ -21,27 +21,11 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def brute_kept(docs):
     """Rows of (doc_id, text, lang, source, n_chars) that the rules keep."""
-    lines, sketch = [], []
-    for d in docs:
-        t = d[1] or ""
-        lines.append([" ".join(WORD.findall(x.encode().lower().decode())) for x in t.split("\n") if WORD.search(x)])
-        h = np.array([xxhash.xxh3_64_intdigest(w.encode()) for w in WORD.findall(t)], np.uint64)
-        sketch.append(tuple(int(np.uint64(v).view(np.int64)) for v in quality.sketches(h)))
-    least = [min(a for a, b in sketch if b == s[1]) for s in sketch]
-    name = [min(le for s2, le in zip(sketch, least) if s2[0] == s[0]) for s in sketch]
-    hosts = {}
-    for d, n in zip(docs, name):
-        hosts.setdefault(d[3], set()).add(n)
-    seen = {}
-    for d, n, ls in zip(docs, name, lines):
-        for x in set(ls):
-            seen.setdefault((d[3], x), set()).add(n)
-    bad = {k for k, v in seen.items() if len(v) > quality.HOST_FLOOR and len(v) > quality.HOST_SHARE * len(hosts[k[0]])}
+    left = brute_left([(d[1], d[3]) for d in docs])
     out = []
-    for d, ls in zip(docs, lines):
+    for d, n_left in zip(docs, left):
         n, *_, failed = brute_quality(d[1])
-        left = n - sum(len(x.split(" ")) for x in ls if (d[3], x) in bad)
-        if not failed and left >= quality.MIN_LEFT * n:
+        if not failed and n_left >= quality.MIN_LEFT * n:
             out.append(d)
     return out
 
@@ -133,7 +117,7 @@ def test_oracles_match(spark):
 
     from leadtime.llm.queries import ORACLES, QUERIES
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
 
     def norm(r):
