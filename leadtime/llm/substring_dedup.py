@@ -30,6 +30,7 @@ from leadtime.llm.common import mix64, rolling_hash, staged
 WINDOW = 13
 BLOCK = (WINDOW + 1) // 2
 BUNDLE_CHARS = 4 << 20
+FILE_CHARS = 1 << 26     # characters in one file of the bundles, about
 BUCKET_ENTRIES = 2 << 20
 
 
@@ -236,12 +237,22 @@ def _kept_rows(docs: pa.Table, replies: pa.Table, buckets: int, window_buckets:
                      pa.array(cols[2], pa.int64()), last], schema=schema)
 
 
+def shared_warehouse(spark: SparkSession) -> None:
+    """Raise where the warehouse is a folder of the driver's machine: on a
+    cluster it has to be named."""
+    conf = spark.sparkContext.getConf()
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local" and not conf.contains("spark.sql.warehouse.dir"):
+        raise RuntimeError("set spark.sql.warehouse.dir to a folder that the driver and all executors share")
+
+
 def _bundles(docs: DataFrame, doc_id: str, text: str, name: str) -> DataFrame:
-    """Write the documents as a table bucketed and sorted by bundle."""
+    """Write the documents as a table bucketed and sorted by bundle: a file
+    holds about ``FILE_CHARS`` characters at any size of the table."""
     spark = docs.sparkSession
+    shared_warehouse(spark)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chars = src.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(chars) // FILE_CHARS))
     count = max(n, -(-int(chars) // BUNDLE_CHARS))
     seq = F.monotonically_increasing_id()
     out = src.withColumn("seq", seq).withColumn("p", F.pmod(F.xxhash64("seq"), F.lit(count)))
