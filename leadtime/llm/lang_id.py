@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadtime.llm.common import text_groups
@@ -84,21 +84,25 @@ def gradients(m: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[
     ds *= (live / n_pos)[:, :, None]
     g = {k: np.zeros_like(v) for k, v in m.items()}
     g["b"] = ds.sum(axis=(0, 1))
+    flat = x.T.reshape(-1)
+    order = np.argsort(flat, kind="stable")   # equal bytes next to each other
+    seen, first = np.unique(flat[order], return_index=True)
     for d in (0, 1):
         g["w"][d] = states[d].reshape(-1, HIDDEN).T @ ds.reshape(-1, ds.shape[2])
         dh = np.zeros((len(y), HIDDEN), np.float32)
+        rows = np.empty((*x.T.shape, 3 * HIDDEN), ds.dtype)   # gradients of the bytes' rows, by position
         for t, h, z, r, a, new in reversed(saved[d]):
-            c = x[:, t]
             dh = (dh + ds[t] @ m["w"][d].T) * mask[:, t, None]
             dpre = dh * (1 - z) * (1 - new * new)
             da = dpre * r
             dzr = np.concatenate([dh * (h - new) * z * (1 - z), dpre * a * r * (1 - r)], axis=1)
-            np.add.at(g["en"][d], c, dpre)
-            np.add.at(g["ezr"][d], c, dzr)
+            rows[t, :, :HIDDEN], rows[t, :, HIDDEN:] = dpre, dzr
             g["uzr"][d] += h.T @ dzr
             g["un"][d] += h.T @ da
             g["bn"][d] += da.sum(axis=0)
             dh = dh * z + da @ m["un"][d].T + dzr @ m["uzr"][d].T
+        g["en"][d][seen] = (sums := np.add.reduceat(rows.reshape(-1, 3 * HIDDEN)[order], first))[:, :HIDDEN]
+        g["ezr"][d][seen] = sums[:, HIDDEN:]
     return loss, g
 
 
@@ -134,17 +138,20 @@ def segments(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _states(m: dict, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """``forward`` without what only training needs: gates apart, the
-    halves of the logistic function folded into the weights, updates in place."""
+    """``forward`` without what only training needs: gates apart and updates in
+    place.  The logistic function is 1 / (1 + exp(-v)) and tanh(v) is twice
+    that of 2 v, less 1, with the signs and the 2 folded into the weights, as
+    numpy's exp takes half the time of its tanh.  A large exp is infinite and
+    its reciprocal 0, as it should be."""
     n, t_max = x.shape
-    half = np.float32(0.5)
+    one, two = np.float32(1), np.float32(2)
     states = np.empty((2, t_max, n, HIDDEN), np.float32)
     columns = np.ascontiguousarray(x.T)
     full = mask.all(axis=0)
     for d in (0, 1):
-        ez, er = (np.ascontiguousarray(e) for e in np.split(m["ezr"][d] * half, 2, axis=1))
-        uz, ur = (np.ascontiguousarray(u) for u in np.split(m["uzr"][d] * half, 2, axis=1))
-        en, un, bn = m["en"][d], m["un"][d], m["bn"][d]
+        ez, er = (np.ascontiguousarray(e) for e in np.split(-m["ezr"][d], 2, axis=1))
+        uz, ur = (np.ascontiguousarray(u) for u in np.split(-m["uzr"][d], 2, axis=1))
+        en, un, bn = (m[k][d] * -two for k in ("en", "un", "bn"))
         h, tmp = np.zeros((n, HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
         z, r, new = np.empty_like(h), np.empty_like(h), np.empty_like(h)
         for t in (range(t_max) if d == 0 else range(t_max - 1, -1, -1)):
@@ -152,15 +159,18 @@ def _states(m: dict, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
             for gate, e, u in ((z, ez, uz), (r, er, ur)):
                 np.take(e, c, axis=0, out=gate, mode="clip")
                 gate += np.matmul(h, u, out=tmp)
-                np.tanh(gate, out=gate)
-                gate += 1
-                gate *= half
+                np.exp(gate, out=gate)
+                gate += one
+                np.reciprocal(gate, out=gate)
             np.matmul(h, un, out=tmp)
             tmp += bn
             tmp *= r
             np.take(en, c, axis=0, out=new, mode="clip")
             new += tmp
-            np.tanh(new, out=new)
+            np.exp(new, out=new)
+            new += one
+            np.divide(two, new, out=new)
+            new -= one
             nxt = states[d, t]
             np.subtract(h, new, out=nxt)
             nxt *= z
@@ -171,16 +181,27 @@ def _states(m: dict, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return states
 
 
+def _pooled(m: dict, states: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """[class, segment]: probabilities summed over the positions, with the
+    classes first, so that every step runs along the positions."""
+    _, t_max, n, _ = states.shape
+    s = sum(m["w"][d].T @ states[d].reshape(-1, HIDDEN).T for d in (0, 1)) + m["b"][:, None]
+    s -= s.max(axis=0)
+    np.exp(s, out=s)
+    s *= mask.T.reshape(-1) / s.sum(axis=0)
+    return s.reshape(-1, t_max, n).sum(axis=1)
+
+
 def predict(m: dict, texts: list[bytes], n_out: int, at_once: int = 4096) -> np.ndarray:
     """[text, class]: mean probabilities over all byte positions."""
     x, mask, owner = segments(texts)
     sums = np.zeros((len(texts), n_out))
     for lo in range(0, len(x), at_once):
         part = slice(lo, lo + at_once)
-        p = probabilities(m, _states(m, x[part], mask[part]))
-        per = np.einsum("tnc,nt->nc", p, mask[part])
+        with np.errstate(over="ignore"):
+            per = _pooled(m, _states(m, x[part], mask[part]), mask[part])
         for c in range(n_out):
-            sums[:, c] += np.bincount(owner[part], weights=per[:, c], minlength=len(texts))
+            sums[:, c] += np.bincount(owner[part], weights=per[c], minlength=len(texts))
     return sums / np.maximum([[len(t)] for t in texts], 1)
 
 
@@ -193,24 +214,24 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, per_lang: int = DOCS_PER_LANG):
+def sample(docs: DataFrame, per_lang: int = DOCS_PER_LANG, per_doc: int = SEGMENTS_PER_DOC):
     """Languages, and segments, masks and labels of the training sample: of
-    each language the ``per_lang`` documents (not held out) whose id hashes
-    lowest.  The ids are picked without reading texts."""
-    open_ = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-                        & ~held_out(F.col("doc_id")))
-    key = open_.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    langs = sorted(r.lang for r in open_.select("lang").distinct().collect())
-    picked = None
-    for lang in langs:
-        top = key.filter(F.col("lang") == lang).orderBy("h", "doc_id").limit(per_lang)
-        picked = top if picked is None else picked.unionByName(top)
-    if picked is None:
+    each language the ``per_lang`` documents (not held out, with a letter)
+    whose id hashes lowest, and of each ``per_doc`` segments spread evenly
+    over the whole text.  One scan picks the ids of all languages; each task
+    sends at most ``per_lang`` of one."""
+    open_ = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+                        & F.col("text").rlike(r"\p{L}"))
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    picked = (open_.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct()
+              .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_lang))
+    ids = [(r.doc_id, r.lang) for r in picked.select("doc_id", "lang").collect()]
+    if not ids:
         return [], None, None, None
-    ids = [(r.doc_id, r.lang) for r in picked.select("doc_id", "lang").distinct().collect()]
+    langs = sorted({lang for _, lang in ids})
     spark = docs.sparkSession
     few = F.broadcast(spark.createDataFrame(ids, open_.select(F.col("doc_id").alias("i"), F.col("lang").alias("l")).schema))
-    span, number = SEGMENT, SEGMENTS_PER_DOC
+    span, number = SEGMENT, per_doc
 
     def cut(batches):
         for b in batches:
@@ -236,7 +257,8 @@ def sample(docs: DataFrame, per_lang: int = DOCS_PER_LANG):
     return langs, x, mask, y
 
 
-def language_id(docs: DataFrame, per_lang: int = DOCS_PER_LANG, steps: int = STEPS) -> DataFrame:
+def language_id(docs: DataFrame, per_lang: int = DOCS_PER_LANG, steps: int = STEPS,
+                per_doc: int = SEGMENTS_PER_DOC) -> DataFrame:
     """Per row: ``doc_id, held_out, lang_pred, score`` (the mean probability
     of the predicted language, 0 to 1).
 
@@ -244,10 +266,11 @@ def language_id(docs: DataFrame, per_lang: int = DOCS_PER_LANG, steps: int = STE
     text when no labelled row can be learned from.  NULL labels are not
     learned; a NULL id is neither held out nor learned from; repeated rows
     get a row each; extra columns are not read.  The sample that reaches the
-    driver holds at most ``per_lang`` documents of each language, cut to
-    ``SEGMENTS_PER_DOC`` segments; every text is read whole for its prediction.
+    driver holds at most ``per_lang`` documents of each language and of each
+    ``per_doc`` segments of 64 bytes, spread evenly over the whole text; every
+    text is read whole for its prediction.
     """
-    langs, x, mask, y = sample(docs, per_lang)
+    langs, x, mask, y = sample(docs, per_lang, per_doc)
     model = train(x, mask, y, len(langs), steps) if langs else None
     shared = docs.sparkSession.sparkContext.broadcast((langs, model))
     src = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").alias("t"))
