@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadtime.llm.common import LOWER, UPPER, mix64, remove, scratch_path, staged
+from leadtime.operators.windows import occurrence
 
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 INSIDE_SHARE = 50            # per cent of a phrase's count that a longer one must reach to replace it
-GROUP_BYTES = 16 << 20       # text reduced at once by a map task (one text at least)
-BUCKET_BYTES = 16 << 20      # text whose edges meet in one bucket, about
+GROUP_BYTES = 8 << 20        # text reduced at once by a map task (one text at least)
+BUCKET_BYTES = 8 << 20       # text whose edges meet in one bucket, about
 HOT_NODE = 1 << 16           # a node with more successors in one slice is dealt out by edge
 UND = "und"
 
@@ -379,14 +380,17 @@ def score_cuts(counts: DataFrame, phrases: DataFrame) -> DataFrame:
     return best.select("lang", "words", "phrase", "f", "c.l", "c.r", "c.score")
 
 
-def first_per_lang(df: DataFrame, order: list, top: int) -> DataFrame:
-    """The first ``top`` rows of each language with ``rank``; a language's
-    rows are cut to ``top`` in many parts before they meet."""
+def first_per_lang(df: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` rows of each language by score and count descending
+    and phrase ascending, with ``rank``.  A language's rows are cut to ``top``
+    in many parts, and what is left is numbered by ranges of the order, so a
+    language never meets in one task."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    order = ["down_score", "down_f", "phrase"]
+    df = df.withColumns({"down_score": -F.col("score"), "down_f": -F.col("f"), "part": F.pmod(F.xxhash64("phrase"), F.lit(parts))})
     df = df.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
-    return df.withColumn("rank", rank).filter(F.col("rank") <= top).drop("part")
+    ranked = occurrence(df.drop("rank", "part"), ["lang"], order, "rank").withColumn("rank", F.col("rank").cast("long"))
+    return ranked.filter(F.col("rank") <= top).drop("down_score", "down_f")
 
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, top: int = TOP,
@@ -411,7 +415,7 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
               .groupBy("lang", "phrase").agg(F.max("f").alias("over")))
     left = (left.join(around, ["lang", "phrase"], "left")
             .filter(F.coalesce(100 * F.col("over") < inside_share * F.col("f"), F.lit(True))).drop("over"))
-    ranked = first_per_lang(score_cuts(counts, left), [F.desc("score"), F.desc("f"), F.asc("phrase")], top)
+    ranked = first_per_lang(score_cuts(counts, left), top)
     total = counts.filter("words = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(total, "lang").select("lang", "rank", "phrase", F.col("f").alias("a"), "l", "r", "n", "score")
 
