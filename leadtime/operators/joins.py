@@ -144,9 +144,11 @@ def _asof_sorted(left: DataFrame, right: DataFrame, left_keys: list[str], right_
               .rowsBetween(Window.unboundedPreceding, 0))
         res["__b"] = F.last(F.when(F.col("__kind") == 0, F.struct("__ts", "__r")), ignorenulls=True).over(wb)
     if fwd_us is not None:
-        wf = (Window.partitionBy(*part).orderBy(F.col("__ts").asc(), F.col("__kind").desc(), F.col("__tie").desc())
-              .rowsBetween(0, Window.unboundedFollowing))
-        res["__f"] = F.first(F.when(F.col("__kind") == 0, F.struct("__ts", "__r")), ignorenulls=True).over(wf)
+        # the next reading, as the last one of the opposite order: a frame that
+        # ends at the last row would be read anew for every row
+        wf = (Window.partitionBy(*part).orderBy(F.col("__ts").desc(), F.col("__kind").asc(), F.col("__tie").asc())
+              .rowsBetween(Window.unboundedPreceding, 0))
+        res["__f"] = F.last(F.when(F.col("__kind") == 0, F.struct("__ts", "__r")), ignorenulls=True).over(wf)
     u = u.withColumns(res).filter(F.col("__kind") == 1)
     pick = None
     if back_us is not None:
@@ -274,15 +276,16 @@ def _last_of_each(need: DataFrame, src: DataFrame, t: str, n: int, back_us: int,
     p = need.withColumn("__ts", F.unix_micros(F.col(t)) - F.lit(shift_us)).withColumn("__kind", F.lit(1))
     both = p.withColumn("__bk", F.floor(F.col("__ts") / width).cast("long")).unionByName(r, allowMissingColumns=True)
     before = Window.partitionBy("__nbr", "__bk").orderBy("__ts", "__kind", "__tie").rowsBetween(Window.unboundedPreceding, 0)
-    after = (Window.partitionBy("__nbr", "__bk").orderBy(F.col("__ts").asc(), F.col("__kind").desc(), F.col("__tie").desc())
-             .rowsBetween(0, Window.unboundedFollowing))
+    # the next reading, as the last one of the opposite order (``_asof_sorted``)
+    after = (Window.partitionBy("__nbr", "__bk").orderBy(F.col("__ts").desc(), F.col("__kind").asc(), F.col("__tie").asc())
+             .rowsBetween(Window.unboundedPreceding, 0))
 
     def known(i):
         return F.when((F.col("__kind") == 0) & F.col(f"__v{i}").isNotNull(), F.struct(F.col("__ts").alias("t"), F.col(f"__v{i}").alias("v")))
 
     cols = [F.last(known(i), ignorenulls=True).over(before).alias(f"__b{i}") for i in range(n)]
     if fwd_us is not None:
-        cols += [F.first(known(i), ignorenulls=True).over(after).alias(f"__f{i}") for i in range(n)]
+        cols += [F.last(known(i), ignorenulls=True).over(after).alias(f"__f{i}") for i in range(n)]
     seen = both.select("*", *cols).filter("__kind = 1")
     picks = {}
     for i in range(n):
