@@ -208,10 +208,7 @@ def q_geohash_bbox(spark, d):
     """Decode of a point's own geohash must contain the point: returns the
     point for every station whose box holds it (all of them)."""
     s = Fixtures(spark, d).stations().withColumn("gh", geo.geohash("lat", "lon", 6))
-    b = s.withColumn("bb", geo.geohash_bbox("gh"))
-    ok = ((F.col("lat") >= F.col("bb.lat_min")) & (F.col("lat") <= F.col("bb.lat_max"))
-          & (F.col("lon") >= F.col("bb.lon_min")) & (F.col("lon") <= F.col("bb.lon_max")))
-    return b.filter(ok).select("station_id", "lat", "lon")
+    return s.filter(geo.in_bbox("lat", "lon", geo.geohash_bbox("gh"))).select("station_id", "lat", "lon")
 
 
 @query("null_count_coalesce", with_views(["wide_nulls"], """
