@@ -465,7 +465,12 @@ def _dominance_means(df: DataFrame, keys: list[str], sched: str, actual: str, cu
     both = both.withColumn("__m", F.count(is_row).over(Window.partitionBy(*ks, "__bk")))
     blocks = F.expr("filter(transform(sequence(0, length(bin(__m)) - 1), k -> struct(k AS k, "
                     "if(__kind = 1, shiftright(__r - 1, k), shiftright(__r, k) - 1) AS nd)), x -> x.nd % 2 = 0)")
-    runs = both.withColumn("__b", F.explode(blocks)).withColumns({"__lv": F.col("__b.k"), "__nd": F.col("__b.nd")}).drop("__b")
+    runs = both.withColumn("__b", F.explode(blocks)).select(
+        *ks, "__bk", F.col("__b.k").alias("__lv"), F.col("__b.nd").alias("__nd"), "__ask", "__x", "__sign", "__kind",
+        *[c for i in n for c in (f"__v{i}", f"__n{i}")])
+    # Spread by block: the window below would else sort all levels of a task's
+    # buckets where they were numbered, log m times the rows that came in.
+    runs = runs.repartition(*ks, "__bk", "__lv", "__nd")
     wb = (Window.partitionBy(*ks, "__bk", "__lv", "__nd").orderBy(F.col("__x"), F.col("__kind") == 1)
           .rowsBetween(Window.unboundedPreceding, 0))
     runs = runs.select(*ks, "__ask", "__x", "__sign", "__kind", *[F.sum(f"__v{i}").over(wb).alias(f"__s{i}") for i in n],

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadtime.functions import geo
-from leadtime.operators import joins
+from leadtime.operators import joins, windows
 
 T0 = datetime(2024, 1, 1)
 
@@ -78,3 +78,14 @@ def test_geohash_box_is_decoded_once(spark):
     assert text.count("aggregate(") == 1 and text.count("split(") == 1
     away = spark.createDataFrame([("u4pruy", 0.0, 0.0), (None, 0.0, 0.0)], "g string, lat double, lon double")
     assert away.filter(geo.in_bbox("lat", "lon", geo.geohash_bbox("g"))).count() == 0
+
+
+# -- W10: any cutoff column
+
+def test_cutoff_runs_are_spread_by_block(spark):
+    """The rows of all levels are not sorted where their bucket was numbered."""
+    _, df = timed_rows(spark)
+    df = df.withColumn("cut", F.col("t") - F.expr("interval 20 minutes"))
+    out = windows.lagged_stat(df, ["site"], "t", "t", "cut", {"m": "x"}, span_s=7200)
+    physical = out._jdf.queryExecution().executedPlan().toString()
+    assert any("Exchange hashpartitioning" in line and "__lv" in line and "__nd" in line for line in physical.splitlines())
