@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadtime.functions import geo
-from leadtime.operators import joins, windows
+from leadtime.operators import graph, joins, windows
 
 T0 = datetime(2024, 1, 1)
 
@@ -89,3 +89,28 @@ def test_cutoff_runs_are_spread_by_block(spark):
     out = windows.lagged_stat(df, ["site"], "t", "t", "cut", {"m": "x"}, span_s=7200)
     physical = out._jdf.queryExecution().executedPlan().toString()
     assert any("Exchange hashpartitioning" in line and "__lv" in line and "__nd" in line for line in physical.splitlines())
+
+
+# -- G8: rounds by forward push
+
+def test_push_leaves_done_sources_alone(spark, monkeypatch):
+    """One source goes round and round, nine are done after two rounds: their
+    rows are not written again in the rounds after."""
+    from leadtime.sources import io
+    e = [(f"s{i}", f"t{i}_{j}") for i in range(9) for j in range(40)] + [("a", "b"), ("b", "a")]
+    written, stage_to = [], io.stage_to
+
+    def counted(df, path=None):
+        out = stage_to(df, path)
+        if set(out.columns) == {"source", "id", "p", "r"} and path:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(io, "stage_to", counted)
+    edges = spark.createDataFrame(e + [(b, a) for a, b in e if a != "a" and a != "b"], "src string, dst string")
+    sources = spark.createDataFrame([(f"s{i}",) for i in range(9)] + [("a",), (None,)], "id string")
+    got = {(r.source, r.id): r for r in graph.push_pagerank(edges, sources, bound=0.3, rounds=8).collect()}
+    assert len(got) == 9 * 41 + 2 and written[-1] == 2
+    assert got["s0", "s0"].pagerank == pytest.approx(0.15 + 0.15 * 0.0) and got["s0", "t0_1"].residual == pytest.approx(0.85 / 40)
+    assert got["s0", "s0"].rest == pytest.approx(0.85) and got["a", "a"].pagerank > 0.15
+    assert got["a", "a"].pagerank + got["a", "b"].pagerank + got["a", "a"].rest == pytest.approx(1.0)
