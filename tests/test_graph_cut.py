@@ -106,6 +106,37 @@ def test_label_propagation_stops_early(spark, monkeypatch):
     assert set(got.values()) == {"a", "x"} and len(sent) < 10
 
 
+@pytest.mark.parametrize("iters", [40, 41])
+def test_label_propagation_ends_when_labels_swap(spark, monkeypatch, iters):
+    """Sides of a bipartite graph hand their labels to and fro for ever: the
+    rounds end once every label is that of two rounds before."""
+    rng = random.Random(3)
+    e = [(f"c{rng.randrange(40)}", f"s{rng.randrange(9)}", 1.0) for _ in range(160)] + [("x", "y", 1.0), ("p", "q", 1.0), ("q", "r", 1.0), ("r", "p", 1.0)]
+    vs = {v for a, b, _ in e for v in (a, b)}
+    sent, send = [], graph._VertexCut.send
+    monkeypatch.setattr(graph._VertexCut, "send", lambda self, values: sent.append(1) or send(self, values))
+    df = spark.createDataFrame(e, "src string, dst string, w double")
+    v, _ = graph.build_graph(df, "src", "dst")
+    got = {r.id: r.label for r in graph.label_propagation(v, df, iters).collect()}
+    assert got == brute_labels(vs, e, iters) and got != brute_labels(vs, e, iters + 1)
+    assert len(sent) < 15
+
+
+@pytest.mark.parametrize("name,value", [("MAX_LONG", 0), ("FEW_IDS", 0), ("PART_EDGES", 20)])
+@pytest.mark.parametrize("block", [3, 1 << 16])
+def test_label_propagation_forms(spark, monkeypatch, name, value, block):
+    """Scores as decimals, ends numbered before multi-edges are counted, and
+    more partitions than the session's: the same labels."""
+    monkeypatch.setattr(graph, name, value)
+    e = random_edges(6, 50, 80)
+    e += e[:30] + [(b, a, w) for a, b, w in e[10:40]]
+    vs = {v for a, b, _ in e for v in (a, b)}
+    df = spark.createDataFrame([*e, ("1", None, 1.0), (None, "2", 1.0)], "src string, dst string, w double")
+    v, _ = graph.build_graph(df, "src", "dst")
+    got = {r.id: r.label for r in graph.label_propagation(v, df, 6, block_edges=block).collect()}
+    assert got == brute_labels(vs, e, 6)
+
+
 def brute_personal(edges, source, iters, reset=0.15):
     out = defaultdict(Counter)
     for a, b, _ in edges:
