@@ -171,3 +171,79 @@ def test_push_rows_follow_the_bound(spark):
     e = spark.range(5000).select(F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"))
     got = graph.push_pagerank(e, spark.createDataFrame([("0",)], "id string"), bound=1e-3)
     assert got.count() < 60
+
+
+def brute_push(edges, source, bound, rounds, reset=0.15):
+    """(ranks, residuals) of one source after forward push, row by row."""
+    out = defaultdict(Counter)
+    for a, b in edges:
+        if a is not None:
+            out[a][b] += 1
+    p, r = defaultdict(float), {source: 1.0}
+    for _ in range(rounds):
+        act = {u: x for u, x in r.items() if x > bound}
+        r = defaultdict(float, {u: 0.0 if u in act else x for u, x in r.items()})
+        for u, x in act.items():
+            p[u] += reset * x
+            to = out[u] if u in out else {source: 1}
+            for b, w in to.items():
+                r[b] += (1 - reset) * x * w / sum(to.values())
+    return p, r
+
+
+@pytest.mark.parametrize("bound,rounds,name,value,block", [
+    (0.004, 0, "PUSH_ROWS", 50, 1 << 16), (0.004, 1, "SOURCE_ROWS", 0, 4), (0.004, 2, "PUSH_ROWS", 50, 4),
+    (0.004, 5, "PUSH_ROWS", 50, 1 << 16), (0.004, 5, "SOURCE_ROWS", 0, 4), (0.3, 20, "SOURCE_ROWS", 1 << 23, 4)])
+def test_push_rounds(spark, monkeypatch, bound, rounds, name, value, block):
+    """Every row after so many rounds, whether lists or rows move: with
+    multi-edges, loops, dangling vertices, null ends and ids of any text."""
+    monkeypatch.setattr(graph, name, value)
+    rng = random.Random(11)
+    ids = ["hub", "", "a\nb", "\\", "\\c", "\\a\\b", "a,b", " "] + [str(i) for i in range(30)]
+    e = [(rng.choice(ids[:30]), rng.choice(ids)) for _ in range(150)] + [("hub", x) for x in ids] + [("hub", "1")] * 3
+    e += [("a\nb", None), ("\\", None), (None, "1"), (None, None), ("", "")]
+    names = ["hub", "a\nb", "\\", "33", "alone"]
+    sources = spark.createDataFrame([(s,) for s in [*names, "hub", None]], "id string")
+    rows = graph.push_pagerank(spark.createDataFrame(e, "src string, dst string"), sources, bound=bound, rounds=rounds, block_edges=block).collect()
+    got = {(r.source, r.id): r for r in rows}
+    assert len(got) == len(rows)
+    want = {s: brute_push(e, s, bound, rounds) for s in names}
+    assert set(got) == {(s, v) for s, (_, r) in want.items() for v in r}
+    for (s, v), row in got.items():
+        p, r = want[s]
+        assert row.pagerank == pytest.approx(p.get(v, 0.0), abs=1e-12) and row.residual == pytest.approx(r[v], abs=1e-12)
+        assert row.rest == pytest.approx(sum(r.values()), abs=1e-12)
+
+
+def test_push_with_a_bound_of_one(spark):
+    e = spark.createDataFrame([("a", "b")], "src string, dst string")
+    got = graph.push_pagerank(e, spark.createDataFrame([("a",), ("x",)], "id string"), bound=1.0)
+    assert sorted(map(tuple, got.collect())) == [("a", "a", 0.0, 1.0, 1.0), ("x", "x", 0.0, 1.0, 1.0)]
+
+
+def test_push_rounds_write_no_rows_that_wait(spark, monkeypatch):
+    """Two sources reach 2000 vertices each that wait from the second round
+    on, while the rounds go on: what is written are the pushes and the lists."""
+    from leadtime.sources import io
+    e = [(s, m) for s in ("s0", "s1") for m in ("m0", "m1")] + [(m, s) for s in ("s0", "s1") for m in ("m0", "m1")]
+    e += [(m, f"{m}_{i}") for m in ("m0", "m1") for i in range(1000)] + [("m0", "s0")] * 3000
+    written, stage_to = [], io.stage_to
+    monkeypatch.setattr(io, "stage_to", lambda df, path=None: [out := stage_to(df, path), written.append(out.count())][0])
+    sources = spark.createDataFrame([("s0",), ("s1",)], "id string")
+    got = graph.push_pagerank(spark.createDataFrame(e, "src string, dst string"), sources, bound=0.01, rounds=6)
+    assert got.count() > 4000 and sum(written) < 400
+
+
+def test_top_sources_of_a_push(spark):
+    """The three sources that rank a vertex highest, of those with a rank."""
+    rng = random.Random(5)
+    e = [(f"c{rng.randrange(12)}", f"s{rng.randrange(5)}") for _ in range(70)]
+    e += [(b, a) for a, b in e]
+    names = [f"c{i}" for i in range(12)]
+    ranks = graph.push_pagerank(spark.createDataFrame(e, "src string, dst string"), spark.createDataFrame([(s,) for s in names], "id string"), bound=0.01, rounds=5)
+    got = {r.id: [t.source for t in r.top] for r in graph.top_sources(ranks.filter("pagerank > 0").withColumn("pagerank", F.round("pagerank", 9)), 3).collect()}
+    want = defaultdict(list)
+    for s in names:
+        for v, x in brute_push(e, s, 0.01, 5)[0].items():
+            want[v].append((-round(x, 9), s))
+    assert got == {v: [s for _, s in sorted(xs)[:3]] for v, xs in want.items()}
