@@ -247,3 +247,17 @@ def test_top_sources_of_a_push(spark):
         for v, x in brute_push(e, s, 0.01, 5)[0].items():
             want[v].append((-round(x, 9), s))
     assert got == {v: [s for _, s in sorted(xs)[:3]] for v, xs in want.items()}
+
+
+def test_top_sources_write_no_rows_that_wait(spark, monkeypatch):
+    """Sources with a common neighbourhood that waits: the best sources of the
+    vertices that rank, without the others' rows being written."""
+    from leadtime.sources import io
+    e = [(s, "m") for s in ("s0", "s1", "s2", "s3")] + [("m", s) for s in ("s0", "s1", "s2", "s3")] * 300 + [("m", f"x{i}") for i in range(1500)]
+    written, stage_to = [], io.stage_to
+    monkeypatch.setattr(io, "stage_to", lambda df, path=None: [out := stage_to(df, path), written.append(out.count())][0])
+    names = ["s0", "s1", "s2", "s3"]
+    ranks = graph.push_pagerank(spark.createDataFrame(e, "src string, dst string"), spark.createDataFrame([(s,) for s in names], "id string"), bound=0.01, rounds=4)
+    got = {r.id: sorted(t.source for t in r.top) for r in graph.top_sources(ranks.filter("pagerank > 0"), 4).collect()}
+    assert got == {v: names for v in ["m", *names]}
+    assert ranks.count() == 4 * 1505 and sum(written) < 500
